@@ -1,0 +1,21 @@
+"""Join helpers: broadcast a side only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be broadcast.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven ≤ ``max_rows``; otherwise
+    the side is returned as is, and the join shuffles (sort-merge, with AQE's
+    skew-join splitting) instead."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
