@@ -64,20 +64,20 @@ def peak_hours(gold: DataFrame, k: int = 5) -> DataFrame:
 def busiest_zones(gold: DataFrame, k: int = 3) -> DataFrame:
     """Pickup zones whose rank by rides is ≤ k, with rank() ties.
 
-    The k-th largest ride count comes from a distributed top-k; zones at or
-    above it (k plus ties) are ranked by a window over those few rows only.
+    Gold is aggregated once to one row per pickup zone (partial aggregate,
+    then a shuffle on the zone id); the rank window then runs over those zone
+    rows only, whose number is bounded by the zone dimension, not the trips.
     """
     agg = _rollup(gold, ["PULocationID"])
-    kth = agg.orderBy(F.desc("rides")).limit(k).agg(F.min("rides").alias("_kth"))
-    top = agg.join(F.broadcast(kth), F.col("rides") >= F.col("_kth"), "inner").drop("_kth")
     w = Window.orderBy(F.desc("rides"))
-    return top.select(
+    ranked = agg.select(
         F.rank().over(w).alias("rank"),
         "PULocationID",
         "rides",
         "revenue",
         (F.col("revenue") / F.col("rides")).alias("revenue_per_ride"),
     )
+    return ranked.filter(F.col("rank") <= k)
 
 
 def revenue_daily(gold: DataFrame) -> DataFrame:

@@ -12,18 +12,21 @@ choice inside a chunk of ``m`` rows keeps local offset ``j`` when
 ``(a*j + b) mod m < k``: since ``j → (a*j + b) mod m`` is a permutation of
 ``0..m-1`` for ``gcd(a, m) = 1``, this keeps exactly ``k`` rows, spread over
 the chunk, decided row by row. The rounding shortfall (fewer than ``chunks``
-rows) is drawn from rows not yet picked, so no row repeats.
+rows) is drawn from rows not yet picked, so no row repeats; those few
+positions are found by inverting the permutation, not by scanning.
 """
 
 from __future__ import annotations
 
 import math
 import random
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.operators.joins import broadcast_if_small
+from tripflow.session import checkpoint_root
 
 POS = "_pos"
 CHUNK = "_chunk"
@@ -34,25 +37,47 @@ MAX_BROADCAST_FILES = 200_000
 _MAX_MULTIPLIER = 1 << 20
 
 
+def _chunk_expr(bounds: list[tuple[int, int]]) -> Column:
+    pos = F.col(POS)
+    expr = None
+    for i, (lo, hi) in enumerate(bounds):
+        cond = (pos >= lo) & (pos < hi)
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr
+
+
 def file_offsets(df: DataFrame, file_col: str = "_file") -> DataFrame:
     """(file, rows, offset): rows in the files ordered before each file.
 
-    One row per file; the running sum is a window over that small table.
+    One row per file (only the file-path metadata column is read); the
+    running sum is a window over that small table.
     """
     counts = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rows"))
     w = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(w), F.lit(0)).cast("bigint"))
 
 
-def with_position(df: DataFrame, file_col: str = "_file", row_col: str = "_row") -> DataFrame:
-    """Add ``_pos`` (0-based row position in file order); drops the helpers."""
-    offsets = file_offsets(df, file_col).select(file_col, "_offset")
-    offsets = broadcast_if_small(offsets, MAX_BROADCAST_FILES)
-    return (
-        df.join(offsets, file_col, "inner")
+class Positioned(NamedTuple):
+    df: DataFrame
+    total: int
+
+
+def with_position(df: DataFrame, file_col: str = "_file", row_col: str = "_row") -> Positioned:
+    """Add ``_pos`` (0-based row position in file order); drops the helpers.
+
+    The offset table is computed once and checkpointed to the shared
+    checkpoint directory (it is read three times: size check, total, join).
+    """
+    checkpoint_root(df.sparkSession)
+    offsets = file_offsets(df, file_col).checkpoint(eager=True)
+    total = int(offsets.agg(F.sum("_rows")).first()[0] or 0)
+    side = broadcast_if_small(offsets.select(file_col, "_offset"), MAX_BROADCAST_FILES)
+    positioned = (
+        df.join(side, file_col, "inner")
         .withColumn(POS, F.col("_offset") + F.col(row_col))
         .drop("_offset", file_col, row_col)
     )
+    return Positioned(positioned, total)
 
 
 def head_sample(positioned: DataFrame, n: int) -> DataFrame:
@@ -74,52 +99,54 @@ def _multiplier(m: int, rng: random.Random) -> int:
             return a
 
 
-def _chunk_expr(bounds: list[tuple[int, int]]) -> Column:
-    pos = F.col(POS)
-    expr = None
-    for i, (lo, hi) in enumerate(bounds):
-        cond = (pos >= lo) & (pos < hi)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
-
+def spread_plan(total: int, sample_size: int, chunks: int, seed: int):
+    """Per-chunk (start, size, a, b), rows per chunk, and top-up positions.
 
-def spread_sample(positioned: DataFrame, total: int, sample_size: int = 100_000, chunks: int = 10, seed: int = 42) -> DataFrame:
-    """Spread sample over ``positioned`` (with ``_pos``) of ``total`` rows.
-
-    Returns the picked rows with ``_chunk`` = chunk index, or ``chunks`` for
-    the top-up rows.
+    Chunk ``i`` keeps local offset ``j`` iff ``(a*j + b) mod m < per``. Its
+    unpicked offsets are ``a⁻¹·(r − b) mod m`` for ``r`` in ``[per, m)``, so
+    the top-up (fewer than ``chunks`` rows) is chosen here, without a pass
+    over the data: random chunks, random ``r`` values, no repeats.
     """
     size = min(sample_size, total)
     per = size // chunks
-    bounds = chunk_bounds(total, chunks)
     rng = random.Random(seed)
-    params = [(lo, hi - lo, _multiplier(hi - lo, rng), rng.randrange(0, max(hi - lo, 1))) for lo, hi in bounds]
+    params = []
+    for lo, hi in chunk_bounds(total, chunks):
+        m = hi - lo
+        params.append((lo, m, _multiplier(m, rng), rng.randrange(0, max(m, 1))))
+    shortfall = size - per * chunks
+    topup: list[int] = []
+    order = list(range(chunks))
+    rng.shuffle(order)
+    for i in order:
+        if len(topup) == shortfall:
+            break
+        lo, m, a, b = params[i]
+        take = min(m - per, shortfall - len(topup))
+        if take <= 0:
+            continue
+        a_inv = pow(a, -1, m)
+        for r in rng.sample(range(per, m), take):
+            topup.append(lo + (a_inv * (r - b)) % m)
+    return params, per, topup
 
+
+def spread_sample(positioned: DataFrame, total: int, sample_size: int = 100_000, chunks: int = 10, seed: int = 42) -> DataFrame:
+    """Spread sample over ``positioned`` (with ``_pos``) of ``total`` rows.
+
+    One row-local filter over the data. Returns the picked rows with
+    ``_chunk`` = chunk index, or ``chunks`` for the top-up rows.
+    """
+    params, per, topup = spread_plan(total, sample_size, chunks, seed)
+    bounds = [(lo, lo + m) for lo, m, _, _ in params]
     chunk = _chunk_expr(bounds)
-    j = F.col(POS) - F.element_at(F.array(*[F.lit(p[0]) for p in params]), chunk + 1)
-    m = F.element_at(F.array(*[F.lit(p[1]) for p in params]), chunk + 1)
-    a = F.element_at(F.array(*[F.lit(p[2]) for p in params]), chunk + 1)
-    b = F.element_at(F.array(*[F.lit(p[3]) for p in params]), chunk + 1)
-    picked_expr = F.pmod(a.cast("bigint") * j + b, m) < per
-
-    tagged = positioned.withColumns({CHUNK: chunk, "_picked": picked_expr})
-    picked = tagged.filter("_picked").drop("_picked")
-    shortfall = size - per * chunks
-    if shortfall <= 0:
-        return picked
-    # Top-up: the `shortfall` unpicked rows with the lowest keyed hash; a
-    # distributed top-k (per-task top rows, then a merge of a few rows).
-    rest = (
-        tagged.filter(~F.col("_picked"))
-        .withColumn("_h", F.xxhash64(F.col(POS), F.lit(seed)))
-        .orderBy("_h", POS)
-        .limit(shortfall)
-        .drop("_h", "_picked")
-        .withColumn(CHUNK, F.lit(chunks))
-    )
-    return picked.unionByName(rest)
 
+    def at(k):
+        return F.element_at(F.array(*[F.lit(p[k]) for p in params]), chunk + 1)
 
-def total_rows(positioned: DataFrame) -> int:
-    """Row count (a scalar to the driver)."""
-    return positioned.count()
+    j = F.col(POS) - at(0)
+    picked = F.pmod(at(2).cast("bigint") * j + at(3), at(1)) < per
+    in_topup = F.col(POS).isin(topup) if topup else F.lit(False)
+    return positioned.filter(picked | in_topup).withColumn(
+        CHUNK, F.when(in_topup, F.lit(chunks)).otherwise(chunk)
+    )

@@ -94,8 +94,8 @@ def split_malformed(decoded_flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 def conform(df: DataFrame, schema: StructType = S.TRIP, strict: bool = False) -> DataFrame:
     """Columns in schema order and type.
 
-    ``strict`` uses ``DataFrame.to``, which fails on a missing column or an
-    unsafe type change instead of casting.
+    ``strict`` uses ``DataFrame.to``: an unsafe type change (e.g. text to
+    double) fails instead of casting; a missing nullable column reads null.
     """
     if strict:
         return df.to(schema)

@@ -57,7 +57,7 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
     return G.build_gold(silver(spark, sf))
 
 
-def positioned_trips(spark: SparkSession, sf: str) -> DataFrame:
+def positioned_trips(spark: SparkSession, sf: str) -> SM.Positioned:
     return SM.with_position(read_trips(spark, sf, keep=("_file", "_row")))
 
 
@@ -192,12 +192,12 @@ def q_limit_ordered(spark, sf):
 
 
 def q_sample_head(spark, sf):
-    return _r(SM.head_sample(positioned_trips(spark, sf), HEAD_ROWS).select(*TRIP_COLS))
+    return _r(SM.head_sample(positioned_trips(spark, sf).df, HEAD_ROWS).select(*TRIP_COLS))
 
 
 def q_sample_spread(spark, sf):
     pos = positioned_trips(spark, sf)
-    sample = SM.spread_sample(pos, SM.total_rows(pos), SPREAD_ROWS, SPREAD_CHUNKS, seed=42)
+    sample = SM.spread_sample(pos.df, pos.total, SPREAD_ROWS, SPREAD_CHUNKS, seed=42)
     by_chunk = sample.groupBy(F.col(SM.CHUNK).cast("string").alias("chunk")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct(SM.POS).alias("n_distinct")
     )

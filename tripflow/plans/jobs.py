@@ -32,12 +32,12 @@ def gold_job(spark: SparkSession, silver_path: str, gold_path: str, on_bad_value
     return SF.read_table(spark, gold_path)
 
 
-def export_sample(positioned: DataFrame, path: str, how: str = "spread", n: int = 100_000, chunks: int = 10, seed: int = 42) -> None:
+def export_sample(positioned: SM.Positioned, path: str, how: str = "spread", n: int = 100_000, chunks: int = 10, seed: int = 42) -> None:
     """Head or spread sample of a positioned table → CSV with header."""
     if how == "head":
-        sample = SM.head_sample(positioned, n)
+        sample = SM.head_sample(positioned.df, n)
     else:
-        sample = SM.spread_sample(positioned, SM.total_rows(positioned), n, chunks, seed)
+        sample = SM.spread_sample(positioned.df, positioned.total, n, chunks, seed)
     write_csv(sample.select(*[f.name for f in S.TRIP.fields]), path)
 
 

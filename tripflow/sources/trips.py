@@ -4,12 +4,12 @@ The test data holds no taxi trips, so bronze-shaped trips are derived, one
 per event, by pure column arithmetic (no filter, no join, no shuffle): the
 derivation is a projection over the Parquet scan and stays map-only at any
 scale. The same rules are written as SQL for the DuckDB oracle
-(``tripflow.plans.oracle.TRIPS_CTE``).
+(``tripflow.plans.oracle.TRIPS``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow import schema as S
@@ -27,46 +27,44 @@ def read_events(spark: SparkSession, sf_dir: str, with_position: bool = False) -
     return df
 
 
-def _money(cents: Column) -> Column:
-    return cents.cast("double") / F.lit(100.0)
+# --- Fixed values: the derivation rules of FIXTURES §2, as SQL expressions. --
+_BASE_EXPRS = [
+    "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS _k",
+    "CAST(FLOOR(value * 30) AS BIGINT) + 250 AS _fare_c",
+]
+_TIP_EXPR = "CAST(FLOOR(CAST(_fare_c * ((event_id * 13) % 35) AS DOUBLE) / 100) AS BIGINT) AS _tip_c"
+_TS = "'yyyy-MM-dd HH:mm:ss'"
+_TRIP_EXPRS = {
+    "VendorID": "CAST(1 + event_id % 2 AS STRING)",
+    "tpep_pickup_datetime": f"date_format(ts, {_TS})",
+    "tpep_dropoff_datetime": f"CASE WHEN event_id % 97 = 0 THEN NULL ELSE date_format(timestampadd(SECOND, 60 + event_id * 37 % 5400, ts), {_TS}) END",
+    "passenger_count": "CASE WHEN _k % 11 = 0 THEN NULL ELSE CAST(_k % 7 AS DOUBLE) END",
+    "trip_distance": "value / 10.0D",
+    "RatecodeID": "1.0D",
+    "store_and_fwd_flag": "CASE WHEN event_type = 'error' THEN 'Y' ELSE 'N' END",
+    "PULocationID": "CAST(1 + user_id % 4 AS DOUBLE)",
+    "DOLocationID": "CAST(1 + (user_id + event_id) % 3 AS DOUBLE)",
+    "payment_type": "CAST(1 + event_id % 4 AS DOUBLE)",
+    "fare_amount": "CAST(CASE WHEN event_id % 50 = 0 THEN -_fare_c ELSE _fare_c END AS DOUBLE) / 100.0D",
+    "extra": "0.5D",
+    "mta_tax": "0.5D",
+    "tip_amount": "CAST(_tip_c AS DOUBLE) / 100.0D",
+    "tolls_amount": "0.0D",
+    "improvement_surcharge": "1.0D",
+    "total_amount": "CAST(_fare_c + _tip_c + 450 AS DOUBLE) / 100.0D",
+    "congestion_surcharge": "2.5D",
+    "airport_fee": "CASE WHEN event_id % 13 = 0 THEN NULL ELSE 0.0D END",
+}
 
 
 def trips_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One bronze trip per event; ``keep`` carries extra event columns along."""
-    eid = F.col("event_id")
-    k = F.regexp_extract("props", r"([0-9]+)", 1).cast("int")
-    fare_c = F.floor(F.col("value") * 30).cast("bigint") + 250
-    base = events.select(*keep, "event_id", "ts", "user_id", "event_type", "value", k.alias("_k"), fare_c.alias("_fare_c"))
-    tip_c = F.floor((F.col("_fare_c") * ((eid * 13) % 35)).cast("double") / 100).cast("bigint")
-    base = base.withColumn("_tip_c", tip_c)
-
-    fmt = S.TS_FORMAT
-    pickup = F.date_format(F.col("ts"), fmt)
-    dropoff = F.date_format(F.timestamp_add("SECOND", F.lit(60) + (eid * 37) % 5400, F.col("ts")), fmt)
-    fare_signed = F.when(eid % 50 == 0, -F.col("_fare_c")).otherwise(F.col("_fare_c"))
-
-    cols = {
-        "VendorID": (F.lit(1) + eid % 2).cast("string"),
-        "tpep_pickup_datetime": pickup,
-        "tpep_dropoff_datetime": F.when(eid % 97 == 0, F.lit(None).cast("string")).otherwise(dropoff),
-        "passenger_count": F.when(F.col("_k") % 11 == 0, F.lit(None).cast("double")).otherwise((F.col("_k") % 7).cast("double")),
-        "trip_distance": F.col("value") / F.lit(10.0),
-        "RatecodeID": F.lit(1.0),
-        "store_and_fwd_flag": F.when(F.col("event_type") == "error", F.lit("Y")).otherwise(F.lit("N")),
-        "PULocationID": (F.lit(1) + F.col("user_id") % 4).cast("double"),
-        "DOLocationID": (F.lit(1) + (F.col("user_id") + eid) % 3).cast("double"),
-        "payment_type": (F.lit(1) + eid % 4).cast("double"),
-        "fare_amount": _money(fare_signed),
-        "extra": F.lit(0.5),
-        "mta_tax": F.lit(0.5),
-        "tip_amount": _money(F.col("_tip_c")),
-        "tolls_amount": F.lit(0.0),
-        "improvement_surcharge": F.lit(1.0),
-        "total_amount": _money(F.col("_fare_c") + F.col("_tip_c") + 450),
-        "congestion_surcharge": F.lit(2.5),
-        "airport_fee": F.when(eid % 13 == 0, F.lit(None).cast("double")).otherwise(F.lit(0.0)),
-    }
-    return base.select(*keep, *[cols[f.name].cast(f.dataType).alias(f.name) for f in S.TRIP.fields])
+    """One bronze trip per event; ``keep`` carries extra event columns along.
+
+    Written as SQL expressions: three projections, each sent to the JVM in
+    one call, which Catalyst collapses into the scan's generated code.
+    """
+    base = events.selectExpr(*keep, "event_id", "ts", "user_id", "event_type", "value", *_BASE_EXPRS)
+    return base.selectExpr("*", _TIP_EXPR).selectExpr(*keep, *[f"CAST({_TRIP_EXPRS[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in S.TRIP.fields])
 
 
 def read_trips(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -78,11 +76,14 @@ def read_trips(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) ->
 def read_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension: zone id, zone name and borough (nation ⋈ region).
 
-    The join runs on two tiny dimension tables; the region side is broadcast.
+    The join runs on two dimension tables; region is broadcast once its size
+    is checked.
     """
+    from tripflow.operators.joins import broadcast_if_small
+
     nation = spark.read.parquet(table_path(sf_dir, "nation")).select("n_nationkey", "n_name", "n_regionkey")
     region = spark.read.parquet(table_path(sf_dir, "region")).select("r_regionkey", "r_name")
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
+    return nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey, "left").select(
         F.col("n_nationkey").cast("int").alias("zone_id"),
         F.col("n_name").alias("zone"),
         F.col("r_name").alias("borough"),
