@@ -248,6 +248,18 @@ def q_gold_roundtrip(spark, sf):
     return _r(out.select(*S.GOLD.names))
 
 
+def q_gold_refresh_days(spark, sf):
+    # Gold first built from silver without days 10-12; those days then arrive
+    # late and are rebuilt alone. The result must equal a full rebuild.
+    silver_root = _written_silver(spark, sf)
+    gold_root = scratch_path(spark, "gold")
+    late = F.col("pickup_day").between(10, 12)
+    write_partitioned(G.build_gold(SF.read_table(spark, silver_root).filter(~late)), gold_root)
+    days = SF.list_partitions(SF.read_table(spark, silver_root).filter(late))
+    out = J.refresh_gold_days(spark, silver_root, gold_root, days)
+    return _r(out.select(*S.GOLD.names))
+
+
 def q_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "sample-csv")
     J.export_sample(positioned_trips(spark, sf), path, how="head", n=HEAD_ROWS)
