@@ -16,6 +16,28 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Settings for a large cluster (hundreds of TB of trips), to be applied by
+# whoever creates the session (spark-submit --conf or builder.config); the
+# library itself never changes session settings.
+SCALE_CONF = {
+    # Adaptive execution: coalesces small shuffle partitions, splits skewed
+    # ones (aggregation shuffles, joins, and the write-side rebalance).
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Target post-shuffle partition size; also the size of written files.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Start wide, let AQE coalesce: ~ shuffle bytes / 256 MB at peak.
+    "spark.sql.shuffle.partitions": "20000",
+    # Scan split size: one task per 256 MB of Parquet.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Broadcasts only below this size (hints aside, which are size-checked).
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Trip timestamps are wall-clock text; pin the zone.
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tripflow") -> SparkSession:
     spark = (
