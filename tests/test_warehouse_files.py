@@ -31,7 +31,9 @@ def gold_root(spark, tmp_path_factory):
 def test_bronze_silver_gold_jobs(spark, tmp_path):
     t = read_trips(spark, SF_SMALL)
     write_table(t, str(tmp_path / "bronze"), "json", "overwrite")
-    silver = J.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"))
+    stats = {}
+    silver = J.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), stats=stats)
+    assert stats == {"rows_in": 1000, "rows_out": 769}  # counted during the write
     gold = J.gold_job(spark, str(tmp_path / "silver"), str(tmp_path / "gold"))
     expect = G.build_gold(SV.build_silver(t))
     assert silver.count() == SV.build_silver(t).count()
@@ -99,3 +101,29 @@ def test_load_summary_counts_during_write(spark, tmp_path, gold_root):
 def test_bad_policy(spark, gold_root):
     with pytest.raises(ValueError):
         write_warehouse(SF.read_table(spark, gold_root), "jdbc:derby:memory:x", "t", "upsert")
+
+
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    """A day holding a third of all rows is split by the rebalance, not
+    written by one task (adaptive skew split of the rebalance shuffle)."""
+    import os
+
+    from tripflow.sources.trips import read_trips as rt
+
+    # Many input tasks, as many input files give at scale (the test table is
+    # one row group; AQE splits a skewed partition along map outputs).
+    t = SV.build_silver(rt(spark, "/root/testdata/sf0.1")).repartition(16)
+    # Move a third of the rows onto day 1.
+    hot = t.withColumn("pickup_day", F.when(F.xxhash64("tip_amount", "fare_amount") % 3 == 0, F.lit(1)).otherwise(F.col("pickup_day")))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        write_partitioned(hot, str(tmp_path / "s"))
+    finally:
+        spark.conf.set(key, old)
+    day1 = tmp_path / "s" / "pickup_year=2024" / "pickup_month=1" / "pickup_day=1"
+    files = [f for f in os.listdir(day1) if f.endswith(".parquet")]
+    assert len(files) > 2
+    back = SF.read_table(spark, str(tmp_path / "s"))
+    assert back.count() == hot.count()

@@ -136,3 +136,19 @@ def test_foreach_batch_stream(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert _sorted(out) == _sorted(t)
     assert out.select("batch_id").distinct().count() == 3  # one file per trigger
+
+
+def test_processing_time_trigger_then_stop(spark, tmp_path):
+    t = read_trips(spark, SF_SMALL)
+    _payload_dir(spark, tmp_path / "src", t)
+    q = I.ingest_bronze(
+        spark, "file", str(tmp_path / "bronze"), str(tmp_path / "ckpt"), fmt="json", trigger="1 second",
+        source_options={"path": str(tmp_path / "src"), "max_files_per_trigger": 1},
+    )
+    try:
+        assert q.isActive
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert not q.isActive and q.exception() is None
+    assert _sorted(read_bronze(spark, str(tmp_path / "bronze"))) == _sorted(t)

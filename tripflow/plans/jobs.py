@@ -18,10 +18,36 @@ from tripflow.sinks.files import write_csv, write_partitioned
 from tripflow.sources import files as SF
 
 
-def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, on_bad_value: str = "fail", nan_policy: str = "keep", dynamic: bool = False) -> DataFrame:
-    """Bronze directory → silver table, partitioned by pickup y/m/d."""
-    silver = SV.build_silver(SF.read_bronze(spark, bronze_path), on_bad_value, nan_policy)
+def silver_job(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    on_bad_value: str = "fail",
+    nan_policy: str = "keep",
+    dynamic: bool = False,
+    stats: dict | None = None,
+) -> DataFrame:
+    """Bronze directory → silver table, partitioned by pickup y/m/d.
+
+    With ``stats`` (a dict), the rows read and the rows written are counted
+    while the write runs (``observe``), instead of two more jobs re-reading
+    bronze for before/after counts; they are stored as ``rows_in`` and
+    ``rows_out``.
+    """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    bronze = SF.read_bronze(spark, bronze_path)
+    obs_in, obs_out = Observation("bronze_in"), Observation("silver_out")
+    if stats is not None:
+        bronze = bronze.observe(obs_in, F.count(F.lit(1)).alias("rows"))
+    silver = SV.build_silver(bronze, on_bad_value, nan_policy)
+    if stats is not None:
+        silver = silver.observe(obs_out, F.count(F.lit(1)).alias("rows"))
     write_partitioned(silver, silver_path, dynamic=dynamic)
+    if stats is not None:
+        stats["rows_in"] = int(obs_in.get["rows"])
+        stats["rows_out"] = int(obs_out.get["rows"])
     return SF.read_table(spark, silver_path)
 
 
