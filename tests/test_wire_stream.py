@@ -152,3 +152,11 @@ def test_processing_time_trigger_then_stop(spark, tmp_path):
         q.stop()
     assert not q.isActive and q.exception() is None
     assert _sorted(read_bronze(spark, str(tmp_path / "bronze"))) == _sorted(t)
+
+
+def test_publish_writes_through_any_sink_format(spark, tmp_path):
+    t = read_trips(spark, SF_SMALL)
+    J.publish(t, key_cols=["VendorID"], sink_format="parquet", sink_options={"path": str(tmp_path / "out")})
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.columns == ["value", "key"] and out.count() == t.count()
+    assert _sorted(W.from_wire(out)) == _sorted(t)

@@ -48,3 +48,14 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """(stage, n_rows) for several DataFrames; one global count each."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows") for name, df in stages.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def layer_counts(bronze: DataFrame, clean_predicate) -> DataFrame:
+    """(stage, n_rows) for bronze and the silver it yields, in one pass:
+    silver keeps exactly the rows meeting the quality rules, so its count is
+    a conditional count over bronze, not a second scan."""
+    one = bronze.agg(
+        F.count(F.lit(1)).alias("bronze"),
+        F.count_if(F.coalesce(clean_predicate, F.lit(False))).alias("silver"),
+    )
+    return one.unpivot([], ["bronze", "silver"], "stage", "n_rows")

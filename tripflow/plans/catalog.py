@@ -175,7 +175,8 @@ def q_agg_flag_counts(spark, sf):
 
 
 def q_table_counts(spark, sf):
-    return P.stage_counts({"bronze": trips(spark, sf), "silver": silver(spark, sf), "gold": gold(spark, sf)})
+    layers = P.layer_counts(trips(spark, sf), SV.clean_predicate())
+    return layers.unionByName(P.stage_counts({"gold": gold(spark, sf)}))
 
 
 def q_silver_profile(spark, sf):
