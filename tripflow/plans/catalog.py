@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow import schema as S
+from tripflow.functions import columns as C
 from tripflow.functions.columns import round_doubles as _r
 from tripflow.operators import gold as G
 from tripflow.operators import profile as P
@@ -121,10 +122,8 @@ def q_rush_hour_flag(spark, sf):
 
 
 def q_parse_timestamps(spark, sf):
-    from tripflow.functions.columns import parse_ts
-
     t = trips(spark, sf)
-    return t.select(parse_ts(S.PICKUP_TS).alias("pickup_ts"), parse_ts(S.DROPOFF_TS).alias("dropoff_ts"))
+    return t.select(C.parse_ts(S.PICKUP_TS).alias("pickup_ts"), C.parse_ts(S.DROPOFF_TS).alias("dropoff_ts"))
 
 
 def q_trip_duration(spark, sf):
@@ -132,10 +131,8 @@ def q_trip_duration(spark, sf):
 
 
 def q_tip_percentage(spark, sf):
-    from tripflow.functions.columns import tip_pct
-
     t = trips(spark, sf)
-    return _r(t.select("fare_amount", "tip_amount", tip_pct().alias("tip_pct")))
+    return _r(t.select("fare_amount", "tip_amount", C.tip_pct().alias("tip_pct")))
 
 
 def q_date_parts(spark, sf):
