@@ -127,3 +127,25 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
     assert len(files) > 2
     back = SF.read_table(spark, str(tmp_path / "s"))
     assert back.count() == hot.count()
+
+
+def test_load_verifies_and_reloads_on_duplicates(spark, tmp_path, gold_root, monkeypatch):
+    """A load whose table ends up with extra rows (as a re-run task after a
+    lost executor would leave) is redone with truncate."""
+    import tripflow.sinks.warehouse as WH
+
+    url = f"jdbc:derby:{tmp_path}/db3;create=true"
+    gold = SF.read_table(spark, gold_root)
+    real_write = WH.write_warehouse
+    calls = []
+
+    def flaky_write(df, url_, table, policy, **kw):
+        calls.append(policy)
+        real_write(df, url_, table, policy, **kw)
+        if len(calls) == 1:  # duplicate one partition's worth of rows
+            real_write(gold.limit(7), url_, table, "append", properties=DERBY)
+
+    monkeypatch.setattr(WH, "write_warehouse", flaky_write)
+    summary = WH.load_warehouse(gold, url, "gold_aggregates", properties=DERBY)
+    assert calls == ["recreate", "truncate"] and summary.attempts == 2
+    assert WH.table_rows(spark, url, "gold_aggregates", DERBY) == gold.count() == summary.rows
