@@ -1,0 +1,57 @@
+"""Report operators: pivot vs long form, borough mapping, size-checked broadcast."""
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tripflow.operators import reports as R
+from tripflow.operators.joins import broadcast_if_small, has_at_most
+from tripflow.plans import catalog as K
+from tripflow.plans import inspect as PI
+from tripflow.sources.trips import read_zones
+
+
+def test_heatmap_pivot_matches_long_form(spark):
+    gold = K.gold(spark, SF_SMALL)
+    hours = [7, 8, 17]
+    wide = R.route_heatmap(gold, hours).collect()
+    long = gold.filter(F.col("pickup_hour").isin(hours)).groupBy("PULocationID", "DOLocationID", "pickup_hour").agg(F.sum("total_rides").alias("n")).collect()
+    expect = {(r.PULocationID, r.DOLocationID, r.pickup_hour): r.n for r in long}
+    for r in wide:
+        for h in hours:
+            assert (r[str(h)] or 0) == expect.get((r.PULocationID, r.DOLocationID, h), 0)
+
+
+def test_map_boroughs_keeps_unmapped_rows(spark):
+    trips = spark.createDataFrame([(1.0, 2.0), (99.0, 1.0), (None, 3.0)], "PULocationID double, DOLocationID double")
+    out = {(r.PULocationID, r.pickup_zone is None, r.dropoff_borough is None) for r in R.map_boroughs(trips, read_zones(spark, SF_SMALL)).collect()}
+    assert out == {(1.0, False, False), (99.0, True, False), (None, True, False)}
+
+
+def test_broadcast_only_within_the_bound(spark):
+    zones = read_zones(spark, SF_SMALL)
+    assert has_at_most(zones, 25) and not has_at_most(zones, 24)
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # only our hint may broadcast
+    try:
+        small = zones.withColumnRenamed("zone_id", "k")
+        hinted = big.join(broadcast_if_small(small, 100), "k")
+        fallback = big.join(broadcast_if_small(small, 10), "k")
+        # (read_zones itself broadcasts region inside; look at the outer join)
+        assert "SortMergeJoin" not in PI.physical_section(hinted)
+        assert "SortMergeJoin" in PI.physical_section(fallback)
+        assert sorted(hinted.collect()) == sorted(fallback.collect())
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_busiest_zones_rank_with_ties(spark):
+    gold = spark.createDataFrame(
+        [(1, 10, 1.0, 1.0, 1.0, 1.0), (2, 10, 2.0, 2.0, 2.0, 2.0), (3, 5, 3.0, 3.0, 3.0, 3.0), (4, 1, 1.0, 1.0, 1.0, 1.0)],
+        "PULocationID int, total_rides long, total_fare double, total_revenue double, total_tip double, sum_trip_distance double",
+    )
+    got = sorted((r["rank"], r.PULocationID) for r in R.busiest_zones(gold, 2).collect())
+    assert got == [(1, 1), (1, 2)]
+    got3 = sorted((r["rank"], r.PULocationID) for r in R.busiest_zones(gold, 3).collect())
+    assert got3 == [(1, 1), (1, 2), (3, 3)]
