@@ -253,7 +253,7 @@ def oracle_sql() -> dict[str, str]:
         "sample_head": head,
         "sample_spread": _sample_spread(K.SPREAD_ROWS, K.SPREAD_CHUNKS),
         "scan_bronze_json": trip_all,
-        "scan_silver_partitioned": _silver_r6(where="WHERE pickup_day <= 15"),
+        "scan_silver_partitioned": silver_all,
         "scan_gold_one_day": _gold_r6(where=f"WHERE pickup_year = {y} AND pickup_month = {m} AND pickup_day = {d}"),
         "list_partitions": on_silver("SELECT DISTINCT pickup_year, pickup_month, pickup_day FROM silver"),
         "scan_csv": trip_all,
