@@ -64,7 +64,8 @@ def positioned_trips(spark: SparkSession, sf: str) -> SM.Positioned:
 
 def _written_silver(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "silver")
-    write_partitioned(silver(spark, sf), path)
+    # As the silver job writes it: map-only, no shuffle.
+    write_partitioned(silver(spark, sf), path, rebalance=False)
     return path
 
 

@@ -50,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--on-bad-value", default="fail", choices=["fail", "null"])
     s.add_argument("--nan-policy", default="keep", choices=["keep", "null"])
     s.add_argument("--dynamic", action="store_true", help="replace only the days present")
+    s.add_argument("--rebalance", action="store_true", help="shuffle by day before writing (bronze not in arrival order)")
 
     s = sub.add_parser("gold", help="silver → gold (J3); with --days only those days")
     s.add_argument("--silver", required=True)
@@ -105,10 +106,10 @@ def run(argv: list[str], spark: SparkSession) -> dict:
 
         if args.bronze_format == "json":
             stats: dict = {}
-            J.silver_job(spark, args.bronze, args.silver, args.on_bad_value, args.nan_policy, args.dynamic, stats)
+            J.silver_job(spark, args.bronze, args.silver, args.on_bad_value, args.nan_policy, args.dynamic, stats, args.rebalance)
             return {"cmd": "silver", **stats}
         bronze = SF.read_bronze(spark, args.bronze, fmt="parquet")
-        write_partitioned(build_silver(bronze, args.on_bad_value, args.nan_policy), args.silver, dynamic=args.dynamic)
+        write_partitioned(build_silver(bronze, args.on_bad_value, args.nan_policy), args.silver, dynamic=args.dynamic, rebalance=args.rebalance)
         return {"cmd": "silver"}
     if args.cmd == "gold":
         if args.days:

@@ -26,9 +26,17 @@ def silver_job(
     nan_policy: str = "keep",
     dynamic: bool = False,
     stats: dict | None = None,
+    rebalance: bool = False,
 ) -> DataFrame:
     """Bronze directory → silver table, partitioned by pickup y/m/d.
 
+    The default write is map-only: each task writes its own rows, one file
+    per day it holds. Bronze is appended in arrival order, so a task's rows
+    span one or two days and silver gets about one file per task, without
+    shuffling the whole table. ``rebalance=True`` adds one shuffle on the day
+    columns (AQE splits hot days), for input not clustered by day, such as a
+    one-off backfill in random order.
+
     With ``stats`` (a dict), the rows read and the rows written are counted
     while the write runs (``observe``), instead of two more jobs re-reading
     bronze for before/after counts; they are stored as ``rows_in`` and
@@ -44,7 +52,7 @@ def silver_job(
     silver = SV.build_silver(bronze, on_bad_value, nan_policy)
     if stats is not None:
         silver = silver.observe(obs_out, F.count(F.lit(1)).alias("rows"))
-    write_partitioned(silver, silver_path, dynamic=dynamic)
+    write_partitioned(silver, silver_path, dynamic=dynamic, rebalance=rebalance)
     if stats is not None:
         stats["rows_in"] = int(obs_in.get["rows"])
         stats["rows_out"] = int(obs_out.get["rows"])
