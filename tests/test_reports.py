@@ -55,3 +55,23 @@ def test_busiest_zones_rank_with_ties(spark):
     assert got == [(1, 1), (1, 2)]
     got3 = sorted((r["rank"], r.PULocationID) for r in R.busiest_zones(gold, 3).collect())
     assert got3 == [(1, 1), (1, 2), (3, 3)]
+
+
+def test_busiest_zones_equals_rank_over_all_zones(spark):
+    """The top-k threshold gives exactly the zones a full rank() keeps,
+    including heavy ties and fewer zones than k."""
+    import random
+
+    from pyspark.sql import Window
+
+    rng = random.Random(7)
+    for n_zones, k in [(2, 5), (40, 3), (40, 10), (1, 1)]:
+        rows = [(z, rng.choice([1, 2, 3, 3, 5]), 1.0, 1.0, 1.0, 1.0) for z in range(n_zones) for _ in range(rng.randint(1, 3))]
+        gold = spark.createDataFrame(
+            rows, "PULocationID int, total_rides long, total_fare double, total_revenue double, total_tip double, sum_trip_distance double"
+        )
+        per_zone = gold.groupBy("PULocationID").agg(F.sum("total_rides").alias("rides"))
+        brute = per_zone.select(F.rank().over(Window.orderBy(F.desc("rides"))).alias("rank"), "PULocationID", "rides")
+        expect = sorted(tuple(r) for r in brute.filter(F.col("rank") <= k).collect())
+        got = sorted((r["rank"], r.PULocationID, r.rides) for r in R.busiest_zones(gold, k).collect())
+        assert got == expect, (n_zones, k)

@@ -65,19 +65,22 @@ def busiest_zones(gold: DataFrame, k: int = 3) -> DataFrame:
     """Pickup zones whose rank by rides is ≤ k, with rank() ties.
 
     Gold is aggregated once to one row per pickup zone (partial aggregate,
-    then a shuffle on the zone id); the rank window then runs over those zone
-    rows only, whose number is bounded by the zone dimension, not the trips.
+    then a shuffle on the zone id). ``rank ≤ k`` holds exactly for the zones
+    with at least as many rides as the k-th largest count, so that count is
+    found first, by a top-k whose tasks each keep only k rows, as a scalar
+    subquery. The rank window then runs over the kept zones only: k rows
+    plus ties, whatever the number of zones.
     """
     agg = _rollup(gold, ["PULocationID"])
+    kth = agg.orderBy(F.desc("rides")).limit(k).agg(F.min("rides")).scalar()
     w = Window.orderBy(F.desc("rides"))
-    ranked = agg.select(
+    return agg.filter(F.col("rides") >= kth).select(
         F.rank().over(w).alias("rank"),
         "PULocationID",
         "rides",
         "revenue",
         (F.col("revenue") / F.col("rides")).alias("revenue_per_ride"),
     )
-    return ranked.filter(F.col("rank") <= k)
 
 
 def revenue_daily(gold: DataFrame) -> DataFrame:
