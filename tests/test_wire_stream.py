@@ -70,6 +70,8 @@ def test_kafka_options():
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
     }
+    capped = I.wire_source("kafka", servers="b:9092", topic="t", max_offsets_per_trigger=500_000, minPartitions=64)
+    assert capped.options["maxOffsetsPerTrigger"] == "500000" and capped.options["minPartitions"] == 64
 
 
 def test_kinesis_options():

@@ -35,7 +35,9 @@ def wire_source(kind: str, **opts) -> WireSource:
     """Source format, options and payload column for a source kind.
 
     kafka: ``servers``, ``topic``, ``starting`` (default earliest),
-    ``fail_on_data_loss`` (default False).
+    ``fail_on_data_loss`` (default False), ``max_offsets_per_trigger``
+    (bounds each micro-batch, so a large backlog read from the earliest
+    offset is worked off in batches of a known size, not in one batch).
     aws-kinesis: ``stream``, ``region``, ``starting`` (default LATEST),
     ``endpoint`` (default from region), ``consumer_type`` (default GetRecords).
     file: ``path``, ``max_files_per_trigger``; files hold a binary ``value``.
@@ -49,6 +51,8 @@ def wire_source(kind: str, **opts) -> WireSource:
             "startingOffsets": opts.pop("starting", "earliest"),
             "failOnDataLoss": str(opts.pop("fail_on_data_loss", False)).lower(),
         }
+        if "max_offsets_per_trigger" in opts:
+            o["maxOffsetsPerTrigger"] = str(opts.pop("max_offsets_per_trigger"))
         return WireSource("kafka", PAYLOAD_COLUMN["kafka"], {**o, **opts})
     if kind in ("aws-kinesis", "kinesis"):
         region = opts.pop("region")
