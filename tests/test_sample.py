@@ -73,3 +73,19 @@ def test_spread_sample_is_deterministic(spark):
     b = sorted(r[SM.POS] for r in SM.spread_sample(positioned, 5000, 503, seed=3).collect())
     c = sorted(r[SM.POS] for r in SM.spread_sample(positioned, 5000, 503, seed=4).collect())
     assert a == b and a != c
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_file_offsets_in_ranges_equal_running_sum(spark, tmp_path, buckets):
+    """Offsets computed range by range equal a plain running sum over files
+    sorted by name, for fewer and for more ranges than files."""
+    df = spark.range(0, 4000).withColumn("v", F.col("id") % 7)
+    df.repartition(23).write.parquet(str(tmp_path / "t"))
+    raw = spark.read.parquet(str(tmp_path / "t")).select("*", F.col("_metadata.file_path").alias("_file"))
+    got = {r._file: (r._rows, r._offset) for r in SM.file_offsets(raw, buckets=buckets).collect()}
+    counts = {r._file: r.n for r in raw.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+    run, expect = 0, {}
+    for f in sorted(counts):
+        expect[f] = (counts[f], run)
+        run += counts[f]
+    assert got == expect

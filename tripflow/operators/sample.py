@@ -3,8 +3,9 @@
 Row position means file order, as a reader of the raw file sees it: position
 = (rows in the files before this one, by file name) + the row's index inside
 its file (``_metadata.row_index``). Only the per-file row counts are
-aggregated, so numbering the rows needs no shuffle and no global window over
-the data; the offset table has one row per file.
+aggregated, so numbering the rows needs no shuffle of the data and no global
+window; the offset table has one row per file, and its running sum is itself
+computed in ranges (``file_offsets``).
 
 The spread sample cuts the positions into equal contiguous chunks and takes
 exactly ``sample_size // chunks`` rows from each, without replacement. The
@@ -46,15 +47,35 @@ def _chunk_expr(bounds: list[tuple[int, int]]) -> Column:
     return expr
 
 
-def file_offsets(df: DataFrame, file_col: str = "_file") -> DataFrame:
+def file_offsets(df: DataFrame, file_col: str = "_file", buckets: int | None = None) -> DataFrame:
     """(file, rows, offset): rows in the files ordered before each file.
 
-    One row per file (only the file-path metadata column is read); the
-    running sum is a window over that small table.
+    A two-level prefix sum, so no task ever holds the whole file list:
+
+    1. one row per file (only the file-path metadata column is read);
+    2. the files are range-partitioned by name into ``buckets`` contiguous
+       ranges (default: the session's shuffle partitions), and each row is
+       tagged with its range's index (``spark_partition_id`` right after the
+       range exchange, so the index order is the name order);
+    3. a window *partitioned by range* gives each file's offset inside its
+       range; this table is checkpointed, so both uses below see the same
+       range assignment even if a task is re-run;
+    4. the range totals (one row per range) get their own running sum, over
+       at most ``buckets`` rows, and are broadcast back: that size bound holds
+       by construction.
     """
+    checkpoint_root(df.sparkSession)
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rows"))
-    w = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(w), F.lit(0)).cast("bigint"))
+    ranged = counts.repartitionByRange(n, file_col).withColumn("_bucket", F.spark_partition_id())
+    inside = Window.partitionBy("_bucket").orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).checkpoint(eager=True)
+    totals = local.groupBy("_bucket").agg(F.sum("_rows").alias("_bucket_rows"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("_bucket", F.coalesce(F.sum("_bucket_rows").over(before), F.lit(0)).alias("_base"))
+    return local.join(F.broadcast(bases), "_bucket").select(
+        file_col, "_rows", (F.col("_base") + F.col("_local")).cast("bigint").alias("_offset")
+    )
 
 
 class Positioned(NamedTuple):
