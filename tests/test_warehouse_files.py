@@ -149,3 +149,28 @@ def test_load_verifies_and_reloads_on_duplicates(spark, tmp_path, gold_root, mon
     summary = WH.load_warehouse(gold, url, "gold_aggregates", properties=DERBY)
     assert calls == ["recreate", "truncate"] and summary.attempts == 2
     assert WH.table_rows(spark, url, "gold_aggregates", DERBY) == gold.count() == summary.rows
+
+
+def _stages_run(spark, group, fn):
+    """Stages of all jobs ``fn`` ran (AQE submits each query stage as a job)."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        sc.setJobGroup("", "")
+    tracker = sc.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    # Leave out the read-back's footer-reading job (named after ``parquet``).
+    return sum(1 for s in stages if not tracker.getStageInfo(s).name.startswith("parquet at"))
+
+
+def test_silver_job_is_map_only_unless_rebalanced(spark, tmp_path):
+    write_table(read_trips(spark, SF_SMALL), str(tmp_path / "bronze"), "json", "overwrite")
+    plain = _stages_run(spark, "silver-plain", lambda: J.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "s1")))
+    shuffled = _stages_run(
+        spark, "silver-rebalanced", lambda: J.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "s2"), rebalance=True)
+    )
+    assert plain == 1  # scan → clean → enrich → write, one stage
+    assert shuffled >= 2  # the rebalance exchange splits it
+    assert _rows(SF.read_table(spark, str(tmp_path / "s1")), S.SILVER.names) == _rows(SF.read_table(spark, str(tmp_path / "s2")), S.SILVER.names)
