@@ -43,6 +43,8 @@ SPREAD_ROWS = 1005
 SPREAD_CHUNKS = 10
 TOP_HOURS = 5
 TOP_ZONES = 3
+# The ingest restart query stops the stream at this pickup time.
+RESTART_AT = "2024-01-16 00:00:00"
 
 
 # --- shared building blocks -------------------------------------------------
@@ -285,10 +287,18 @@ def q_wire_decode(spark, sf):
 
 
 # --- streaming ----------------------------------------------------------------
-def _payload_files(spark, sf, path, half: int | None = None, files: int = 4) -> None:
+def _arrived_before(cutoff: str):
+    """Trips picked up before ``cutoff``; a null pickup counts as later."""
+    return F.coalesce(F.col(S.PICKUP_TS) < F.lit(cutoff), F.lit(False))
+
+
+def _payload_files(spark, sf, path, part: int | None = None, files: int = 4) -> None:
+    """Payload files of all trips, or of the trips that arrive before the
+    restart (``part=0``) or after it (``part=1``): together, all trips."""
     t = trips(spark, sf)
-    if half is not None:
-        t = t.filter(F.pmod(F.xxhash64(*TRIP_COLS), F.lit(2)) == half)
+    if part is not None:
+        early = _arrived_before(RESTART_AT)
+        t = t.filter(early if part == 0 else ~early)
     J.publish(t).repartition(files).write.mode("append").parquet(path)
 
 
@@ -321,10 +331,11 @@ def q_ingest_foreach_batch(spark, sf):
 
 def q_ingest_restart(spark, sf):
     src, bronze, ckpt = (scratch_path(spark, n) for n in ("wire", "bronze", "ckpt"))
-    _payload_files(spark, sf, src, half=0)
+    _payload_files(spark, sf, src, part=0)
     _stream_to_bronze(spark, src, bronze, ckpt, "json")
-    # The rest arrives while the query is down; the restart resumes from the checkpoint.
-    _payload_files(spark, sf, src, half=1)
+    # The rest of the month arrives while the query is down; the restart
+    # resumes from the checkpoint.
+    _payload_files(spark, sf, src, part=1)
     _stream_to_bronze(spark, src, bronze, ckpt, "json")
     return _r(SF.read_bronze(spark, bronze))
 
