@@ -279,10 +279,10 @@ def q_wire_encode_keyed(spark, sf):
 
 
 def q_wire_decode(spark, sf):
-    t = read_trips(spark, sf, keep=("event_id",))
-    wire = W.to_wire(t, columns=TRIP_COLS, keep=("event_id",))
-    # Same messages, with every 17th event's payload replaced by unparsable text.
-    raw = wire.select(F.when(F.col("event_id") % 17 == 0, F.lit("garbage").cast("binary")).otherwise(F.col("value")).alias("value"))
+    wire = W.to_wire(trips(spark, sf), columns=TRIP_COLS, keep=("store_and_fwd_flag",))
+    # Same messages; those the meter stored and forwarded arrive garbled.
+    garbled = F.col("store_and_fwd_flag") == "Y"
+    raw = wire.select(F.when(garbled, F.lit("garbage").cast("binary")).otherwise(F.col("value")).alias("value"))
     return _r(W.decode_flagged(raw))
 
 

@@ -204,8 +204,10 @@ def oracle_sql() -> dict[str, str]:
     gold_all = _gold_r6()
     silver_all = _silver_r6()
     measures = ", ".join(f"round({c}, 6) AS {c}" for c in S.CAST_MEASURES)
+    # Store-and-forward messages arrive garbled: every field null, flagged.
+    garbled = "store_and_fwd_flag = 'Y'"
     wire_bad = ", ".join(
-        (f"round(CASE WHEN event_id % 17 = 0 THEN NULL ELSE {c} END, 6) AS {c}" if c in TRIP_DOUBLES else f"CASE WHEN event_id % 17 = 0 THEN NULL ELSE {c} END AS {c}")
+        (f"round(CASE WHEN {garbled} THEN NULL ELSE {c} END, 6) AS {c}" if c in TRIP_DOUBLES else f"CASE WHEN {garbled} THEN NULL ELSE {c} END AS {c}")
         for c in S.TRIP.names
     )
     y, m, d = K.ONE_DAY
@@ -264,7 +266,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_roundtrip": head,
         "wire_encode": trip_all,
         "wire_encode_keyed": on_trips("SELECT VendorID AS key, count(*) AS n_messages FROM trips GROUP BY VendorID"),
-        "wire_decode": on_trips(f"SELECT {wire_bad}, (event_id % 17 = 0) AS is_malformed FROM trips"),
+        "wire_decode": on_trips(f"SELECT {wire_bad}, ({garbled}) AS is_malformed FROM trips"),
         "ingest_stream": trip_all,
         "ingest_stream_parquet": trip_all,
         "ingest_foreach_batch": trip_all,
