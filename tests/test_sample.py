@@ -89,3 +89,32 @@ def test_file_offsets_in_ranges_equal_running_sum(spark, tmp_path, buckets):
         expect[f] = (counts[f], run)
         run += counts[f]
     assert got == expect
+
+
+@pytest.mark.parametrize("plain, hashed, join", [(200_000, 4_000_000, "BroadcastHashJoin"), (1, 4_000_000, "BroadcastHashJoin"), (1, 1, "SortMergeJoin")])
+def test_positions_same_for_every_join_of_the_offsets(spark, tmp_path, monkeypatch, plain, hashed, join):
+    """Path broadcast, path-hash broadcast and shuffle join give the same
+    positions; the first two never shuffle the data."""
+    from tripflow.plans import inspect as PI
+
+    monkeypatch.setattr(SM, "MAX_BROADCAST_FILES", plain)
+    monkeypatch.setattr(SM, "MAX_BROADCAST_HASHED_FILES", hashed)
+    df = spark.range(0, 997).withColumn("v", F.col("id") * 2)
+    df.repartition(5).write.parquet(str(tmp_path / "t"))
+    raw = spark.read.parquet(str(tmp_path / "t")).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # only the operator's own choice may broadcast
+    try:
+        pos = SM.with_position(raw)
+        assert join in PI.physical_section(pos.df)
+        got = sorted((r[SM.POS], r.id) for r in pos.df.select(SM.POS, "id").collect())
+    finally:
+        spark.conf.set(key, old)
+    import os
+
+    import pyarrow.parquet as pq
+
+    files = sorted(f for f in os.listdir(tmp_path / "t") if f.endswith(".parquet"))
+    expected_ids = [i for f in files for i in pq.read_table(str(tmp_path / "t" / f)).column("id").to_pylist()]
+    assert got == list(enumerate(expected_ids)) and pos.total == 997

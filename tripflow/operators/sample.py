@@ -26,14 +26,17 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.operators.joins import broadcast_if_small
 from tripflow.session import checkpoint_root
 
 POS = "_pos"
 CHUNK = "_chunk"
 
-# Files whose offset table may be broadcast; beyond it the join shuffles.
+# Files whose (path, offset) table may be broadcast as is (~100 bytes a file).
 MAX_BROADCAST_FILES = 200_000
+# Beyond that, up to this many files are broadcast keyed by a 64-bit hash of
+# the path (16 bytes a file, ~64 MB at the bound) when no two paths collide;
+# only beyond it, or on a collision, does the join shuffle the data by file.
+MAX_BROADCAST_HASHED_FILES = 4_000_000
 # a*j must stay below 2**63: a < 2**20 allows chunks of up to 2**43 rows.
 _MAX_MULTIPLIER = 1 << 20
 
@@ -87,17 +90,31 @@ def with_position(df: DataFrame, file_col: str = "_file", row_col: str = "_row")
     """Add ``_pos`` (0-based row position in file order); drops the helpers.
 
     The offset table is computed once and checkpointed to the shared
-    checkpoint directory (it is read three times: size check, total, join).
+    checkpoint directory. One small job over it gives the row total, the
+    file count and the number of distinct path hashes; the file count is the
+    proven size bound for the broadcast of the offsets:
+
+    * up to ``MAX_BROADCAST_FILES`` files: broadcast (path, offset);
+    * up to ``MAX_BROADCAST_HASHED_FILES`` files whose path hashes are all
+      distinct: broadcast (hash, offset), joined on the hash of each row's
+      path, so the data is still not shuffled;
+    * otherwise: a shuffle join on the path.
     """
     checkpoint_root(df.sparkSession)
     offsets = file_offsets(df, file_col).checkpoint(eager=True)
-    total = int(offsets.agg(F.sum("_rows")).first()[0] or 0)
-    side = broadcast_if_small(offsets.select(file_col, "_offset"), MAX_BROADCAST_FILES)
-    positioned = (
-        df.join(side, file_col, "inner")
-        .withColumn(POS, F.col("_offset") + F.col(row_col))
-        .drop("_offset", file_col, row_col)
-    )
+    key = F.xxhash64(F.col(file_col))
+    stats = offsets.agg(
+        F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.count_distinct(key).alias("hashes")
+    ).first()
+    total, files = int(stats["rows"] or 0), int(stats["files"])
+    if files <= MAX_BROADCAST_FILES:
+        joined = df.join(F.broadcast(offsets.select(file_col, "_offset")), file_col, "inner")
+    elif files <= MAX_BROADCAST_HASHED_FILES and int(stats["hashes"]) == files:
+        side = F.broadcast(offsets.select(key.alias("_file_key"), "_offset"))
+        joined = df.withColumn("_file_key", key).join(side, "_file_key", "inner").drop("_file_key")
+    else:
+        joined = df.join(offsets.select(file_col, "_offset"), file_col, "inner")
+    positioned = joined.withColumn(POS, F.col("_offset") + F.col(row_col)).drop("_offset", file_col, row_col)
     return Positioned(positioned, total)
 
 
