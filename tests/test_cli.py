@@ -37,3 +37,16 @@ def test_sample_and_ingest_through_cli(spark, tmp_path):
     run(["ingest", "--source", "file", "--bronze", str(tmp_path / "b"), "--checkpoint", str(tmp_path / "c"),
          "--trigger", "available_now", "--opt", f"path={tmp_path / 'wire'}", "--timeout", "300"], spark)
     assert spark.read.schema(S.TRIP).json(str(tmp_path / "b")).count() == 1000
+
+
+def test_incremental_through_cli(spark, tmp_path):
+    from tripflow.functions.columns import round_doubles
+
+    t = read_trips(spark, SF_SMALL)
+    write_table(t.repartitionByRange(2, S.PICKUP_TS), str(tmp_path / "bronze"), "json", "overwrite")
+    res = run(["incremental", "--bronze", str(tmp_path / "bronze"), "--silver", str(tmp_path / "silver"), "--gold", str(tmp_path / "gold"),
+               "--checkpoint", str(tmp_path / "c"), "--max-files-per-trigger", "1", "--timeout", "300"], spark)
+    assert res["batches"] >= 1
+    got = round_doubles(spark.read.parquet(str(tmp_path / "gold")).select(*S.GOLD.names), 9).collect()
+    want = round_doubles(K.gold(spark, SF_SMALL).select(*S.GOLD.names), 9).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)

@@ -340,6 +340,19 @@ def q_ingest_restart(spark, sf):
     return _r(SF.read_bronze(spark, bronze))
 
 
+def q_silver_gold_incremental(spark, sf):
+    # Bronze arrives as files in pickup-time order (as a stream appends it);
+    # each micro-batch takes one file, appends its silver rows and rebuilds
+    # only the gold days it touched. The end state must equal a full rebuild.
+    from tripflow.streaming.incremental import silver_gold_incremental
+
+    bronze, silver_root, gold_root, ckpt = (scratch_path(spark, n) for n in ("bronze", "silver", "gold", "ckpt"))
+    write_table(trips(spark, sf).repartitionByRange(4, S.PICKUP_TS), bronze, "json", "overwrite")
+    q = silver_gold_incremental(spark, bronze, silver_root, gold_root, ckpt, max_files_per_trigger=1)
+    I.run_to_end(q, STREAM_TIMEOUT_S)
+    return _r(SF.read_table(spark, gold_root).select(*S.GOLD.names))
+
+
 # --- warehouse ----------------------------------------------------------------
 def q_warehouse_roundtrip(spark, sf):
     url, props = _derby_url(spark)

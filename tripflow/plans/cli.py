@@ -52,6 +52,17 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--dynamic", action="store_true", help="replace only the days present")
     s.add_argument("--rebalance", action="store_true", help="shuffle by day before writing (bronze not in arrival order)")
 
+    s = sub.add_parser("incremental", help="bronze → silver → gold, only what arrived since the last run")
+    s.add_argument("--bronze", required=True)
+    s.add_argument("--silver", required=True)
+    s.add_argument("--gold", required=True)
+    s.add_argument("--checkpoint", required=True)
+    s.add_argument("--bronze-format", default="json", choices=["json", "parquet"])
+    s.add_argument("--trigger", default="available_now", help='"available_now", "once" or an interval')
+    s.add_argument("--max-files-per-trigger", type=int, default=None)
+    s.add_argument("--on-bad-value", default="fail", choices=["fail", "null"])
+    s.add_argument("--timeout", type=float, default=None, help="seconds to run before stopping")
+
     s = sub.add_parser("gold", help="silver → gold (J3); with --days only those days")
     s.add_argument("--silver", required=True)
     s.add_argument("--gold", required=True)
@@ -111,6 +122,15 @@ def run(argv: list[str], spark: SparkSession) -> dict:
         bronze = SF.read_bronze(spark, args.bronze, fmt="parquet")
         write_partitioned(build_silver(bronze, args.on_bad_value, args.nan_policy), args.silver, dynamic=args.dynamic, rebalance=args.rebalance)
         return {"cmd": "silver"}
+    if args.cmd == "incremental":
+        from tripflow.streaming.incremental import silver_gold_incremental
+
+        q = silver_gold_incremental(
+            spark, args.bronze, args.silver, args.gold, args.checkpoint, args.bronze_format, args.trigger,
+            args.max_files_per_trigger, args.on_bad_value,
+        )
+        I.run_to_end(q, args.timeout)
+        return {"cmd": "incremental", "batches": (q.lastProgress or {}).get("batchId")}
     if args.cmd == "gold":
         if args.days:
             parts = [tuple(int(x) for x in d.split("-")) for d in args.days.split(",")]

@@ -263,6 +263,7 @@ def oracle_sql() -> dict[str, str]:
         "silver_roundtrip": silver_all,
         "gold_roundtrip": gold_all,
         "gold_refresh_days": gold_all,
+        "silver_gold_incremental": gold_all,
         "csv_roundtrip": head,
         "wire_encode": trip_all,
         "wire_encode_keyed": on_trips("SELECT VendorID AS key, count(*) AS n_messages FROM trips GROUP BY VendorID"),
