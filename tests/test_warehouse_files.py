@@ -174,3 +174,11 @@ def test_silver_job_is_map_only_unless_rebalanced(spark, tmp_path):
     assert plain == 1  # scan → clean → enrich → write, one stage
     assert shuffled >= 2  # the rebalance exchange splits it
     assert _rows(SF.read_table(spark, str(tmp_path / "s1")), S.SILVER.names) == _rows(SF.read_table(spark, str(tmp_path / "s2")), S.SILVER.names)
+
+
+def test_read_days_reads_only_those_folders(spark, gold_root):
+    got = SF.read_days(spark, gold_root, [(2024, 1, 3), (2024, 1, 17)])
+    assert all("pickup_day=3/" in f or "pickup_day=17/" in f for f in got.inputFiles())
+    assert dict(got.dtypes)["pickup_day"] == "int"  # partition columns kept
+    want = SF.read_table(spark, gold_root).filter(F.col("pickup_day").isin(3, 17))
+    assert _rows(got, S.GOLD.names) == _rows(want, S.GOLD.names)

@@ -38,6 +38,23 @@ def read_day(spark: SparkSession, root: str, year: int, month: int, day: int, pa
     return read_table(spark, root).filter((F.col(y) == year) & (F.col(m) == month) & (F.col(d) == day))
 
 
+# Folder name Spark writes for a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def read_days(spark: SparkSession, root: str, days, partition_cols=S.PARTITION_COLS) -> DataFrame:
+    """The given days of a partitioned table, listing only their folders.
+
+    ``days`` is a small list of (year, month, day) tuples. Unlike a filter
+    on the root, which lists every folder of the table before pruning, this
+    reads the day folders by path (``basePath`` keeps the partition columns,
+    and any deeper partition folders below a day are discovered as usual).
+    """
+    base = root.rstrip("/")
+    paths = ["/".join([base] + [f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, day)]) for day in days]
+    return spark.read.option("basePath", base).parquet(*paths)
+
+
 def list_partitions(df: DataFrame, partition_cols=S.PARTITION_COLS) -> DataFrame:
     """Distinct partition values of a table (S7), works on any file system."""
     return df.select(*partition_cols).distinct()

@@ -9,47 +9,57 @@ the previous one.
 Per micro-batch (``foreachBatch``):
 
 1. clean + enrich the new trips (the same ``build_silver``: map-only) and
-   write them, partitioned by pickup day, into the batch's own folder
-   ``silver/ingest_batch=N/…``. A replayed batch overwrites its folder, so
-   every trip is in silver exactly once, however often a batch is retried;
-2. rebuild gold for just the days this batch touched (``refresh_gold_days``:
-   silver is read through a semi-join with the day list, which dynamic
-   partition pruning turns into a directory filter; gold is replaced day by
-   day with dynamic overwrite). A gold day depends only on that day's trips,
-   so the result equals a full rebuild, and a replay recomputes the same days.
+   write them under ``silver/pickup_year=…/pickup_month=…/pickup_day=…/
+   ingest_batch=N``, replacing only those folders (dynamic overwrite). A
+   replayed batch rewrites its own folders, so every trip is in silver
+   exactly once however often a batch is retried. The days the batch holds
+   are collected while it is written (``observe`` with ``collect_set``: one
+   small set per task, bounded by the days in the batch), with no second
+   pass over it;
+2. rebuild gold for just those days: their silver folders are read by path
+   (only they are listed, never the whole table), aggregated, and replace
+   their gold days (dynamic overwrite). A gold day depends only on that
+   day's trips, so the result equals a full rebuild, and a replay recomputes
+   the same days.
 
-Readers see silver as one table: ``ingest_batch`` is just one more partition
-column, and filters on the pickup day still prune folders.
+Readers see silver as one table: ``ingest_batch`` is one more partition
+column below the day, and filters on the pickup day still prune folders.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripflow import schema as S
+from tripflow.operators.gold import build_gold
 from tripflow.operators.silver import build_silver
-from tripflow.plans.jobs import refresh_gold_days
 from tripflow.sinks.files import write_partitioned
 from tripflow.sources import files as SF
 from tripflow.streaming.ingest import _trigger
 
 BATCH_COL = "ingest_batch"
+SILVER_LAYOUT = [*S.PARTITION_COLS, BATCH_COL]
 
 
 def silver_gold_batch_writer(spark: SparkSession, silver_path: str, gold_path: str, on_bad_value: str = "fail"):
-    """The ``foreachBatch`` function: append a batch of silver rows to its
-    own folder, then refresh the gold days it touched (idempotent)."""
+    """The ``foreachBatch`` function: write a batch of silver rows into its
+    own folders, then rebuild the gold days it touched (idempotent)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        out = f"{silver_path.rstrip('/')}/{BATCH_COL}={batch_id}"
+        obs = Observation(f"days-{batch_id}")
+        tagged = batch.withColumn(BATCH_COL, F.lit(batch_id)).observe(
+            obs, F.collect_set(F.struct(*S.PARTITION_COLS)).alias("days")
+        )
         # Bronze arrives in time order: a batch holds few days, so a
         # map-only write gives few files per day.
-        write_partitioned(batch, out, rebalance=False)
-        days = SF.list_partitions(SF.read_table(spark, out))
-        refresh_gold_days(spark, silver_path, gold_path, days, on_bad_value)
+        write_partitioned(tagged, silver_path, partition_cols=SILVER_LAYOUT, dynamic=True, rebalance=False)
+        days = [tuple(d) for d in obs.get.get("days") or []]
+        if not days:
+            return  # an empty batch: nothing written, nothing to refresh
+        gold = build_gold(SF.read_days(spark, silver_path, days), on_bad_value)
+        write_partitioned(gold, gold_path, dynamic=True)
 
     return write
 
