@@ -118,3 +118,19 @@ def test_refresh_equals_full_rebuild(spark, tmp_path):
         return sorted(map(tuple, round_doubles(df.select(*S.GOLD.names), 9).collect()), key=repr)
 
     assert rows(out) == rows(full)
+
+
+def test_refresh_from_a_day_list_equals_full_rebuild(spark, tmp_path):
+    from tripflow import schema as S
+    from tripflow.functions.columns import round_doubles
+    from tripflow.plans import jobs as J
+
+    silver_root, gold_root = str(tmp_path / "silver"), str(tmp_path / "gold")
+    write_partitioned(K.silver(spark, SF_SMALL), silver_root)
+    write_partitioned(G.build_gold(SF.read_table(spark, silver_root).filter(~F.col("pickup_day").isin(7, 8))), gold_root)
+    out = J.refresh_gold_days(spark, silver_root, gold_root, [(2024, 1, 7), (2024, 1, 8), (2024, 1, 7)])
+
+    def rows(df):
+        return sorted(map(tuple, round_doubles(df.select(*S.GOLD.names), 9).collect()), key=repr)
+
+    assert rows(out) == rows(K.gold(spark, SF_SMALL))

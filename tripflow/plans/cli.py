@@ -134,8 +134,7 @@ def run(argv: list[str], spark: SparkSession) -> dict:
     if args.cmd == "gold":
         if args.days:
             parts = [tuple(int(x) for x in d.split("-")) for d in args.days.split(",")]
-            days = spark.createDataFrame(parts, "pickup_year int, pickup_month int, pickup_day int")
-            J.refresh_gold_days(spark, args.silver, args.gold, days, args.on_bad_value)
+            J.refresh_gold_days(spark, args.silver, args.gold, parts, args.on_bad_value)
             return {"cmd": "gold", "days": len(parts)}
         J.gold_job(spark, args.silver, args.gold, args.on_bad_value)
         return {"cmd": "gold"}

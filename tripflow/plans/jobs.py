@@ -66,21 +66,29 @@ def gold_job(spark: SparkSession, silver_path: str, gold_path: str, on_bad_value
     return SF.read_table(spark, gold_path)
 
 
-def refresh_gold_days(spark: SparkSession, silver_path: str, gold_path: str, days: DataFrame, on_bad_value: str = "fail") -> DataFrame:
+def refresh_gold_days(spark: SparkSession, silver_path: str, gold_path: str, days, on_bad_value: str = "fail") -> DataFrame:
     """Rebuild gold for the given days only (late data, D14 incremental).
 
-    ``days`` holds (pickup_year, pickup_month, pickup_day), e.g. the
-    partitions of a newly appended silver batch. Silver is read through a
-    left-semi join on the partition columns with the (small, broadcast) day
-    list, which dynamic partition pruning turns into a directory filter; the
-    rebuilt days replace theirs in gold (dynamic overwrite), the rest of gold
-    is untouched. Gold's keys contain the day, so a day's rows depend on that
-    day's trips only, and the result equals a full rebuild.
+    ``days`` holds (pickup_year, pickup_month, pickup_day), either as a
+    DataFrame (e.g. the partitions of a newly appended silver batch) or as a
+    short list of tuples (e.g. from the command line).
+
+    * A DataFrame: silver is read through a left-semi join on the partition
+      columns with the (small, broadcast) day list, which dynamic partition
+      pruning turns into a directory filter.
+    * A list: only those day folders are listed and read (``read_days``).
+
+    The rebuilt days replace theirs in gold (dynamic overwrite), the rest of
+    gold is untouched. Gold's keys contain the day, so a day's rows depend on
+    that day's trips only, and the result equals a full rebuild.
     """
     from tripflow.operators.joins import broadcast_if_small
 
-    day_list = broadcast_if_small(days.select(*S.PARTITION_COLS).distinct(), 1_000_000)
-    silver = SF.read_table(spark, silver_path).join(day_list, S.PARTITION_COLS, "left_semi")
+    if isinstance(days, DataFrame):
+        day_list = broadcast_if_small(days.select(*S.PARTITION_COLS).distinct(), 1_000_000)
+        silver = SF.read_table(spark, silver_path).join(day_list, S.PARTITION_COLS, "left_semi")
+    else:
+        silver = SF.read_days(spark, silver_path, sorted(set(map(tuple, days))))
     gold = G.build_gold(silver, on_bad_value)
     write_partitioned(gold, gold_path, dynamic=True)
     return SF.read_table(spark, gold_path)
