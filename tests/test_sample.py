@@ -75,10 +75,12 @@ def test_spread_sample_is_deterministic(spark):
     assert a == b and a != c
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 64])
-def test_file_offsets_in_ranges_equal_running_sum(spark, tmp_path, buckets):
+@pytest.mark.parametrize("buckets, per_range", [(1, None), (3, None), (64, None), (None, 5), (None, 100_000)])
+def test_file_offsets_in_ranges_equal_running_sum(spark, tmp_path, monkeypatch, buckets, per_range):
     """Offsets computed range by range equal a plain running sum over files
     sorted by name, for fewer and for more ranges than files."""
+    if per_range:
+        monkeypatch.setattr(SM, "FILES_PER_RANGE", per_range)  # 23 files → 5 ranges, or 1
     df = spark.range(0, 4000).withColumn("v", F.col("id") % 7)
     df.repartition(23).write.parquet(str(tmp_path / "t"))
     raw = spark.read.parquet(str(tmp_path / "t")).select("*", F.col("_metadata.file_path").alias("_file"))

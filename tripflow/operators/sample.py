@@ -37,6 +37,9 @@ MAX_BROADCAST_FILES = 200_000
 # the path (16 bytes a file, ~64 MB at the bound) when no two paths collide;
 # only beyond it, or on a collision, does the join shuffle the data by file.
 MAX_BROADCAST_HASHED_FILES = 4_000_000
+# Files per range of the running sum over the file list (rows one window
+# task sorts); the number of ranges follows from the file count.
+FILES_PER_RANGE = 100_000
 # a*j must stay below 2**63: a < 2**20 allows chunks of up to 2**43 rows.
 _MAX_MULTIPLIER = 1 << 20
 
@@ -55,21 +58,23 @@ def file_offsets(df: DataFrame, file_col: str = "_file", buckets: int | None = N
 
     A two-level prefix sum, so no task ever holds the whole file list:
 
-    1. one row per file (only the file-path metadata column is read);
+    1. one row per file (only the file-path metadata column is read),
+       checkpointed: the data is scanned once, and the file count sizes the
+       ranges below;
     2. the files are range-partitioned by name into ``buckets`` contiguous
-       ranges (default: the session's shuffle partitions), and each row is
+       ranges (default: one per ``FILES_PER_RANGE`` files) and each row is
        tagged with its range's index (``spark_partition_id`` right after the
        range exchange, so the index order is the name order);
     3. a window *partitioned by range* gives each file's offset inside its
-       range; this table is checkpointed, so both uses below see the same
+       range; this table is checkpointed too, so both uses below see the same
        range assignment even if a task is re-run;
     4. the range totals (one row per range) get their own running sum, over
        at most ``buckets`` rows, and are broadcast back: that size bound holds
        by construction.
     """
     checkpoint_root(df.sparkSession)
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rows")).checkpoint(eager=True)
+    n = buckets or max(1, -(-counts.count() // FILES_PER_RANGE))
     ranged = counts.repartitionByRange(n, file_col).withColumn("_bucket", F.spark_partition_id())
     inside = Window.partitionBy("_bucket").orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).checkpoint(eager=True)
