@@ -165,8 +165,10 @@ def run(argv: list[str], spark: SparkSession) -> dict:
 
 
 def main(argv: list[str] | None = None) -> None:
+    argv = sys.argv[1:] if argv is None else argv
+    _parser().parse_args(argv)  # usage errors and --help before a session starts
     spark = SparkSession.builder.appName("tripflow").getOrCreate()
-    print(json.dumps(run(sys.argv[1:] if argv is None else argv, spark)))
+    print(json.dumps(run(argv, spark)))
 
 
 if __name__ == "__main__":
