@@ -58,3 +58,20 @@ def test_stream_over_bronze_files_in_time_order(spark, tmp_path):
     q2 = INC.silver_gold_incremental(spark, bronze, str(tmp_path / "silver"), str(tmp_path / "gold"), str(tmp_path / "ckpt"))
     run_to_end(q2, 300)
     assert SF.read_table(spark, str(tmp_path / "silver")).count() == SV.build_silver(t).count()
+
+
+def test_late_trips_for_a_finished_day_are_included(spark, tmp_path):
+    """Trips of day 5 that arrive with the batch of the last days (late) end
+    up in day 5's gold row set, as a full rebuild would have it."""
+    silver = SV.build_silver(read_trips(spark, SF_SMALL))
+    late_hours = F.col("pickup_hour") >= 12
+    first = silver.filter((F.col("pickup_day") <= 20) & ~((F.col("pickup_day") == 5) & late_hours))
+    second = silver.filter((F.col("pickup_day") > 20) | ((F.col("pickup_day") == 5) & late_hours))
+    silver_root, gold_root = str(tmp_path / "silver"), str(tmp_path / "gold")
+    write = INC.silver_gold_batch_writer(spark, silver_root, gold_root)
+    write(first, 0)
+    partial_day5 = SF.read_table(spark, gold_root).filter(F.col("pickup_day") == 5).count()
+    write(second, 1)
+    day5 = SF.read_table(spark, gold_root).filter(F.col("pickup_day") == 5)
+    assert day5.count() > partial_day5  # the late trips added gold rows to day 5
+    assert _gold_rows(SF.read_table(spark, gold_root)) == _gold_rows(G.build_gold(silver))
