@@ -134,3 +134,25 @@ def test_refresh_from_a_day_list_equals_full_rebuild(spark, tmp_path):
         return sorted(map(tuple, round_doubles(df.select(*S.GOLD.names), 9).collect()), key=repr)
 
     assert rows(out) == rows(K.gold(spark, SF_SMALL))
+
+
+# Where a registered query may bring rows into one partition, and why that is
+# bounded whatever the data size. Anything else doing so is a scale bug.
+BOUNDED_SINGLE_PARTITION = {
+    "reject_report": "global aggregate: one partial row per task",
+    "table_counts": "global aggregates: one partial row per task",
+    "silver_profile": "global aggregate: one partial row per task",
+    "sample_spread": "global count of the sample: one partial row per task",
+    "busiest_zones": "rank over the zones at or above the k-th count: k rows plus ties",
+}
+
+
+def test_single_partition_only_where_bounded(spark):
+    for name, fn in K.queries().items():
+        lines = PI.physical_section(fn(spark, SF_SMALL)).splitlines()
+        at = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+        if not at:
+            continue
+        assert name in BOUNDED_SINGLE_PARTITION, name
+        if name != "busiest_zones":  # the others carry partial aggregates only
+            assert all("HashAggregate" in lines[i + 1] for i in at), name
