@@ -37,7 +37,7 @@ from tripflow.operators.gold import build_gold
 from tripflow.operators.silver import build_silver
 from tripflow.sinks.files import write_partitioned
 from tripflow.sources import files as SF
-from tripflow.streaming.ingest import _trigger
+from tripflow.streaming.ingest import with_trigger
 
 BATCH_COL = "ingest_batch"
 SILVER_LAYOUT = [*S.PARTITION_COLS, BATCH_COL]
@@ -87,4 +87,4 @@ def silver_gold_incremental(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     silver = build_silver(reader.load(bronze_path), on_bad_value, nan_policy)
     writer = silver.writeStream.foreachBatch(silver_gold_batch_writer(spark, silver_path, gold_path, on_bad_value))
-    return _trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
+    return with_trigger(writer.option("checkpointLocation", checkpoint), trigger).start()

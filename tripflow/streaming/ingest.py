@@ -81,7 +81,7 @@ def read_wire_stream(spark: SparkSession, kind: str, **opts) -> tuple[DataFrame,
     return reader.options(**src.options).load(), src.payload_col
 
 
-def _trigger(writer, trigger):
+def with_trigger(writer, trigger):
     """``trigger``: "available_now", "once", or a processing-time interval."""
     if trigger in (None, "available_now"):
         return writer.trigger(availableNow=True)
@@ -95,7 +95,7 @@ def write_bronze_stream(decoded: DataFrame, path: str, checkpoint: str, fmt: str
     w = decoded.writeStream.format(fmt).outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
-    return _trigger(w, trigger).start()
+    return with_trigger(w, trigger).start()
 
 
 def batch_writer(path: str, fmt: str = "parquet", columns: list[str] | None = None):
@@ -113,7 +113,7 @@ def batch_writer(path: str, fmt: str = "parquet", columns: list[str] | None = No
 
 def append_batches(decoded: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger=None) -> StreamingQuery:
     w = decoded.writeStream.foreachBatch(batch_writer(path, fmt)).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return with_trigger(w, trigger).start()
 
 
 def ingest_bronze(
