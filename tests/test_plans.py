@@ -147,9 +147,11 @@ BOUNDED_SINGLE_PARTITION = {
 }
 
 
-def test_single_partition_only_where_bounded(spark):
+def test_single_partition_only_where_bounded_and_no_python(spark):
     for name, fn in K.queries().items():
-        lines = PI.physical_section(fn(spark, SF_SMALL)).splitlines()
+        df = fn(spark, SF_SMALL)
+        assert not PI.uses_python(df), name  # every query stays in the JVM
+        lines = PI.physical_section(df).splitlines()
         at = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
         if not at:
             continue
