@@ -24,6 +24,9 @@ Per micro-batch (``foreachBatch``):
 
 Readers see silver as one table: ``ingest_batch`` is one more partition
 column below the day, and filters on the pickup day still prune folders.
+The incremental job owns its silver folder: a folder written by the batch
+``silver_job`` (days without ``ingest_batch`` below them) is a different
+layout, and the two must not share a path.
 """
 
 from __future__ import annotations
