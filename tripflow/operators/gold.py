@@ -27,22 +27,34 @@ def add_rush_hour(df: DataFrame, hour_col: str = "pickup_hour") -> DataFrame:
 
 
 def aggregate(df: DataFrame, keys=S.GOLD_KEYS) -> DataFrame:
-    """Group by the gold keys with the 13 measures (A1–A5)."""
-    return df.groupBy(*keys).agg(
+    """Group by the gold keys with the 13 measures (A1–A5).
+
+    ``avg_fare`` and ``avg_trip_distance`` are taken as sum / ride count:
+    the quality rules (``> 0``) leave no null fare or distance in silver, so
+    this is exactly what ``avg`` computes (``avg`` is sum / non-null count),
+    while the shuffled partial rows carry two sums and two counts fewer.
+    ``avg_tip_pct`` and ``avg_trip_duration`` can be null per trip and keep
+    ``avg``.
+    """
+    agg = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_rides"),
         F.sum("fare_amount").alias("total_fare"),
         F.sum("tip_amount").alias("total_tip"),
         F.sum("total_amount").alias("total_revenue"),
-        F.avg("fare_amount").alias("avg_fare"),
         F.avg("tip_pct").alias("avg_tip_pct"),
         F.sum("high_tip_flag").cast("bigint").alias("num_high_tip_trips"),
-        F.avg("trip_distance").alias("avg_trip_distance"),
         F.avg("trip_duration_minutes").alias("avg_trip_duration"),
         F.sum("trip_distance").alias("sum_trip_distance"),
         F.sum("is_long_trip").cast("bigint").alias("num_long_trips"),
         F.sum("is_short_trip").cast("bigint").alias("num_short_trips"),
         F.sum("rush_hour_flag").cast("bigint").alias("num_rush_hour_rides"),
     )
+    return agg.withColumns(
+        {
+            "avg_fare": F.col("total_fare") / F.col("total_rides"),
+            "avg_trip_distance": F.col("sum_trip_distance") / F.col("total_rides"),
+        }
+    )
 
 
 def add_kpis(agg: DataFrame) -> DataFrame:
