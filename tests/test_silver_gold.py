@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BASE, payloads, trip
+from conftest import BASE, SF_CHECK, payloads, trip
 from tripflow import schema as S
 from tripflow.operators import gold as G
 from tripflow.operators import silver as SV
@@ -174,3 +174,16 @@ def test_reject_report_counts_each_rule(spark):
     assert got["passenger_count_positive"] == 1
     assert got["dropoff_present"] == 1
     assert got["any_rule"] == 4 and got["rows_in"] == 5
+
+
+def test_derived_averages_equal_avg_exactly(spark):
+    """avg_fare / avg_trip_distance from sums and ride counts are bit-equal to
+    ``avg`` over silver, where the quality rules leave no nulls."""
+    from tripflow.plans import catalog as K
+
+    s = G.add_rush_hour(G.cast_zone_ids(K.silver(spark, SF_CHECK)))
+    new = G.aggregate(s).select(*S.GOLD_KEYS, "avg_fare", "avg_trip_distance")
+    old = s.groupBy(*S.GOLD_KEYS).agg(F.avg("fare_amount").alias("o_fare"), F.avg("trip_distance").alias("o_dist"))
+    j = new.join(old, [new[k].eqNullSafe(old[k]) for k in S.GOLD_KEYS])
+    assert j.count() == new.count()
+    assert j.filter((F.col("avg_fare") != F.col("o_fare")) | (F.col("avg_trip_distance") != F.col("o_dist"))).count() == 0
