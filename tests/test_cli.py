@@ -50,3 +50,9 @@ def test_incremental_through_cli(spark, tmp_path):
     got = round_doubles(spark.read.parquet(str(tmp_path / "gold")).select(*S.GOLD.names), 9).collect()
     want = round_doubles(K.gold(spark, SF_SMALL).select(*S.GOLD.names), 9).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+
+
+def test_silver_from_parquet_bronze_through_cli(spark, tmp_path):
+    write_table(read_trips(spark, SF_SMALL), str(tmp_path / "bronze"), "parquet", "overwrite")
+    out = run(["silver", "--bronze", str(tmp_path / "bronze"), "--bronze-format", "parquet", "--silver", str(tmp_path / "silver")], spark)
+    assert out == {"cmd": "silver", "rows_in": 1000, "rows_out": 769}

@@ -112,16 +112,12 @@ def run(argv: list[str], spark: SparkSession) -> dict:
         I.run_to_end(q, args.timeout)
         return {"cmd": "ingest", "batches": (q.lastProgress or {}).get("batchId")}
     if args.cmd == "silver":
-        from tripflow.operators.silver import build_silver
-        from tripflow.sinks.files import write_partitioned
-
-        if args.bronze_format == "json":
-            stats: dict = {}
-            J.silver_job(spark, args.bronze, args.silver, args.on_bad_value, args.nan_policy, args.dynamic, stats, args.rebalance)
-            return {"cmd": "silver", **stats}
-        bronze = SF.read_bronze(spark, args.bronze, fmt="parquet")
-        write_partitioned(build_silver(bronze, args.on_bad_value, args.nan_policy), args.silver, dynamic=args.dynamic, rebalance=args.rebalance)
-        return {"cmd": "silver"}
+        stats: dict = {}
+        J.silver_job(
+            spark, args.bronze, args.silver, args.on_bad_value, args.nan_policy, args.dynamic, stats, args.rebalance,
+            args.bronze_format,
+        )
+        return {"cmd": "silver", **stats}
     if args.cmd == "incremental":
         from tripflow.streaming.incremental import silver_gold_incremental
 

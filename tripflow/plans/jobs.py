@@ -27,8 +27,10 @@ def silver_job(
     dynamic: bool = False,
     stats: dict | None = None,
     rebalance: bool = False,
+    bronze_format: str = "json",
 ) -> DataFrame:
-    """Bronze directory → silver table, partitioned by pickup y/m/d.
+    """Bronze directory (JSON, or Parquet as the cloud variant writes it)
+    → silver table, partitioned by pickup y/m/d.
 
     The default write is map-only: each task writes its own rows, one file
     per day it holds. Bronze is appended in arrival order, so a task's rows
@@ -45,7 +47,7 @@ def silver_job(
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
-    bronze = SF.read_bronze(spark, bronze_path)
+    bronze = SF.read_bronze(spark, bronze_path, fmt=bronze_format)
     obs_in, obs_out = Observation("bronze_in"), Observation("silver_out")
     if stats is not None:
         bronze = bronze.observe(obs_in, F.count(F.lit(1)).alias("rows"))
