@@ -58,3 +58,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(dnames)
     assert len(srows) == len(drows)
     assert _rows(df.columns, srows) == _rows(dnames, drows)
+
+
+def test_rounding_is_tie_safe_and_equal_across_engines(spark):
+    """Values a few ulps either side of an exact tie round the same way, in
+    Spark and in the oracle's rewritten SQL."""
+    from tripflow.functions.columns import round_doubles
+    from tripflow.plans.oracle import _snap_rounds
+
+    vals = [13.529687499999998, 13.5296875, 13.529687500000002, -2.0000005, 0.1, float("nan"), None]
+    got = [r.x for r in round_doubles(spark.createDataFrame([(v,) for v in vals], "x double")).collect()]
+    con = duckdb.connect()
+    sql = _snap_rounds("SELECT round(x, 6) AS x FROM (SELECT unnest(?::DOUBLE[]) AS x, generate_subscripts(?::DOUBLE[], 1) AS i) ORDER BY i")
+    want = [r[0] for r in con.execute(sql, [vals, vals]).fetchall()]
+    assert got[:3] == [13.529688] * 3 and got[3] == -2.000001 and got[4] == 0.1
+    assert [_norm(v) for v in got] == [_norm(v) for v in want]

@@ -92,12 +92,20 @@ def partition_parts(ts: Column | str) -> dict[str, Column]:
 
 
 def round_doubles(df, places: int = 6):
-    """Round every double column (for comparisons across engines only)."""
+    """Round every double column (for comparisons across engines only).
+
+    Tie-safe: the value is first snapped to a decimal with three more
+    places, which absorbs summation-order noise of the last bits, and that
+    decimal is rounded half away from zero. A plain double ``round`` can go
+    either way on an exact tie (432.95 / 32 = 13.5296875), depending on
+    whether the summed double lands just below or above it. NaN and
+    infinities, which have no decimal form, pass through.
+    """
     from pyspark.sql.types import DoubleType
 
-    return df.select(
-        *[
-            F.round(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    snap = f"decimal(38,{places + 3})"
+
+    def r(c):
+        return F.coalesce(F.round(F.col(c).try_cast(snap), places).cast("double"), F.col(c))
+
+    return df.select(*[r(f.name).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name) for f in df.schema.fields])

@@ -197,7 +197,40 @@ UNION ALL SELECT '{chunks}', size - per * {chunks}, size - per * {chunks} FROM p
 UNION ALL SELECT 'all', size, size FROM p"""
 
 
+def _snap_rounds(sql: str, places: int = 6) -> str:
+    """Rewrite every ``round(x, 6)`` as the tie-safe rounding of
+    ``tripflow.functions.columns.round_doubles``: snap to a 9-place decimal,
+    round that decimal half away from zero, back to double (NaN and
+    infinities pass through). A plain double ``round`` splits the two
+    engines on exact ties such as 432.95 / 32 = 13.5296875, whose summed
+    double lands just below or above the tie depending on summation order."""
+    tail, out, i = f", {places})", [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            return "".join(out) + sql[i:]
+        depth, k = 0, j + len("round")
+        while True:  # the matching closing parenthesis
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        call = sql[j : k + 1]
+        if not call.endswith(tail):
+            out.append(sql[i : j + len("round(")])
+            i = j + len("round(")
+            continue
+        x = _snap_rounds(call[len("round(") : -len(tail)], places)
+        scale = places + 3
+        out.append(sql[i:j] + f"COALESCE(CAST(round(TRY_CAST({x} AS DECIMAL(38, {scale})), {places}) AS DOUBLE), {x})")
+        i = k + 1
+
+
 def oracle_sql() -> dict[str, str]:
+    return {name: _snap_rounds(sql) for name, sql in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     from tripflow.plans import catalog as K
 
     trip_all = _trips_r6()
