@@ -49,6 +49,8 @@ def read_days(spark: SparkSession, root: str, days, partition_cols=S.PARTITION_C
     on the root, which lists every folder of the table before pruning, this
     reads the day folders by path (``basePath`` keeps the partition columns,
     and any deeper partition folders below a day are discovered as usual).
+    Every listed day must exist: a missing folder raises ``PATH_NOT_FOUND``
+    before any job runs, rather than silently reading nothing.
     """
     base = root.rstrip("/")
     paths = ["/".join([base] + [f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, day)]) for day in days]
