@@ -182,3 +182,8 @@ def test_read_days_reads_only_those_folders(spark, gold_root):
     assert dict(got.dtypes)["pickup_day"] == "int"  # partition columns kept
     want = SF.read_table(spark, gold_root).filter(F.col("pickup_day").isin(3, 17))
     assert _rows(got, S.GOLD.names) == _rows(want, S.GOLD.names)
+
+
+def test_read_days_missing_day_raises(spark, gold_root):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        SF.read_days(spark, gold_root, [(2024, 2, 30)])
