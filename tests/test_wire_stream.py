@@ -163,3 +163,17 @@ def test_publish_writes_through_any_sink_format(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.columns == ["value", "key"] and out.count() == t.count()
     assert _sorted(W.from_wire(out)) == _sorted(t)
+
+
+def test_bronze_files_per_batch_bounded(spark, tmp_path):
+    t = read_trips(spark, SF_SMALL)
+    J.publish(t).repartition(6).write.parquet(str(tmp_path / "src"))  # 6 files: 6 read partitions
+    raw, payload = I.read_wire_stream(spark, "file", path=str(tmp_path / "src"))
+    q = I.write_bronze_stream(
+        W.from_wire(raw, payload), str(tmp_path / "bronze"), str(tmp_path / "ckpt"), "json", trigger="available_now",
+        max_files_per_batch=2,
+    )
+    I.run_to_end(q, 300)
+    files = [f for f in os.listdir(tmp_path / "bronze") if f.endswith(".json")]
+    assert 1 <= len(files) <= 2 * (q.lastProgress["batchId"] + 1)
+    assert _sorted(read_bronze(spark, str(tmp_path / "bronze"))) == _sorted(t)

@@ -90,8 +90,24 @@ def with_trigger(writer, trigger):
     return writer.trigger(processingTime=trigger)
 
 
-def write_bronze_stream(decoded: DataFrame, path: str, checkpoint: str, fmt: str = "json", trigger=None, query_name: str | None = None) -> StreamingQuery:
-    """Append decoded rows to a file table (K1 json, K2 parquet; T1, T3, T4)."""
+def write_bronze_stream(
+    decoded: DataFrame,
+    path: str,
+    checkpoint: str,
+    fmt: str = "json",
+    trigger=None,
+    query_name: str | None = None,
+    max_files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Append decoded rows to a file table (K1 json, K2 parquet; T1, T3, T4).
+
+    Each micro-batch writes one file per source partition. With many topic
+    partitions and short triggers that is a flood of small files;
+    ``max_files_per_batch`` merges partitions (a narrow ``coalesce``, no
+    shuffle) so each batch writes at most that many files.
+    """
+    if max_files_per_batch:
+        decoded = decoded.coalesce(max_files_per_batch)
     w = decoded.writeStream.format(fmt).outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -124,10 +140,13 @@ def ingest_bronze(
     fmt: str = "json",
     trigger="5 seconds",
     source_options: dict | None = None,
+    max_files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Source → decode → bronze. Returns the running query to the caller."""
     raw, payload = read_wire_stream(spark, kind, **(source_options or {}))
-    return write_bronze_stream(from_wire(raw, payload), bronze_path, checkpoint, fmt, trigger)
+    return write_bronze_stream(
+        from_wire(raw, payload), bronze_path, checkpoint, fmt, trigger, max_files_per_batch=max_files_per_batch
+    )
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
