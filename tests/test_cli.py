@@ -35,7 +35,7 @@ def test_sample_and_ingest_through_cli(spark, tmp_path):
 
     J.publish(read_trips(spark, SF_SMALL)).write.parquet(str(tmp_path / "wire"))
     run(["ingest", "--source", "file", "--bronze", str(tmp_path / "b"), "--checkpoint", str(tmp_path / "c"),
-         "--trigger", "available_now", "--opt", f"path={tmp_path / 'wire'}", "--timeout", "300"], spark)
+         "--trigger", "available_now", "--opt", f"path={tmp_path / 'wire'}", "--timeout", "300", "--max-files-per-batch", "2"], spark)
     assert spark.read.schema(S.TRIP).json(str(tmp_path / "b")).count() == 1000
 
 

@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--trigger", default="5 seconds", help='"available_now", "once" or an interval')
     s.add_argument("--opt", action="append", help="source option key=value (servers, topic, stream, region, path, ...)")
     s.add_argument("--timeout", type=float, default=None, help="seconds to run before stopping")
+    s.add_argument("--max-files-per-batch", type=int, default=None, help="bound on bronze files written per micro-batch")
 
     s = sub.add_parser("silver", help="bronze → silver (J2)")
     s.add_argument("--bronze", required=True)
@@ -108,7 +109,9 @@ def run(argv: list[str], spark: SparkSession) -> dict:
     args = _parser().parse_args(argv)
     if args.cmd == "ingest":
         opts = dict(kv.split("=", 1) for kv in (args.opt or []))
-        q = I.ingest_bronze(spark, args.source, args.bronze, args.checkpoint, args.format, args.trigger, opts)
+        q = I.ingest_bronze(
+            spark, args.source, args.bronze, args.checkpoint, args.format, args.trigger, opts, args.max_files_per_batch
+        )
         I.run_to_end(q, args.timeout)
         return {"cmd": "ingest", "batches": (q.lastProgress or {}).get("batchId")}
     if args.cmd == "silver":
