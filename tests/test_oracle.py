@@ -73,3 +73,13 @@ def test_rounding_is_tie_safe_and_equal_across_engines(spark):
     want = [r[0] for r in con.execute(sql, [vals, vals]).fetchall()]
     assert got[:3] == [13.529688] * 3 and got[3] == -2.000001 and got[4] == 0.1
     assert [_norm(v) for v in got] == [_norm(v) for v in want]
+
+
+def test_snap_rounds_rewrites_only_six_place_rounds():
+    from tripflow.plans.oracle import _snap_rounds
+
+    out = _snap_rounds("SELECT round(a / (b + 1), 6) AS x, round(c, 2) AS y, ground(d) AS z FROM t")
+    assert "round(c, 2)" in out and "ground(d)" in out
+    assert "TRY_CAST(a / (b + 1) AS DECIMAL(38, 9))" in out and out.count("DECIMAL(38, 9)") == 1
+    # Every registered oracle runs as rewritten (no plain 6-place round left).
+    assert all(", 6) AS DOUBLE)" in q or "round(" not in q for q in ORACLE.values())
