@@ -120,3 +120,24 @@ def test_positions_same_for_every_join_of_the_offsets(spark, tmp_path, monkeypat
     files = sorted(f for f in os.listdir(tmp_path / "t") if f.endswith(".parquet"))
     expected_ids = [i for f in files for i in pq.read_table(str(tmp_path / "t" / f)).column("id").to_pylist()]
     assert got == list(enumerate(expected_ids)) and pos.total == 997
+
+
+def test_hash_collision_falls_back_to_path_join(spark, tmp_path, monkeypatch):
+    """If two paths share a hash, the hashed broadcast is not used (it would
+    give rows two offsets); the join goes by path instead."""
+    from tripflow.plans import inspect as PI
+
+    monkeypatch.setattr(SM, "MAX_BROADCAST_FILES", 1)
+    monkeypatch.setattr(SM.F, "xxhash64", lambda *cols: F.lit(7).cast("bigint"))  # every path collides
+    spark.range(0, 300).repartition(3).write.parquet(str(tmp_path / "t"))
+    raw = spark.read.parquet(str(tmp_path / "t")).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        pos = SM.with_position(raw)
+        assert "_file_key" not in PI.physical_section(pos.df)
+        got = sorted(r[SM.POS] for r in pos.df.collect())
+    finally:
+        spark.conf.set(key, old)
+    assert got == list(range(300))
