@@ -12,13 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .token_counts import token_counts
+from .token_files import read_token_files, token_files
 
 BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=1)
+    return read_token_files(spark, path)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=1024)
 
 
-QUERIES = {"op8_token_counts": op8_token_counts}
+QUERIES = {
+    "op5_token_files": op5_token_files,
+    "op8_token_counts": op8_token_counts,
+}
 ORACLE: dict[str, str] = {}
