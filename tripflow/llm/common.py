@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Text handled at once inside a task; batches above it are cut into row ranges.
 SLICE_BYTES = 8 << 20
@@ -24,6 +25,14 @@ def require(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; the table has {df.columns}")
 
 
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """The schema of ``df`` with the fields of ``ddl`` after it; names must not clash."""
+    more = StructType.fromDDL(ddl)
+    if clash := {*df.columns} & {*more.names}:
+        raise ValueError(f"the table already has columns {sorted(clash)}")
+    return StructType([*df.schema.fields, *more.fields])
+
+
 def worker_memo(name: str, make: Callable):
     """A value kept for the life of the Python worker process (``make()`` on first use).
 

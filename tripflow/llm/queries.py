@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
+from .contamination import contamination, is_contaminated
 from .token_counts import token_counts
 from .token_files import read_token_files, token_files
 
@@ -27,8 +29,49 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=1024)
 
 
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    c = "_contamination"
+    return found.select(
+        "doc_id",
+        F.col(f"{c}.n_words").alias("n_words"),
+        F.col(f"{c}.n_hit").alias("n_hit"),
+        F.size(f"{c}.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(f"{c}.items", ","), 256).alias("items_sha256"),
+        is_contaminated(c).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op5_token_files": op5_token_files,
     "op8_token_counts": op8_token_counts,
+    "op9_contamination": op9_contamination,
 }
-ORACLE: dict[str, str] = {}
+
+# Windows of 13 consecutive item words, found in the documents by an equi-join
+# on the joined window text; shorter items are one window of their length.
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bi AS (SELECT item_id, w, least(13, len(w)) AS m, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS s FROM bi),
+lengths AS (SELECT DISTINCT m FROM bw),
+di AS (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, lengths WHERE len(w) >= m),
+dw AS (SELECT doc_id, m, i, array_to_string(list_slice(w, i, i + m - 1), ' ') AS s FROM di),
+hit AS (SELECT dw.doc_id, dw.m, dw.i, bw.item_id FROM dw JOIN bw ON dw.m = bw.m AND dw.s = bw.s),
+pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS p FROM hit),
+n AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(it.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(it.items, '')) AS items_sha256,
+       coalesce(n.n_hit, 0) > 0 AND 20 * coalesce(n.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op9_contamination": OP9_SQL}
