@@ -1,0 +1,72 @@
+import hashlib
+import re
+
+import pytest
+
+from tripflow.llm import digest_index as D
+from tripflow.session import scratch_path
+
+
+def norm(t):
+    return re.sub("[\x20\x09-\x0d]", "", t or "")
+
+
+def brute(rows):
+    """rows: (doc_id, text) -> per row (keep_id, group_size); nulls of doc_id last."""
+    groups = {}
+    for k, t in rows:
+        groups.setdefault(norm(t), []).append((-len(t or ""), k is None, k))
+    return [(min(g := groups[norm(t)])[2], len(g)) for _, t in rows]
+
+
+ROWS = [(5, "a b"), (2, "ab"), (3, " a\tb"), (9, None), (8, ""), (7, "  \n"), (4, "é x" * 5000), (6, "éx" * 5000), (None, "only"), (None, "only "), (11, "same"), (11, "same"), (12, "a\xa0b"), (13, "🙂"), (14, "🙂\x0b")]
+
+
+@pytest.fixture
+def index(spark):
+    i = D.DigestIndex(spark, scratch_path(spark, "index"), 4)
+    yield i
+    i.close()
+
+
+def test_groups(spark, index):
+    df = spark.createDataFrame([(k, t, "x", True) for k, t in ROWS], "doc_id long, text string, digest string, kept boolean")
+    got = D.dedup(df, index, "one").collect()
+    want = [(k, hashlib.sha256(norm(t).encode()).hexdigest(), len(t or ""), *b) for (k, t), b in zip(ROWS, brute(ROWS))]
+    assert sorted(map(repr, ((r.doc_id, r.digest, r.n_chars, r.keep_id, r.group_size) for r in got))) == sorted(map(repr, want))
+    assert sum(r.kept for r in got) == len({w[1] for w in want})
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
+
+
+def test_later_batches_meet_the_index(spark, index):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "doc_id long, text string")
+    b = spark.createDataFrame([(3, " x "), (4, "z"), (5, "z z"), (6, "zz")], "doc_id long, text string")
+    assert all(r.kept for r in D.dedup(a, index, "a").collect())
+    want = {(3, 1, False), (4, 4, True), (5, 5, True), (6, 5, False)}
+    for _ in range(2):  # a batch that runs again finds its own rows
+        assert {(r.doc_id, r.keep_id, r.kept) for r in D.dedup(b, index, "b").collect()} == want
+    assert index.rows().count() == 4
+    again = D.DigestIndex(spark, index.path)  # another session would open it like this
+    assert again.buckets == 4 and again.rows().count() == 4
+    again.close()
+
+
+def test_anti_join_is_a_sort_merge_that_does_not_shuffle_the_index(spark, index):
+    new = spark.createDataFrame([(bytes([i]),) for i in range(9)], "digest binary").repartition(4, "digest")
+    plan = new.join(index.rows().select("digest").hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # that of the new rows
+
+
+def test_rows_that_stay(spark, index):
+    df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(ROWS)], "doc_id long, text string, _row int")
+    kept = D.drop_duplicates(df, index, "one")
+    assert kept.columns == df.columns
+    got = [(r.doc_id, norm(r.text)) for r in kept.collect()]
+    assert len(got) == len({norm(t) for _, t in ROWS}) == len({t for _, t in got})
+    assert set(got) == {(b[0], norm(t)) for (_, t), b in zip(ROWS, brute(ROWS))}
+
+
+def test_empty(spark, index):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert D.dedup(df, index, "e").collect() == [] and D.drop_duplicates(df, index, "e").collect() == []
+    assert index.rows().count() == 0

@@ -11,8 +11,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.session import scratch_path
+
 from .common import table
 from .contamination import contamination, is_contaminated
+from .digest_index import DigestIndex, dedup
 from .token_counts import token_counts
 from .token_files import read_token_files, token_files
 
@@ -20,6 +23,12 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = DigestIndex(spark, scratch_path(spark, "digest-index"))
+    found = dedup(table(spark, sf_dir, "documents"), index, batch="documents")
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=1)
     return read_token_files(spark, path)
@@ -44,6 +53,7 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_exact_dedup": op3_exact_dedup,
     "op5_token_files": op5_token_files,
     "op8_token_counts": op8_token_counts,
     "op9_contamination": op9_contamination,
@@ -74,4 +84,15 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_hit, 0)
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """
 
-ORACLE: dict[str, str] = {"op9_contamination": OP9_SQL}
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h
+  FROM documents),
+g AS (
+  SELECT doc_id, h, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS keep_id,
+         count(*) OVER (PARTITION BY h) AS group_size
+  FROM d)
+SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM g
+"""
+
+ORACLE: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op9_contamination": OP9_SQL}
