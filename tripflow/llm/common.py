@@ -6,6 +6,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -81,3 +82,33 @@ def utf8_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     col = batch.column(column)
     col = col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary())
     return [b"" if t is None else t for t in col.to_pylist()]
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, dict[str, np.ndarray]]]:
+    """(key, other columns as arrays) of each run of rows with equal integer keys.
+
+    For partitions sorted by ``keys``; holds one group and one batch at a time.
+    """
+    held: list[dict[str, np.ndarray]] = []
+    current: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+        turn = np.zeros(batch.num_rows, bool)
+        for k in keys:
+            turn[1:] |= columns[k][1:] != columns[k][:-1]
+        cuts = [0, *np.flatnonzero(turn).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            key = tuple(int(columns[k][lo]) for k in keys)
+            if key != current:
+                if held:
+                    yield current, _joined(held)
+                current, held = key, []
+            held.append({c: v[lo:hi] for c, v in columns.items() if c not in keys})
+    if held:
+        yield current, _joined(held)
+
+
+def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return parts[0] if len(parts) == 1 else {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}

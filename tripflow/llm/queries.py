@@ -16,6 +16,7 @@ from tripflow.session import scratch_path
 from .common import table
 from .contamination import contamination, is_contaminated
 from .digest_index import DigestIndex, dedup
+from .simhash import hex_of, near_duplicates
 from .token_counts import token_counts
 from .token_files import read_token_files, token_files
 
@@ -52,11 +53,17 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
+    return found.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_token_files": op5_token_files,
     "op8_token_counts": op8_token_counts,
     "op9_contamination": op9_contamination,
+    "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 # Windows of 13 consecutive item words, found in the documents by an equi-join
