@@ -100,8 +100,11 @@ def dedup(docs: DataFrame, index: DigestIndex, batch: str, doc_id: str = "doc_id
     new = groups.join(index.rows().select("digest").hint("merge"), "digest", "left_anti")
     index.append(new.select("digest", F.col("best.doc_id").alias("doc_id"), (-F.col("best.less")).alias("n_chars"), F.lit(batch).alias("batch")))
     held = index.rows().select("digest", F.col("doc_id").alias("keep_id"), (F.col("batch") == batch).alias("own"))
-    judged = groups.join(held.hint("merge"), "digest").select("digest", "keep_id", "group_size", F.when(F.col("own"), F.col("best.row")).alias("keep_row"))
-    # Many rows of one digest meet one row: adaptive execution splits that join.
+    verdicts = scratch_path(spark, "verdicts")
+    groups.join(held.hint("merge"), "digest").select("digest", "keep_id", "group_size", F.when(F.col("own"), F.col("best.row")).alias("keep_row")).write.parquet(verdicts)
+    judged = spark.read.schema("digest binary, keep_id long, group_size long, keep_row long").parquet(verdicts)
+    # Many rows of one digest meet one row. Both sides are stored tables, each
+    # with an exchange of its own, so adaptive execution can split a hot digest.
     return rows.join(judged.hint("merge"), "digest").select(
         "doc_id", F.lower(F.hex("digest")).alias("digest"), "n_chars", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept")
     )
