@@ -16,6 +16,7 @@ from tripflow.session import scratch_path
 from .common import table
 from .contamination import contamination, is_contaminated
 from .digest_index import DigestIndex, dedup
+from .language import held_out, learn, predict
 from .simhash import hex_of, near_duplicates
 from .token_counts import token_counts
 from .token_files import read_token_files, token_files
@@ -30,6 +31,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = held_out(F.col("doc_id"))
+    prototypes = learn(docs.filter(~held))
+    found = predict(docs.select("doc_id", "text"), prototypes)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=1)
     return read_token_files(spark, path)
@@ -60,6 +69,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
     "op8_token_counts": op8_token_counts,
     "op9_contamination": op9_contamination,
