@@ -20,10 +20,19 @@ from .language import held_out, learn, predict
 from .simhash import hex_of, near_duplicates
 from .token_counts import token_counts
 from .token_files import read_token_files, token_files
+from .url_filter import LIST, judge_urls
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
+# The rules of the URL contract.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame(URL_RULES, LIST)
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), listed).drop("url")
+
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark, scratch_path(spark, "digest-index"))
@@ -68,6 +77,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
@@ -101,6 +111,20 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_hit, 0)
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """
 
+OP1_SQL = r"""
+WITH p AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '^(.*?)://([^/?#]*)([^?#]*)', 2), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^(.*?)://([^/?#]*)([^?#]*)', 3) AS path
+  FROM pages),
+r(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+f AS (
+  SELECT page_id, host, path, h || r.p AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(h || r.p) DESC) AS k
+  FROM p JOIN r ON (p.host = r.h OR ends_with(p.host, '.' || r.h)) AND starts_with(p.path, r.p))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.v, 'allow') AS verdict
+FROM p LEFT JOIN f ON p.page_id = f.page_id AND f.k = 1
+"""
+
 OP3_SQL = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h
@@ -112,4 +136,4 @@ g AS (
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM g
 """
 
-ORACLE: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op9_contamination": OP9_SQL}
+ORACLE: dict[str, str] = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_contamination": OP9_SQL}
