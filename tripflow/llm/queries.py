@@ -17,12 +17,14 @@ from .common import table
 from .contamination import contamination, is_contaminated
 from .digest_index import DigestIndex, dedup
 from .language import held_out, learn, predict
+from .pieces import round_trip
 from .simhash import hex_of, near_duplicates
 from .token_counts import token_counts
 from .token_files import read_token_files, token_files
 from .url_filter import LIST, judge_urls
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
 
 # The rules of the URL contract.
@@ -34,6 +36,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), listed).drop("url")
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark, scratch_path(spark, "digest-index"))
     found = dedup(table(spark, sf_dir, "documents"), index, batch="documents")
@@ -78,6 +84,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_pieces": op2_pieces,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
