@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
 
+from . import quality
 from .common import table
 from .contamination import contamination, is_contaminated
 from .digest_index import DigestIndex, dedup
@@ -59,6 +60,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    found = quality.score(docs, quality.learn(docs, labels))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=1024)
 
@@ -88,6 +96,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
+    "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op9_contamination": op9_contamination,
     "op10_simhash_dedup": op10_simhash_dedup,
