@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripflow.session import scratch_path
 
 from . import quality
+from .bwt_dedup import remove_repeats
 from .common import table
 from .contamination import contamination, is_contaminated
 from .digest_index import DigestIndex, dedup
@@ -60,6 +61,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op6_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
@@ -96,6 +102,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
+    "op6_bwt_dedup": op6_bwt_dedup,
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op9_contamination": op9_contamination,
