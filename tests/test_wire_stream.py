@@ -177,3 +177,44 @@ def test_bronze_files_per_batch_bounded(spark, tmp_path):
     files = [f for f in os.listdir(tmp_path / "bronze") if f.endswith(".json")]
     assert 1 <= len(files) <= 2 * (q.lastProgress["batchId"] + 1)
     assert _sorted(read_bronze(spark, str(tmp_path / "bronze"))) == _sorted(t)
+
+
+def test_a_timeout_is_an_error_not_a_short_result(spark, tmp_path):
+    _payload_dir(spark, tmp_path / "src", read_trips(spark, SF_SMALL), files=40)
+    opts = {"path": str(tmp_path / "src"), "max_files_per_trigger": 1}
+    q = I.ingest_bronze(spark, "file", str(tmp_path / "bronze"), str(tmp_path / "ckpt"), trigger="available_now", source_options=opts)
+    with pytest.raises(TimeoutError, match="input left"):
+        I.run_to_end(q, 1)
+    assert not q.isActive
+    # A restart without a limit works off the rest.
+    I.run_to_end(I.ingest_bronze(spark, "file", str(tmp_path / "bronze"), str(tmp_path / "ckpt"), trigger="available_now", source_options=opts))
+    assert read_bronze(spark, str(tmp_path / "bronze")).count() == 1000
+
+
+def test_a_continuous_query_is_stopped_on_request(spark, tmp_path):
+    _payload_dir(spark, tmp_path / "src", read_trips(spark, SF_SMALL))
+    q = I.ingest_bronze(spark, "file", str(tmp_path / "b"), str(tmp_path / "c"), trigger="1 second", source_options={"path": str(tmp_path / "src")})
+    q.processAllAvailable()
+    assert I.run_for(q, 1) is True and not q.isActive
+    with pytest.raises(ValueError, match="once"):
+        I.with_trigger(None, "once")
+
+
+def test_an_error_of_a_stream_keeps_its_cause(spark, tmp_path):
+    _payload_dir(spark, tmp_path / "src", read_trips(spark, SF_SMALL))
+
+    def fail(batch, batch_id):
+        raise ValueError("no room")
+
+    raw, payload = I.read_wire_stream(spark, "file", path=str(tmp_path / "src"))
+    q = I.with_trigger(W.from_wire(raw, payload).writeStream.foreachBatch(fail).option("checkpointLocation", str(tmp_path / "c")), "available_now").start()
+    with pytest.raises(RuntimeError, match="no room") as e:
+        I.run_to_end(q)
+    assert e.value.__cause__ is not None
+
+
+def test_a_batch_is_hidden_until_it_is_whole(spark, tmp_path):
+    out = str(tmp_path / "out")
+    I.batch_writer(out)(read_trips(spark, SF_SMALL), 3)
+    I.batch_writer(out)(read_trips(spark, SF_SMALL).limit(0), 4)
+    assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == ["batch_id=3"]

@@ -34,7 +34,6 @@ from tripflow.sources.warehouse import read_warehouse
 from tripflow.streaming import ingest as I
 
 TRIP_COLS = [f.name for f in S.TRIP.fields]
-STREAM_TIMEOUT_S = 900
 # Fixed day read by the single-partition scan.
 ONE_DAY = (2024, 1, 15)
 # Parameters of the registered sample queries.
@@ -303,8 +302,7 @@ def _payload_files(spark, sf, path, part: int | None = None, files: int = 4) ->
 
 
 def _stream_to_bronze(spark, src, bronze, ckpt, fmt):
-    raw, payload = I.read_wire_stream(spark, "file", path=src, max_files_per_trigger=1)
-    I.run_to_end(I.write_bronze_stream(W.from_wire(raw, payload), bronze, ckpt, fmt, trigger="available_now"), STREAM_TIMEOUT_S)
+    I.run_to_end(I.ingest_bronze(spark, "file", bronze, ckpt, fmt, "available_now", {"path": src, "max_files_per_trigger": 1}))
 
 
 def q_ingest_stream(spark, sf):
@@ -325,7 +323,7 @@ def q_ingest_foreach_batch(spark, sf):
     src, bronze, ckpt = (scratch_path(spark, n) for n in ("wire", "bronze", "ckpt"))
     _payload_files(spark, sf, src)
     raw, payload = I.read_wire_stream(spark, "file", path=src, max_files_per_trigger=1)
-    I.run_to_end(I.append_batches(W.from_wire(raw, payload), bronze, ckpt, trigger="available_now"), STREAM_TIMEOUT_S)
+    I.run_to_end(I.append_batches(W.from_wire(raw, payload), bronze, ckpt, trigger="available_now"))
     return _r(spark.read.parquet(bronze).select(*TRIP_COLS))
 
 
@@ -349,7 +347,7 @@ def q_silver_gold_incremental(spark, sf):
     bronze, silver_root, gold_root, ckpt = (scratch_path(spark, n) for n in ("bronze", "silver", "gold", "ckpt"))
     write_table(trips(spark, sf).repartitionByRange(4, S.PICKUP_TS), bronze, "json", "overwrite")
     q = silver_gold_incremental(spark, bronze, silver_root, gold_root, ckpt, max_files_per_trigger=1)
-    I.run_to_end(q, STREAM_TIMEOUT_S)
+    I.run_to_end(q)
     return _r(SF.read_table(spark, gold_root).select(*S.GOLD.names))
 
 

@@ -39,9 +39,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--bronze", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--format", default="json", choices=["json", "parquet"])
-    s.add_argument("--trigger", default="5 seconds", help='"available_now", "once" or an interval')
+    s.add_argument("--trigger", default="5 seconds", help='"available_now" or an interval')
     s.add_argument("--opt", action="append", help="source option key=value (servers, topic, stream, region, path, ...)")
-    s.add_argument("--timeout", type=float, default=None, help="seconds to run before stopping")
+    s.add_argument("--timeout", type=float, default=None, help="seconds; an available_now run that needs longer fails, a continuous one is stopped and says so")
     s.add_argument("--max-files-per-batch", type=int, default=None, help="bound on bronze files written per micro-batch")
 
     s = sub.add_parser("silver", help="bronze → silver (J2)")
@@ -59,10 +59,11 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--gold", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--bronze-format", default="json", choices=["json", "parquet"])
-    s.add_argument("--trigger", default="available_now", help='"available_now", "once" or an interval')
+    s.add_argument("--trigger", default="available_now", help='"available_now" or an interval')
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--on-bad-value", default="fail", choices=["fail", "null"])
-    s.add_argument("--timeout", type=float, default=None, help="seconds to run before stopping")
+    s.add_argument("--nan-policy", default="keep", choices=["keep", "null"])
+    s.add_argument("--timeout", type=float, default=None, help="seconds; an available_now run that needs longer fails, a continuous one is stopped and says so")
 
     s = sub.add_parser("gold", help="silver → gold (J3); with --days only those days")
     s.add_argument("--silver", required=True)
@@ -97,6 +98,16 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _finish(query, args) -> bool:
+    """Wait for a stream; True if a continuous one was stopped at its time."""
+    from tripflow.streaming import ingest as I
+
+    if args.trigger == "available_now":
+        I.run_to_end(query, args.timeout)
+        return False
+    return I.run_for(query, args.timeout)
+
+
 def run(argv: list[str], spark: SparkSession) -> dict:
     """Run one subcommand on ``spark``; returns a summary (also printed by main)."""
     from tripflow.operators import reports as R
@@ -112,8 +123,7 @@ def run(argv: list[str], spark: SparkSession) -> dict:
         q = I.ingest_bronze(
             spark, args.source, args.bronze, args.checkpoint, args.format, args.trigger, opts, args.max_files_per_batch
         )
-        I.run_to_end(q, args.timeout)
-        return {"cmd": "ingest", "batches": (q.lastProgress or {}).get("batchId")}
+        return {"cmd": "ingest", "stopped": _finish(q, args), "batches": (q.lastProgress or {}).get("batchId")}
     if args.cmd == "silver":
         stats: dict = {}
         J.silver_job(
@@ -126,10 +136,9 @@ def run(argv: list[str], spark: SparkSession) -> dict:
 
         q = silver_gold_incremental(
             spark, args.bronze, args.silver, args.gold, args.checkpoint, args.bronze_format, args.trigger,
-            args.max_files_per_trigger, args.on_bad_value,
+            args.max_files_per_trigger, args.on_bad_value, args.nan_policy,
         )
-        I.run_to_end(q, args.timeout)
-        return {"cmd": "incremental", "batches": (q.lastProgress or {}).get("batchId")}
+        return {"cmd": "incremental", "stopped": _finish(q, args), "batches": (q.lastProgress or {}).get("batchId")}
     if args.cmd == "gold":
         if args.days:
             parts = [tuple(int(x) for x in d.split("-")) for d in args.days.split(",")]

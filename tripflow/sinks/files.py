@@ -9,7 +9,7 @@ by many tasks, not one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tripflow import schema as S
 
@@ -44,3 +44,32 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
 def write_table(df: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
     """Plain batch write of a bronze-style table."""
     df.write.mode(mode).format(fmt).save(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return bool(fs.exists(at))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system; a missing one is no error."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def replace_folder(spark: SparkSession, staged: str, final: str) -> None:
+    """Put a written folder in the place of another by renaming it.
+
+    One metadata operation on file systems with atomic rename; on object
+    stores it copies, so readers there should go by a table format's log.
+    """
+    fs, at = _file_system(spark, staged)
+    to = _file_system(spark, final)[1]
+    fs.delete(to, True)
+    if not fs.rename(at, to):
+        raise OSError(f"{staged} could not be renamed to {final}")

@@ -12,14 +12,17 @@ file stream of binary payloads.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tripflow import schema as S
 from tripflow.operators.wire import PAYLOAD_COLUMN, from_wire
+from tripflow.sinks.files import delete_folder, replace_folder
 
 PAYLOAD_FILE_SCHEMA = StructType([StructField("value", BinaryType())])
 
@@ -82,11 +85,12 @@ def read_wire_stream(spark: SparkSession, kind: str, **opts) -> tuple[DataFrame,
 
 
 def with_trigger(writer, trigger):
-    """``trigger``: "available_now", "once", or a processing-time interval."""
+    """``trigger``: "available_now" (works off the backlog in batches of the
+    source's per-trigger limit, then ends) or a processing-time interval."""
     if trigger in (None, "available_now"):
         return writer.trigger(availableNow=True)
     if trigger == "once":
-        return writer.trigger(once=True)
+        raise ValueError('"once" takes a whole backlog as one batch; use "available_now"')
     return writer.trigger(processingTime=trigger)
 
 
@@ -103,11 +107,11 @@ def write_bronze_stream(
 
     Each micro-batch writes one file per source partition. With many topic
     partitions and short triggers that is a flood of small files;
-    ``max_files_per_batch`` merges partitions (a narrow ``coalesce``, no
-    shuffle) so each batch writes at most that many files.
+    ``max_files_per_batch`` deals the decoded rows to at most that many
+    writers (one shuffle), so reading and decoding keep all their tasks.
     """
     if max_files_per_batch:
-        decoded = decoded.coalesce(max_files_per_batch)
+        decoded = decoded.repartition(max_files_per_batch)
     w = decoded.writeStream.format(fmt).outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -115,14 +119,24 @@ def write_bronze_stream(
 
 
 def batch_writer(path: str, fmt: str = "parquet", columns: list[str] | None = None):
-    """foreachBatch function: each non-empty micro-batch overwrites its own
-    ``batch_id=N`` folder, so a replayed batch replaces, never duplicates (K3, F5)."""
+    """foreachBatch function: each non-empty micro-batch becomes its own
+    ``batch_id=N`` folder, so a replayed batch replaces, never duplicates (K3, F5).
+
+    The batch is written to a hidden folder and renamed when it is whole, so
+    readers never see part of one. Its rows are counted while it is written;
+    an empty batch leaves no folder, and its source is read once.
+    """
     cols = columns or [f.name for f in S.TRIP.fields]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch.select(*cols).write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        obs = Observation(f"batch-{batch_id}-{uuid.uuid4().hex[:8]}")
+        staged = f"{path}/_batch_id={batch_id}"
+        batch.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(staged)
+        if obs.get["rows"]:
+            replace_folder(spark, staged, f"{path}/batch_id={batch_id}")
+        else:
+            delete_folder(spark, staged)
 
     return write
 
@@ -150,13 +164,35 @@ def ingest_bronze(
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
-    """Wait for a query (an ``availableNow`` one ends by itself); always stop
-    it and re-raise its error (T7)."""
+    """Wait until a query ends by itself, as an ``availableNow`` one does.
+
+    Its error is re-raised. A query still running after ``timeout_s`` is
+    stopped and raises ``TimeoutError``: what it has written is only part of
+    its input. To run a continuous query for a while, use ``run_for``.
+    """
     try:
-        query.awaitTermination(timeout_s)
+        ended = query.awaitTermination() is None if timeout_s is None else query.awaitTermination(timeout_s)
+    except Exception as e:
+        raise RuntimeError(f"streaming query {query.id} failed: {e}") from e
     finally:
         if query.isActive:
             query.stop()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
+    if not ended:
+        raise TimeoutError(f"streaming query {query.id} was stopped after {timeout_s} s with input left to read")
     return query
+
+
+def run_for(query: StreamingQuery, seconds: float | None = None) -> bool:
+    """Run a continuous query, for ``seconds`` if given, then stop it.
+
+    Returns whether it was stopped here (its checkpoint holds the place, and
+    a restart goes on from it). Its error is re-raised.
+    """
+    try:
+        ended = query.awaitTermination() is None if seconds is None else query.awaitTermination(seconds)
+    except Exception as e:
+        raise RuntimeError(f"streaming query {query.id} failed: {e}") from e
+    finally:
+        if query.isActive:
+            query.stop()
+    return not ended
