@@ -60,6 +60,14 @@ def test_words_get_the_librarys_ids(lib):
             assert np.frombuffer(got, "<u4").tolist() == ids_of(lib, t)[:-1], t
 
 
+def test_every_latin_character_and_more(lib):
+    e = TF.WordEncoder(PATH, "<u4")
+    points = [*range(1, 0x400), *range(0x1E00, 0x2100), 0x212A, 0x212B, 0xFB01, 0x1F600]
+    texts = [t for p in points for c in [chr(p)] for t in (f"a{c}b.", f"{c}", f"A{c}\u0301 x{c}{c}'s", f"e {c}1,")]
+    for t, got, want in zip(texts, e.encode([t.encode() for t in texts]), lib.encode_batch_fast(texts, add_special_tokens=False)):
+        assert np.frombuffer(got, "<u4").tolist() == want.ids, repr(t)
+
+
 def test_table(spark, lib, monkeypatch):
     monkeypatch.setattr(TF, "BLOCK_TOKENS", 300)
     rows = [(7, "the long text " * 400, 1), (None, "no id", 2), (3, "Twice", 3), (3, "Twice", 3), (3, None, 4), (1, "", 5), (9, "end <|endoftext|>", 6)]

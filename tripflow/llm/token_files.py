@@ -27,12 +27,13 @@ empty table gives no blocks and no rows.
 from __future__ import annotations
 
 import json
-import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,14 +41,15 @@ from pyspark.sql import functions as F
 from tripflow.session import scratch_path
 
 from .common import BoundedCache, require, sliced, utf8_of, worker_memo
+from .token_counts import byte_letters
 
 SCALE_BITS = 20
 LOWER = 31  # states stay in [2**31, 2**63)
 BLOCK_TOKENS = 1 << 17
 CHECKPOINT_TOKENS = 1 << 16
 LANES = 512
-WORD_MEMO = 600_000
-_ASCII_PRE_TOKENS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+WORD_MEMO = 1_000_000
+LAST_LATIN = "\u024f"
 
 
 # --- text to ids --------------------------------------------------------------
@@ -56,8 +58,10 @@ class WordEncoder:
 
     A tokenizer whose normalizer lower-cases and whose pre-tokenizer drops
     white space gives a text the ids of its space-separated words one after
-    another, so each distinct word goes to the library once. Files of any
-    other make are encoded text by text.
+    another, so each distinct word is encoded once. Words of Latin letters are
+    normalised and split here and their pre-tokens go to the library's BPE
+    model; any others go through the whole library. Files of any other make
+    are encoded text by text.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -68,13 +72,19 @@ class WordEncoder:
             spec = json.load(f)
         parts = (spec.get("normalizer") or {}).get("normalizers", [])
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        pattern = splits[0].get("pattern", {}).get("Regex", "")
         self.by_word = (
             [p["type"] for p in parts] == ["NFC", "Replace", "Lowercase"]
             and splits[0].get("type") == "Split"
             and splits[0].get("behavior") == "Removed"
             and bool(splits[0].get("invert"))
-            and splits[0]["pattern"].get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            and pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            and [p["type"] for p in splits[1:]] == ["ByteLevel"]
+            and not splits[1].get("add_prefix_space")
+            and not splits[1].get("use_regex")
         )
+        self.pattern = regex.compile(pattern)
+        self.letters = dict(enumerate(byte_letters()))
         self.memo = BoundedCache(WORD_MEMO)
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -83,6 +93,27 @@ class WordEncoder:
             out += [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts[s : s + 1000], add_special_tokens=False)]
         return out
 
+    def _pre_token(self, p: bytes) -> bytes:
+        """Ids of one normalised pre-token; its bytes become the letters of the byte-level vocabulary."""
+        known = self.memo.get(p)
+        if known is None:
+            spelled = p.decode("ascii") if p.isalpha() else p.decode("latin-1").translate(self.letters)
+            known = self.memo[p] = np.array([t.id for t in self.library.model.tokenize(spelled)], self.dtype).tobytes()
+        return known
+
+    def _word(self, w: bytes) -> bytes | None:
+        """Ids of a word; None if it needs the whole library."""
+        one = self._pre_token
+        if w.isalpha() and w.islower():
+            return one(w)
+        if w[-1] in b".," and w[:-1].isalpha() and w.islower():
+            return one(w[:-1]) + one(w[-1:])
+        text = w.decode("utf-8")
+        if b"<|" in w or max(text) > LAST_LATIN:
+            return None
+        text = unicodedata.normalize("NFC", text).lower()
+        return b"".join([one(p.encode("utf-8")) for p in self.pattern.findall(text)])
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian bytes."""
         if not self.by_word:
@@ -91,21 +122,17 @@ class WordEncoder:
         words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         known = self.memo
         new = set().union(*words).difference(known)
-        known.room(2 * len(new))
-        if not known:
+        if len(known) + 2 * len(new) > known.limit:
+            known.clear()
             new = set().union(*words)
-        plain, odd = {}, []
+        odd = []
         for w in new:
-            if w.isascii() and b"'" not in w and b"<|" not in w and w == w.lower():
-                plain[w] = _ASCII_PRE_TOKENS.findall(w)
-            else:
+            ids = self._word(w)
+            if ids is None:
                 odd.append(w)
-        runs = list({p for ps in plain.values() for p in ps if p not in known})
-        todo = runs + odd
-        known.update(zip(todo, self._library([w.decode("utf-8") for w in todo])))
-        for w, ps in plain.items():
-            if w not in known:
-                known[w] = b"".join([known[p] for p in ps])
+            else:
+                known[w] = ids
+        known.update(zip(odd, self._library([w.decode("utf-8") for w in odd])))
         return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
 
