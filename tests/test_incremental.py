@@ -75,3 +75,31 @@ def test_late_trips_for_a_finished_day_are_included(spark, tmp_path):
     day5 = SF.read_table(spark, gold_root).filter(F.col("pickup_day") == 5)
     assert day5.count() > partial_day5  # the late trips added gold rows to day 5
     assert _gold_rows(SF.read_table(spark, gold_root)) == _gold_rows(G.build_gold(silver))
+
+
+def test_a_later_batch_reads_its_own_trips_and_parts_only(spark, tmp_path):
+    """The second batch of a day must not need the first batch's trips."""
+    import shutil
+
+    silver = SV.build_silver(read_trips(spark, SF_SMALL))
+    morning = F.col("pickup_hour") < 12
+    silver_root, gold_root = str(tmp_path / "silver"), str(tmp_path / "gold")
+    write = INC.silver_gold_batch_writer(spark, silver_root, gold_root)
+    write(silver.filter(morning), 0)
+    for folder, dirs, _ in os.walk(silver_root):
+        for d in dirs:
+            if d == f"{INC.BATCH_COL}=0":
+                shutil.move(os.path.join(folder, d), os.path.join(folder, "_gone"))
+    write(silver.filter(~morning), 1)
+    assert _gold_rows(SF.read_table(spark, gold_root)) == _gold_rows(G.build_gold(silver))
+
+
+def test_bad_rows_are_diverted_per_batch(spark, tmp_path):
+    t = read_trips(spark, SF_SMALL).withColumn(S.PICKUP_TS, F.when(F.col("VendorID") == "2", F.lit("noon")).otherwise(F.col(S.PICKUP_TS)))
+    bronze = str(tmp_path / "bronze")
+    write_table(t, bronze, "json", "overwrite")
+    run_to_end(INC.silver_gold_incremental(spark, bronze, str(tmp_path / "s"), str(tmp_path / "g"), str(tmp_path / "c"), on_bad_value="null"))
+    good, bad = SV.split_silver(t)
+    assert SF.read_table(spark, str(tmp_path / "s")).count() == good.count() > 0
+    assert spark.read.parquet(str(tmp_path / "s_rejects")).count() == bad.count() > 0
+    assert _gold_rows(SF.read_table(spark, str(tmp_path / "g"))) == _gold_rows(G.build_gold(good))

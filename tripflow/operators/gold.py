@@ -26,37 +26,44 @@ def add_rush_hour(df: DataFrame, hour_col: str = "pickup_hour") -> DataFrame:
     return df.withColumn("rush_hour_flag", C.in_hour_ranges(hour_col))
 
 
+# Measure -> (trip column, what it is): all are sums, counts, or a sum over the
+# count of the column's non-null values.
+_SUMS = {"total_fare": "fare_amount", "total_tip": "tip_amount", "total_revenue": "total_amount", "sum_trip_distance": "trip_distance"}
+_FLAGS = {"num_high_tip_trips": "high_tip_flag", "num_long_trips": "is_long_trip", "num_short_trips": "is_short_trip", "num_rush_hour_rides": "rush_hour_flag"}
+_AVERAGES = {"avg_fare": "fare_amount", "avg_tip_pct": "tip_pct", "avg_trip_distance": "trip_distance", "avg_trip_duration": "trip_duration_minutes"}
+
+
 def aggregate(df: DataFrame, keys=S.GOLD_KEYS) -> DataFrame:
-    """Group by the gold keys with the 13 measures (A1–A5).
-
-    ``avg_fare`` and ``avg_trip_distance`` are taken as sum / ride count:
-    the quality rules (``> 0``) leave no null fare or distance in silver, so
-    this is exactly what ``avg`` computes (``avg`` is sum / non-null count),
-    while the shuffled partial rows carry two sums and two counts fewer.
-    ``avg_tip_pct`` and ``avg_trip_duration`` can be null per trip and keep
-    ``avg``.
-    """
-    agg = df.groupBy(*keys).agg(
+    """Group by the gold keys with the 13 measures (A1–A5)."""
+    return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_rides"),
-        F.sum("fare_amount").alias("total_fare"),
-        F.sum("tip_amount").alias("total_tip"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.avg("tip_pct").alias("avg_tip_pct"),
-        F.sum("high_tip_flag").cast("bigint").alias("num_high_tip_trips"),
-        F.avg("trip_duration_minutes").alias("avg_trip_duration"),
-        F.sum("trip_distance").alias("sum_trip_distance"),
-        F.sum("is_long_trip").cast("bigint").alias("num_long_trips"),
-        F.sum("is_short_trip").cast("bigint").alias("num_short_trips"),
-        F.sum("rush_hour_flag").cast("bigint").alias("num_rush_hour_rides"),
+        *[F.sum(c).alias(m) for m, c in _SUMS.items()],
+        *[F.avg(c).alias(m) for m, c in _AVERAGES.items()],
+        *[F.sum(c).cast("bigint").alias(m) for m, c in _FLAGS.items()],
     )
-    return agg.withColumns(
-        {
-            "avg_fare": F.col("total_fare") / F.col("total_rides"),
-            "avg_trip_distance": F.col("sum_trip_distance") / F.col("total_rides"),
-        }
+
+
+def partial_aggregate(df: DataFrame, keys=S.GOLD_KEYS) -> DataFrame:
+    """The same groups as mergeable parts: sums, counts, and a sum and a
+    non-null count per average (``n_*``, ``s_*``)."""
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_rides"),
+        *[F.sum(c).alias(m) for m, c in _SUMS.items()],
+        *[F.sum(c).alias(f"s_{m}") for m, c in _AVERAGES.items()],
+        *[F.count(c).alias(f"n_{m}") for m, c in _AVERAGES.items()],
+        *[F.sum(c).cast("bigint").alias(m) for m, c in _FLAGS.items()],
     )
 
 
+def merge_partials(parts: DataFrame, keys=S.GOLD_KEYS) -> DataFrame:
+    """Parts of ``partial_aggregate`` over disjoint trips → what ``aggregate``
+    gives over all of them."""
+    whole = ["total_rides", *_SUMS, *_FLAGS]
+    summed = parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in [*whole, *[f"{x}_{m}" for m in _AVERAGES for x in "sn"]]])
+    averages = {m: F.when(F.col(f"n_{m}") > 0, F.col(f"s_{m}") / F.col(f"n_{m}")) for m in _AVERAGES}
+    return summed.select(*keys, *whole, *[c.alias(m) for m, c in averages.items()])
+
+
 def add_kpis(agg: DataFrame) -> DataFrame:
     """Derived KPIs over the aggregates, guarded as in the contract (M1–M4)."""
     return agg.withColumns(
@@ -71,8 +78,8 @@ def add_kpis(agg: DataFrame) -> DataFrame:
     )
 
 
-def build_gold(silver: DataFrame, on_bad_value: str = "fail") -> DataFrame:
-    """Silver rows → gold rows (25 columns, see ``schema.GOLD``)."""
+def gold_input(silver: DataFrame, on_bad_value: str = "fail") -> DataFrame:
+    """The 17 silver columns gold needs, with zone ids as int, and the rush flag."""
     needed = [
         *S.GOLD_KEYS,
         "fare_amount",
@@ -85,6 +92,14 @@ def build_gold(silver: DataFrame, on_bad_value: str = "fail") -> DataFrame:
         "is_long_trip",
         "is_short_trip",
     ]
-    df = add_rush_hour(cast_zone_ids(silver.select(*needed), on_bad_value))
-    gold = add_kpis(aggregate(df))
-    return gold.select(*[F.col(f.name).cast(f.dataType) for f in S.GOLD.fields])
+    return add_rush_hour(cast_zone_ids(silver.select(*needed), on_bad_value))
+
+
+def finish_gold(agg: DataFrame) -> DataFrame:
+    """Aggregates → gold rows (25 columns, see ``schema.GOLD``)."""
+    return add_kpis(agg).select(*[F.col(f.name).cast(f.dataType) for f in S.GOLD.fields])
+
+
+def build_gold(silver: DataFrame, on_bad_value: str = "fail") -> DataFrame:
+    """Silver rows → gold rows."""
+    return finish_gold(aggregate(gold_input(silver, on_bad_value)))

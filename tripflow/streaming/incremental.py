@@ -16,11 +16,17 @@ Per micro-batch (``foreachBatch``):
    are collected while it is written (``observe`` with ``collect_set``: one
    small set per task, bounded by the days in the batch), with no second
    pass over it;
-2. rebuild gold for just those days: their silver folders are read by path
-   (only they are listed, never the whole table), aggregated, and replace
-   their gold days (dynamic overwrite). A gold day depends only on that
-   day's trips, so the result equals a full rebuild, and a replay recomputes
-   the same days.
+2. aggregate just those new trips to the gold keys, as mergeable parts (sums
+   and counts), and write them under ``<gold>_partials/…day…/ingest_batch=N``,
+   again replacing only the batch's own folders;
+3. rebuild gold for just those days by merging their parts: a micro-batch
+   reads its own trips and one small part per earlier batch of a day, never
+   the day's trips again. All measures are sums and counts (averages are
+   divided at the end), so the result equals a full rebuild, and a replay
+   rewrites the same parts and days.
+
+With ``on_bad_value="null"``, clean trips with a datetime that does not parse
+are diverted per batch to ``reject_path/batch_id=N``.
 
 Readers see silver as one table: ``ingest_batch`` is one more partition
 column below the day, and filters on the pickup day still prune folders.
@@ -36,19 +42,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripflow import schema as S
-from tripflow.operators.gold import build_gold
-from tripflow.operators.silver import build_silver
+from tripflow.operators.gold import finish_gold, gold_input, merge_partials, partial_aggregate
+from tripflow.operators.silver import build_silver, split_silver
 from tripflow.sinks.files import write_partitioned
 from tripflow.sources import files as SF
-from tripflow.streaming.ingest import with_trigger
+from tripflow.streaming.ingest import batch_writer, with_trigger
 
 BATCH_COL = "ingest_batch"
 SILVER_LAYOUT = [*S.PARTITION_COLS, BATCH_COL]
 
 
+def partials_of(gold_path: str) -> str:
+    """Where the mergeable parts of a gold table lie."""
+    return f"{gold_path.rstrip('/')}_partials"
+
+
 def silver_gold_batch_writer(spark: SparkSession, silver_path: str, gold_path: str, on_bad_value: str = "fail"):
-    """The ``foreachBatch`` function: write a batch of silver rows into its
-    own folders, then rebuild the gold days it touched (idempotent)."""
+    """Function of (silver rows, batch id): write the rows into the batch's own
+    folders, then rebuild the gold days it touched (idempotent)."""
+    partials = partials_of(gold_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"days-{batch_id}")
@@ -61,7 +73,10 @@ def silver_gold_batch_writer(spark: SparkSession, silver_path: str, gold_path: s
         days = [tuple(d) for d in obs.get.get("days") or []]
         if not days:
             return  # an empty batch: nothing written, nothing to refresh
-        gold = build_gold(SF.read_days(spark, silver_path, days), on_bad_value)
+        new = SF.read_days(spark, silver_path, [(*d, batch_id) for d in days], SILVER_LAYOUT)
+        parts = partial_aggregate(gold_input(new, on_bad_value)).withColumn(BATCH_COL, F.lit(batch_id))
+        write_partitioned(parts, partials, partition_cols=SILVER_LAYOUT, dynamic=True)
+        gold = finish_gold(merge_partials(SF.read_days(spark, partials, days)))
         write_partitioned(gold, gold_path, dynamic=True)
 
     return write
@@ -78,6 +93,7 @@ def silver_gold_incremental(
     max_files_per_trigger: int | None = None,
     on_bad_value: str = "fail",
     nan_policy: str = "keep",
+    reject_path: str | None = None,
 ) -> StreamingQuery:
     """Start the incremental silver + gold query over a bronze directory.
 
@@ -88,6 +104,17 @@ def silver_gold_incremental(
     reader = spark.readStream.schema(S.TRIP).format(bronze_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    silver = build_silver(reader.load(bronze_path), on_bad_value, nan_policy)
-    writer = silver.writeStream.foreachBatch(silver_gold_batch_writer(spark, silver_path, gold_path, on_bad_value))
+    bronze = reader.load(bronze_path)
+    write = silver_gold_batch_writer(spark, silver_path, gold_path, on_bad_value)
+    rejected = batch_writer(reject_path or f"{silver_path.rstrip('/')}_rejects")
+
+    def write_bronze(batch: DataFrame, batch_id: int) -> None:
+        if on_bad_value == "null":
+            silver, bad = split_silver(batch, nan_policy)
+            rejected(bad, batch_id)
+        else:
+            silver = build_silver(batch, on_bad_value, nan_policy)
+        write(silver, batch_id)
+
+    writer = bronze.writeStream.foreachBatch(write_bronze)
     return with_trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
