@@ -10,10 +10,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tripflow.plans import catalog, oracle
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.oracle_sql()
 
 
 def _norm(v):
@@ -37,10 +38,9 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"preview"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= E.queries().items() and ORACLE.items() <= E.oracle_sql().items()
 
 
 def test_entry_runs(spark):

@@ -4,9 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tripflow.operators import reports as R
-from tripflow.operators.joins import broadcast_if_small, has_at_most
 from tripflow.plans import catalog as K
-from tripflow.plans import inspect as PI
 from tripflow.sources.trips import read_zones
 
 
@@ -27,25 +25,6 @@ def test_map_boroughs_keeps_unmapped_rows(spark):
     assert out == {(1.0, False, False), (99.0, True, False), (None, True, False)}
 
 
-def test_broadcast_only_within_the_bound(spark):
-    zones = read_zones(spark, SF_SMALL)
-    assert has_at_most(zones, 25) and not has_at_most(zones, 24)
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")  # only our hint may broadcast
-    try:
-        small = zones.withColumnRenamed("zone_id", "k")
-        hinted = big.join(broadcast_if_small(small, 100), "k")
-        fallback = big.join(broadcast_if_small(small, 10), "k")
-        # (read_zones itself broadcasts region inside; look at the outer join)
-        assert "SortMergeJoin" not in PI.physical_section(hinted)
-        assert "SortMergeJoin" in PI.physical_section(fallback)
-        assert sorted(hinted.collect()) == sorted(fallback.collect())
-    finally:
-        spark.conf.set(key, old)
-
-
 def test_busiest_zones_rank_with_ties(spark):
     gold = spark.createDataFrame(
         [(1, 10, 1.0, 1.0, 1.0, 1.0), (2, 10, 2.0, 2.0, 2.0, 2.0), (3, 5, 3.0, 3.0, 3.0, 3.0), (4, 1, 1.0, 1.0, 1.0, 1.0)],
@@ -75,3 +54,15 @@ def test_busiest_zones_equals_rank_over_all_zones(spark):
         expect = sorted(tuple(r) for r in brute.filter(F.col("rank") <= k).collect())
         got = sorted((r["rank"], r.PULocationID, r.rides) for r in R.busiest_zones(gold, k).collect())
         assert got == expect, (n_zones, k)
+
+
+def test_busiest_zones_with_more_tied_zones_than_k(spark):
+    """No task ranks more than k rows, however many zones share a count."""
+    import plan_inspect as PI
+
+    gold = spark.range(5000).selectExpr("cast(id as int) PULocationID", "if(id < 2, 9L, 4L) total_rides", "1d total_fare", "1d total_revenue", "1d total_tip", "1d sum_trip_distance")
+    got = R.busiest_zones(gold, 3)
+    assert sorted((r["rank"], r.PULocationID) for r in got.collect()) == [(1, 0), (1, 1), *[(3, z) for z in range(2, 5000)]]
+    lines = PI.physical_section(got).splitlines()
+    for at in (i for i, ln in enumerate(lines) if "Window" in ln and "rank" in ln):
+        assert any("TakeOrderedAndProject" in ln for ln in lines[at:])

@@ -36,35 +36,48 @@ def test_head_sample(spark):
     assert ids == list(range(10))
 
 
-@pytest.mark.parametrize("total, size", [(1000, 1005), (1003, 105), (9999, 1007), (50, 3), (7, 100), (1005, 1005), (1009, 1009)])
-def test_spread_sample_exact(spark, total, size):
-    chunks = 10
+def brute_spread(total, size, chunks, seed):
+    """Positions and chunks drawn in MD5 order, by sorting every chunk."""
+    import hashlib
+    import random
+
+    size = min(size, total)
+    per, bounds = size // chunks, [(i * total // chunks, (i + 1) * total // chunks) for i in range(chunks)]
+    order = list(range(chunks))
+    random.Random(seed).shuffle(order)
+    extra, left = [0] * chunks, size - per * chunks
+    while left:
+        for i in order:
+            if left and bounds[i][1] - bounds[i][0] > per + extra[i]:
+                extra[i] += 1
+                left -= 1
+    out = set()
+    for i, (lo, hi) in enumerate(bounds):
+        drawn = sorted(range(lo, hi), key=lambda p: hashlib.md5(f"{seed}:{p}".encode()).hexdigest())
+        out |= {(p, i) for p in drawn[:per]} | {(p, chunks) for p in drawn[per : per + extra[i]]}
+    return out
+
+
+@pytest.mark.parametrize("chunks", [1, 7, 10])
+@pytest.mark.parametrize("total, size", [(1000, 1005), (1003, 105), (9999, 1007), (50, 3), (7, 100), (61, 30), (61, 61), (115, 100), (122, 9), (230, 229), (0, 5), (5, 0)])
+def test_spread_sample_exact(spark, total, size, chunks):
     positioned = spark.range(total).withColumnRenamed("id", SM.POS)
     rows = SM.spread_sample(positioned, total, size, chunks, seed=7).collect()
-    want = min(size, total)
-    per = want // chunks
-    bounds = SM.chunk_bounds(total, chunks)
-    assert len(rows) == want
-    assert len({r[SM.POS] for r in rows}) == want  # no repeats
-    for i, (lo, hi) in enumerate(bounds):
-        picked = [r[SM.POS] for r in rows if r[SM.CHUNK] == i]
-        assert len(picked) == per
-        assert all(lo <= p < hi for p in picked)
-    topup = [r for r in rows if r[SM.CHUNK] == chunks]
-    assert len(topup) == want - per * chunks
-    # Brute force: every kept position satisfies the rule or is a top-up.
-    params, per2, tops = SM.spread_plan(total, size, chunks, 7)
-    expect = set(tops)
-    for i, (lo, m, a, b) in enumerate(params):
-        expect |= {lo + j for j in range(m) if (a * j + b) % m < per2}
-    assert {r[SM.POS] for r in rows} == expect
-
-
-def test_chunk_bounds_like_float_split():
-    assert SM.chunk_bounds(25, 10) == [(int(2.5 * i), int(2.5 * (i + 1))) for i in range(10)]
-    b = SM.chunk_bounds(10_000_019, 10)
-    assert b[0][0] == 0 and b[-1][1] == 10_000_019
-    assert all(b[i][1] == b[i + 1][0] for i in range(9))
+    assert len(rows) == min(size, total)
+    assert {(r[SM.POS], r[SM.CHUNK]) for r in rows} == brute_spread(total, size, chunks, 7)
+
+
+def test_chunks_cover_all_positions():
+    for total, chunks in [(25, 10), (10_000_019, 10), (61, 7), (3, 7), (0, 4)]:
+        b = SM.chunk_bounds(total, chunks)
+        assert b[0][0] == 0 and b[-1][1] == total and all(x[1] == y[0] for x, y in zip(b, b[1:]))
+
+
+def test_cut_offs_are_found_when_the_first_share_is_too_small(spark, monkeypatch):
+    total, chunks = 4000, 3
+    monkeypatch.setattr(SM, "draw_key", lambda pos, seed: F.lpad(F.hex(pos + (1 << 40)), 32, "f"))  # keys crowd at the top
+    got = SM.cut_offs(spark, total, {0: [2], 2: [5]}, chunks, 1)
+    assert set(got) == {(0, 2), (2, 5)}
 
 
 def test_spread_sample_is_deterministic(spark):
@@ -93,20 +106,17 @@ def test_file_offsets_in_ranges_equal_running_sum(spark, tmp_path, monkeypatch,
     assert got == expect
 
 
-@pytest.mark.parametrize("plain, hashed, join", [(200_000, 4_000_000, "BroadcastHashJoin"), (1, 4_000_000, "BroadcastHashJoin"), (1, 1, "SortMergeJoin")])
-def test_positions_same_for_every_join_of_the_offsets(spark, tmp_path, monkeypatch, plain, hashed, join):
-    """Path broadcast, path-hash broadcast and shuffle join give the same
-    positions; the first two never shuffle the data."""
-    from tripflow.plans import inspect as PI
+@pytest.mark.parametrize("threshold, join", [("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")])
+def test_positions_same_for_every_join_of_the_offsets(spark, tmp_path, threshold, join):
+    """Spark's size threshold decides how the offsets are joined; positions are the same."""
+    import plan_inspect as PI
 
-    monkeypatch.setattr(SM, "MAX_BROADCAST_FILES", plain)
-    monkeypatch.setattr(SM, "MAX_BROADCAST_HASHED_FILES", hashed)
     df = spark.range(0, 997).withColumn("v", F.col("id") * 2)
     df.repartition(5).write.parquet(str(tmp_path / "t"))
     raw = spark.read.parquet(str(tmp_path / "t")).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     key = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
-    spark.conf.set(key, "-1")  # only the operator's own choice may broadcast
+    spark.conf.set(key, threshold)
     try:
         pos = SM.with_position(raw)
         assert join in PI.physical_section(pos.df)
@@ -120,24 +130,3 @@ def test_positions_same_for_every_join_of_the_offsets(spark, tmp_path, monkeypat
     files = sorted(f for f in os.listdir(tmp_path / "t") if f.endswith(".parquet"))
     expected_ids = [i for f in files for i in pq.read_table(str(tmp_path / "t" / f)).column("id").to_pylist()]
     assert got == list(enumerate(expected_ids)) and pos.total == 997
-
-
-def test_hash_collision_falls_back_to_path_join(spark, tmp_path, monkeypatch):
-    """If two paths share a hash, the hashed broadcast is not used (it would
-    give rows two offsets); the join goes by path instead."""
-    from tripflow.plans import inspect as PI
-
-    monkeypatch.setattr(SM, "MAX_BROADCAST_FILES", 1)
-    monkeypatch.setattr(SM.F, "xxhash64", lambda *cols: F.lit(7).cast("bigint"))  # every path collides
-    spark.range(0, 300).repartition(3).write.parquet(str(tmp_path / "t"))
-    raw = spark.read.parquet(str(tmp_path / "t")).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    try:
-        pos = SM.with_position(raw)
-        assert "_file_key" not in PI.physical_section(pos.df)
-        got = sorted(r[SM.POS] for r in pos.df.collect())
-    finally:
-        spark.conf.set(key, old)
-    assert got == list(range(300))

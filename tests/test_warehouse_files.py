@@ -60,7 +60,7 @@ def test_read_day_keeps_partition_columns(spark, gold_root):
 
 
 def test_list_partitions(spark, gold_root):
-    parts = SF.list_partitions(SF.read_table(spark, gold_root)).collect()
+    parts = SF.list_partitions(spark, gold_root).collect()
     assert len(parts) == 30 and all(p.pickup_year == 2024 for p in parts)
 
 
@@ -130,8 +130,8 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
 
 
 def test_load_verifies_and_reloads_on_duplicates(spark, tmp_path, gold_root, monkeypatch):
-    """A load whose table ends up with extra rows (as a re-run task after a
-    lost executor would leave) is redone with truncate."""
+    """A staging table that ends up with extra rows (as a re-run task after a
+    lost executor would leave) is loaded again before it goes live."""
     import tripflow.sinks.warehouse as WH
 
     url = f"jdbc:derby:{tmp_path}/db3;create=true"
@@ -147,10 +147,67 @@ def test_load_verifies_and_reloads_on_duplicates(spark, tmp_path, gold_root, mon
 
     monkeypatch.setattr(WH, "write_warehouse", flaky_write)
     summary = WH.load_warehouse(gold, url, "gold_aggregates", properties=DERBY)
-    assert calls == ["recreate", "truncate"] and summary.attempts == 2
+    assert calls == ["recreate", "recreate"] and summary.attempts == 2
     assert WH.table_rows(spark, url, "gold_aggregates", DERBY) == gold.count() == summary.rows
 
 
+@pytest.mark.parametrize("policy", ["recreate", "truncate", "append"])
+def test_a_failing_load_leaves_the_old_rows(spark, tmp_path, gold_root, policy):
+    import tripflow.sinks.warehouse as WH
+
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    gold = SF.read_table(spark, gold_root)
+    load_warehouse(gold, url, "gold_aggregates", properties=DERBY)
+    n = gold.count()
+    broken = gold.withColumn("total_fare", F.when(F.col("pickup_day") == 9, F.raise_error(F.lit("bad row"))).otherwise(F.col("total_fare")).cast("double"))
+    with pytest.raises(Exception, match="bad row"):
+        load_warehouse(broken, url, "gold_aggregates", policy, properties=DERBY)
+    assert WH.table_rows(spark, url, "gold_aggregates", DERBY) == n
+    again = load_warehouse(gold, url, "gold_aggregates", policy, properties=DERBY, num_partitions=2)
+    assert WH.table_rows(spark, url, "gold_aggregates", DERBY) == (2 * n if policy == "append" else n)
+    per_day = {(r.pickup_year, r.pickup_month, r.pickup_day): r["count"] for r in gold.groupBy(*S.PARTITION_COLS).count().collect()}
+    assert again.days == per_day and again.partitions == 30
+
+
+def test_warehouse_is_read_by_day(spark, tmp_path, gold_root):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    gold = SF.read_table(spark, gold_root)
+    odd = gold.limit(3).withColumn("pickup_day", F.lit(None).cast("int"))
+    write_warehouse(gold.unionByName(odd), url, "g", properties=DERBY)
+    days = SF.list_partitions(spark, gold_root)
+    for listed in (days, days.limit(4), days.limit(0), days.limit(2).union(spark.createDataFrame([(2024, 1, None)], "y int, m int, d int"))):
+        back = read_warehouse(spark, url, "g", DERBY, days=listed)
+        assert back.rdd.getNumPartitions() == listed.count() + 1
+        assert _rows(back, S.GOLD.names) == _rows(gold.unionByName(odd), S.GOLD.names)
+
+
+def test_head_reads_only_the_files_it_needs(spark, tmp_path):
+    from tripflow.operators import sample as SM
+
+    raw = str(tmp_path / "raw")
+    read_trips(spark, SF_SMALL).repartition(8).write.parquet(raw)
+    head = SM.read_head(spark, raw, 200)
+    assert len([f for f in head.inputFiles() if f.startswith(f"file://{raw}") or raw in f]) == 2  # 125 rows each
+    assert sorted(r[SM.POS] for r in head.collect()) == list(range(200))
+    spark.createDataFrame([], "a int").write.parquet(str(tmp_path / "none"))
+    assert SM.read_head(spark, str(tmp_path / "none"), 5).collect() == []
+
+
+def test_contract_check_finds_differences(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, 3.0, "y")], "pickup_year int, total_fare double, extra string")
+    got = {r.column_name: r for r in S.check_contract(df, S.GOLD).collect()}
+    assert got["pickup_year"].ok and got["total_fare"].n_nulls == 1
+    assert not got["extra"].ok and got["extra"].position is None and got["total_rides"].actual_type is None
+    assert len(got) == len(S.GOLD.names) + 1
+
+
+def test_inferred_bronze_has_all_contract_columns(spark, tmp_path):
+    t = read_trips(spark, SF_SMALL).withColumn("airport_fee", F.lit(None).cast("double"))
+    write_table(t, str(tmp_path / "b"), "json", "overwrite")
+    back = SF.read_bronze(spark, str(tmp_path / "b"), schema=None)
+    assert back.columns == S.TRIP.names and back.filter("airport_fee is not null").count() == 0
+
+
 def _stages_run(spark, group, fn):
     """Stages of all jobs ``fn`` ran (AQE submits each query stage as a job)."""
     sc = spark.sparkContext
@@ -165,11 +222,11 @@ def _stages_run(spark, group, fn):
     return sum(1 for s in stages if not tracker.getStageInfo(s).name.startswith("parquet at"))
 
 
-def test_silver_job_is_map_only_unless_rebalanced(spark, tmp_path):
+def test_silver_job_rebalances_unless_told_not_to(spark, tmp_path):
     write_table(read_trips(spark, SF_SMALL), str(tmp_path / "bronze"), "json", "overwrite")
-    plain = _stages_run(spark, "silver-plain", lambda: J.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "s1")))
+    plain = _stages_run(spark, "silver-plain", lambda: J.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "s1"), rebalance=False))
     shuffled = _stages_run(
-        spark, "silver-rebalanced", lambda: J.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "s2"), rebalance=True)
+        spark, "silver-rebalanced", lambda: J.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "s2"))
     )
     assert plain == 1  # scan → clean → enrich → write, one stage
     assert shuffled >= 2  # the rebalance exchange splits it

@@ -11,10 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions import columns as C
-from tripflow.operators.joins import broadcast_if_small
-
-# A zone dimension bigger than this is joined by shuffle, not broadcast.
-MAX_ZONE_ROWS = 100_000
 
 
 def _rollup(gold: DataFrame, keys: list[str]) -> DataFrame:
@@ -30,10 +26,10 @@ def _rollup(gold: DataFrame, keys: list[str]) -> DataFrame:
 def map_boroughs(trips: DataFrame, zones: DataFrame, pu: str = "PULocationID", do: str = "DOLocationID") -> DataFrame:
     """Row-level borough mapping: adds pickup/dropoff zone and borough (B1).
 
-    ``zones`` is (zone_id, zone, borough); it is broadcast when its size is
-    proven small, else joined by shuffle. Left joins keep unmapped trips.
+    ``zones`` is (zone_id, zone, borough). No hint: Spark broadcasts it while
+    its bytes are below the threshold. Left joins keep unmapped trips.
     """
-    z = broadcast_if_small(zones.select("zone_id", "zone", "borough"), MAX_ZONE_ROWS)
+    z = zones.select("zone_id", "zone", "borough")
     pz = z.select(F.col("zone_id").alias("_pz"), F.col("zone").alias("pickup_zone"), F.col("borough").alias("pickup_borough"))
     dz = z.select(F.col("zone_id").alias("_dz"), F.col("zone").alias("dropoff_zone"), F.col("borough").alias("dropoff_borough"))
     out = trips.join(pz, F.col(pu).cast("int") == F.col("_pz"), "left")
@@ -64,18 +60,17 @@ def peak_hours(gold: DataFrame, k: int = 5) -> DataFrame:
 def busiest_zones(gold: DataFrame, k: int = 3) -> DataFrame:
     """Pickup zones whose rank by rides is ≤ k, with rank() ties.
 
-    Gold is aggregated once to one row per pickup zone (partial aggregate,
-    then a shuffle on the zone id). ``rank ≤ k`` holds exactly for the zones
-    with at least as many rides as the k-th largest count, so that count is
-    found first, by a top-k whose tasks each keep only k rows, as a scalar
-    subquery. The rank window then runs over the kept zones only: k rows
-    plus ties, whatever the number of zones.
+    Gold is aggregated to one row per pickup zone. A top-k (each task keeps k
+    rows) gives the k largest counts; a count's rank is one more than the
+    number of larger ones, all of which are among those k. Zones then join
+    the ranks by count: at most k rows are ever ranked in one task, however
+    many zones share a count.
     """
     agg = _rollup(gold, ["PULocationID"])
-    kth = agg.orderBy(F.desc("rides")).limit(k).agg(F.min("rides")).scalar()
-    w = Window.orderBy(F.desc("rides"))
-    return agg.filter(F.col("rides") >= kth).select(
-        F.rank().over(w).alias("rank"),
+    top = agg.select("rides").orderBy(F.desc("rides")).limit(k)
+    ranks = top.select("rides", F.rank().over(Window.orderBy(F.desc("rides"))).alias("rank")).distinct()
+    return agg.join(F.broadcast(ranks), "rides").select(  # at most k rows
+        "rank",
         "PULocationID",
         "rides",
         "revenue",

@@ -7,50 +7,31 @@ aggregated, so numbering the rows needs no shuffle of the data and no global
 window; the offset table has one row per file, and its running sum is itself
 computed in ranges (``file_offsets``).
 
-The spread sample cuts the positions into equal contiguous chunks and takes
-exactly ``sample_size // chunks`` rows from each, without replacement. The
-choice inside a chunk of ``m`` rows keeps local offset ``j`` when
-``(a*j + b) mod m < k``: since ``j → (a*j + b) mod m`` is a permutation of
-``0..m-1`` for ``gcd(a, m) = 1``, this keeps exactly ``k`` rows, spread over
-the chunk, decided row by row. The rounding shortfall (fewer than ``chunks``
-rows) is drawn from rows not yet picked, so no row repeats; those few
-positions are found by inverting the permutation, not by scanning.
+The spread sample cuts the positions into equal contiguous chunks and draws
+``sample_size // chunks`` rows from each, without replacement: those with the
+lowest keyed hash (MD5 of seed and position), which is a random draw that any
+engine can repeat. The rounding shortfall (fewer than ``chunks`` rows) takes
+the next-lowest of chunks in a seeded order. The hashes depend on positions
+alone, so each chunk's cut-off is found without touching the data, and picking
+rows is a row-local filter.
 """
 
 from __future__ import annotations
 
-import math
 import random
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripflow.session import checkpoint_root
+from tripflow.session import scratch_path
 
 POS = "_pos"
 CHUNK = "_chunk"
 
-# Files whose (path, offset) table may be broadcast as is (~100 bytes a file).
-MAX_BROADCAST_FILES = 200_000
-# Beyond that, up to this many files are broadcast keyed by a 64-bit hash of
-# the path (16 bytes a file, ~64 MB at the bound) when no two paths collide;
-# only beyond it, or on a collision, does the join shuffle the data by file.
-MAX_BROADCAST_HASHED_FILES = 4_000_000
 # Files per range of the running sum over the file list (rows one window
 # task sorts); the number of ranges follows from the file count.
 FILES_PER_RANGE = 100_000
-# a*j must stay below 2**63: a < 2**20 allows chunks of up to 2**43 rows.
-_MAX_MULTIPLIER = 1 << 20
-
-
-def _chunk_expr(bounds: list[tuple[int, int]]) -> Column:
-    pos = F.col(POS)
-    expr = None
-    for i, (lo, hi) in enumerate(bounds):
-        cond = (pos >= lo) & (pos < hi)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
 
 
 def file_offsets(df: DataFrame, file_col: str = "_file", buckets: int | None = None) -> DataFrame:
@@ -58,26 +39,31 @@ def file_offsets(df: DataFrame, file_col: str = "_file", buckets: int | None = N
 
     A two-level prefix sum, so no task ever holds the whole file list:
 
-    1. one row per file (only the file-path metadata column is read),
-       checkpointed: the data is scanned once, and the file count sizes the
-       ranges below;
+    1. one row per file (only the file-path metadata column is read), stored:
+       the data is scanned once, and the file count sizes the ranges below;
     2. the files are range-partitioned by name into ``buckets`` contiguous
        ranges (default: one per ``FILES_PER_RANGE`` files) and each row is
        tagged with its range's index (``spark_partition_id`` right after the
        range exchange, so the index order is the name order);
     3. a window *partitioned by range* gives each file's offset inside its
-       range; this table is checkpointed too, so both uses below see the same
-       range assignment even if a task is re-run;
+       range; this is stored too, so both uses below see the same ranges even
+       if a task is re-run;
     4. the range totals (one row per range) get their own running sum, over
        at most ``buckets`` rows, and are broadcast back: that size bound holds
        by construction.
     """
-    checkpoint_root(df.sparkSession)
-    counts = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rows")).checkpoint(eager=True)
+    spark = df.sparkSession
+
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    counts = stored(df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rows")), "file-rows")
     n = buckets or max(1, -(-counts.count() // FILES_PER_RANGE))
     ranged = counts.repartitionByRange(n, file_col).withColumn("_bucket", F.spark_partition_id())
     inside = Window.partitionBy("_bucket").orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).checkpoint(eager=True)
+    local = stored(ranged.withColumn("_local", F.coalesce(F.sum("_rows").over(inside), F.lit(0))), "file-offsets")
     totals = local.groupBy("_bucket").agg(F.sum("_rows").alias("_bucket_rows"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_bucket", F.coalesce(F.sum("_bucket_rows").over(before), F.lit(0)).alias("_base"))
@@ -94,84 +80,93 @@ class Positioned(NamedTuple):
 def with_position(df: DataFrame, file_col: str = "_file", row_col: str = "_row") -> Positioned:
     """Add ``_pos`` (0-based row position in file order); drops the helpers.
 
-    The offset table is computed once and checkpointed to the shared
-    checkpoint directory. One small job over it gives the row total, the
-    file count and the number of distinct path hashes; the file count is the
-    proven size bound for the broadcast of the offsets:
-
-    * up to ``MAX_BROADCAST_FILES`` files: broadcast (path, offset);
-    * up to ``MAX_BROADCAST_HASHED_FILES`` files whose path hashes are all
-      distinct: broadcast (hash, offset), joined on the hash of each row's
-      path, so the data is still not shuffled;
-    * otherwise: a shuffle join on the path.
+    The (file, offset) table is joined by file path without a hint: Spark
+    broadcasts it while it is below its threshold, else both sides shuffle by
+    file and adaptive execution splits a large file's rows.
     """
-    checkpoint_root(df.sparkSession)
-    offsets = file_offsets(df, file_col).checkpoint(eager=True)
-    key = F.xxhash64(F.col(file_col))
-    stats = offsets.agg(
-        F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.count_distinct(key).alias("hashes")
-    ).first()
-    total, files = int(stats["rows"] or 0), int(stats["files"])
-    if files <= MAX_BROADCAST_FILES:
-        joined = df.join(F.broadcast(offsets.select(file_col, "_offset")), file_col, "inner")
-    elif files <= MAX_BROADCAST_HASHED_FILES and int(stats["hashes"]) == files:
-        side = F.broadcast(offsets.select(key.alias("_file_key"), "_offset"))
-        joined = df.withColumn("_file_key", key).join(side, "_file_key", "inner").drop("_file_key")
-    else:
-        joined = df.join(offsets.select(file_col, "_offset"), file_col, "inner")
-    positioned = joined.withColumn(POS, F.col("_offset") + F.col(row_col)).drop("_offset", file_col, row_col)
-    return Positioned(positioned, total)
+    offsets = file_offsets(df, file_col)
+    total = int(offsets.agg(F.sum("_rows")).first()[0] or 0)
+    joined = df.join(offsets.select(file_col, "_offset"), file_col)
+    return Positioned(joined.withColumn(POS, F.col("_offset") + F.col(row_col)).drop("_offset", file_col, row_col), total)
 
 
 def head_sample(positioned: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows in file order (L3): a map-only filter."""
+    """The first ``n`` rows in file order (L3) of a positioned table: a map-only filter."""
     return positioned.filter(F.col(POS) < n)
 
 
+def read_head(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The first ``n`` rows of a Parquet table in file order, with ``_pos`` (L3).
+
+    Rows per file come from the files' footers (no column is read); only the
+    files that hold a position below ``n`` (at most ``n`` of them) are opened
+    for data.
+    """
+    listing = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("_file"))
+    first = file_offsets(listing).filter(F.col("_offset") < n).orderBy("_offset").collect()
+    if not first:
+        return spark.read.parquet(path).withColumn(POS, F.lit(0).cast("bigint")).limit(0)
+    offsets = spark.createDataFrame([(r["_file"], r["_offset"]) for r in first], "_file string, _offset bigint")
+    rows = spark.read.parquet(*[r["_file"] for r in first]).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return head_sample(rows.join(F.broadcast(offsets), "_file").withColumn(POS, F.col("_offset") + F.col("_row")).drop("_file", "_offset", "_row"), n)
+
+
 def chunk_bounds(total: int, chunks: int) -> list[tuple[int, int]]:
-    """[start, end) of each chunk: ``int(total / chunks * i)``, as float maths."""
-    return [(int((total / chunks) * i), int((total / chunks) * (i + 1))) for i in range(chunks)]
+    """[start, end) of each chunk, in whole numbers: they cover 0..total-1."""
+    return [(i * total // chunks, (i + 1) * total // chunks) for i in range(chunks)]
 
 
-def _multiplier(m: int, rng: random.Random) -> int:
-    if m <= 1:
-        return 1
-    while True:
-        a = rng.randrange(1, min(m, _MAX_MULTIPLIER) + 1)
-        if math.gcd(a, m) == 1:
-            return a
+def chunk_of(pos: Column, total: int, chunks: int) -> Column:
+    """Index of the chunk that holds a position."""
+    # The largest i with i * total // chunks <= pos, in whole numbers (pos * chunks fits a long).
+    return F.call_function("div", (pos + 1) * F.lit(chunks).cast("bigint") - 1, F.lit(max(total, 1)).cast("bigint")).cast("int")
 
 
-def spread_plan(total: int, sample_size: int, chunks: int, seed: int):
-    """Per-chunk (start, size, a, b), rows per chunk, and top-up positions.
+def draw_key(pos: Column, seed: int) -> Column:
+    """The keyed hash of a position, as hex text; rows are drawn in its order."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), pos.cast("string")))
 
-    Chunk ``i`` keeps local offset ``j`` iff ``(a*j + b) mod m < per``. Its
-    unpicked offsets are ``a⁻¹·(r − b) mod m`` for ``r`` in ``[per, m)``, so
-    the top-up (fewer than ``chunks`` rows) is chosen here, without a pass
-    over the data: random chunks, random ``r`` values, no repeats.
+
+def topup_chunks(sizes: list[int], per: int, shortfall: int, seed: int) -> list[int]:
+    """Extra rows of each chunk: one at a time, in a seeded order, where rows are left."""
+    order = list(range(len(sizes)))
+    random.Random(seed).shuffle(order)
+    extra = [0] * len(sizes)
+    while shortfall and any(sizes[i] > per + extra[i] for i in order):
+        for i in order:
+            if shortfall and sizes[i] > per + extra[i]:
+                extra[i] += 1
+                shortfall -= 1
+    return extra
+
+
+def cut_offs(spark: SparkSession, total: int, wanted: dict[int, list[int]], chunks: int, seed: int) -> dict[tuple[int, int], str]:
+    """Key of the ``rank``-th drawn position (from 1) of each chunk, for the wanted ranks.
+
+    Keys below a generous share of their range are ranked in a window per
+    chunk, a little more rows than the sample has. Should a chunk have fewer
+    such keys than asked for, the share is doubled, up to all of them.
     """
-    size = min(sample_size, total)
-    per = size // chunks
-    rng = random.Random(seed)
-    params = []
-    for lo, hi in chunk_bounds(total, chunks):
-        m = hi - lo
-        params.append((lo, m, _multiplier(m, rng), rng.randrange(0, max(m, 1))))
-    shortfall = size - per * chunks
-    topup: list[int] = []
-    order = list(range(chunks))
-    rng.shuffle(order)
-    for i in order:
-        if len(topup) == shortfall:
+    bounds = chunk_bounds(total, chunks)
+    found: dict[tuple[int, int], str] = {}
+    slack = 1.0
+    while todo := {i: [r for r in ranks if (i, r) not in found] for i, ranks in wanted.items()}:
+        todo = {i: ranks for i, ranks in todo.items() if ranks}
+        if not todo:
             break
-        lo, m, a, b = params[i]
-        take = min(m - per, shortfall - len(topup))
-        if take <= 0:
-            continue
-        a_inv = pow(a, -1, m)
-        for r in rng.sample(range(per, m), take):
-            topup.append(lo + (a_inv * (r - b)) % m)
-    return params, per, topup
+        share = max(min(1.0, slack * (max(r) + 8 * max(r) ** 0.5 + 20) / (bounds[i][1] - bounds[i][0])) for i, r in todo.items())
+        pos = spark.range(total).withColumn("chunk", chunk_of(F.col("id"), total, chunks)).withColumn("key", draw_key(F.col("id"), seed))
+        near = pos.filter(F.col("chunk").isin(list(todo)))
+        if share < 1:
+            near = near.filter(F.col("key") < f"{int(share * 16**8):08x}")
+        ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("chunk").orderBy("key", "id")))
+        asked = [F.col("chunk").eqNullSafe(i) & F.col("rank").isin(ranks) for i, ranks in todo.items()]
+        condition = asked[0]
+        for c in asked[1:]:
+            condition = condition | c
+        found |= {(r.chunk, r.rank): r.key for r in ranked.filter(condition).collect()}
+        slack *= 2
+    return found
 
 
 def spread_sample(positioned: DataFrame, total: int, sample_size: int = 100_000, chunks: int = 10, seed: int = 42) -> DataFrame:
@@ -180,16 +175,18 @@ def spread_sample(positioned: DataFrame, total: int, sample_size: int = 100_000,
     One row-local filter over the data. Returns the picked rows with
     ``_chunk`` = chunk index, or ``chunks`` for the top-up rows.
     """
-    params, per, topup = spread_plan(total, sample_size, chunks, seed)
-    bounds = [(lo, lo + m) for lo, m, _, _ in params]
-    chunk = _chunk_expr(bounds)
-
-    def at(k):
-        return F.element_at(F.array(*[F.lit(p[k]) for p in params]), chunk + 1)
-
-    j = F.col(POS) - at(0)
-    picked = F.pmod(at(2).cast("bigint") * j + at(3), at(1)) < per
-    in_topup = F.col(POS).isin(topup) if topup else F.lit(False)
-    return positioned.filter(picked | in_topup).withColumn(
-        CHUNK, F.when(in_topup, F.lit(chunks)).otherwise(chunk)
-    )
+    size = min(sample_size, total)
+    per = size // chunks
+    sizes = [hi - lo for lo, hi in chunk_bounds(total, chunks)]
+    extra = topup_chunks(sizes, per, size - per * chunks, seed)
+    wanted = {i: [r for r in {per, per + extra[i]} if r] for i in range(chunks)}
+    cut = cut_offs(positioned.sparkSession, total, wanted, chunks, seed) if size else {}
+
+    def at(ranks: list[int]) -> Column:
+        # Every key is above the empty text.
+        return F.element_at(F.array(*[F.lit(cut.get((i, r), "")) for i, r in enumerate(ranks)]), F.col(CHUNK) + 1)
+
+    keyed = positioned.withColumn(CHUNK, chunk_of(F.col(POS), total, chunks)).withColumn("_key", draw_key(F.col(POS), seed))
+    last = at([per + e for e in extra])
+    picked = keyed.filter(F.col("_key") <= last)
+    return picked.withColumn(CHUNK, F.when(F.col("_key") <= at([per] * chunks), F.col(CHUNK)).otherwise(F.lit(chunks))).drop("_key")

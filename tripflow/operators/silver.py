@@ -118,9 +118,23 @@ def build_silver(bronze: DataFrame, on_bad_value: str = "fail", nan_policy: str
 
 
 def divert_unparsable(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split clean bronze rows by whether both datetimes parse (D4, "null" mode).
+    """Split bronze rows by whether both datetimes parse (D4, "null" mode).
 
-    Returns (parsable, unparsable); use with ``on_bad_value="null"``.
+    Returns (parsable, unparsable); a missing datetime is not unparsable (the
+    quality rules deal with it).
     """
-    ok = C.parse_ts(S.PICKUP_TS, on_bad_value="null").isNotNull() & C.parse_ts(S.DROPOFF_TS, on_bad_value="null").isNotNull()
-    return bronze.filter(ok), bronze.filter(~ok)
+
+    def bad(column: str) -> Column:
+        return F.col(column).isNotNull() & C.parse_ts(column, on_bad_value="null").isNull()
+
+    garbled = bad(S.PICKUP_TS) | bad(S.DROPOFF_TS)
+    return bronze.filter(~garbled), bronze.filter(garbled)
+
+
+def split_silver(bronze: DataFrame, nan_policy: str = "keep") -> tuple[DataFrame, DataFrame]:
+    """(silver rows, diverted trips) of "null" mode: a clean trip with a datetime
+    that does not parse is diverted with its text, not kept with nulls."""
+    bronze = bronze.select(*[F.col(f.name) for f in S.TRIP.fields])
+    typed = nan_to_null(cast_measures(bronze, on_bad_value="null"), nan_policy)
+    good, bad = divert_unparsable(clean(typed))
+    return enrich(good, on_bad_value="null"), bad

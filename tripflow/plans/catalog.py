@@ -40,6 +40,8 @@ ONE_DAY = (2024, 1, 15)
 HEAD_ROWS = 1000
 SPREAD_ROWS = 1005
 SPREAD_CHUNKS = 10
+SPREAD_SEED = 42
+PREVIEW_ROWS = 5
 TOP_HOURS = 5
 TOP_ZONES = 3
 # The ingest restart query stops the stream at this pickup time.
@@ -184,7 +186,13 @@ def q_silver_profile(spark, sf):
 
 # --- limits and samples -----------------------------------------------------
 def q_preview(spark, sf):
-    return gold(spark, sf).limit(5)
+    # Which rows an unordered limit returns is open; how many, and that each
+    # is a gold row, is not.
+    g = SF.read_table(spark, _written_gold(spark, sf))
+    shown = g.limit(PREVIEW_ROWS).select(*S.GOLD_KEYS)
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"g.{k}")) for k in S.GOLD_KEYS]
+    found = shown.alias("s").join(g.alias("g"), same, "left").select(F.col("g.total_rides").isNotNull().cast("int").alias("f"))
+    return found.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("f").cast("bigint").alias("n_in_gold"))
 
 
 def q_limit_ordered(spark, sf):
@@ -192,17 +200,22 @@ def q_limit_ordered(spark, sf):
 
 
 def q_sample_head(spark, sf):
-    return _r(SM.head_sample(positioned_trips(spark, sf).df, HEAD_ROWS).select(*TRIP_COLS))
+    head = SM.read_head(spark, table_path(sf, "events"), HEAD_ROWS)
+    return _r(trips_from_events(head).select(*TRIP_COLS))
 
 
-def q_sample_spread(spark, sf):
+def _spread(spark, sf, chunks):
     pos = positioned_trips(spark, sf)
-    sample = SM.spread_sample(pos.df, pos.total, SPREAD_ROWS, SPREAD_CHUNKS, seed=42)
-    by_chunk = sample.groupBy(F.col(SM.CHUNK).cast("string").alias("chunk")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(SM.POS).alias("n_distinct")
-    )
-    overall = sample.agg(F.lit("all").alias("chunk"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(SM.POS).alias("n_distinct"))
-    return by_chunk.unionByName(overall)
+    sample = SM.spread_sample(pos.df, pos.total, SPREAD_ROWS, chunks, seed=SPREAD_SEED)
+    return _r(sample.select(F.col(SM.POS).alias("position"), F.col(SM.CHUNK).alias("chunk"), *TRIP_COLS))
+
+
+def q_sample_spread(spark, sf):
+    return _spread(spark, sf, SPREAD_CHUNKS)
+
+
+def q_sample_spread_7(spark, sf):
+    return _spread(spark, sf, 7)
 
 
 # --- file sources and sinks ---------------------------------------------------
@@ -224,7 +237,7 @@ def q_scan_gold_one_day(spark, sf):
 
 
 def q_list_partitions(spark, sf):
-    return SF.list_partitions(SF.read_table(spark, _written_silver(spark, sf)))
+    return SF.list_partitions(spark, _written_silver(spark, sf))
 
 
 def q_scan_csv(spark, sf):
@@ -256,18 +269,93 @@ def q_gold_refresh_days(spark, sf):
     gold_root = scratch_path(spark, "gold")
     late = F.col("pickup_day").between(10, 12)
     write_partitioned(G.build_gold(SF.read_table(spark, silver_root).filter(~late)), gold_root)
-    days = SF.list_partitions(SF.read_table(spark, silver_root).filter(late))
+    days = SF.list_partitions(spark, silver_root).filter(late)
     out = J.refresh_gold_days(spark, silver_root, gold_root, days)
     return _r(out.select(*S.GOLD.names))
 
 
+def _corrected(silver: DataFrame) -> DataFrame:
+    """Silver after corrections: day 11 emptied, some trips of day 12 without a day."""
+    lost = (F.col("pickup_day") == 12) & (F.col("pickup_hour") < 6)
+    nulled = {c: F.when(lost, F.lit(None).cast("int")).otherwise(F.col(c)) for c in S.PARTITION_COLS}
+    return silver.filter(F.col("pickup_day") != 11).withColumns(nulled)
+
+
+def q_gold_refresh_corrections(spark, sf):
+    # Gold of the table without day 10; then day 10 arrives late, day 11 is
+    # emptied and trips of day 12 lose their day. Refreshing the listed days
+    # must equal a full rebuild over the corrected table.
+    before, after, gold_root = (scratch_path(spark, n) for n in ("silver", "silver", "gold"))
+    write_partitioned(silver(spark, sf).filter(F.col("pickup_day") != 10), before)
+    J.gold_job(spark, before, gold_root)
+    write_partitioned(_corrected(silver(spark, sf)), after)
+    old, new = SF.list_partitions(spark, before), SF.list_partitions(spark, after)
+    listed = F.col("pickup_day").between(10, 12) | F.col("pickup_day").isNull()
+    out = J.refresh_gold_days(spark, after, gold_root, old.union(new).filter(listed))
+    return _r(out.select(*S.GOLD.names))
+
+
+def _dirty_bronze(spark, sf) -> str:
+    """Trips with datetimes that do not parse, NaN and missing values, as JSON bronze."""
+    e = F.col("event_id")
+    t = read_trips(spark, sf, keep=("event_id",))
+    dirty = {
+        S.PICKUP_TS: F.when(e % 29 == 0, F.lit("not a time")).otherwise(F.col(S.PICKUP_TS)),
+        S.DROPOFF_TS: F.when(e % 43 == 0, F.lit("2023-12-31 00:00:00")).otherwise(F.col(S.DROPOFF_TS)),
+        "trip_distance": F.when(e % 31 == 0, F.lit(float("nan"))).otherwise(F.col("trip_distance")),
+        "PULocationID": F.when(e % 37 == 0, F.lit(None).cast("double")).otherwise(F.col("PULocationID")),
+        "DOLocationID": F.when(e % 41 == 0, F.lit(float("nan"))).otherwise(F.col("DOLocationID")),
+    }
+    path = scratch_path(spark, "bronze-dirty")
+    write_table(t.withColumns(dirty).select(*TRIP_COLS), path, "json", "overwrite")
+    return path
+
+
+def q_silver_dirty(spark, sf):
+    out = J.silver_job(spark, _dirty_bronze(spark, sf), scratch_path(spark, "silver"), on_bad_value="null", nan_policy="null")
+    return _r(out.select(*S.SILVER.names))
+
+
+def q_silver_rejects(spark, sf):
+    silver_root = scratch_path(spark, "silver")
+    J.silver_job(spark, _dirty_bronze(spark, sf), silver_root, on_bad_value="null", nan_policy="null", reject_path=f"{silver_root}-bad")
+    return _r(spark.read.parquet(f"{silver_root}-bad").select(*TRIP_COLS))
+
+
+def q_gold_dirty(spark, sf):
+    silver_root = scratch_path(spark, "silver")
+    J.silver_job(spark, _dirty_bronze(spark, sf), silver_root, on_bad_value="null", nan_policy="null")
+    return _r(J.gold_job(spark, silver_root, scratch_path(spark, "gold")).select(*S.GOLD.names))
+
+
+def q_schema_check(spark, sf):
+    parts = [("silver", _written_silver(spark, sf), S.SILVER), ("gold", _written_gold(spark, sf), S.GOLD)]
+    checks = [S.check_contract(SF.read_table(spark, root), contract).withColumn("table_name", F.lit(name)) for name, root, contract in parts]
+    return checks[0].unionByName(checks[1])
+
+
+def q_csv_export_full(spark, sf):
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "csv-full")
+    trips(spark, sf).write.parquet(raw)
+    J.export_csv(SF.read_raw_parquet(spark, raw), out)
+    return _r(SF.read_csv(spark, out))
+
+
 def q_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "sample-csv")
-    J.export_sample(positioned_trips(spark, sf), path, how="head", n=HEAD_ROWS)
+    raw = scratch_path(spark, "raw")
+    trips(spark, sf).write.parquet(raw)
+    J.export_sample(spark, raw, path, how="head", n=HEAD_ROWS)
     return _r(SF.read_csv(spark, path))
 
 
 # --- wire -------------------------------------------------------------------
+def q_wire_from_csv(spark, sf):
+    path = scratch_path(spark, "csv")
+    write_csv(trips(spark, sf), path)
+    return _r(W.from_wire(J.publish_csv(spark, path)))
+
+
 def q_wire_encode(spark, sf):
     return _r(W.from_wire(J.publish(trips(spark, sf))))
 
@@ -368,12 +456,20 @@ def q_warehouse_truncate_reload(spark, sf):
     return _r(read_warehouse(spark, url, "gold_aggregates", props).select(*S.GOLD.names))
 
 
+def q_warehouse_append(spark, sf):
+    url, props = _derby_url(spark)
+    g = SF.read_table(spark, _written_gold(spark, sf))
+    early = F.col("pickup_day") < 16
+    load_warehouse(g.filter(early), url, "gold_aggregates", "recreate", properties=props, num_partitions=4)
+    load_warehouse(g.filter(~early), url, "gold_aggregates", "append", properties=props, num_partitions=4)
+    return _r(read_warehouse(spark, url, "gold_aggregates", props, days=SF.list_partitions(spark, _written_gold(spark, sf))).select(*S.GOLD.names))
+
+
 def q_load_summary(spark, sf):
     url, props = _derby_url(spark)
     g = SF.read_table(spark, _written_gold(spark, sf))
-    load_warehouse(g, url, "gold_aggregates", "recreate", properties=props, num_partitions=4)
-    back = read_warehouse(spark, url, "gold_aggregates", props)
-    return back.groupBy(*S.PARTITION_COLS).agg(F.count(F.lit(1)).alias("n_rows"))
+    summary = load_warehouse(g, url, "gold_aggregates", "recreate", properties=props, num_partitions=4)
+    return spark.createDataFrame([(*day, n) for day, n in summary.days.items()], "pickup_year int, pickup_month int, pickup_day int, n_rows bigint")
 
 
 # --- README analyses ----------------------------------------------------------

@@ -17,7 +17,6 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 REPORTS = ("borough_routes", "peak_hours", "busiest_zones", "revenue_daily", "tip_patterns", "route_heatmap")
 
@@ -51,7 +50,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--on-bad-value", default="fail", choices=["fail", "null"])
     s.add_argument("--nan-policy", default="keep", choices=["keep", "null"])
     s.add_argument("--dynamic", action="store_true", help="replace only the days present")
-    s.add_argument("--rebalance", action="store_true", help="shuffle by day before writing (bronze not in arrival order)")
+    s.add_argument("--no-rebalance", action="store_true", help="write map-only (bronze known to be in arrival order)")
+    s.add_argument("--rejects", help="where trips whose datetimes do not parse go (with --on-bad-value null)")
+    s.add_argument("--profile", help="write a profile of the silver measures to this Parquet folder")
+    s.add_argument("--reject-report", help="write rows failing each quality rule to this Parquet folder")
 
     s = sub.add_parser("incremental", help="bronze → silver → gold, only what arrived since the last run")
     s.add_argument("--bronze", required=True)
@@ -63,6 +65,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--on-bad-value", default="fail", choices=["fail", "null"])
     s.add_argument("--nan-policy", default="keep", choices=["keep", "null"])
+    s.add_argument("--rejects", help="where trips whose datetimes do not parse go (with --on-bad-value null)")
     s.add_argument("--timeout", type=float, default=None, help="seconds; an available_now run that needs longer fails, a continuous one is stopped and says so")
 
     s = sub.add_parser("gold", help="silver → gold (J3); with --days only those days")
@@ -88,6 +91,16 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--chunks", type=int, default=10)
     s.add_argument("--seed", type=int, default=42)
 
+    s = sub.add_parser("export", help="raw Parquet → CSV, the whole table (J5)")
+    s.add_argument("--raw", required=True)
+    s.add_argument("--out", required=True)
+
+    s = sub.add_parser("publish", help="CSV → wire messages, sent in one write (J6)")
+    s.add_argument("--csv", required=True)
+    s.add_argument("--sink", required=True, help="sink format, e.g. kafka or parquet")
+    s.add_argument("--opt", action="append", help="sink option key=value (topic, kafka.bootstrap.servers, path, ...)")
+    s.add_argument("--key", action="append", help="column of the message key")
+
     s = sub.add_parser("report", help="an analysis over gold (B1–B6) → Parquet")
     s.add_argument("--name", required=True, choices=REPORTS)
     s.add_argument("--gold", required=True)
@@ -111,7 +124,8 @@ def _finish(query, args) -> bool:
 def run(argv: list[str], spark: SparkSession) -> dict:
     """Run one subcommand on ``spark``; returns a summary (also printed by main)."""
     from tripflow.operators import reports as R
-    from tripflow.operators import sample as SM
+    from tripflow.operators import profile as P
+    from tripflow.operators import silver as SV
     from tripflow.plans import jobs as J
     from tripflow.sinks.warehouse import load_warehouse
     from tripflow.sources import files as SF
@@ -127,9 +141,14 @@ def run(argv: list[str], spark: SparkSession) -> dict:
     if args.cmd == "silver":
         stats: dict = {}
         J.silver_job(
-            spark, args.bronze, args.silver, args.on_bad_value, args.nan_policy, args.dynamic, stats, args.rebalance,
-            args.bronze_format,
+            spark, args.bronze, args.silver, args.on_bad_value, args.nan_policy, args.dynamic, stats, not args.no_rebalance,
+            args.bronze_format, args.rejects,
         )
+        if args.profile:
+            P.profile(SF.read_table(spark, args.silver)).write.mode("overwrite").parquet(args.profile)
+        if args.reject_report:
+            bronze = SV.nan_to_null(SV.cast_measures(SF.read_bronze(spark, args.bronze, fmt=args.bronze_format), on_bad_value=args.on_bad_value), args.nan_policy)
+            SV.reject_report(bronze).write.mode("overwrite").parquet(args.reject_report)
         return {"cmd": "silver", **stats}
     if args.cmd == "incremental":
         from tripflow.streaming.incremental import silver_gold_incremental
@@ -137,6 +156,7 @@ def run(argv: list[str], spark: SparkSession) -> dict:
         q = silver_gold_incremental(
             spark, args.bronze, args.silver, args.gold, args.checkpoint, args.bronze_format, args.trigger,
             args.max_files_per_trigger, args.on_bad_value, args.nan_policy,
+            args.rejects,
         )
         return {"cmd": "incremental", "stopped": _finish(q, args), "batches": (q.lastProgress or {}).get("batchId")}
     if args.cmd == "gold":
@@ -149,15 +169,18 @@ def run(argv: list[str], spark: SparkSession) -> dict:
     if args.cmd == "load":
         gold = SF.read_table(spark, args.gold)
         s = load_warehouse(gold, args.url, args.table, args.policy, _props(args), args.num_partitions)
-        return {"cmd": "load", "rows": s.rows, "partitions": s.partitions, "attempts": s.attempts}
+        days = {"-".join("null" if v is None else f"{v:02d}" for v in d): n for d, n in s.days.items()}
+        return {"cmd": "load", "rows": s.rows, "partitions": s.partitions, "attempts": s.attempts, "days": days}
     if args.cmd == "sample":
-        raw = SF.read_raw_parquet(spark, args.raw).select(
-            "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
-        )
-        pos = SM.with_position(raw)
-        sample = SM.head_sample(pos.df, args.n) if args.how == "head" else SM.spread_sample(pos.df, pos.total, args.n, args.chunks, args.seed)
-        sample.drop(SM.POS, SM.CHUNK).write.mode("overwrite").option("header", True).csv(args.out)
-        return {"cmd": "sample", "total": pos.total}
+        total = J.export_sample(spark, args.raw, args.out, args.how, args.n, args.chunks, args.seed)
+        return {"cmd": "sample", "total": total}
+    if args.cmd == "export":
+        J.export_csv(SF.read_raw_parquet(spark, args.raw), args.out)
+        return {"cmd": "export"}
+    if args.cmd == "publish":
+        opts = dict(kv.split("=", 1) for kv in (args.opt or []))
+        J.publish_csv(spark, args.csv, key_cols=args.key or None, sink_format=args.sink, sink_options=opts)
+        return {"cmd": "publish"}
     if args.cmd == "report":
         gold = SF.read_table(spark, args.gold)
         k = {"k": args.k} if args.k else {}

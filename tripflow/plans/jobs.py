@@ -7,14 +7,15 @@ tasks of the current stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tripflow import schema as S
 from tripflow.operators import gold as G
 from tripflow.operators import sample as SM
 from tripflow.operators import silver as SV
 from tripflow.operators.wire import to_wire
-from tripflow.sinks.files import write_csv, write_partitioned
+from tripflow.sinks.files import delete_folder, folder_exists, write_csv, write_partitioned
 from tripflow.sources import files as SF
 
 
@@ -26,38 +27,42 @@ def silver_job(
     nan_policy: str = "keep",
     dynamic: bool = False,
     stats: dict | None = None,
-    rebalance: bool = False,
+    rebalance: bool = True,
     bronze_format: str = "json",
+    reject_path: str | None = None,
 ) -> DataFrame:
     """Bronze directory (JSON, or Parquet as the cloud variant writes it)
     → silver table, partitioned by pickup y/m/d.
 
-    The default write is map-only: each task writes its own rows, one file
-    per day it holds. Bronze is appended in arrival order, so a task's rows
-    span one or two days and silver gets about one file per task, without
-    shuffling the whole table. ``rebalance=True`` adds one shuffle on the day
-    columns (AQE splits hot days), for input not clustered by day, such as a
-    one-off backfill in random order.
-
-    With ``stats`` (a dict), the rows read and the rows written are counted
-    while the write runs (``observe``), instead of two more jobs re-reading
-    bronze for before/after counts; they are stored as ``rows_in`` and
-    ``rows_out``.
-    """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
+    The write shuffles once by day (a rebalance that splits hot days), so the
+    number of files follows the data, not tasks x days. ``rebalance=False``
+    writes map-only, one file per task and day: for bronze known to be in
+    arrival order, where a task's rows span a day or two.
+
+    ``on_bad_value="null"``: clean trips with a datetime that does not parse
+    are written as they came to ``reject_path`` (default: beside silver,
+    ``<silver>_rejects``), and silver holds none of them.
 
+    With ``stats`` (a dict), rows read, written and, in "null" mode, diverted
+    are counted while the writes run (``observe``): ``rows_in``, ``rows_out``,
+    ``rows_rejected``.
+    """
     bronze = SF.read_bronze(spark, bronze_path, fmt=bronze_format)
-    obs_in, obs_out = Observation("bronze_in"), Observation("silver_out")
-    if stats is not None:
-        bronze = bronze.observe(obs_in, F.count(F.lit(1)).alias("rows"))
-    silver = SV.build_silver(bronze, on_bad_value, nan_policy)
-    if stats is not None:
-        silver = silver.observe(obs_out, F.count(F.lit(1)).alias("rows"))
-    write_partitioned(silver, silver_path, dynamic=dynamic, rebalance=rebalance)
+    counted = {n: Observation(n) for n in ("rows_in", "rows_out", "rows_rejected")}
+
+    def watched(df: DataFrame, name: str) -> DataFrame:
+        return df if stats is None else df.observe(counted[name], F.count(F.lit(1)).alias("rows"))
+
+    if on_bad_value == "null":
+        silver, _ = SV.split_silver(watched(bronze, "rows_in"), nan_policy)
+        _, rejects = SV.split_silver(bronze, nan_policy)
+        watched(rejects, "rows_rejected").write.mode("overwrite").parquet(reject_path or f"{silver_path.rstrip('/')}_rejects")
+    else:
+        silver = SV.build_silver(watched(bronze, "rows_in"), on_bad_value, nan_policy)
+        counted.pop("rows_rejected")
+    write_partitioned(watched(silver, "rows_out"), silver_path, dynamic=dynamic, rebalance=rebalance)
     if stats is not None:
-        stats["rows_in"] = int(obs_in.get["rows"])
-        stats["rows_out"] = int(obs_out.get["rows"])
+        stats |= {name: int(obs.get["rows"]) for name, obs in counted.items()}
     return SF.read_table(spark, silver_path)
 
 
@@ -71,38 +76,52 @@ def gold_job(spark: SparkSession, silver_path: str, gold_path: str, on_bad_value
 def refresh_gold_days(spark: SparkSession, silver_path: str, gold_path: str, days, on_bad_value: str = "fail") -> DataFrame:
     """Rebuild gold for the given days only (late data, D14 incremental).
 
-    ``days`` holds (pickup_year, pickup_month, pickup_day), either as a
-    DataFrame (e.g. the partitions of a newly appended silver batch) or as a
-    short list of tuples (e.g. from the command line).
-
-    * A DataFrame: silver is read through a left-semi join on the partition
-      columns with the (small, broadcast) day list, which dynamic partition
-      pruning turns into a directory filter.
-    * A list: only those day folders are listed and read (``read_days``).
+    ``days`` holds (pickup_year, pickup_month, pickup_day), null for trips
+    without a day, either as a DataFrame (e.g. the partitions of a newly
+    appended silver batch; the distinct days come to the driver) or as a list.
 
-    The rebuilt days replace theirs in gold (dynamic overwrite), the rest of
-    gold is untouched. Gold's keys contain the day, so a day's rows depend on
-    that day's trips only, and the result equals a full rebuild.
+    Only those silver folders are listed and read. The rebuilt days replace
+    theirs in gold (dynamic overwrite), and a listed day that silver no longer
+    has is removed from gold; the rest of gold is untouched. Gold's keys
+    contain the day, so the result equals a full rebuild.
     """
-    from tripflow.operators.joins import broadcast_if_small
-
     if isinstance(days, DataFrame):
-        day_list = broadcast_if_small(days.select(*S.PARTITION_COLS).distinct(), 1_000_000)
-        silver = SF.read_table(spark, silver_path).join(day_list, S.PARTITION_COLS, "left_semi")
-    else:
-        silver = SF.read_days(spark, silver_path, sorted(set(map(tuple, days))))
-    gold = G.build_gold(silver, on_bad_value)
-    write_partitioned(gold, gold_path, dynamic=True)
+        days = days.select(*S.PARTITION_COLS).distinct().collect()
+    listed = set(map(tuple, days))
+    present = [d for d in listed if folder_exists(spark, SF.day_path(silver_path, d))]
+    if present:
+        gold = G.build_gold(SF.read_days(spark, silver_path, present), on_bad_value)
+        obs = Observation("refreshed")
+        write_partitioned(gold.observe(obs, F.collect_set(F.struct(*S.PARTITION_COLS)).alias("days")), gold_path, dynamic=True)
+        listed -= {tuple(d) for d in obs.get["days"] or []}
+    for day in listed:
+        delete_folder(spark, SF.day_path(gold_path, day))
     return SF.read_table(spark, gold_path)
 
 
-def export_sample(positioned: SM.Positioned, path: str, how: str = "spread", n: int = 100_000, chunks: int = 10, seed: int = 42) -> None:
-    """Head or spread sample of a positioned table → CSV with header."""
+def export_csv(trips: DataFrame, path: str) -> None:
+    """A whole table → CSV with header, one file per task."""
+    write_csv(trips.drop(SM.POS, SM.CHUNK), path)
+
+
+def export_sample(spark: SparkSession, raw_path: str, path: str, how: str = "spread", n: int = 100_000, chunks: int = 10, seed: int = 42) -> int:
+    """Head or spread sample of a raw Parquet table → CSV with header.
+
+    Returns the rows of the table a spread sample was drawn from (a head
+    sample reads only the files it needs, so it returns ``n``).
+    """
     if how == "head":
-        sample = SM.head_sample(positioned.df, n)
-    else:
-        sample = SM.spread_sample(positioned.df, positioned.total, n, chunks, seed)
-    write_csv(sample.select(*[f.name for f in S.TRIP.fields]), path)
+        export_csv(SM.read_head(spark, raw_path, n), path)
+        return n
+    raw = SF.read_raw_parquet(spark, raw_path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    pos = SM.with_position(raw)
+    export_csv(SM.spread_sample(pos.df, pos.total, n, chunks, seed), path)
+    return pos.total
+
+
+def publish_csv(spark: SparkSession, csv_path: str, **publish_options) -> DataFrame:
+    """J6 from a CSV file or folder: read with the trip schema, encode, send (see ``publish``)."""
+    return publish(SF.read_csv(spark, csv_path), **publish_options)
 
 
 def publish(df: DataFrame, key_cols: list[str] | None = None, payload_col: str = "value", sink_format: str | None = None, sink_options: dict | None = None) -> DataFrame:

@@ -189,12 +189,63 @@ def _rollup(keys: str) -> str:
     FROM gold GROUP BY {keys}"""
 
 
-def _sample_spread(size: int, chunks: int) -> str:
-    return f"""WITH c AS (SELECT count(*) AS n FROM events),
-p AS (SELECT CAST(least({size}, n) AS BIGINT) AS size, CAST(least({size}, n) // {chunks} AS BIGINT) AS per FROM c)
-SELECT CAST(i AS VARCHAR) AS chunk, per AS n_rows, per AS n_distinct FROM p, range({chunks}) t(i) WHERE per > 0
-UNION ALL SELECT '{chunks}', size - per * {chunks}, size - per * {chunks} FROM p WHERE size - per * {chunks} > 0
-UNION ALL SELECT 'all', size, size FROM p"""
+def _sample_spread(size: int, chunks: int, seed: int) -> str:
+    """Rows drawn in MD5 order per chunk; the shortfall, one each, in the operator's order."""
+    return f"""WITH {TRIPS.strip()},
+c AS (SELECT count(*) AS n FROM events),
+p AS (SELECT n, CAST(least({size}, n) AS BIGINT) AS size, CAST(least({size}, n) // {chunks} AS BIGINT) AS per FROM c),
+t AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS position FROM trips),
+k AS (SELECT t.*, CAST(((position + 1) * {chunks} - 1) // n AS INTEGER) AS i, per, size, n, md5('{seed}:' || CAST(position AS VARCHAR)) AS h FROM t, p),
+r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY h, position) AS rk FROM k),
+extra(i, turn) AS (VALUES {_turns(chunks, seed)})
+SELECT position, CAST(CASE WHEN rk <= per THEN r.i ELSE {chunks} END AS INTEGER) AS chunk, {r6(S.TRIP.names, TRIP_DOUBLES)}
+FROM r JOIN extra ON r.i = extra.i
+WHERE rk <= per + CASE WHEN size = n THEN n WHEN turn < size - per * {chunks} THEN 1 ELSE 0 END"""
+
+
+def _turns(chunks: int, seed: int) -> str:
+    """(chunk, its turn for an extra row); a table of no more rows than the sample is taken whole."""
+    import random
+
+    order = list(range(chunks))
+    random.Random(seed).shuffle(order)
+    return ", ".join(f"({i}, {t})" for t, i in enumerate(order))
+
+
+# Trips with the dirt of the catalog's dirty bronze; NaN already null, as the policy has it.
+DIRTY = """
+trips_0 AS (SELECT * FROM trips),
+dirty AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 29 = 0 THEN 'not a time' ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
+    CASE WHEN event_id % 43 = 0 THEN '2023-12-31 00:00:00' ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime,
+    CASE WHEN event_id % 31 = 0 THEN NULL ELSE trip_distance END AS trip_distance,
+    CASE WHEN event_id % 37 = 0 THEN NULL ELSE PULocationID END AS PULocationID,
+    CASE WHEN event_id % 41 = 0 THEN NULL ELSE DOLocationID END AS DOLocationID)
+  FROM trips_0)"""
+
+
+def _on_dirty(body: str, *ctes: str) -> str:
+    silver = SILVER.replace("FROM trips WHERE", "FROM dirty WHERE event_id % 29 <> 0 AND")
+    return with_ctes(body, TRIPS, DIRTY, silver, *ctes)
+
+
+def _gold_corrected() -> str:
+    """Gold rebuilt over silver with day 11 emptied and trips of day 12 without a day."""
+    lost = "pickup_day = 12 AND pickup_hour < 6"
+    nulled = ", ".join(f"CASE WHEN {lost} THEN NULL ELSE {c} END AS {c}" for c in S.PARTITION_COLS)
+    corrected = f"""
+corrected AS (SELECT * REPLACE ({nulled}) FROM silver WHERE pickup_day <> 11)"""
+    return with_ctes(f"SELECT {r6(GOLD_COLS, GOLD_DOUBLES)} FROM gold", TRIPS, SILVER, corrected, GOLD.replace("FROM silver)", "FROM corrected)"))
+
+
+def _schema_check() -> str:
+    parts = []
+    for table, contract in (("silver", S.SILVER), ("gold", S.GOLD)):
+        for i, f in enumerate(contract.fields):
+            kind = f.dataType.simpleString()
+            parts.append(f"SELECT '{table}' AS table_name, {i} AS position, '{f.name}' AS column_name, '{kind}' AS expected_type, '{kind}' AS actual_type, count(*) - count({f.name}) AS n_nulls, true AS ok FROM {table}")
+    return on_gold("\nUNION ALL ".join(parts))
 
 
 def _snap_rounds(sql: str, places: int = 6) -> str:
@@ -286,7 +337,17 @@ def _oracle_sql() -> dict[str, str]:
         "silver_profile": _profile(),
         "limit_ordered": _gold_r6(tail=f"ORDER BY {keys} LIMIT 10"),
         "sample_head": head,
-        "sample_spread": _sample_spread(K.SPREAD_ROWS, K.SPREAD_CHUNKS),
+        "sample_spread": _sample_spread(K.SPREAD_ROWS, K.SPREAD_CHUNKS, K.SPREAD_SEED),
+        "sample_spread_7": _sample_spread(K.SPREAD_ROWS, 7, K.SPREAD_SEED),
+        "preview": on_gold(f"SELECT least({K.PREVIEW_ROWS}, count(*)) AS n_rows, least({K.PREVIEW_ROWS}, count(*)) AS n_in_gold FROM gold"),
+        "gold_refresh_corrections": _gold_corrected(),
+        "silver_dirty": _on_dirty(f"SELECT {r6(S.SILVER.names, SILVER_DOUBLES)} FROM silver"),
+        "silver_rejects": _on_dirty(f"SELECT {r6(S.TRIP.names, TRIP_DOUBLES)} FROM dirty WHERE event_id % 29 = 0 AND {CLEAN_WHERE}"),
+        "gold_dirty": _on_dirty(f"SELECT {r6(GOLD_COLS, GOLD_DOUBLES)} FROM gold", GOLD),
+        "schema_check": _schema_check(),
+        "csv_export_full": trip_all,
+        "wire_from_csv": trip_all,
+        "warehouse_append": gold_all,
         "scan_bronze_json": trip_all,
         "scan_silver_partitioned": silver_all,
         "scan_gold_one_day": _gold_r6(where=f"WHERE pickup_year = {y} AND pickup_month = {m} AND pickup_day = {d}"),

@@ -7,6 +7,8 @@ lists below are the warehouse contract and must not be renamed.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
@@ -52,6 +54,7 @@ CAST_MEASURES = ["passenger_count", "trip_distance", "fare_amount", "total_amoun
 ZONE_IDS = ["PULocationID", "DOLocationID"]
 
 # Columns added by the silver enrichment, in order.
+# --- Fixed values: columns and types of silver and gold. --------------------
 SILVER_DERIVED = StructType(
     [
         StructField("trip_duration_minutes", DoubleType()),
@@ -122,3 +125,28 @@ SHORT_TRIP_MILES = 1  # is_short_trip: distance < 1
 HIGH_TIP_PCT = 20  # high_tip_flag: tip_pct > 20
 # Rush hours, inclusive ranges of the pickup hour: 7..10 and 16..19.
 RUSH_HOURS = ((7, 10), (16, 19))
+
+
+def check_contract(df: DataFrame, contract: StructType) -> DataFrame:
+    """Compare a table with a contract (L7): one row per column of either.
+
+    (position in the contract or null, column_name, expected_type,
+    actual_type, n_nulls, ok). Nulls of all columns are counted in one pass,
+    one row per task before the merge.
+    """
+    found, expected = dict(df.dtypes), {f.name: f.dataType.simpleString() for f in contract.fields}
+    names = [*expected, *[c for c in found if c not in expected]]
+    counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in found])
+    places = list(expected)
+    rows = [
+        F.struct(
+            F.lit(places.index(c) if c in expected else None).cast("int").alias("position"),
+            F.lit(c).alias("column_name"),
+            F.lit(expected.get(c)).cast("string").alias("expected_type"),
+            F.lit(found.get(c)).cast("string").alias("actual_type"),
+            (F.col(f"`{c}`") if c in found else F.lit(None).cast("bigint")).alias("n_nulls"),
+            F.lit(expected.get(c) == found.get(c)).alias("ok"),
+        )
+        for c in names
+    ]
+    return counts.select(F.inline(F.array(*rows)))

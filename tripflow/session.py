@@ -58,11 +58,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory; created locally only if unset."""
+    """The shared checkpoint directory. Unset, a local session gets a folder
+    of its own; on a cluster it must be named, as executors would not see one
+    made here."""
     sc = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
-        # Unset: a local run or a test. A cluster always names a shared one.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tripflow-ckpt-")
     # DataFrame.checkpoint() writes under the context's directory.
     if not sc.getCheckpointDir():

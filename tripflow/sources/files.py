@@ -22,7 +22,10 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType | None = S.TR
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
-    return df.select(*[f.name for f in S.TRIP.fields]) if schema is None and fmt == "json" else df
+    if schema is not None:
+        return df
+    # Inference drops a column that is null in every row: it comes back as typed nulls.
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in S.TRIP.fields])
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
@@ -42,6 +45,11 @@ def read_day(spark: SparkSession, root: str, year: int, month: int, day: int, pa
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
+def day_path(root: str, day, partition_cols=S.PARTITION_COLS) -> str:
+    """Folder of one day (or deeper partition) of a table; null has its own folder name."""
+    return "/".join([root.rstrip("/")] + [f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, day)])
+
+
 def read_days(spark: SparkSession, root: str, days, partition_cols=S.PARTITION_COLS) -> DataFrame:
     """The given days of a partitioned table, listing only their folders.
 
@@ -52,14 +60,21 @@ def read_days(spark: SparkSession, root: str, days, partition_cols=S.PARTITION_C
     Every listed day must exist: a missing folder raises ``PATH_NOT_FOUND``
     before any job runs, rather than silently reading nothing.
     """
-    base = root.rstrip("/")
-    paths = ["/".join([base] + [f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, day)]) for day in days]
-    return spark.read.option("basePath", base).parquet(*paths)
-
-
-def list_partitions(df: DataFrame, partition_cols=S.PARTITION_COLS) -> DataFrame:
-    """Distinct partition values of a table (S7), works on any file system."""
-    return df.select(*partition_cols).distinct()
+    return spark.read.option("basePath", root.rstrip("/")).parquet(*[day_path(root, day, partition_cols) for day in days])
+
+
+def list_partitions(spark: SparkSession, root: str, partition_cols=S.PARTITION_COLS) -> DataFrame:
+    """Distinct (integer) partition values of a table (S7), from its folder
+    names: no data file is listed or opened."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [((), at)]
+    for c in partition_cols:
+        below = [(values, s.getPath()) for values, folder in found for s in fs.listStatus(folder) if s.isDirectory()]
+        named = [(values, p, p.getName()) for values, p in below if p.getName().startswith(f"{c}=")]
+        found = [((*values, None if (v := name.partition("=")[2]) == NULL_PARTITION else int(v)), p) for values, p, name in named]
+    return spark.createDataFrame([values for values, _ in found], ", ".join(f"{c} int" for c in partition_cols))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = S.TRIP, header: bool = True) -> DataFrame:

@@ -74,16 +74,10 @@ def read_trips(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) ->
 
 
 def read_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone dimension: zone id, zone name and borough (nation ⋈ region).
-
-    The join runs on two dimension tables; region is broadcast once its size
-    is checked.
-    """
-    from tripflow.operators.joins import broadcast_if_small
-
+    """Zone dimension: zone id, zone name and borough (nation ⋈ region)."""
     nation = spark.read.parquet(table_path(sf_dir, "nation")).select("n_nationkey", "n_name", "n_regionkey")
     region = spark.read.parquet(table_path(sf_dir, "region")).select("r_regionkey", "r_name")
-    return nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey, "left").select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         F.col("n_nationkey").cast("int").alias("zone_id"),
         F.col("n_name").alias("zone"),
         F.col("r_name").alias("borough"),
