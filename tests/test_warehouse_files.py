@@ -244,3 +244,30 @@ def test_read_days_reads_only_those_folders(spark, gold_root):
 def test_read_days_missing_day_raises(spark, gold_root):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         SF.read_days(spark, gold_root, [(2024, 2, 30)])
+
+
+def test_scratch_is_deleted_and_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    import os
+
+    from tripflow import session
+
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    mine = session._scratch[spark.sparkContext.applicationId]
+    kept = mine[:-1]
+    session._scratch[spark.sparkContext.applicationId] = mine[-1:]
+    assert session.clean_scratch(spark) == 1 and not os.path.exists(path)
+    session._scratch[spark.sparkContext.applicationId] = kept
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

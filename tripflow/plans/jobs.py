@@ -68,7 +68,7 @@ def silver_job(
 
 def gold_job(spark: SparkSession, silver_path: str, gold_path: str, on_bad_value: str = "fail", dynamic: bool = False) -> DataFrame:
     """Silver table → gold table, same partitioning."""
-    gold = G.build_gold(SF.read_table(spark, silver_path), on_bad_value)
+    gold = G.build_gold(SF.read_table(spark, silver_path, S.SILVER), on_bad_value)
     write_partitioned(gold, gold_path, dynamic=dynamic)
     return SF.read_table(spark, gold_path)
 

@@ -75,4 +75,20 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the checkpoint root (not created)."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_scratch: dict[str, list[str]] = {}
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this application has made so far.
+
+    For when the results read from them have been used; returns how many
+    folders were deleted.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in _scratch.pop(spark.sparkContext.applicationId, [])]
+    return sum(bool(p.getFileSystem(conf).delete(p, True)) for p in paths)

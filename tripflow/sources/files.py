@@ -28,10 +28,12 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType | None = S.TR
     return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in S.TRIP.fields])
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     """Partitioned Parquet table read from its root (S5): partition columns are
-    discovered (as int for y/m/d) and filters on them prune directories."""
-    return spark.read.parquet(root)
+    discovered (as int for y/m/d) and filters on them prune directories. With
+    ``schema`` (e.g. ``schema.SILVER``) no file footer is read to infer it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(root)
 
 
 def read_day(spark: SparkSession, root: str, year: int, month: int, day: int, partition_cols=S.PARTITION_COLS) -> DataFrame:
