@@ -47,6 +47,23 @@ def texts(n=300):
     return out
 
 
+def test_compatible_pieces_are_those_that_merging_ends_with(bpe):
+    g, _ = bpe
+    rng = random.Random(9)
+    names = list(g.pieces) + list("aeé日")
+    near = [p for p in names if p.isascii() and len(p) < 6]
+    for k in range(60_000):
+        a, b = (rng.choice(near), rng.choice(near)) if k % 3 else (rng.choice(names), rng.choice(names))
+        alone = all(len(p) == 1 or g.merged(p) == [p] for p in (a, b))
+        if alone:
+            assert g.compatible(a, b) == (g.merged(a + b) == [a, b]), (a, b)
+    for n in range(1, 17):  # runs of marks all have one score
+        for m in range(1, 17):
+            a, b = "▁" * n, "▁" * m
+            if a in g.pieces and b in g.pieces and g.merged(a) == [a] and g.merged(b) == [b]:
+                assert g.compatible(a, b) == (g.merged(a + b) == [a, b])
+
+
 def test_bpe_ids_are_the_librarys(bpe):
     g, lib = bpe
     for t in texts() * 2:

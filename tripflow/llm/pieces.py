@@ -17,9 +17,10 @@ What "best" means depends on the model:
   extended by a piece that is *compatible* with the piece before it, and the
   same window, backpointers and commits apply.
 
-Characters outside the vocabulary become byte pieces. No piece has a word mark
-after another character, so all paths meet before each mark that follows one;
-the words between those boundaries are memoised.
+Characters outside the vocabulary become byte pieces. All paths meet between
+two characters that no piece spans (a word and the space after it, mostly a
+letter and a punctuation mark); the stretches between such boundaries are
+memoised.
 
 Only models with the identity normalizer are taken (others raise). The model
 file is read by the driver and broadcast (``MAX_MODEL_BYTES``); tasks need no
@@ -32,6 +33,7 @@ library's does; unknown ids raise; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -45,8 +47,8 @@ from .common import BoundedCache, require, sliced, texts_of, with_fields, worker
 
 MARK = "▁"
 MAX_MODEL_BYTES = 64 << 20
-WORD_MEMO = 500_000
-PAIR_MEMO = 500_000
+WORD_MEMO = 600_000
+PAIR_MEMO = 200_000
 _LOOK = 64  # positions between two looks for a common boundary
 
 
@@ -82,6 +84,22 @@ def model_of(proto, library) -> dict:
     }
 
 
+class Memo(dict):
+    """Results by text, made when first asked for; starts again when full."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, text):
+        value = self.make(text)
+        if len(text) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[text] = value
+        return value
+
+
 class Segmenter:
     """Streaming Viterbi over one model."""
 
@@ -89,15 +107,20 @@ class Segmenter:
         self.model, self.pieces = model, model["pieces"]
         self.longest = max(map(len, self.pieces), default=1)
         self.floor = min((s for _, s in self.pieces.values()), default=0.0) - 10.0  # score of a character outside the vocabulary
+        self.joint = frozenset(p[i : i + 2] for p in self.pieces for i in range(len(p) - 1))
+        # Text is cut before each space that follows another character and around line ends, if no piece spans these.
+        lead = not any(MARK in p.lstrip(MARK) for p in self.pieces)
+        stop = " " + ("\n" if not any("\n" in p for p in self.pieces) else "")
+        self.cut = re.compile(f" +[^{stop}]*|[^{stop}]+" + ("|\n" if "\n" in stop else "")) if lead else None
+        self.words = Memo(self._word, WORD_MEMO)
+        self.runs = Memo(self._run, WORD_MEMO * 2 // 3)
         self.fits = BoundedCache(PAIR_MEMO)
-        self.words = BoundedCache(WORD_MEMO)
-        marks_lead = not any(MARK in p.lstrip(MARK) for p in self.pieces)
-        lines_alone = not any("\n" in p for p in self.pieces)
-        if marks_lead:
-            stop = MARK + ("\n" if lines_alone else "")
-            self.cut = re.compile(f"{MARK}+[^{stop}]*|[^{stop}]+" + ("|\n" if lines_alone else ""))
+        if model["unigram"]:
+            self.lattice = {p: s for p, (_, s) in self.pieces.items()}
         else:
-            self.cut = None
+            self._learn_merges()
+            self.lattice = {p: 0.0 for p in self.pieces if len(p) == 1 or p in self.halves}
+        self.starts = frozenset(p[:n] for p in self.lattice for n in range(1, len(p)))  # of longer pieces
         self.table = self._decoding()
         self.silent = frozenset(model["silent"])
         self.marked = frozenset(i for p, (i, _) in self.pieces.items() if p.startswith(MARK))  # lose the text's own first mark
@@ -105,7 +128,11 @@ class Segmenter:
     # --- merges of short strings (BPE) ------------------------------------------------
     def merged(self, text: str) -> list[str]:
         """The pieces that greedy merging of a short text ends with."""
-        parts, pieces = list(text), self.pieces
+        return self._merging(text)[0]
+
+    def _merging(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """(the pieces, the two parts of the last merge)."""
+        parts, pieces, last = list(text), self.pieces, None
         while True:
             best = None
             for i in range(len(parts) - 1):
@@ -113,48 +140,86 @@ class Segmenter:
                 if hit is not None and (best is None or hit[1] > best[0]):
                     best = (hit[1], i)
             if best is None:
-                return parts
-            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+                return parts, last
+            last = (parts[best[1]], parts[best[1] + 1])
+            parts[best[1] : best[1] + 2] = [last[0] + last[1]]
+
+    def _learn_merges(self) -> None:
+        """Of every piece: when it is merged, from which parts, and whether scores tell the order."""
+        self.turn = {p: -s for p, (_, s) in self.pieces.items() if len(p) > 1}
+        self.halves: dict[str, tuple[str, str]] = {}  # only of pieces that merging their own text ends in
+        self.odd: set[str] = set()  # pieces with a part that is not merged before them
+        for p in sorted(self.turn, key=len):
+            parts, last = self._merging(p)
+            if parts == [p]:
+                self.halves[p] = last
+                if any(x in self.odd or self.turn.get(x, -1.0) >= self.turn[p] for x in last):
+                    self.odd.add(p)
 
     def compatible(self, before: str, piece: str) -> bool:
+        """Whether merging ``before`` + ``piece`` ends in just these two (in ``piece`` alone, if nothing is before).
+
+        Both must be characters or pieces that merging their own text ends in.
+        """
+        if not before:
+            return True
         key = (before, piece)
         ok = self.fits.get(key)
         if ok is None:
             self.fits.room()
-            ok = self.fits[key] = self.merged(before + piece) == ([before, piece] if before else [piece])
+            ok = self.fits[key] = self._compatible(before, piece)
         return ok
 
+    def _compatible(self, a: str, b: str) -> bool:
+        if a in self.odd or b in self.odd:
+            return self.merged(a + b) == [a, b]
+        # Undo the merges at the boundary, the later one first: a piece across it
+        # that would have been merged before that one shows that merging ends otherwise.
+        turn, halves, limit = self.turn, self.halves, float("inf")
+        while True:
+            across = turn.get(a + b)
+            if across is not None and across < limit:
+                return False
+            left, right = turn.get(a, -1.0), turn.get(b, -1.0)
+            if left > right:
+                limit, a = left, halves[a][1]
+            elif right < 0:
+                return True  # two characters
+            else:
+                limit, b = right + 0.5, halves[b][0]  # on a tie the one to the left goes first
+
     # --- the search ---------------------------------------------------------------------
     def stream(self, text: str) -> Iterator[list[str]]:
         """Committed runs of pieces of a text, in order."""
-        longest, pieces, unigram, n = self.longest, self.pieces, self.model["unigram"], len(text)
+        longest, pieces, starts, unigram, n = self.longest, self.lattice, self.starts, self.model["unigram"], len(text)
+        fits, compatible = self.fits, self.compatible
         base, before = 0, ""  # committed boundary and the piece that ends there
-        back = [0]  # back[i - base]: length of the last piece of the path to i
-        score = [0.0]
-        i = 0
-        while i < n:
-            i += 1
-            lo = max(base, i - longest)
-            if unigram:
-                best, length = None, 0
-                for j in range(lo, i):
-                    hit = pieces.get(text[j:i])
-                    s = score[j - base] + (hit[1] if hit is not None else self.floor) if hit is not None or j == i - 1 else None
-                    if s is not None and (best is None or s > best):
-                        best, length = s, i - j
-                score.append(best)
-            else:
-                length = 0
-                for j in range(lo, i):
-                    piece = text[j:i]
-                    if j == i - 1 or piece in pieces:
-                        last = text[j - back[j - base] : j] if j > base else before
-                        if self.compatible(last, piece):
-                            length = i - j
-                            break
-                if not length:
-                    raise AssertionError("a prefix without a compatible last piece")
-            back.append(length)
+        back = [0] * (longest + 1)  # back[i - base]: length of the last piece of the path to i; 0: none yet
+        score = [0.0] * (longest + 1)
+        for j in range(n):
+            here = j - base
+            last = text[j - back[here] : j] if here else before
+            if here + longest >= len(back):
+                back += [0] * _LOOK
+                score += [0.0] * _LOOK
+            for k in range(j + 1, n + 1):
+                piece = text[j:k]
+                hit = pieces.get(piece)
+                if hit is not None or k == j + 1:
+                    at = k - base
+                    if unigram:
+                        s = score[here] + (hit if hit is not None else self.floor)
+                        if not back[at] or s > score[at]:
+                            back[at], score[at] = k - j, s
+                    elif not back[at]:
+                        ok = fits.get((last, piece))
+                        if ok or ok is None and compatible(last, piece):
+                            back[at] = k - j
+                if piece not in starts:
+                    break
+            i = j + 1
+            if not back[i - base]:
+                raise AssertionError("a prefix without a compatible last piece")
             if i == n or i % _LOOK == 0:
                 # Paths of all positions where a later piece may start (at the end: one path).
                 open_ = set(range(max(base, i - longest + 1), i + 1)) if i < n else {n}
@@ -170,9 +235,8 @@ class Segmenter:
                         at -= back[at - base]
                     run.reverse()
                     before = run[-1]
-                    back = [0] + back[meet - base + 1 :]
-                    zero = score[meet - base] if unigram else 0.0
-                    score = [s - zero for s in score[meet - base :]] if unigram else score
+                    zero = score[meet - base]
+                    back, score = [0] + back[meet - base + 1 :], [s - zero for s in score[meet - base :]]
                     base = meet
                     yield run
 
@@ -186,29 +250,23 @@ class Segmenter:
                 out += [self.model["bytes"][b] for b in p.encode("utf-8")]
         return out
 
-    def word(self, word: str) -> list[int]:
-        known = self.words.get(word)
-        if known is None:
-            known = [i for run in self.stream(word) for i in self.ids_of(run)]
-            if len(word) <= 64:
-                self.words.room()
-                self.words[word] = known
-        return known
+    def _run(self, run: str) -> bytes:
+        return b"".join([np.array(self.ids_of(part), np.int32).tobytes() for part in self.stream(run)])
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word: its runs between characters that no piece spans, one after another."""
+        marked = word.replace(" ", MARK)
+        cuts = [0, *[i for i in range(1, len(marked)) if marked[i - 1 : i + 1] not in self.joint], len(marked)]
+        runs = self.runs
+        return b"".join([runs[marked[a:b]] for a, b in zip(cuts, cuts[1:])])
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text, as int32."""
         if not text:
             return np.empty(0, np.int32)
-        marked = (MARK if self.model["prefix"] else "") + text.replace(" ", MARK)
-        if self.cut is None:
-            return np.array(self.word(marked), np.int32)
-        words = self.cut.findall(marked)
-        known = self.words
-        try:
-            parts = [known[w] for w in words]
-        except KeyError:
-            parts = [self.word(w) for w in words]
-        return np.array([i for p in parts for i in p], np.int32)
+        spaced = (" " if self.model["prefix"] else "") + text.replace(MARK, " ")
+        words = [spaced] if self.cut is None else self.cut.findall(spaced)
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.int32)
 
     # --- decoding ---------------------------------------------------------------------------
     def _decoding(self) -> dict[int, bytes]:
@@ -231,20 +289,29 @@ def _segmenter(shared) -> Segmenter:
     return worker_memo(f"segmenter:{key}", lambda: Segmenter(model))
 
 
-def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids") -> DataFrame:
-    """``docs`` with an array column ``ids``. Map-only."""
+def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids", check: str | None = None) -> DataFrame:
+    """``docs`` with an array column ``ids``; with ``check``, also a boolean
+    column of that name: do the ids decode to the text again? Map-only."""
     require(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
+    more = [ids] + ([check] if check else [])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = _segmenter(shared)
-        for batch in sliced(batches, text):
-            rows = [segmenter.encode(t) for t in texts_of(batch, text)]
-            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            values = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *rows])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, ids])
+        for batch in sliced(batches, text, 4 << 20):
+            texts = texts_of(batch, text)
+            rows = [segmenter.encode(t) for t in texts]
+            columns = [_lists(rows)]
+            if check:
+                columns.append(pa.array([segmenter.decode(r) == t.replace(MARK, " ") for r, t in zip(rows, texts)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *more])
+
+    return docs.mapInArrow(encoded, with_fields(docs, f"{ids} array<int>" + (f", {check} boolean" if check else "")))
 
-    return docs.mapInArrow(encoded, with_fields(docs, f"{ids} array<int>"))
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *rows])))
 
 
 def decode_pieces(rows: DataFrame, model_path: str, ids: str = "piece_ids", text: str = "decoded") -> DataFrame:
@@ -264,26 +331,21 @@ def decode_pieces(rows: DataFrame, model_path: str, ids: str = "piece_ids", text
 
 
 def round_trip(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encoded and decoded again: doc_id, n_bytes, n_pieces, ids_crc32, decoded_sha256, same."""
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    both = decode_pieces(encode_pieces(narrow, model_path), model_path)
-    kind = "doc_id " + docs.schema[doc_id].dataType.simpleString() + ", n_bytes bigint, n_pieces bigint, ids_crc32 bigint, decoded string, same boolean"
+    """Encoded and decoded again in one pass: doc_id, n_bytes, n_pieces, ids_crc32, decoded_sha256, same."""
+    require(docs, doc_id, text)
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("t"))
+    shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
+    kind = "doc_id " + narrow.schema["doc_id"].dataType.simpleString() + ", n_bytes bigint, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string, same boolean"
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("piece_ids")
-            ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
-            texts, back = texts_of(batch, "text"), batch.column("decoded").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()),
-                    pa.array(np.diff(ends).astype(np.int64)),
-                    pa.array([zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])], pa.int64()),
-                    batch.column("decoded"),
-                    pa.array([b == t.replace(MARK, " ") for t, b in zip(texts, back)]),
-                ],
-                names=["doc_id", "n_bytes", "n_pieces", "ids_crc32", "decoded", "same"],
-            )
-
-    return both.mapInArrow(summed, kind).select("doc_id", "n_bytes", "n_pieces", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), "same")
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segmenter = _segmenter(shared)
+        for batch in sliced(batches, "t", 4 << 20):
+            out: list[tuple] = []
+            for t in texts_of(batch, "t"):
+                ids = segmenter.encode(t)
+                back = segmenter.decode(ids)
+                out.append((len(t.encode("utf-8")), len(ids), zlib.crc32(ids.astype("<i4").tobytes()), hashlib.sha256(back.encode("utf-8")).hexdigest(), back == t.replace(MARK, " ")))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(list(c), k) for c, k in zip(zip(*out), kinds)]], names=["doc_id", "n_bytes", "n_pieces", "ids_crc32", "decoded_sha256", "same"])
+
+    return narrow.mapInArrow(both, kind)
