@@ -12,8 +12,8 @@ take effect. All but the last return the columns of ``documents``.
    at most 4 differing bits) the smallest doc_id stays.
 4. ``decontaminate``: documents of which a twentieth or more is benchmark
    windows go.
-5. ``encode``: SentencePiece ids of each text as ``piece_ids``, with the text
-   decoded from them as a check (``round_trip``).
+5. ``encode``: SentencePiece ids of each text as ``piece_ids``, decoded again as
+   a check (``round_trip``).
 
 Odd input: null ids, null or empty texts, repeated rows, extra columns and
 empty tables have the results stated by each operator; none of them fails.
@@ -29,7 +29,7 @@ from tripflow.llm.common import table
 from tripflow.llm.contamination import drop_contaminated
 from tripflow.llm.digest_index import DigestIndex, drop_duplicates
 from tripflow.llm.language import UNKNOWN, learn, predict
-from tripflow.llm.pieces import MARK, decode_pieces, encode_pieces
+from tripflow.llm.pieces import encode_pieces
 from tripflow.llm.simhash import drop_near_duplicates
 from tripflow.session import scratch_path
 
@@ -54,10 +54,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(PIECES)
-    both = decode_pieces(encode_pieces(docs, path), path)
-    same = F.col("decoded") == F.translate(F.coalesce(F.col("text"), F.lit("")), MARK, " ")
-    return both.withColumn("round_trip", same).drop("decoded")
+    return encode_pieces(docs, public_tokenizers.path(PIECES), check="round_trip")
 
 
 STAGES = [
