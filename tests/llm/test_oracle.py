@@ -1,0 +1,18 @@
+import duckdb
+import pytest
+
+from tripflow.llm.queries import ORACLE, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = QUERIES[name](spark, SF)
+    cur = con.execute(ORACLE[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(df.columns) == sorted(names)
+    assert sorted(map(repr, map(tuple, df.select(*names).collect()))) == sorted(map(repr, cur.fetchall()))

@@ -2,6 +2,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tripflow.llm.common import read_tokenizer
 from tripflow.llm.token_counts import Counter, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,13 +19,13 @@ def lib():
 
 
 def test_counts_equal_the_library_on_odd_texts(lib):
-    c = Counter(PATH)
+    c = Counter(read_tokenizer(PATH))
     for t in ODD + ODD:
         assert c.count(t) == len(lib.encode(t, add_special_tokens=False).ids), repr(t[:40])
 
 
 def test_every_code_point_is_split_as_the_library_splits_it(lib):
-    c = Counter(PATH)
+    c = Counter(read_tokenizer(PATH))
     points = [p for p in range(0x30000) if not 0xD800 <= p < 0xE000]
     wrong = []
     for s in range(0, len(points), 4000):
@@ -36,7 +37,7 @@ def test_every_code_point_is_split_as_the_library_splits_it(lib):
 
 
 def test_whole_tokens_encode_alone(lib):
-    whole = sorted(Counter(PATH).bpe.whole)
+    whole = sorted(Counter(read_tokenizer(PATH)).bpe.whole)
     assert len(whole) > 40_000
     for s in range(0, len(whole), 5000):
         assert all(len(e.ids) == 1 for e in lib.encode_batch_fast(whole[s : s + 5000], add_special_tokens=False))

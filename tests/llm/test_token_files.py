@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 from tripflow.llm import queries as Q
 from tripflow.llm import token_files as TF
+from tripflow.llm.common import read_tokenizer
 from tripflow.session import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -53,7 +54,7 @@ def test_joined_crc():
 
 def test_words_get_the_librarys_ids(lib):
     odd = ["", " ", "Don't STOP 's", "a\x1cb c\x85d e", "<|ENDOFTEXT|> x<|endoftext|>y Q<|StartOfText|>", "naïve É é ́x", "日本 123, 4...!!##", "ΑΣ Σ", "a\tb\n c", "THE the The. the, (the)", "x" * 3000]
-    e = TF.WordEncoder(PATH, "<u4")
+    e = TF.WordEncoder(read_tokenizer(PATH), "<u4")
     assert e.by_word
     for _ in range(2):
         for t, got in zip(odd, e.encode([t.encode() for t in odd])):
@@ -61,7 +62,7 @@ def test_words_get_the_librarys_ids(lib):
 
 
 def test_every_latin_character_and_more(lib):
-    e = TF.WordEncoder(PATH, "<u4")
+    e = TF.WordEncoder(read_tokenizer(PATH), "<u4")
     points = [*range(1, 0x400), *range(0x1E00, 0x2100), 0x212A, 0x212B, 0xFB01, 0x1F600]
     texts = [t for p in points for c in [chr(p)] for t in (f"a{c}b.", f"{c}", f"A{c}\u0301 x{c}{c}'s", f"e {c}1,")]
     for t, got, want in zip(texts, e.encode([t.encode() for t in texts]), lib.encode_batch_fast(texts, add_special_tokens=False)):

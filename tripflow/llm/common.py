@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 # Text handled at once inside a task; batches above it are cut into row ranges.
 SLICE_BYTES = 8 << 20
+MAX_TOKENIZER_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,15 @@ def require(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; the table has {df.columns}")
 
 
+def read_tokenizer(path: str) -> str:
+    """Text of a tokenizer file, read by the driver (at most ``MAX_TOKENIZER_BYTES``) to be broadcast."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read(MAX_TOKENIZER_BYTES + 1)
+    if len(text) > MAX_TOKENIZER_BYTES:
+        raise ValueError(f"{path} has more than {MAX_TOKENIZER_BYTES} characters")
+    return text
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` with the fields of ``ddl`` after it; names must not clash."""
     more = StructType.fromDDL(ddl)

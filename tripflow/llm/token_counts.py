@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, require, sliced, texts_of, worker_memo
+from .common import BoundedCache, read_tokenizer, require, sliced, texts_of, worker_memo
 
 # Fixed value: the byte-level pre-tokenising pattern of the tokenizer file's
 # "ByteLevel" pre-tokenizer.
@@ -48,14 +49,13 @@ def byte_letters() -> list[str]:
 
 
 class ByteBpe:
-    """Merges and whole tokens of a byte-level BPE file of the tokenizers library."""
+    """Merges and whole tokens of a byte-level BPE file (its JSON text) of the tokenizers library."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, text: str):
+        spec = json.loads(text)
         model, pre = spec["model"], spec["pre_tokenizer"] or {}
         if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or spec["normalizer"] or model.get("ignore_merges") or model.get("dropout"):
-            raise ValueError(f"{path}: only plain byte-level BPE files are handled")
+            raise ValueError("only plain byte-level BPE files are handled")
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.ranks = {pair: i for i, pair in enumerate(pairs)}
         self.letters = byte_letters()
@@ -108,8 +108,8 @@ class ByteBpe:
 class Counter:
     """Counts of texts, with a memo of parts and of merged pre-tokens."""
 
-    def __init__(self, path: str):
-        self.bpe = ByteBpe(path)
+    def __init__(self, text: str):
+        self.bpe = ByteBpe(text)
         self.parts = BoundedCache(CACHE_ENTRIES)
         self.rest = BoundedCache(CACHE_ENTRIES // 4)
 
@@ -168,8 +168,11 @@ def token_counts(docs: DataFrame, tokenizer_path: str, text: str = "text", keep:
     kept = [f"k{i}" for i in range(len(keep))]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema if f.name != "t") + ", n_bytes long, n_tokens long"
 
+    spec = read_tokenizer(tokenizer_path)
+    shared, key = docs.sparkSession.sparkContext.broadcast(spec), zlib.crc32(spec.encode("utf-8"))
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = worker_memo(f"token_counts:{tokenizer_path}", lambda: Counter(tokenizer_path))
+        counter = worker_memo(f"token_counts:{key}", lambda: Counter(shared.value))
         for batch in sliced(batches, "t"):
             texts = texts_of(batch, "t")
             yield pa.RecordBatch.from_arrays(

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
 
-from .common import BoundedCache, require, sliced, utf8_of, worker_memo
+from .common import BoundedCache, read_tokenizer, require, sliced, utf8_of, worker_memo
 from .token_counts import byte_letters
 
 SCALE_BITS = 20
@@ -64,12 +64,12 @@ class WordEncoder:
     are encoded text by text.
     """
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, text: str, dtype: str):
+        """``text``: the JSON of a tokenizer file."""
         from tokenizers import Tokenizer
 
-        self.library, self.dtype = Tokenizer.from_file(path), dtype
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        self.library, self.dtype = Tokenizer.from_str(text), dtype
+        spec = json.loads(text)
         parts = (spec.get("normalizer") or {}).get("normalizers", [])
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         pattern = splits[0].get("pattern", {}).get("Regex", "")
@@ -142,11 +142,14 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id:
     dtype = "<u4" if wide else "<u2"
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t"))
 
+    spec = read_tokenizer(tokenizer_path)
+    shared, key = docs.sparkSession.sparkContext.broadcast(spec), zlib.crc32(spec.encode("utf-8"))
+
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = worker_memo(f"word_encoder:{tokenizer_path}:{dtype}", lambda: WordEncoder(tokenizer_path, dtype))
+        encoder = worker_memo(f"word_encoder:{key}:{dtype}", lambda: WordEncoder(shared.value, dtype))
         end = np.array([end_id], dtype).tobytes()
         for batch in sliced(batches, "t", 4 << 20):
             ids = [b + end for b in encoder.encode(utf8_of(batch, "t"))]
