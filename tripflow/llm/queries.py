@@ -159,4 +159,22 @@ g AS (
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM g
 """
 
-ORACLE: dict[str, str] = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_contamination": OP9_SQL}
+# Texts as hex digits, two a byte; every window of 50 bytes by its smallest id;
+# covered windows joined to runs; the bytes between runs are what stays.
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+m AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s),
+c AS (SELECT w.doc_id, w.i, lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS before FROM w JOIN m ON w.s = m.s WHERE m.first_id < w.doc_id),
+g AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM c),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, run),
+p AS (SELECT r.doc_id, r.run, a, b, coalesce(lag(b) OVER (PARTITION BY r.doc_id ORDER BY a), 0) AS last_b FROM r),
+k AS (SELECT p.doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS last_b,
+             string_agg(substr(d.h, 2 * last_b + 1, 2 * (a - last_b)), '' ORDER BY run) AS head
+      FROM p JOIN d ON p.doc_id = d.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, coalesce(k.n_removed, 0) AS n_removed, coalesce(k.n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.head, '') || substr(d.h, 2 * coalesce(k.last_b, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op6_bwt_dedup": OP6_SQL, "op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_contamination": OP9_SQL}
