@@ -39,7 +39,9 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark, tmp_path):
         (None, "un texte sans numéro", "fr", "b", 0, "x"), (7, "short", "en", "a", 5, "x"), (7, "short", "en", "a", 5, "x"), (8, prose * 5 + " ", "en", "a", 1, "x"), (9, "word " * 40_000, "en", "a", 1, "x"),
         (10, " ".join(f"b{i}" for i in range(20)), "en", "a", 1, "x"),
     ]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, lang_pred string"
+    more = ["lang_pred", "_contamination", "_id", "_gone_id", "kept_one", "component_id", "row"]
+    rows = [(*r, *["x"] * (len(more) - 1)) for r in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in more)
     path = str(tmp_path)
     spark.createDataFrame(rows, schema).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(1, " ".join(f"b{i}" for i in range(20)))], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")

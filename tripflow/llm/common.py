@@ -36,6 +36,13 @@ def read_tokenizer(path: str) -> str:
     return text
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until the table has no such column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` with the fields of ``ddl`` after it; names must not clash."""
     more = StructType.fromDDL(ddl)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, require, sliced, utf8_of, with_fields, worker_memo
+from .common import BoundedCache, free_name, require, sliced, utf8_of, with_fields, worker_memo
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -191,9 +191,9 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int)
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, found: str = "_contamination"
 ) -> DataFrame:
-    """``docs`` with a struct column ``_contamination``: n_words, n_hit, items (sorted strings), spans.
+    """``docs`` with a struct column ``found``: n_words, n_hit, items (sorted strings), spans.
 
     ``spans`` are the maximal runs of hit words as (first word, words).
     """
@@ -202,7 +202,7 @@ def contamination(
     sc = docs.sparkSession.sparkContext
     blocks = [(sc.broadcast(b), uuid.uuid4().hex) for b in item_blocks(benchmark, item_id, item_text, block_bytes)]
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())])))])
-    schema = with_fields(docs, "_contamination struct<n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<first:bigint,words:bigint>>>")
+    schema = with_fields(docs, f"{found} struct<n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<first:bigint,words:bigint>>>")
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = worker_memo("wu_manber", lambda: BoundedCache(1))
@@ -214,9 +214,9 @@ def contamination(
                 if m is None:
                     tables.room()
                     m = tables[key] = WuManber(b.value, window)
-                hit, off, found = m.hits(texts)
+                hit, off, hit_items = m.hits(texts)
                 flags = hit if flags is None else flags | hit
-                for i, f in enumerate(found):
+                for i, f in enumerate(hit_items):
                     items[i] += [m.items[x] for x in f]
             out = []
             if flags is not None and len(flags):
@@ -228,7 +228,7 @@ def contamination(
             for i, t in enumerate(texts):
                 spans = [] if flags is None or not len(flags) else [{"first": int(a - off[i]), "words": int(b - a)} for a, b in zip(begins[cut[i] : cut[i + 1]], ends[cut[i] : cut[i + 1]])]
                 out.append({"n_words": len(t), "n_hit": sum(s["words"] for s in spans), "items": sorted(set(items[i])), "spans": spans})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, "_contamination"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, found])
 
     return docs.mapInArrow(searched, schema)
 
@@ -241,4 +241,5 @@ def is_contaminated(found: str = "_contamination"):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their columns as they were."""
-    return contamination(docs, benchmark, text, **options).filter(~is_contaminated()).drop("_contamination")
+    found = free_name(docs, "_contamination")
+    return contamination(docs, benchmark, text, found=found, **options).filter(~is_contaminated(found)).drop(found)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
 
-from .common import require
+from .common import free_name, require
 
 # Fixed value: the characters that do not count.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -120,15 +120,15 @@ def drop_duplicates(docs: DataFrame, index: DigestIndex, batch: str, doc_id: str
     path = scratch_path(spark, "judged")
     dedup(docs, index, batch, doc_id, text).write.parquet(path)
     judged = spark.read.parquet(path)
-    key = ["_tf_id", "_tf_digest", "_tf_chars"]
-    alike = judged.groupBy(F.col("doc_id").alias(key[0]), F.col("digest").alias(key[1]), F.col("n_chars").alias(key[2])).agg(F.max("kept").alias("_tf_kept"), F.count(F.lit(1)).alias("_tf_rows"))
-    odd = alike.filter(~F.col("_tf_kept") | (F.col("_tf_rows") > 1))
+    key = [free_name(docs, n) for n in ("_id", "_digest", "_chars")]
+    alike = judged.groupBy(F.col("doc_id").alias(key[0]), F.col("digest").alias(key[1]), F.col("n_chars").alias(key[2])).agg(F.max("kept").alias("kept_one"), F.count(F.lit(1)).alias("alike_rows"))
+    odd = alike.filter(~F.col("kept_one") | (F.col("alike_rows") > 1))
     keyed = docs.withColumns({key[0]: F.col(doc_id).cast("long"), key[1]: digest_of(F.col(text)), key[2]: F.length(F.coalesce(F.col(text).cast("string"), F.lit("")))})
 
     def same(other: DataFrame) -> Column:
         return keyed[key[0]].eqNullSafe(other[key[0]]) & (keyed[key[1]] == other[key[1]]) & (keyed[key[2]] == other[key[2]])
 
     once = keyed.join(odd, same(odd), "left_anti").select(*docs.columns)
-    repeated = odd.filter("_tf_kept")
-    one = keyed.join(repeated, same(repeated), "left_semi").groupBy(*key).agg(F.first(F.struct(*docs.columns)).alias("_tf_one")).select("_tf_one.*")
+    repeated = odd.filter("kept_one")
+    one = keyed.join(repeated, same(repeated), "left_semi").groupBy(*key).agg(F.first(F.struct(*docs.columns)).alias("one")).select("one.*")
     return once.unionByName(one)

@@ -47,8 +47,8 @@ from .common import BoundedCache, require, sliced, texts_of, with_fields, worker
 
 MARK = "▁"
 MAX_MODEL_BYTES = 64 << 20
-WORD_MEMO = 600_000
-PAIR_MEMO = 200_000
+WORD_MEMO = 1_000_000
+PAIR_MEMO = 300_000
 _LOOK = 64  # positions between two looks for a common boundary
 
 
@@ -120,7 +120,9 @@ class Segmenter:
         else:
             self._learn_merges()
             self.lattice = {p: 0.0 for p in self.pieces if len(p) == 1 or p in self.halves}
-        self.starts = frozenset(p[:n] for p in self.lattice for n in range(1, len(p)))  # of longer pieces
+        # 1: a piece, 2: the start of a longer one, 3: both.
+        self.edges = dict.fromkeys((p[:n] for p in self.lattice for n in range(1, len(p))), 2)
+        self.edges |= {p: self.edges.get(p, 0) | 1 for p in self.lattice}
         self.table = self._decoding()
         self.silent = frozenset(model["silent"])
         self.marked = frozenset(i for p, (i, _) in self.pieces.items() if p.startswith(MARK))  # lose the text's own first mark
@@ -191,8 +193,8 @@ class Segmenter:
     # --- the search ---------------------------------------------------------------------
     def stream(self, text: str) -> Iterator[list[str]]:
         """Committed runs of pieces of a text, in order."""
-        longest, pieces, starts, unigram, n = self.longest, self.lattice, self.starts, self.model["unigram"], len(text)
-        fits, compatible = self.fits, self.compatible
+        longest, unigram, n = self.longest, self.model["unigram"], len(text)
+        edge, known, compatible = self.edges.get, self.fits.get, self.compatible
         base, before = 0, ""  # committed boundary and the piece that ends there
         back = [0] * (longest + 1)  # back[i - base]: length of the last piece of the path to i; 0: none yet
         score = [0.0] * (longest + 1)
@@ -204,18 +206,18 @@ class Segmenter:
                 score += [0.0] * _LOOK
             for k in range(j + 1, n + 1):
                 piece = text[j:k]
-                hit = pieces.get(piece)
-                if hit is not None or k == j + 1:
+                kind = edge(piece, 0)
+                if kind & 1 or k == j + 1:
                     at = k - base
                     if unigram:
-                        s = score[here] + (hit if hit is not None else self.floor)
+                        s = score[here] + self.lattice.get(piece, self.floor)
                         if not back[at] or s > score[at]:
                             back[at], score[at] = k - j, s
                     elif not back[at]:
-                        ok = fits.get((last, piece))
+                        ok = known((last, piece))
                         if ok or ok is None and compatible(last, piece):
                             back[at] = k - j
-                if piece not in starts:
+                if kind < 2:
                     break
             i = j + 1
             if not back[i - base]:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
 
-from .common import grouped, require, sliced, utf8_of
+from .common import free_name, grouped, require, sliced, utf8_of
 from .components import components
 
 SEED = 42
@@ -246,6 +246,7 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     path = scratch_path(spark, "near")
     near_duplicates(docs, doc_id, text, **options).write.parquet(path)
     found = spark.read.schema(FINGERPRINT + ", component_id long").parquet(path)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_tf_id"), F.col("text_hash").alias("_tf_hash")).distinct()
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_tf_id")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_tf_hash"))
+    key = [free_name(docs, n) for n in ("_gone_id", "_gone_text")]
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key[0]), F.col("text_hash").alias(key[1])).distinct()
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(key[0])) & (F.xxhash64(F.col(text).cast("string")) .eqNullSafe(F.col(key[1])))
     return docs.join(gone, same, "left_anti")
