@@ -54,7 +54,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_pieces(docs, public_tokenizers.path(PIECES), check="round_trip")
+    fresh = docs.drop("piece_ids", "round_trip")  # columns of these names are replaced
+    return encode_pieces(fresh, public_tokenizers.path(PIECES), check="round_trip")
 
 
 STAGES = [
