@@ -51,6 +51,21 @@ def test_later_batches_meet_the_index(spark, index):
     again.close()
 
 
+def test_compaction_keeps_the_rows_in_one_file_per_bucket(spark, index):
+    import os
+
+    for b in range(3):
+        D.dedup(spark.range(30 * b, 30 * b + 40).selectExpr("id doc_id", "cast(id as string) text"), index, f"b{b}").collect()
+    before = sorted(map(tuple, index.rows().collect()))
+    index.compact()
+    files = [f for f in os.listdir(f"{index.path}/data") if f.startswith("part-")]
+    assert len(files) == 4 and sorted(map(tuple, index.rows().collect())) == before and len(before) == 100
+    os.rename(f"{index.path}/data", f"{index.path}/compacted")  # as if cut off before the last step
+    again = D.DigestIndex(spark, index.path)
+    assert again.rows().count() == 100
+    again.close()
+
+
 def test_anti_join_is_a_sort_merge_that_does_not_shuffle_the_index(spark, index):
     new = spark.createDataFrame([(bytes([i]),) for i in range(9)], "digest binary").repartition(4, "digest")
     plan = new.join(index.rows().select("digest").hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()

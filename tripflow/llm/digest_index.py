@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
+from tripflow.sinks.files import delete_folder, folder_exists, replace_folder
 
 from .common import free_name, require
 
@@ -50,9 +51,7 @@ class DigestIndex:
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         meta = f"{self.path}/meta"
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(meta)
-        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        if folder_exists(spark, meta):
             stored = spark.read.schema("buckets int").parquet(meta).first().buckets
             if buckets not in (None, stored):
                 raise ValueError(f"the index in {path} has {stored} buckets, not {buckets}")
@@ -61,8 +60,15 @@ class DigestIndex:
             buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
             spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(meta)
         self.buckets = buckets
-        self.table = f"digest_index_{uuid.uuid4().hex}"
-        spark.sql(f"CREATE TABLE {self.table} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}/data'")
+        data, whole = f"{self.path}/data", f"{self.path}/compacted"
+        if not folder_exists(spark, data) and folder_exists(spark, whole):
+            replace_folder(spark, whole, data)  # a compaction was cut off before its last step
+        self.table = self._create(data)
+
+    def _create(self, location: str) -> str:
+        table = f"digest_index_{uuid.uuid4().hex}"
+        self.spark.sql(f"CREATE TABLE {table} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{location}'")
+        return table
 
     def rows(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.table)
@@ -72,6 +78,20 @@ class DigestIndex:
         """Add (digest, doc_id, n_chars, batch) rows; one file per bucket."""
         rows.select("digest", "doc_id", "n_chars", "batch").repartition(self.buckets, "digest").write.insertInto(self.table)
 
+    def compact(self) -> None:
+        """Rewrite the index with one sorted file per bucket, as many batches leave many.
+
+        To be run while no batch is: the new files take the old ones' place.
+        """
+        whole = f"{self.path}/compacted"
+        delete_folder(self.spark, whole)
+        table = self._create(whole)
+        # Read as plain files: over the bucketed table Spark would leave the exchange out.
+        plain = self.spark.read.schema(SCHEMA).parquet(f"{self.path}/data")
+        plain.repartition(self.buckets, "digest").write.insertInto(table)
+        self.spark.sql(f"DROP TABLE {table}")
+        replace_folder(self.spark, whole, f"{self.path}/data")
+
     def close(self) -> None:
         """Forget the session's table; the files stay."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
