@@ -52,18 +52,27 @@ def file_offsets(df: DataFrame, file_col: str = "_file", buckets: int | None = N
        at most ``buckets`` rows, and are broadcast back: that size bound holds
        by construction.
     """
-    spark = df.sparkSession
+    return _offsets(*_file_rows(df, file_col), file_col, buckets)
 
-    def stored(rows: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        rows.write.parquet(path)
-        return spark.read.schema(rows.schema).parquet(path)
 
-    counts = stored(df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rows")), "file-rows")
-    n = buckets or max(1, -(-counts.count() // FILES_PER_RANGE))
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _file_rows(df: DataFrame, file_col: str) -> tuple[DataFrame, int, int]:
+    """(rows per file, stored; files; rows)."""
+    counts = _stored(df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rows")), "file-rows")
+    files, total = counts.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    return counts, files, int(total or 0)
+
+
+def _offsets(counts: DataFrame, files: int, total: int, file_col: str, buckets: int | None = None) -> DataFrame:
+    n = buckets or max(1, -(-files // FILES_PER_RANGE))
     ranged = counts.repartitionByRange(n, file_col).withColumn("_bucket", F.spark_partition_id())
     inside = Window.partitionBy("_bucket").orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
-    local = stored(ranged.withColumn("_local", F.coalesce(F.sum("_rows").over(inside), F.lit(0))), "file-offsets")
+    local = _stored(ranged.withColumn("_local", F.coalesce(F.sum("_rows").over(inside), F.lit(0))), "file-offsets")
     totals = local.groupBy("_bucket").agg(F.sum("_rows").alias("_bucket_rows"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_bucket", F.coalesce(F.sum("_bucket_rows").over(before), F.lit(0)).alias("_base"))
@@ -84,8 +93,8 @@ def with_position(df: DataFrame, file_col: str = "_file", row_col: str = "_row")
     broadcasts it while it is below its threshold, else both sides shuffle by
     file and adaptive execution splits a large file's rows.
     """
-    offsets = file_offsets(df, file_col)
-    total = int(offsets.agg(F.sum("_rows")).first()[0] or 0)
+    counts, files, total = _file_rows(df, file_col)
+    offsets = _offsets(counts, files, total, file_col)
     joined = df.join(offsets.select(file_col, "_offset"), file_col)
     return Positioned(joined.withColumn(POS, F.col("_offset") + F.col(row_col)).drop("_offset", file_col, row_col), total)
 
