@@ -142,13 +142,16 @@ def drop_duplicates(docs: DataFrame, index: DigestIndex, batch: str, doc_id: str
     judged = spark.read.parquet(path)
     key = [free_name(docs, n) for n in ("_id", "_digest", "_chars")]
     alike = judged.groupBy(F.col("doc_id").alias(key[0]), F.col("digest").alias(key[1]), F.col("n_chars").alias(key[2])).agg(F.max("kept").alias("kept_one"), F.count(F.lit(1)).alias("alike_rows"))
-    odd = alike.filter(~F.col("kept_one") | (F.col("alike_rows") > 1))
+    odd, again = scratch_path(spark, "odd"), scratch_path(spark, "repeated")
+    alike.filter(~F.col("kept_one") | (F.col("alike_rows") > 1)).write.parquet(odd)
+    odd_rows = spark.read.schema(alike.schema).parquet(odd)
+    odd_rows.filter("kept_one").write.parquet(again)
+    repeated = spark.read.schema(alike.schema).parquet(again)  # mostly few rows or none: Spark sees its size and need not shuffle the texts for it
     keyed = docs.withColumns({key[0]: F.col(doc_id).cast("long"), key[1]: digest_of(F.col(text)), key[2]: F.length(F.coalesce(F.col(text).cast("string"), F.lit("")))})
 
     def same(other: DataFrame) -> Column:
         return keyed[key[0]].eqNullSafe(other[key[0]]) & (keyed[key[1]] == other[key[1]]) & (keyed[key[2]] == other[key[2]])
 
-    once = keyed.join(odd, same(odd), "left_anti").select(*docs.columns)
-    repeated = odd.filter("kept_one")
+    once = keyed.join(odd_rows, same(odd_rows), "left_anti").select(*docs.columns)
     one = keyed.join(repeated, same(repeated), "left_semi").groupBy(*key).agg(F.first(F.struct(*docs.columns)).alias("one")).select("one.*")
     return once.unionByName(one)
