@@ -51,15 +51,19 @@ def with_fields(df: DataFrame, ddl: str) -> StructType:
     return StructType([*df.schema.fields, *more.fields])
 
 
-def worker_memo(name: str, make: Callable):
+def worker_memo(owner: str, name: str, make: Callable):
     """A value kept for the life of the Python worker process (``make()`` on first use).
 
     Functions are shipped by value, so module globals do not outlive a task.
+    A worker keeps the values of one owner (an operator) at a time: those of
+    the operator before it are let go, so a chain of operators does not add up.
     """
-    home = sys.modules.setdefault("_tripflow_worker", types.ModuleType("_tripflow_worker"))
-    if name not in home.__dict__:
-        home.__dict__[name] = make()
-    return home.__dict__[name]
+    home = sys.modules.setdefault("_tripflow_worker", types.ModuleType("_tripflow_worker")).__dict__
+    if home.get("owner") != owner:
+        home["owner"], home["values"] = owner, {}
+    if name not in home["values"]:
+        home["values"][name] = make()
+    return home["values"][name]
 
 
 class BoundedCache(dict):

@@ -205,7 +205,7 @@ def contamination(
     schema = with_fields(docs, f"{found} struct<n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<first:bigint,words:bigint>>>")
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = worker_memo("wu_manber", lambda: BoundedCache(1))
+        tables = worker_memo("contamination", "wu_manber", lambda: BoundedCache(1))
         for batch in sliced(batches, text):
             texts = [words_of(t) for t in utf8_of(batch, text)]
             flags, items = None, [[] for _ in texts]

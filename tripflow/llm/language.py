@@ -63,7 +63,7 @@ class Profiles:
 
     def __init__(self, dims: int = DIMS, gram: int = GRAM, seed: int = SEED):
         self.dims, self.gram, self.seed = dims, gram, seed
-        self.fold = worker_memo("letter_table", _letter_table)
+        self.fold = worker_memo("language", "letter_table", _letter_table)
         self.letters = BoundedCache(8192)
 
     def letter(self, point: int) -> np.ndarray:
@@ -197,7 +197,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(np.array([prototypes[k] for k in names], np.float32).reshape(len(names), dims))
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        profiles = worker_memo(f"profiles:{dims}", lambda: Profiles(dims))
+        profiles = worker_memo("language", f"profiles:{dims}", lambda: Profiles(dims))
         for batch in sliced(batches, text, _SLICE):
             vectors, has = _in_pieces(profiles, texts_of(batch, text))
             norm = np.linalg.norm(vectors, axis=1, keepdims=True)

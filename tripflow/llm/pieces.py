@@ -47,8 +47,8 @@ from .common import BoundedCache, require, sliced, texts_of, with_fields, worker
 
 MARK = "▁"
 MAX_MODEL_BYTES = 64 << 20
-WORD_MEMO = 1_000_000
-PAIR_MEMO = 300_000
+WORD_MEMO = 600_000
+PAIR_MEMO = 200_000
 _LOOK = 64  # positions between two looks for a common boundary
 
 
@@ -288,7 +288,7 @@ class Segmenter:
 def _segmenter(shared) -> Segmenter:
     model = shared.value
     key = zlib.crc32(repr((model["unigram"], sorted(model["pieces"].items()))).encode())
-    return worker_memo(f"segmenter:{key}", lambda: Segmenter(model))
+    return worker_memo("pieces", f"segmenter:{key}", lambda: Segmenter(model))
 
 
 def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids", check: str | None = None) -> DataFrame:

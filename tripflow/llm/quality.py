@@ -82,7 +82,7 @@ def _repeats(text: str) -> tuple[float, float, float, float]:
 
 def term_matrix(texts: list[str]) -> np.ndarray:
     """Square roots of term frequencies, one row per text. Memory is bounded by slices of the texts."""
-    fold = worker_memo("character_classes", _classes)
+    fold = worker_memo("quality", "character_classes", _classes)
     out = np.zeros((len(texts), TERMS + REPEATS), np.float32)
     counts = np.zeros((len(texts), TERMS), np.int64)
     pieces = [(i, t[s : s + _SLICE + 2]) for i, t in enumerate(texts) for s in range(0, max(1, len(t) - 2), _SLICE)]

@@ -172,7 +172,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, text: str = "text", keep:
     shared, key = docs.sparkSession.sparkContext.broadcast(spec), zlib.crc32(spec.encode("utf-8"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = worker_memo(f"token_counts:{key}", lambda: Counter(shared.value))
+        counter = worker_memo("token_counts", f"token_counts:{key}", lambda: Counter(shared.value))
         for batch in sliced(batches, "t"):
             texts = texts_of(batch, "t")
             yield pa.RecordBatch.from_arrays(

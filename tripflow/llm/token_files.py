@@ -149,7 +149,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = worker_memo(f"word_encoder:{key}:{dtype}", lambda: WordEncoder(shared.value, dtype))
+        encoder = worker_memo("token_files", f"word_encoder:{key}:{dtype}", lambda: WordEncoder(shared.value, dtype))
         end = np.array([end_id], dtype).tobytes()
         for batch in sliced(batches, "t", 4 << 20):
             ids = [b + end for b in encoder.encode(utf8_of(batch, "t"))]
