@@ -189,8 +189,8 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     return {k: v / n for k, v in sorted(out.items()) if (n := np.linalg.norm(v)) > 0}
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (cosine, not below 0). Map-only."""
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with columns ``lang`` and ``score`` (cosine, not below 0). Map-only."""
     require(docs, text)
     names = list(prototypes)
     dims = len(next(iter(prototypes.values()))) if names else DIMS
@@ -204,10 +204,10 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
             if names:
                 cosine = (vectors / np.maximum(norm, 1e-9)) @ shared.value.T
                 best = cosine.argmax(axis=1)
-                score = np.clip(cosine[np.arange(len(best)), best], 0, 1).astype(np.float64)
+                near = np.clip(cosine[np.arange(len(best)), best], 0, 1).astype(np.float64)
             known = has & (norm[:, 0] > 0) & bool(names)
-            lang = [names[best[i]] if k else UNKNOWN for i, k in enumerate(known)]
-            scores = np.where(known, score, 0.0) if names else np.zeros(len(lang))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(scores)], names=[*batch.schema.names, "lang_pred", "score"])
+            found = [names[best[i]] if k else UNKNOWN for i, k in enumerate(known)]
+            scores = np.where(known, near, 0.0) if names else np.zeros(len(found))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(scores)], names=[*batch.schema.names, lang, score])
 
-    return docs.mapInArrow(predicted, with_fields(docs, "lang_pred string, score double"))
+    return docs.mapInArrow(predicted, with_fields(docs, f"{lang} string, {score} double"))

@@ -47,8 +47,8 @@ from .common import BoundedCache, require, sliced, texts_of, with_fields, worker
 
 MARK = "▁"
 MAX_MODEL_BYTES = 64 << 20
-WORD_MEMO = 600_000
-PAIR_MEMO = 200_000
+WORD_MEMO = 1_000_000  # words a worker remembers, about 0.4 KB each with what belongs to them
+PAIR_MEMO = 300_000
 _LOOK = 64  # positions between two looks for a common boundary
 
 
@@ -103,7 +103,7 @@ class Memo(dict):
 class Segmenter:
     """Streaming Viterbi over one model."""
 
-    def __init__(self, model: dict):
+    def __init__(self, model: dict, word_memo: int = WORD_MEMO):
         self.model, self.pieces = model, model["pieces"]
         self.longest = max(map(len, self.pieces), default=1)
         self.floor = min((s for _, s in self.pieces.values()), default=0.0) - 10.0  # score of a character outside the vocabulary
@@ -112,8 +112,8 @@ class Segmenter:
         lead = not any(MARK in p.lstrip(MARK) for p in self.pieces)
         stop = " " + ("\n" if not any("\n" in p for p in self.pieces) else "")
         self.cut = re.compile(f" +[^{stop}]*|[^{stop}]+" + ("|\n" if "\n" in stop else "")) if lead else None
-        self.words = Memo(self._word, WORD_MEMO)
-        self.runs = Memo(self._run, WORD_MEMO * 2 // 3)
+        self.words = Memo(self._word, word_memo)
+        self.runs = Memo(self._run, word_memo * 2 // 3)
         self.fits = BoundedCache(PAIR_MEMO)
         if model["unigram"]:
             self.lattice = {p: s for p, (_, s) in self.pieces.items()}
@@ -285,21 +285,24 @@ class Segmenter:
         return raw.decode("utf-8", "replace")
 
 
-def _segmenter(shared) -> Segmenter:
+def _segmenter(shared, word_memo: int = WORD_MEMO) -> Segmenter:
     model = shared.value
     key = zlib.crc32(repr((model["unigram"], sorted(model["pieces"].items()))).encode())
-    return worker_memo("pieces", f"segmenter:{key}", lambda: Segmenter(model))
+    return worker_memo("pieces", f"segmenter:{key}:{word_memo}", lambda: Segmenter(model, word_memo))
 
 
-def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids", check: str | None = None) -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids", check: str | None = None, word_memo: int = WORD_MEMO) -> DataFrame:
     """``docs`` with an array column ``ids``; with ``check``, also a boolean
-    column of that name: do the ids decode to the text again? Map-only."""
+    column of that name: do the ids decode to the text again? Map-only.
+
+    ``word_memo`` words are remembered per worker (memory against time).
+    """
     require(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
     more = [ids] + ([check] if check else [])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = _segmenter(shared)
+        segmenter = _segmenter(shared, word_memo)
         for batch in sliced(batches, text, 4 << 20):
             texts = texts_of(batch, text)
             rows = [segmenter.encode(t) for t in texts]
