@@ -25,7 +25,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import table
+from tripflow.llm.common import free_name, table
 from tripflow.llm.contamination import drop_contaminated
 from tripflow.llm.digest_index import DigestIndex, drop_duplicates
 from tripflow.llm.language import UNKNOWN, learn, predict
@@ -34,11 +34,12 @@ from tripflow.llm.simhash import drop_near_duplicates
 from tripflow.session import scratch_path
 
 PIECES = "piece_bpe_32k.model"
+WORD_MEMO = 300_000  # words the last stage remembers per worker; less than its default, as rows here are whole documents
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    narrow = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    return predict(narrow, learn(docs)).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    return predict(docs, learn(docs), lang=lang, score=score).filter(F.col(lang) != UNKNOWN).drop(lang, score)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     fresh = docs.drop("piece_ids", "round_trip")  # columns of these names are replaced
-    return encode_pieces(fresh, public_tokenizers.path(PIECES), check="round_trip")
+    return encode_pieces(fresh, public_tokenizers.path(PIECES), check="round_trip", word_memo=WORD_MEMO)
 
 
 STAGES = [
