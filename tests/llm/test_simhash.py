@@ -49,6 +49,13 @@ def test_fingerprints():
     assert S.fingerprint(b"a b c d e", 5) == plain_fingerprint("a b c d e", 5)
 
 
+@pytest.mark.parametrize("seed", [8, 9, 20])
+def test_long_texts_count_every_shingle(seed):
+    """Over two blocks of shingles, votes so close that one shingle at a block's edge decides a bit."""
+    text = " ".join(str(seed * 1_000_000 + i) for i in range(131_100))
+    assert S.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
 @pytest.mark.parametrize("parts", [2, 3, 5])
 def test_every_near_pair_shares_a_home(parts):
     rng = random.Random(parts)

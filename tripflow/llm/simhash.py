@@ -29,7 +29,7 @@ compared each by their own text; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +59,7 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     digest, join, seed = xxhash.xxh64_intdigest, b" ".join, SEED
     votes, total = np.zeros(64, np.int64), 0
     while True:
-        hashes = np.fromiter((digest(join(w), seed) for w, _ in zip(runs, range(1 << 16))), np.uint64)
+        hashes = np.fromiter((digest(join(w), seed) for w in islice(runs, 1 << 16)), np.uint64)
         if not len(hashes):
             break
         votes += np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
