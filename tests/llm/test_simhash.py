@@ -117,6 +117,31 @@ def test_table(spark):
     assert S.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_one_document_of_each_component_stays(spark):
+    prose = "the quick brown fox jumps over the lazy dog and runs far away from here today "
+    a, b = prose * 30, "an old house by the river where nobody had lived for many years until now " * 30
+    near = lambda t: t + t.split()[0]  # noqa: E731  another shingle or none, the same fingerprint or a near one
+    rows = [
+        (5, a), (5, b), (3, b.upper()), (9, a.upper()),  # doc_id 5 holds two texts, one of them near a smaller id
+        (None, "red " * 40), (None, "RED " * 40),  # near copies, none with an id
+        (6, "blue sky " * 40), (6, "BLUE sky " * 40), (8, "Blue sky " * 40),  # near copies under one id
+        (4, near(a)),
+    ]
+    fps = [plain_fingerprint(t) for _, t in rows]
+    assert (fps[9] ^ fps[0]).bit_count() <= 4 and (fps[0] ^ fps[1]).bit_count() > 4
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r.doc_id, r.fp % (1 << 64), r.component_id) for r in S.near_duplicates(df).collect()), key=repr)
+    assert found == sorted(zip([k for k, _ in rows], fps, brute_components(fps, [k for k, _ in rows])), key=repr)
+    kept = [(r.doc_id, r.text.lower()) for r in S.drop_near_duplicates(df).collect()]
+    assert sorted(kept, key=repr) == sorted([(4, near(a)), (3, b), (None, "red " * 40), (6, "blue sky " * 40)], key=repr)
+
+
+def test_unlike_texts_under_one_id_do_not_take_each_other_along(spark):
+    rows = [(5, "the quick brown fox jumps over the lazy dog " * 30), (5, "an old house by the river where nobody lived " * 30), (3, "AN old house by the river where nobody lived " * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in S.drop_near_duplicates(df).collect()) == sorted([rows[0], rows[2]])
+
+
 def test_query_against_all_pairs(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()

@@ -23,7 +23,8 @@ joined by ``components``.
 
 Defined results: null text counts as empty; a component is named by its
 smallest doc_id, null if all its ids are null; rows that share a doc_id are
-compared each by their own text; an empty table gives no rows.
+compared each by their own text, so components may share a name; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -44,8 +45,6 @@ from .components import components
 SEED = 42
 TILE = 4096
 FINGERPRINT = "doc_id long, text_hash long, fp long"
-# Nodes of fingerprints whose rows all have null ids; real ids lie below.
-NO_ID = 1 << 62
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -211,6 +210,25 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
+def _grouped_prints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, bits: int = 4, parts: int = 3) -> DataFrame:
+    """(doc_id, text_hash, fp, component_id, component): ``component`` is the smallest fingerprint of each component."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "fingerprints")
+    fingerprints(docs, doc_id, text, shingle).write.parquet(path)
+    prints = spark.read.schema(FINGERPRINT).parquet(path)
+    node_path = scratch_path(spark, "nodes")
+    prints.groupBy("fp").agg(F.min("doc_id").alias("id")).select("fp", F.col("fp").alias("node"), "id").write.parquet(node_path)
+    nodes = spark.read.schema("fp long, node long, id long").parquet(node_path)
+    label_path = scratch_path(spark, "labels")
+    nodes.join(components(links(nodes, bits, parts)), "node").select("fp", F.col("label").alias("component"), "id").write.parquet(label_path)
+    linked = spark.read.schema("fp long, component long, id long").parquet(label_path)
+    names = linked.groupBy("component").agg(F.min("id").alias("component_id"))
+    # Fingerprints without links are components of their own.
+    alone = nodes.join(linked, "fp", "left_anti").select("fp", F.col("fp").alias("component"), F.col("id").alias("component_id"))
+    named = linked.join(names, "component").select("fp", "component", "component_id").unionByName(alone)
+    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "component")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, bits: int = 4, parts: int = 3) -> DataFrame:
     """(doc_id, text_hash, fp, component_id) for every row of ``docs``.
 
@@ -218,17 +236,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts (3: 12-bit anchors, about 27 presences each; 2: 20-bit anchors,
     some hundreds). The result is the same.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "fingerprints")
-    fingerprints(docs, doc_id, text, shingle).write.parquet(path)
-    prints = spark.read.schema(FINGERPRINT).parquet(path)
-    surrogate = F.lit(NO_ID) + F.shiftrightunsigned("fp", 2)
-    node_path = scratch_path(spark, "nodes")
-    prints.groupBy("fp").agg(F.min("doc_id").alias("node")).select("fp", F.coalesce("node", surrogate).alias("node")).write.parquet(node_path)
-    nodes = spark.read.schema("fp long, node long").parquet(node_path)
-    labels = components(links(nodes, bits, parts))
-    named = nodes.join(labels, "node", "left").select("fp", F.coalesce("label", "node").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", F.when(F.col("component_id") < NO_ID, F.col("component_id")).alias("component_id"))
+    return _grouped_prints(docs, doc_id, text, shingle, bits, parts).drop("component")
 
 
 def hex_of(fp: Column) -> Column:
@@ -237,16 +245,21 @@ def hex_of(fp: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller doc_id; columns as they were.
+    """One document of each component of ``docs``; columns as they were.
 
-    Rows are told apart by doc_id and text, so rows alike in both stay or go
-    together. Rows with a null doc_id stay only if their component has no id.
+    The one with the smallest doc_id stays (nulls last); of different texts
+    under that id, the one with the smallest hash. Rows are told apart by
+    doc_id and text, so rows alike in both stay or go together.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "near")
-    near_duplicates(docs, doc_id, text, **options).write.parquet(path)
-    found = spark.read.schema(FINGERPRINT + ", component_id long").parquet(path)
+    _grouped_prints(docs, doc_id, text, **options).write.parquet(path)
+    found = spark.read.schema(FINGERPRINT + ", component_id long, component long").parquet(path)
     key = [free_name(docs, n) for n in ("_gone_id", "_gone_text")]
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key[0]), F.col("text_hash").alias(key[1])).distinct()
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min("component_id").alias("first_id"), F.min("text_hash").alias("first_text"))
+    rows = found.select(F.col("doc_id").alias(key[0]), F.col("text_hash").alias(key[1])).distinct()
+    gone_path = scratch_path(spark, "gone")
+    rows.join(first, F.col(key[0]).eqNullSafe(F.col("first_id")) & (F.col(key[1]) == F.col("first_text")), "left_anti").write.parquet(gone_path)
+    gone = spark.read.schema(f"`{key[0]}` long, `{key[1]}` long").parquet(gone_path)
     same = F.col(doc_id).cast("long").eqNullSafe(F.col(key[0])) & (F.xxhash64(F.col(text).cast("string")) .eqNullSafe(F.col(key[1])))
     return docs.join(gone, same, "left_anti")
