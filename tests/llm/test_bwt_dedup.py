@@ -94,6 +94,25 @@ def test_table(spark, monkeypatch, small):
     assert sum(r.n_removed for r in got) > 1000
 
 
+def test_a_crowded_anchor_is_dealt_by_its_windows(spark, monkeypatch):
+    """A passage in every document, with other bytes around it each time: no merge holds the segments of all."""
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = "it was the best of times, it was the worst of times, it was the age of wisdom"
+    rows = [(k, noise(60) + passage + noise(60)) for k in range(400)] + [(500 + k, rng.choice("xy") + passage + "z" * 60) for k in range(50)]
+    whole, most = B._merge_windows, 100 * (B.LENGTH + B.WIDTH)
+
+    def bounded(text, begin, size, ids, out, part):
+        if size.sum() > most:
+            raise ValueError(f"merge of {size.sum()} bytes")
+        whole(text, begin, size, ids, out, part)
+
+    for k, v in {"CHUNK_BYTES": 3000, "BUCKET_BYTES": 1000, "MERGE": 1000, "CROWD": 40, "_merge_windows": bounded}.items():
+        monkeypatch.setattr(B, k, v, raising=False)
+    got = B.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted((k, *w) for (k, _), w in zip(rows, brute(rows)))
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert B.remove_repeats(df).collect() == []

@@ -11,10 +11,15 @@ input as it is, on UTF-8 bytes, and never cross documents.
    with the smallest hash. Equal windows have equal anchors, so only windows
    whose anchor occurs in two documents can repeat. Each chunk asks about its
    distinct anchors (one entry each, however often a string occurs), dealt by
-   hash; the reply is one bit per entry.
+   hash; the reply is one bit per entry. An anchor's segments are counted on
+   the way (in powers of two), and a second bit marks crowded anchors, with more
+   than ``CROWD`` of them.
 3. *Segments.* Consecutive windows with the same anchor are one segment of at
    most 76 bytes. A chunk sends each distinct segment with a repeated anchor
-   once, with its smallest document id, dealt by the anchor's hash.
+   once, with its smallest document id, dealt by the anchor's hash. Where the
+   anchor is crowded, each window is a segment of its own, dealt by the hash of
+   its 50 bytes, so equal windows still meet and no merge has more than
+   ``CROWD`` segments of one anchor.
 4. *Merge.* Equal windows now meet in one task, inside different segments of
    the same anchor. The segments are cut into shards; each shard gets its own
    Burrows-Wheeler transform, and the transforms are merged by iterative
@@ -55,7 +60,8 @@ WIDTH = LENGTH - GRAM + 1  # windows (and so anchors' candidates) per window
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20  # of text per bucket of anchors
 SHARD = 1 << 17
-MERGE = 1 << 20  # bytes of segments merged at once, unless one anchor has more
+MERGE = 1 << 20  # bytes of segments merged at once, and at most one anchor more
+CROWD = 1 << 13  # segments of an anchor, beyond which its windows are dealt one by one
 NO_ID = np.iinfo(np.int64).max
 STOP = 0xFF  # in no UTF-8 text
 _POSITIONS = 1 << 17
@@ -185,12 +191,42 @@ class Chunk:
         last = np.concatenate([first[1:], [len(a)]]) - 1
         return a[first], d[first] != d[last[: len(first)]]
 
-    def keep(self, repeated: np.ndarray) -> None:
-        """Forget the segments whose anchor is not among the ``repeated`` (flags as in ``anchors``)."""
+    def sizes_of_anchors(self) -> np.ndarray:
+        """For each of ``anchors``, the power of two that its distinct segments do not exceed (up to 8 segments are taken as distinct)."""
+        order = np.argsort(self.anchor, kind="stable")
+        a = self.anchor[order]
+        first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])[: len(a)])
+        n = np.diff(np.append(first, len(a)))
+        many = np.flatnonzero(n > 8)
+        if len(many):
+            which = np.repeat(np.arange(len(n)), n)
+            at = np.flatnonzero(n[which] > 8)
+            use, which = order[at], which[at]
+            x, y = fingerprints(self.text, self.begin[use], self.windows[use] + LENGTH - 1)
+            o = np.lexsort((y, x, which))
+            w, x, y = which[o], x[o], y[o]
+            new = np.concatenate([[True], (w[1:] != w[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+            n[many] = np.bincount(w[new], minlength=len(n))[many]
+        return np.ceil(np.log2(n)).astype(np.uint8)
+
+    def keep(self, repeated: np.ndarray, crowded: np.ndarray) -> None:
+        """Forget the segments whose anchor is not among the ``repeated`` (flags as in ``anchors``).
+
+        Those with a ``crowded`` anchor are cut into their windows, each with its own hash as anchor.
+        """
         distinct, _ = self.anchors()
         at = np.searchsorted(distinct, self.anchor)
         use = repeated[at] if len(distinct) else np.zeros(0, bool)
+        cut = crowded[at[use]] if len(distinct) else np.zeros(0, bool)
         self.doc, self.begin, self.windows, self.anchor = self.doc[use], self.begin[use], self.windows[use], self.anchor[use]
+        if not cut.any():
+            return
+        n = self.windows[cut]
+        begin = np.repeat(self.begin[cut] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        own = np.ones(len(begin), np.int64)
+        window, _ = fingerprints(self.text, begin, own * LENGTH)
+        self.doc = np.concatenate([self.doc[~cut], np.repeat(self.doc[cut], n)])
+        self.begin, self.windows, self.anchor = (np.concatenate([old[~cut], new]) for old, new in ((self.begin, begin), (self.windows, own), (self.anchor, window)))
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(a segment of each distinct content, ordered by anchor; its smallest id; each segment's distinct number)."""
@@ -338,10 +374,10 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _flags(replies: list[dict] | None) -> np.ndarray:
-    """Replies of all buckets, in bucket order, as one array of flags."""
+def _flags(replies: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Replies of all buckets, in bucket order, as two arrays of flags: repeated, crowded."""
     parts = sorted(replies or [], key=lambda r: r["bucket"])
-    return np.concatenate([np.zeros(0, bool), *[np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]).astype(bool) for r in parts]])
+    return tuple(np.concatenate([np.zeros(0, bool), *[np.unpackbits(np.frombuffer(r[kind], np.uint8), count=r["n"]).astype(bool) for r in parts]]) for kind in ("bits", "crowded"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -360,8 +396,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in _rows(batch):
-                anchor, several = Chunk(r["ids"], r["sizes"], r["body"]).anchors()
-                rows = [(r["chunk"], b, anchor[lo:hi].astype("<u4").tobytes(), np.packbits(several[lo:hi]).tobytes()) for b, lo, hi in _bucket_rows(r["chunk"], bucket_of(anchor, buckets), buckets)]
+                c = Chunk(r["ids"], r["sizes"], r["body"])
+                (anchor, several), log = c.anchors(), c.sizes_of_anchors()
+                rows = [(r["chunk"], b, anchor[lo:hi].astype("<u4").tobytes(), np.packbits(several[lo:hi]).tobytes(), log[lo:hi].tobytes()) for b, lo, hi in _bucket_rows(r["chunk"], bucket_of(anchor, buckets), buckets)]
                 yield _table(rows, ASK)
 
     def answer(table: pa.Table) -> pa.Table:
@@ -371,19 +408,26 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         merged = np.sort(np.concatenate(parts))
         twice = np.unique(merged[1:][merged[1:] == merged[:-1]])
         bits = [s | _among(p, twice) for p, s in zip(parts, several)]
-        return pa.Table.from_batches([_table([(r["chunk"], r["bucket"], len(b), np.packbits(b).tobytes()) for r, b in zip(rows, bits)], FLAGS)])
+        # Segments are counted under the anchors that several documents have.
+        hashes = np.concatenate([p[b] for p, b in zip(parts, bits)])
+        counts = np.int64(1) << np.concatenate([np.frombuffer(r["logs"], np.uint8)[b] for r, b in zip(rows, bits)]).astype(np.int64)
+        order = np.argsort(hashes)
+        hashes, counts = hashes[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+        crowded = hashes[first][np.add.reduceat(counts, first) > CROWD] if len(first) else hashes
+        return pa.Table.from_batches([_table([(r["chunk"], r["bucket"], len(b), np.packbits(b).tobytes(), np.packbits(_among(p, crowded)).tobytes()) for r, p, b in zip(rows, parts, bits)], FLAGS)])
 
     asked = chunks.mapInArrow(ask, ASK)
     flags_path = f"{path}/anchors"
     asked.groupBy("bucket").applyInArrow(answer, FLAGS).write.parquet(flags_path)
     flags = spark.read.schema(FLAGS).parquet(flags_path)
-    known = flags.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "bits")).alias("anchors"))
+    known = flags.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "bits", "crowded")).alias("anchors"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in _rows(batch):
                 c = Chunk(r["ids"], r["sizes"], r["body"])
-                c.keep(_flags(r["anchors"]))
+                c.keep(*_flags(r["anchors"]))
                 lead, least, _ = c.distinct()
                 anchor, size = c.anchor[lead], c.windows[lead] + LENGTH - 1
                 rows = []
@@ -428,7 +472,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         for batch in batches:
             for r in _rows(batch):
                 c = Chunk(r["ids"], r["sizes"], r["body"])
-                c.keep(_flags(r["anchors"]))
+                c.keep(*_flags(r["anchors"]))
                 _, least, number = c.distinct()
                 parts = sorted(r["masks"] or [], key=lambda m: m["bucket"])
                 mask = np.concatenate([np.zeros(0, np.uint32), *[np.frombuffer(m["masks"], "<u4") for m in parts]])
@@ -472,8 +516,8 @@ def _marked(c: Chunk, least: np.ndarray, number: np.ndarray, mask: np.ndarray) -
         yield _table(rows, DONE)
 
 
-ASK = "chunk long, bucket int, hashes binary, several binary"
-FLAGS = "chunk long, bucket int, n int, bits binary"
+ASK = "chunk long, bucket int, hashes binary, several binary, logs binary"
+FLAGS = "chunk long, bucket int, n int, bits binary, crowded binary"
 SENT = "chunk long, bucket int, sizes binary, hashes binary, ids binary, body binary"
 MASKS = "chunk long, bucket int, masks binary"
 DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
