@@ -5,8 +5,8 @@ returns a DataFrame that is written as Parquet and read again as the next
 one's ``docs``. Each works on all rows its predecessor kept and its decisions
 take effect. All but the last return the columns of ``documents``.
 
-1. ``language_id``: documents without a recognisable language go (null text or
-   no letters); prototypes are learned from the documents that have a language.
+1. ``language_id``: null texts and texts without letters go, and no others, also
+   where no document has a language; prototypes are learned from those that do.
 2. ``exact_dedup``: of texts equal but for blanks one stays.
 3. ``simhash_dedup``: of each component of near fingerprints (4-word shingles,
    at most 4 differing bits) the smallest doc_id stays.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import free_name, table
 from tripflow.llm.contamination import drop_contaminated
 from tripflow.llm.digest_index import DigestIndex, drop_duplicates
-from tripflow.llm.language import UNKNOWN, learn, predict
+from tripflow.llm.language import learn, predict
 from tripflow.llm.pieces import encode_pieces
 from tripflow.llm.simhash import drop_near_duplicates
 from tripflow.session import scratch_path
@@ -38,8 +38,8 @@ WORD_MEMO = 300_000  # words the last stage remembers per worker; less than its
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
-    return predict(docs, learn(docs), lang=lang, score=score).filter(F.col(lang) != UNKNOWN).drop(lang, score)
+    lang, score, lettered = free_name(docs, "lang_pred"), free_name(docs, "score"), free_name(docs, "lettered")
+    return predict(docs, learn(docs), lang=lang, score=score, lettered=lettered).filter(lettered).drop(lang, score, lettered)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,24 @@ def test_held_out_rows_are_neither_learned_from_nor_wrong(spark):
 def test_the_training_bound_is_kept(spark):
     df = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the word "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
     assert list(L.learn(df, max_training=50)) == ["en"]
+
+
+def test_the_sample_is_kept_where_ids_repeat_and_is_never_empty(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    whole = L._in_pieces
+
+    def counted(profiles, texts):
+        seen.add(len(texts))
+        return whole(profiles, texts)
+
+    monkeypatch.setattr(L, "_in_pieces", counted)
+    words = F.concat(F.lit("the word "), F.conv(F.col("id"), 10, 36))
+    one_id = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), words.alias("text"), F.lit("en").alias("lang"))
+    for most in (100, 1):  # a third of the rows has no id; and a small share of many rows
+        before = seen.value
+        assert list(L.learn(one_id, max_training=most)) == ["en"]
+        assert seen.value - before == most
+    copies = one_id.unionByName(spark.range(6000).select(F.lit(7).alias("doc_id"), F.lit("one text").alias("text"), F.lit("en").alias("lang")))
+    before = seen.value
+    L.learn(copies, max_training=100)
+    assert seen.value - before == 100

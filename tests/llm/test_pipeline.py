@@ -65,3 +65,11 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     assert pipeline.run(spark, path).collect() == []
     assert np.array([n for n, _ in pipeline.STAGES]).tolist() == ["language_id", "exact_dedup", "simhash_dedup", "decontaminate", "encode"]
+
+
+def test_texts_stay_where_no_document_has_a_language(spark):
+    rows = [(1, "a house by the river", None), (2, "日本", None), (3, "12 34", None), (4, None, None), (5, "", None), (6, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = pipeline.language_id(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(r.doc_id for r in out.collect()) == [1, 2, 6]

@@ -10,9 +10,9 @@ to the language whose prototype has the largest cosine with it.
 Letters are lower-cased; every run of other characters is one space, and a
 text has a space before and after it.
 
-Training uses rows with a language that are not held out, at most about
-``max_training`` of them (documents are drawn by a hash of their id), each text
-once. Partial prototypes are summed per (language, dimension) with map-side
+Training uses rows with a language that are not held out: of their different
+(doc_id, language, text) the ``max_training`` with the smallest hashes, each
+text once. Partial prototypes are summed per (language, dimension) with map-side
 combining; the driver holds languages x dimensions numbers, and refuses more
 than ``MAX_LANGUAGES``. Prediction is map-only.
 
@@ -159,11 +159,14 @@ def _in_pieces(profiles: Profiles, texts: list[str]) -> tuple[np.ndarray, np.nda
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_training: int = MAX_TRAINING, dims: int = DIMS) -> dict[str, np.ndarray]:
     """Prototypes by language from the rows that have one."""
     require(rows, text, lang, doc_id)
-    labelled = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"), F.xxhash64(F.col(doc_id).cast("string")).alias("h")).filter(F.col("lang").isNotNull() & F.col("t").isNotNull())
-    total = labelled.count()
-    if total > max_training:
-        # The share of the hash range that holds about max_training rows.
-        labelled = labelled.filter(F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * max_training / total))
+    labelled = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"), F.xxhash64(F.col(doc_id).cast("string"), F.col(lang).cast("string"), F.col(text).cast("string")).alias("h")).filter(F.col("lang").isNotNull() & F.col("t").isNotNull())
+    about = labelled.agg(F.approx_count_distinct("h")).first()[0]
+    if 2 * about > max_training:
+        # Twice the share of the hash range that holds max_training rows, then the smallest of those.
+        top = -(1 << 63) + (1 << 64) * 2 * max_training // about
+        few = labelled.filter(F.col("h") < top) if top < 1 << 63 else labelled
+        last = few.select("h").distinct().orderBy("h").limit(max_training).agg(F.max("h")).first()[0]
+        labelled = labelled.filter(F.col("h") <= last) if last is not None else labelled.limit(0)
     once = labelled.groupBy("lang", F.xxhash64("t").alias("x"), F.length("t").alias("n")).agg(F.min("t").alias("t"))
 
     def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,8 +192,11 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     return {k: v / n for k, v in sorted(out.items()) if (n := np.linalg.norm(v)) > 0}
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with columns ``lang`` and ``score`` (cosine, not below 0). Map-only."""
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", lang: str = "lang_pred", score: str = "score", lettered: str | None = None) -> DataFrame:
+    """``docs`` with columns ``lang`` and ``score`` (cosine, not below 0). Map-only.
+
+    With ``lettered``, also a column of that name: does the text have a letter?
+    """
     require(docs, text)
     names = list(prototypes)
     dims = len(next(iter(prototypes.values()))) if names else DIMS
@@ -208,6 +214,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
             known = has & (norm[:, 0] > 0) & bool(names)
             found = [names[best[i]] if k else UNKNOWN for i, k in enumerate(known)]
             scores = np.where(known, near, 0.0) if names else np.zeros(len(found))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(scores)], names=[*batch.schema.names, lang, score])
+            more = {lang: pa.array(found, pa.string()), score: pa.array(scores)} | ({lettered: pa.array(has)} if lettered else {})
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more.values()], names=[*batch.schema.names, *more])
 
-    return docs.mapInArrow(predicted, with_fields(docs, f"{lang} string, {score} double"))
+    return docs.mapInArrow(predicted, with_fields(docs, f"{lang} string, {score} double" + (f", {lettered} boolean" if lettered else "")))
