@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Text handled at once inside a task; batches above it are cut into row ranges.
@@ -36,17 +37,24 @@ def read_tokenizer(path: str) -> str:
     return text
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and backquotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores added until the table has no such column."""
-    while name in df.columns:
+    """``name``, with underscores added until the table has no such column (in any case, as Spark compares names)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
         name += "_"
     return name
 
 
 def with_fields(df: DataFrame, ddl: str) -> StructType:
-    """The schema of ``df`` with the fields of ``ddl`` after it; names must not clash."""
+    """The schema of ``df`` with the fields of ``ddl`` after it; names must not clash (in any case)."""
     more = StructType.fromDDL(ddl)
-    if clash := {*df.columns} & {*more.names}:
+    taken = {c.lower() for c in df.columns}
+    if clash := {n for n in more.names if n.lower() in taken}:
         raise ValueError(f"the table already has columns {sorted(clash)}")
     return StructType([*df.schema.fields, *more.fields])
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
 
-from . import quality
+from . import quality, quality_rules
 from .bwt_dedup import remove_repeats
 from .common import table
 from .contamination import contamination, is_contaminated
@@ -96,6 +96,13 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    found = quality_rules.cascade(table(spark, sf_dir, "documents"), columns=["doc_id"], report=stats)
+    base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return found.select("doc_id", *stats, base_failed.alias("base_failed"), "kept")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_pieces": op2_pieces,
@@ -107,6 +114,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_contamination": op9_contamination,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 # Windows of 13 consecutive item words, found in the documents by an equi-join
@@ -177,4 +185,34 @@ SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, coalesce(k.n_removed, 0) AS n_r
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
-ORACLE: dict[str, str] = {"op6_bwt_dedup": OP6_SQL, "op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_contamination": OP9_SQL}
+# Windows of 8 words that a text has twice or more, the words in them, and the
+# rules over the counts.
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win) WHERE n > 1),
+r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
+s AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, len(l) AS n_lines,
+         CAST(coalesce(r.n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN r ON d.doc_id = r.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 2 * word_chars < 5 * n_words OR word_chars > 10 * n_words
+            OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines) AS kept
+FROM s
+"""
+
+ORACLE: dict[str, str] = {
+    "op12_quality_rules": OP12_SQL,
+    "op6_bwt_dedup": OP6_SQL,
+    "op1_url_filter": OP1_SQL,
+    "op3_exact_dedup": OP3_SQL,
+    "op9_contamination": OP9_SQL,
+}
