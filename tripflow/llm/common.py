@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 # Text handled at once inside a task; batches above it are cut into row ranges.
 SLICE_BYTES = 8 << 20
@@ -50,6 +50,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: StructType) -> DataFrame:
+    """``df.mapInArrow`` for tables whose column names may have dots, which Spark's own does not find."""
+    names = {}
+    for c in df.columns:
+        if "." in c or "`" in c:
+            names[c] = free_name(df.select(*map(quoted, df.columns), *(F.lit(None).alias(n) for n in names.values())), c.replace(".", "_").replace("`", "_"))
+    plain = StructType([StructField(names.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])
+    return df.toDF(*(names.get(c, c) for c in df.columns)).mapInArrow(run, plain).toDF(*schema.names)
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` with the fields of ``ddl`` after it; names must not clash (in any case)."""
     more = StructType.fromDDL(ddl)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, require, sliced, utf8_of, with_fields
+from .common import free_name, map_arrow, quoted, require, sliced, utf8_of, with_fields
 
 # The characters of the contract.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -251,9 +251,7 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "t
     columns = list(docs.columns if columns is None else columns)
     body = docs.select(*map(quoted, columns))
     schema = with_fields(body, ", ".join(["kept boolean", "failed string", *(f"{s} long" for s in report)]))
-    hidden = "_judged_text"
-    while hidden.lower() in {c.lower() for c in columns}:
-        hidden += "_"
+    hidden = free_name(body, "_judged_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pa.array([r.name for r in rules])
@@ -271,4 +269,4 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "t
                 names=schema.names,
             )
 
-    return docs.select(*map(quoted, columns), quoted(text).cast("string").alias(hidden)).mapInArrow(run, schema)
+    return map_arrow(docs.select(*map(quoted, columns), quoted(text).cast("string").alias(hidden)), run, schema)
