@@ -19,6 +19,7 @@ from .common import table
 from .contamination import contamination, is_contaminated
 from .digest_index import DigestIndex, dedup
 from .language import held_out, learn, predict
+from .merkle import ascii_lower, manifest
 from .pieces import round_trip
 from .simhash import hex_of, near_duplicates
 from .token_counts import token_counts
@@ -103,6 +104,12 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *stats, base_failed.alias("base_failed"), "kept")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], group="lang", tampered={"text": ascii_lower(F.col("text"))})
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_pieces": op2_pieces,
@@ -115,6 +122,7 @@ QUERIES = {
     "op9_contamination": op9_contamination,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op12_quality_rules": op12_quality_rules,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 # Windows of 13 consecutive item words, found in the documents by an equi-join
@@ -209,7 +217,71 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM s
 """
 
+
+
+def _merkle_levels(source: str, group: str, name: str, depth: int) -> str:
+    """CTEs ``<name>0`` to ``<name><depth>``: nodes (g, i, h, n, run of siblings) of each level of the trees over ``source`` (g, i, h)."""
+    out = [f"{name}0 AS (SELECT g, i, h, count(*) OVER (PARTITION BY {group}) AS n FROM {source})"]
+    for k in range(1, depth + 1):
+        up = f"SELECT g, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {name}{k - 1} WHERE n > 1 GROUP BY g, i // 8"
+        out.append(f"{name}{k} AS (SELECT g, i, h, count(*) OVER (PARTITION BY {group}) AS n FROM ({up} UNION ALL SELECT g, i, h FROM {name}{k - 1} WHERE n = 1))")
+    return ",\n".join(out)
+
+
+def _merkle_proofs(name: str, depth: int) -> str:
+    """CTEs ``<name>s0``...: for each node of a level, the others of its run in two parts: before and after it."""
+    out = []
+    for k in range(depth):
+        run = f"SELECT g, i // 8 AS r, list(h ORDER BY i) AS run, any_value(n) AS n FROM {name}{k} GROUP BY g, i // 8"
+        out.append(f"{name}s{k} AS ({run})")
+    return ",\n".join(out)
+
+
+MERKLE_DEPTH = 7  # of the SQL only: 8 ** 7 leaves a language, as many languages
+
+
+def _op13_sql() -> str:
+    part = "coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = "sha256(" + " || ".join(part.format(c=c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    changed = "sha256(" + " || ".join(part.format(c=c) for c in ("doc_id", "source", "lang", "n_chars", low)) + ")"
+    # CRC-32 bit by bit: each digit's code, then seven zeros, as the values to take in before a shift.
+    crc = "xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])), lambda a, x: CASE WHEN xor(a, x) & 1 = 1 THEN xor(xor(a, x) >> 1, 3988292384) ELSE xor(a, x) >> 1 END, CAST(4294967295 AS BIGINT)))"
+    parts = [
+        f"d AS (SELECT doc_id, lang, {leaf} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {changed} ELSE {leaf} END AS now FROM documents)",
+        "p AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d)",
+        "leaves AS (SELECT g, i, leaf AS h FROM p)",
+        _merkle_levels("leaves", "g", "a", MERKLE_DEPTH),
+        _merkle_proofs("a", MERKLE_DEPTH),
+        f"subs AS (SELECT 0 AS g, g AS i, h FROM a{MERKLE_DEPTH})",
+        _merkle_levels("subs", "g", "b", MERKLE_DEPTH),
+        _merkle_proofs("b", MERKLE_DEPTH),
+        "f0 AS (SELECT doc_id, g, i, i AS j, leaf, '' AS proof, now AS fold FROM p)",
+    ]
+    at = 0
+    for name, count in (("a", MERKLE_DEPTH), ("b", MERKLE_DEPTH)):
+        for k in range(count):
+            slot, group = "f.j % 8", "f.g" if name == "a" else "0"
+            others = f"array_to_string(list_slice(s.run, 1, {slot}), '') || {{x}} || array_to_string(list_slice(s.run, {slot} + 2, 8), '')"
+            parts.append(
+                f"f{at + 1} AS (SELECT f.doc_id, f.g, f.i, f.leaf, CASE WHEN s.n > 1 THEN f.j // 8 ELSE f.j END AS j, "
+                f"CASE WHEN s.n > 1 THEN f.proof || {others.format(x=chr(39) * 2)} ELSE f.proof END AS proof, "
+                f"CASE WHEN s.n > 1 THEN sha256({others.format(x='f.fold')}) ELSE f.fold END AS fold "
+                f"FROM f{at} f JOIN {name}s{k} s ON s.g = {group} AND s.r = f.j // 8)"
+            )
+            at += 1
+        if name == "a":  # go on with the subroot's place among the languages
+            parts.append(f"f{at + 1} AS (SELECT doc_id, g, i, leaf, g AS j, proof, fold FROM f{at})")
+            at += 1
+    return (
+        "WITH " + ",\n".join(parts) + "\n"
+        f"SELECT f.doc_id, f.leaf, a.h AS subroot, b.h AS root, sha256(f.proof) AS proof_sha256, f.fold AS folded_root, f.fold = b.h AS verified\n"
+        f"FROM f{at} f JOIN a{MERKLE_DEPTH} a ON a.g = f.g CROSS JOIN b{MERKLE_DEPTH} b"
+    )
+
+
 ORACLE: dict[str, str] = {
+    "op13_merkle_manifest": _op13_sql(),
     "op12_quality_rules": OP12_SQL,
     "op6_bwt_dedup": OP6_SQL,
     "op1_url_filter": OP1_SQL,
