@@ -1,0 +1,142 @@
+"""op11: mined negatives against brute force over all pairs; bounds against exact scores."""
+
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tripflow.llm import hard_negatives as N
+
+DDL = "vec_id long, embedding array<double>, label int"
+LAST = 2**63 - 1
+
+
+def plain(rows, mod=50, positives=5, negatives=3, window=(50, 95), scale=256):
+    vs = []
+    for at, (i, v, label) in enumerate(rows):
+        if label is None or v is None or any(x is None or not math.isfinite(x) or not math.isfinite(x * scale) for x in v):
+            continue
+        vs.append((at, i, [math.floor(x * scale) for x in v], label))
+
+    def score(a, b):
+        return min(max(sum(x * y for x, y in zip(a, b)), -LAST), LAST)
+
+    def key(x):
+        return -x[0], x[1] is None, x[1] or 0, x[2]
+
+    out = []
+    for at, i, v, label in vs:
+        if i is None or i % mod:
+            continue
+        scored = [((score(v, w), j, to), other) for to, j, w, other in vs if to != at]
+        near = sorted((x for x, other in scored if other == label), key=key)[:positives]
+        for s, j, _ in near:
+            hard = sorted((x for x, other in scored if other != label and window[0] * s <= 100 * x[0] <= window[1] * s), key=key)[:negatives]
+            out += [(i, j, r + 1, k, s, t) for r, (t, k, _) in enumerate(hard)]
+    return sorted(out, key=repr)
+
+
+def mined(spark, rows, parts=4, **more):
+    docs = spark.createDataFrame(rows, DDL).repartition(parts)
+    got = N.mine(docs, anchor=F.col("id") % 50 == 0, **more).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+def random_rows(n, d, seed=0, labels=3, ids=None):
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(d)] for _ in range(4)]
+    return [(ids(rng, i) if ids else i, [c + rng.gauss(0, 0.5) for c in rng.choice(centres)], rng.randrange(labels)) for i in range(n)]
+
+
+@pytest.mark.parametrize("d", [1, 3, 16, 64, 70])
+def test_equals_brute_force(spark, d):
+    rows = random_rows(500, d, seed=d)
+    want = plain(rows)
+    assert want and mined(spark, rows) == want
+
+
+def test_many_blocks_of_anchors_and_small_chunks(spark, monkeypatch):
+    rows = random_rows(400, 8, ids=lambda g, i: 50 * i if i % 3 == 0 else i)
+    monkeypatch.setattr(N, "PAIRS", 300)
+    assert mined(spark, rows, anchor_bytes=8 * 26 * 30) == plain(rows)
+
+
+def test_copies_ties_and_one_label_for_most(spark):
+    rng = random.Random(3)
+    few = [[1.0, 0.0, 0.5], [0.9, 0.1, 0.5], [0.5, 0.5, 0.5]]
+    rows = [(i, few[0] if i % 3 == 0 else rng.choice(few), 1 if rng.random() < 0.8 else rng.randrange(4)) for i in range(300)]
+    assert mined(spark, rows) == plain(rows)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(50, [1.0, 1.0], 1), (50, [1.0, 0.9], 1), (50, [1.0, 1.0], 1), (None, [1.0, 0.95], 1), (None, [0.8, 0.8], 2), (None, [0.8, 0.8], 2), (3, [0.7, 0.9, 5.0], 2), (4, [0.9], 2)]
+    rows += [(100, None, 1), (150, [1.0, None], 1), (200, [nan, 1.0], 1), (250, [inf, 1.0], 1), (300, [1.0, 1.0], None), (5, [], 2), (0, [], 2), (6, [1e307, 0.0], 1)]
+    assert mined(spark, rows) == plain(rows)
+    assert mined(spark, [r for r in rows if r[0] != 50]) == plain([r for r in rows if r[0] != 50])
+    assert mined(spark, rows[8:13]) == [] and mined(spark, [(0, [], 1), (50, [], 1), (1, [], 2)]) == plain([(0, [], 1), (50, [], 1), (1, [], 2)])
+
+
+def test_scores_that_doubles_do_not_hold(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.choice([1e6, 1e6 + 1 / 256, 3e5, 1e15, -1e12]) + rng.randrange(9) / 256 for _ in range(5)], i % 3) for i in range(200)]
+    assert mined(spark, rows) == plain(rows)
+
+
+def test_empty_table_and_other_columns(spark):
+    docs = spark.createDataFrame(random_rows(120, 4), DDL)
+    assert N.mine(docs.limit(0), anchor=F.col("id") % 50 == 0).collect() == []
+    more = docs.withColumns({"row": F.lit(1), "V": F.lit(2), "a.b": F.lit(3), "id": F.lit(4)})
+    assert sorted(map(tuple, N.mine(more, anchor=F.col("id") % 50 == 0).collect())) == sorted(map(tuple, N.mine(docs, anchor=F.col("id") % 50 == 0).collect()))
+
+
+def block(v, labels=None):
+    s, e = N.summaries(v)
+    n = np.arange(len(v))
+    return N.Block(n, n, np.zeros(len(v), np.int64) if labels is None else labels, v, s, e)
+
+
+def test_bounds_hold_and_drop_pairs(monkeypatch):
+    """Clustered vectors: most pairs go before they are scored, and none that is in range."""
+    rng = np.random.default_rng(0)
+    levels = np.repeat(rng.normal(0, 400, (200, 16)), 4, axis=1)  # near-constant segments: bounds are close
+    v = np.floor(levels + rng.normal(0, 10, levels.shape))
+    a, rows = block(v[:40]), block(v)
+    exact = (a.v @ rows.v.T).astype(np.int64)
+    low = np.sort(exact, axis=1)[:, -6]
+    scored = []
+    plain_scores = N.scores
+    monkeypatch.setattr(N, "scores", lambda x, y, pairs=None: scored.append(len(x) * len(y) if pairs is None else len(pairs[0])) or plain_scores(x, y, pairs))
+    i, j, score = N.found_pairs(a, rows, low, np.full(40, N.NO_ID), np.ones(exact.shape, bool))
+    assert {*zip(i.tolist(), j.tolist())} == {*map(tuple, np.argwhere(exact >= low[:, None]).tolist())}
+    assert (score == exact[i, j]).all() and sum(scored) < exact.size / 10
+
+
+@pytest.mark.parametrize("width", [1, 2, 5, 16, 33])
+def test_every_level_bounds_the_score(width):
+    rng = np.random.default_rng(width)
+    v = np.floor(rng.normal(0, 300, (50, width)))
+    s, e = N.summaries(v)
+    at = 0
+    for starts in N.cuts(width):
+        part = slice(at, at + len(starts))
+        at += len(starts)
+        middle, spread = s[:, part] @ s[:, part].T, e[:, part] @ e[:, part].T
+        assert (abs(v @ v.T - middle) <= spread + 1e-3).all()
+    assert at == s.shape[1] == e.shape[1]
+
+
+def test_best_keeps_the_first_of_ties():
+    best = N.Best(2, 2)
+    best.add(np.array([0, 0, 0, 1]), np.array([5, 5, 5, N.WORST + 1]), np.array([9, 3, 7, 1]), np.array([0, 1, 2, 3]))
+    best.add(np.array([0, 0]), np.array([5, 4]), np.array([1, 0]), np.array([4, 5]))
+    assert [x.tolist() for x in best.rows()] == [[0, 0, 1], [4, 1, 3], [1, 3, 1], [5, 5, N.WORST + 1]]
+
+
+def test_vectors_of_unlike_length_as_matrices():
+    column = pa.array([[1.0, 2.0], [], [3.0]], pa.list_(pa.float64()))
+    assert N._matrix(column, 2).tolist() == [[1, 2], [0, 0], [3, 0]]
+    assert N._matrix(column.slice(1), 3).tolist() == [[0, 0, 0], [3, 0, 0]]

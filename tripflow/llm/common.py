@@ -9,10 +9,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tripflow.session import scratch_path
+
 # Text handled at once inside a task; batches above it are cut into row ranges.
 SLICE_BYTES = 8 << 20
 MAX_TOKENIZER_BYTES = 64 << 20
@@ -84,6 +86,21 @@ def worker_memo(owner: str, name: str, make: Callable):
     return home["values"][name]
 
 
+def gapless(df: DataFrame, column: str, name: str) -> DataFrame:
+    """The rows as a stored table, numbered from 0 in ``column`` in the order they have, part by part."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    at = free_name(df, "_at")
+    kept = df.withColumn(at, F.monotonically_increasing_id())
+    kept.write.parquet(path)
+    rows = spark.read.schema(kept.schema).parquet(path)
+    part, n, start = (free_name(kept, c) for c in ("_part", "_n", "_start"))
+    sizes = rows.groupBy(F.shiftright(at, 33).alias(part)).agg(F.count(F.lit(1)).alias(n))  # a row a part
+    starts = sizes.select(part, F.coalesce(F.sum(n).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(start))
+    number = (F.col(start) + quoted(at).bitwiseAND((1 << 33) - 1)).cast("long")
+    return rows.withColumn(part, F.shiftright(at, 33)).join(starts, part).select(*map(quoted, df.columns), number.alias(column))
+
+
 class BoundedCache(dict):
     """A memo that starts again when it holds ``limit`` entries."""
 

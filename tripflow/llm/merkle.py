@@ -36,17 +36,17 @@ hashed whole by Spark itself and do not pass through Python; other columns of th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
 
-from .common import quoted, require
+from .common import gapless, quoted, require
 
 # Fixed value: children of a node.
 FAN = 8
@@ -359,15 +359,15 @@ def _blocks(at: int):
     return run
 
 
-def reduce_levels(nodes: DataFrame, totals: DataFrame, name: str) -> list[DataFrame]:
-    """Passes over nodes (g, idx, leaf, id, changed) of groups of ``totals`` (g, n), down to one block per group.
+def reduce_levels(nodes: DataFrame, totalled: Callable[[DataFrame], DataFrame], most: int, name: str) -> list[DataFrame]:
+    """Passes over nodes (g, idx, leaf, id, changed), down to one block per group.
 
+    ``totalled`` adds to a table by g the leaves of the group as ``total``, ``most`` at most.
     Each pass is a stored table of blocks; ``out`` of the last are the groups' roots.
     """
-    most = totals.agg(F.max("n")).first()[0]
     passes: list[DataFrame] = []
     for at in range(max(1, -(-levels(most) // DEEP))):
-        keyed = nodes.join(totals.select("g", F.col("n").alias("total")), "g").select("g", F.shiftright("idx", DEEP * 3).alias("block"), "idx", "id", "leaf", "changed", "total")
+        keyed = totalled(nodes).select("g", F.shiftright("idx", DEEP * 3).alias("block"), "idx", "id", "leaf", "changed", "total")
         passes.append(stored(keyed.groupBy("g", "block").applyInArrow(_blocks(at), BLOCKS), f"{name}-{at}"))
         nodes = passes[-1].select("g", F.col("block").alias("idx"), F.lit(None).cast("long").alias("id"), F.col("out").alias("leaf"), F.lit(None).cast("binary").alias("changed"))
     return passes
@@ -444,14 +444,8 @@ def _proofs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def number_groups(names: DataFrame) -> DataFrame:
     """(group, g): distinct names numbered from 0 in ascending order, null first, by range and count."""
-    spark = names.sparkSession
-    ordered = stored(names.distinct().repartitionByRange(F.col("group").asc_nulls_first()).sortWithinPartitions(F.col("group").asc_nulls_first()).withColumn("at", F.monotonically_increasing_id()), "groups")
-    part = F.shiftright("at", 33)
-    sizes = ordered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))  # a row for each range, so few
-    start = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("part", start.alias("start"))
-    numbered = ordered.withColumn("part", part).join(starts, "part")
-    return stored(numbered.select("group", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).cast("long").alias("g")), "group-numbers")
+    first = F.col("group").asc_nulls_first()
+    return stored(gapless(names.distinct().repartitionByRange(first).sortWithinPartitions(first), "g", "groups"), "group-numbers")
 
 
 def manifest(docs: DataFrame, fields: list[str], group: str, doc_id: str = "doc_id", tamper: Column | None = None, tamper_mod: int = 3, tampered: dict[str, Column] | None = None) -> DataFrame:
@@ -494,22 +488,25 @@ def manifest(docs: DataFrame, fields: list[str], group: str, doc_id: str = "doc_
     tied = _tie_places(rows.join(repeated, ["g", "id"], "left_semi").unionByName(rows.filter("id IS NULL")))
     first = ranked(repeated.select("g", "id", F.lit(None).cast("binary").alias("leaf"), F.lit(None).cast("binary").alias("changed")), found, bases).select("g", "id", F.col("idx").alias("first"))
     many = tied.join(first, ["g", "id"], "left").select("g", (F.coalesce("first", F.lit(0)) + F.col("place")).alias("idx"), "id", "leaf", "changed")
-    passes = reduce_levels(single.unionByName(many) if _any(repeated, no_id) else single, totals, "nodes")
+    sizes = totals.select("g", F.col("n").alias("total"))
+    passes = reduce_levels(single.unionByName(many) if _any(repeated, no_id) else single, lambda t: t.join(sizes, "g"), totals.agg(F.max("n")).first()[0], "nodes")
 
     subroots = passes[-1].select("g", F.col("out").alias("subroot"))
     tops = reduce_levels(
         subroots.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("idx"), F.lit(None).cast("long").alias("id"), F.col("subroot").alias("leaf"), F.lit(None).cast("binary").alias("changed")),
-        spark.createDataFrame([(0, n_groups)], "g long, n long"),
+        lambda t: t.withColumn("total", F.lit(n_groups).cast("long")),
+        n_groups,
         "tops",
     )
     root = tops[-1].first().out  # one row of one node
 
     # Down again: from the root to the subroots, then to the blocks of leaves.
-    paths = spark.createDataFrame([(0, 0, b"", b"")], PATHS)
+    nothing = F.lit("").cast("binary")
+    paths = None
     for at in range(len(tops) - 1, -1, -1):
-        paths = stored(tops[at].join(paths, ["g", "block"]).select("*", F.lit(n_groups).cast("long").alias("total")).mapInArrow(_paths(at), PATHS), f"top-paths-{at}")
+        above = tops[at].withColumns({"ranks": nothing, "others": nothing}) if paths is None else tops[at].join(paths, ["g", "block"])
+        paths = stored(above.withColumn("total", F.lit(n_groups).cast("long")).mapInArrow(_paths(at), PATHS), f"top-paths-{at}")
     paths = paths.select(F.col("block").alias("g"), F.lit(0).cast("long").alias("block"), "ranks", "others")
-    sizes = totals.select("g", F.col("n").alias("total"))
     for at in range(len(passes) - 1, 0, -1):
         paths = stored(passes[at].join(paths, ["g", "block"]).join(sizes, "g").mapInArrow(_paths(at), PATHS), f"paths-{at}")
     blocks = passes[0].join(paths, ["g", "block"]).join(sizes, "g").join(subroots, "g").withColumn("root", F.lit(root))

@@ -18,6 +18,7 @@ from .bwt_dedup import remove_repeats
 from .common import table
 from .contamination import contamination, is_contaminated
 from .digest_index import DigestIndex, dedup
+from .hard_negatives import mine
 from .language import held_out, learn, predict
 from .merkle import ascii_lower, manifest
 from .pieces import round_trip
@@ -97,6 +98,12 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(vectors.withColumn("label", label), anchor=F.col("id") % 50 == 0, positives=5, negatives=3, window=(50, 95), scale=256)
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     found = quality_rules.cascade(table(spark, sf_dir, "documents"), columns=["doc_id"], report=stats)
@@ -121,6 +128,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_contamination": op9_contamination,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_quality_rules": op12_quality_rules,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -280,7 +288,24 @@ def _op13_sql() -> str:
     )
 
 
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_hard_negatives": OP11_SQL,
     "op13_merkle_manifest": _op13_sql(),
     "op12_quality_rules": OP12_SQL,
     "op6_bwt_dedup": OP6_SQL,
