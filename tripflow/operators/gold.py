@@ -55,11 +55,17 @@ def partial_aggregate(df: DataFrame, keys=S.GOLD_KEYS) -> DataFrame:
     )
 
 
+def combine_partials(parts: DataFrame, keys=S.GOLD_KEYS) -> DataFrame:
+    """Parts over disjoint trips → one part over all of them."""
+    measures = ["total_rides", *_SUMS, *_FLAGS, *[f"{x}_{m}" for m in _AVERAGES for x in "sn"]]
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
+
+
 def merge_partials(parts: DataFrame, keys=S.GOLD_KEYS) -> DataFrame:
     """Parts of ``partial_aggregate`` over disjoint trips → what ``aggregate``
     gives over all of them."""
     whole = ["total_rides", *_SUMS, *_FLAGS]
-    summed = parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in [*whole, *[f"{x}_{m}" for m in _AVERAGES for x in "sn"]]])
+    summed = combine_partials(parts, keys)
     averages = {m: F.when(F.col(f"n_{m}") > 0, F.col(f"s_{m}") / F.col(f"n_{m}")) for m in _AVERAGES}
     return summed.select(*keys, *whole, *[c.alias(m) for m, c in averages.items()])
 

@@ -32,6 +32,7 @@ from tripflow.sources import files as SF
 from tripflow.sources.trips import read_trips, read_zones, table_path, trips_from_events
 from tripflow.sources.warehouse import read_warehouse
 from tripflow.streaming import ingest as I
+from tripflow.streaming.incremental import silver_gold_incremental
 
 TRIP_COLS = [f.name for f in S.TRIP.fields]
 # Fixed day read by the single-partition scan.
@@ -426,19 +427,42 @@ def q_ingest_restart(spark, sf):
     return _r(SF.read_bronze(spark, bronze))
 
 
+def _ordered_bronze(spark, sf, files: int) -> str:
+    """Bronze as files in pickup-time order, as a stream appends it."""
+    bronze = scratch_path(spark, "bronze")
+    write_table(trips(spark, sf).repartitionByRange(files, S.PICKUP_TS), bronze, "json", "overwrite")
+    return bronze
+
+
 def q_silver_gold_incremental(spark, sf):
-    # Bronze arrives as files in pickup-time order (as a stream appends it);
-    # each micro-batch takes one file, appends its silver rows and rebuilds
+    # Each micro-batch takes one bronze file, appends its silver rows and rebuilds
     # only the gold days it touched. The end state must equal a full rebuild.
-    from tripflow.streaming.incremental import silver_gold_incremental
+    bronze, silver_root, gold_root, ckpt = (_ordered_bronze(spark, sf, 4), *(scratch_path(spark, n) for n in ("silver", "gold", "ckpt")))
+    I.run_to_end(silver_gold_incremental(spark, bronze, silver_root, gold_root, ckpt, max_files_per_trigger=1))
+    return _r(SF.read_table(spark, gold_root).select(*S.GOLD.names))
 
+
+def q_gold_tiered(spark, sf):
+    # Trips arrive out of order, so every batch touches every day and each day
+    # gets a part a batch: tiers of two are merged again and again on the way.
     bronze, silver_root, gold_root, ckpt = (scratch_path(spark, n) for n in ("bronze", "silver", "gold", "ckpt"))
-    write_table(trips(spark, sf).repartitionByRange(4, S.PICKUP_TS), bronze, "json", "overwrite")
-    q = silver_gold_incremental(spark, bronze, silver_root, gold_root, ckpt, max_files_per_trigger=1)
-    I.run_to_end(q)
+    write_table(trips(spark, sf).repartition(6, F.xxhash64(S.PICKUP_TS, "total_amount")), bronze, "json", "overwrite")
+    I.run_to_end(silver_gold_incremental(spark, bronze, silver_root, gold_root, ckpt, max_files_per_trigger=1, fan=2))
     return _r(SF.read_table(spark, gold_root).select(*S.GOLD.names))
 
 
+def q_silver_gold_restart_new_checkpoint(spark, sf):
+    # Half of the files come in; the checkpoint is lost; another one, with
+    # other batches, meets all files. Silver must hold every trip once.
+    bronze, silver_root, gold_root, ckpt = (scratch_path(spark, n) for n in ("bronze", "silver", "gold", "ckpt"))
+    t, first = trips(spark, sf), _arrived_before(RESTART_AT)
+    write_table(t.filter(first).repartition(3), bronze, "json")
+    I.run_to_end(silver_gold_incremental(spark, bronze, silver_root, gold_root, f"{ckpt}-1", max_files_per_trigger=1))
+    write_table(t.filter(~first).repartition(2), bronze, "json")
+    I.run_to_end(silver_gold_incremental(spark, bronze, silver_root, gold_root, f"{ckpt}-2", max_files_per_trigger=2))
+    return _r(SF.read_table(spark, silver_root).select(*S.SILVER.names))
+
+
 # --- warehouse ----------------------------------------------------------------
 def q_warehouse_roundtrip(spark, sf):
     url, props = _derby_url(spark)

@@ -358,6 +358,8 @@ def _oracle_sql() -> dict[str, str]:
         "gold_roundtrip": gold_all,
         "gold_refresh_days": gold_all,
         "silver_gold_incremental": gold_all,
+        "gold_tiered": gold_all,
+        "silver_gold_restart_new_checkpoint": silver_all,
         "csv_roundtrip": head,
         "wire_encode": trip_all,
         "wire_encode_keyed": on_trips("SELECT VendorID AS key, count(*) AS n_messages FROM trips GROUP BY VendorID"),

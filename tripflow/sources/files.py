@@ -52,7 +52,7 @@ def day_path(root: str, day, partition_cols=S.PARTITION_COLS) -> str:
     return "/".join([root.rstrip("/")] + [f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, day)])
 
 
-def read_days(spark: SparkSession, root: str, days, partition_cols=S.PARTITION_COLS) -> DataFrame:
+def read_days(spark: SparkSession, root: str, days, partition_cols=S.PARTITION_COLS, schema: StructType | None = None) -> DataFrame:
     """The given days of a partitioned table, listing only their folders.
 
     ``days`` is a small list of (year, month, day) tuples. Unlike a filter
@@ -60,9 +60,11 @@ def read_days(spark: SparkSession, root: str, days, partition_cols=S.PARTITION_C
     reads the day folders by path (``basePath`` keeps the partition columns,
     and any deeper partition folders below a day are discovered as usual).
     Every listed day must exist: a missing folder raises ``PATH_NOT_FOUND``
-    before any job runs, rather than silently reading nothing.
+    before any job runs, rather than silently reading nothing. With ``schema``
+    no file footer is read to infer it.
     """
-    return spark.read.option("basePath", root.rstrip("/")).parquet(*[day_path(root, day, partition_cols) for day in days])
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", root.rstrip("/")).parquet(*[day_path(root, day, partition_cols) for day in days])
 
 
 def list_partitions(spark: SparkSession, root: str, partition_cols=S.PARTITION_COLS) -> DataFrame:
