@@ -62,6 +62,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file from the driver, on any file system."""
+    fs, at = _file_system(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def replace_folder(spark: SparkSession, staged: str, final: str) -> None:
     """Put a written folder in the place of another by renaming it.
 

@@ -4,7 +4,7 @@ A streaming checkpoint knows the files it has read. With a new checkpoint (a
 lost one, a changed source option, a second query) all files look new again, and
 batch numbers start again at 0. The ledger is kept with the table instead:
 
-* ``run=<query id>/part=…``: Parquet rows (batch_id, seq, file) of the batches a
+* ``run=<query id>/part=…``: JSON rows (batch_id, seq, file) of the batches a
   run has finished, merged by tiers (see ``tiers``);
 * ``_begun/<run>~<batch id>~<seq>``: an empty folder for the batch in flight.
 
@@ -19,12 +19,13 @@ One query at a time may write to a table.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.sinks.files import _file_system, delete_folder, folder_exists, replace_folder
+from tripflow.sinks.files import _file_system, delete_folder, folder_exists, replace_folder, write_text
 from tripflow.streaming import tiers as T
 
 SCHEMA = "batch_id long, seq long, file string"
@@ -49,7 +50,7 @@ class SourceLedger:
 
     def _rows(self, runs: Iterable[str]) -> DataFrame | None:
         paths = [f"{self._run_folder(r)}/{T.PART_COL}={p.name}" for r in runs for p in T.live(T.parts_in(self.spark, self._run_folder(r)))]
-        return self.spark.read.schema(SCHEMA).parquet(*paths) if paths else None
+        return self.spark.read.schema(SCHEMA).json(paths) if paths else None
 
     def files(self) -> DataFrame:
         """(batch_id, seq, file) of all finished batches."""
@@ -100,18 +101,19 @@ class SourceLedger:
 
     def finish(self, batch_id: int, seq: int, files: list[str]) -> None:
         folder, part = self._run_folder(self.run), T.new_part(seq)
-        self._write(self.spark.createDataFrame([(batch_id, seq, f) for f in files], SCHEMA), folder, part)
+        lines = "".join(json.dumps({"batch_id": batch_id, "seq": seq, "file": f}) + "\n" for f in files)
+        write_text(self.spark, f"{folder}/_{part.name}/files.json", lines)  # bounded by the trigger
+        self._place(folder, part)
         if merge := T.due(T.parts_in(self.spark, folder), FAN):
             new, old = merge
-            rows = self.spark.read.schema(SCHEMA).parquet(*(f"{folder}/{T.PART_COL}={p.name}" for p in old))
-            self._write(rows, folder, new)
+            rows = self.spark.read.schema(SCHEMA).json([f"{folder}/{T.PART_COL}={p.name}" for p in old])
+            rows.write.mode("overwrite").json(f"{folder}/_{new.name}")
+            self._place(folder, new)
         every = T.parts_in(self.spark, folder)
         for dead in {*every} - {*T.live(every)}:
             delete_folder(self.spark, f"{folder}/{T.PART_COL}={dead.name}")
         if folder_exists(self.spark, mark := self._mark(self.run, batch_id, seq)):
             delete_folder(self.spark, mark)
 
-    def _write(self, rows: DataFrame, folder: str, part: T.Part) -> None:
-        staged = f"{folder}/_{part.name}"
-        rows.coalesce(1).write.mode("overwrite").parquet(staged)  # file names of some batches: small
-        replace_folder(self.spark, staged, f"{folder}/{T.PART_COL}={part.name}")
+    def _place(self, folder: str, part: T.Part) -> None:
+        replace_folder(self.spark, f"{folder}/_{part.name}", f"{folder}/{T.PART_COL}={part.name}")
