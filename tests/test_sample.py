@@ -73,11 +73,28 @@ def test_chunks_cover_all_positions():
         assert b[0][0] == 0 and b[-1][1] == total and all(x[1] == y[0] for x, y in zip(b, b[1:]))
 
 
-def test_cut_offs_are_found_when_the_first_share_is_too_small(spark, monkeypatch):
+@pytest.mark.parametrize("key", [lambda pos: F.lpad(F.hex(pos + (1 << 40)), 32, "f"), lambda pos: F.lpad(F.hex(pos), 32, "0"), lambda pos: F.concat(F.hex(pos % 16), F.lpad(F.hex(pos), 31, "0"))])
+def test_cut_offs_are_found_where_keys_are_not_spread(spark, monkeypatch, key):
+    """Keys that crowd at one end, agree in all digits that are counted, or come in clumps."""
     total, chunks = 4000, 3
-    monkeypatch.setattr(SM, "draw_key", lambda pos, seed: F.lpad(F.hex(pos + (1 << 40)), 32, "f"))  # keys crowd at the top
-    got = SM.cut_offs(spark, total, {0: [2], 2: [5]}, chunks, 1)
-    assert set(got) == {(0, 2), (2, 5)}
+    monkeypatch.setattr(SM, "draw_key", lambda pos, seed: key(pos))
+    got = SM.cut_offs(spark, total, {0: [2], 1: [600, 601], 2: [5, 1300]}, chunks, 1)
+    keys = [sorted(r.k for r in spark.range(lo, hi).select(key(F.col("id")).alias("k")).collect()) for lo, hi in SM.chunk_bounds(total, chunks)]
+    assert got == {(0, 2): keys[0][1], (1, 600): keys[1][599], (1, 601): keys[1][600], (2, 5): keys[2][4], (2, 1300): keys[2][1299]}
+
+
+def test_half_of_a_table_is_cut_off_by_counts(spark, monkeypatch):
+    """Two passes of counts and no window, however large the sample."""
+    import hashlib
+
+    passes, real = [], SM.draw_key
+    monkeypatch.setattr(SM, "draw_key", lambda pos, seed: passes.append(1) or real(pos, seed))
+    monkeypatch.setattr(SM.Window, "partitionBy", lambda *a: 1 / 0)
+    total = 300_000
+    got = SM.cut_offs(spark, total, {i: [7500] for i in range(20)}, 20, 5)
+    assert len(passes) <= 3
+    for i, (lo, hi) in enumerate(SM.chunk_bounds(total, 20)):
+        assert got[i, 7500] == sorted(hashlib.md5(f"5:{p}".encode()).hexdigest() for p in range(lo, hi))[7499]
 
 
 def test_spread_sample_is_deterministic(spark):

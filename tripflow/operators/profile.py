@@ -3,15 +3,26 @@
 Each is one global aggregate: tasks reduce their rows to one partial row, the
 driver merges a handful of partials, and the single result row is unpivoted
 into long form. Nothing of size proportional to the data moves.
+
+Profiles can also be kept: ``write_day_profiles`` stores, for each day and column, a
+part that can be merged with others (count, mean and sum of squared deviations,
+least and largest value, a HyperLogLog sketch of distinct values, a KLL sketch of quantiles; some
+kilobytes in all). ``read_day_profiles`` merges the parts of any range of days, whose
+trips it does not read. Counts, means, deviations and extremes are those of the trips
+up to rounding; distinct counts have a standard error of about 1.6 %, and ranks of quantiles
+are off by 1.3 % at most in 99 of 100 cases (the sketches' own bounds).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow import schema as S
+from tripflow.sinks.files import write_partitioned
+
 PROFILE_COLUMNS = ["trip_distance", "fare_amount", "trip_duration_minutes", "tip_pct"]
 _STATS = ["n_values", "mean", "stddev", "min_value", "max_value"]
 
@@ -59,3 +70,88 @@ def layer_counts(bronze: DataFrame, clean_predicate) -> DataFrame:
         F.count_if(F.coalesce(clean_predicate, F.lit(False))).alias("silver"),
     )
     return one.unpivot([], ["bronze", "silver"], "stage", "n_rows")
+
+
+# --- profiles kept by day -----------------------------------------------------------
+PART = "profile_part"
+DISTINCT_BITS = 12  # HyperLogLog registers, as a power of two
+QUANTILE_K = 200  # KLL accuracy
+QUANTILES = (0.25, 0.5, 0.75, 0.99)
+
+
+def number_of(day: tuple[int, int, int]) -> int:
+    """A day as a whole number in calendar order."""
+    return day[0] * 10_000 + day[1] * 100 + day[2]
+
+
+def day_number() -> Column:
+    y, m, d = (F.col(c) for c in S.PARTITION_COLS)
+    return y * 10_000 + m * 100 + d
+
+
+def write_day_profiles(silver: DataFrame, path: str, part: str, columns=PROFILE_COLUMNS) -> None:
+    """Store the mergeable profiles of each day's rows as the part named ``part`` of the day.
+
+    A part is written again as a whole (a rerun replaces it); parts of other names are left
+    alone. Rows of one part and day must not be in another. One shuffle, of partial
+    sketches: a hot day costs one row a task.
+    """
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])
+    rows = silver.select(*S.PARTITION_COLS, F.inline(values))
+    whole = ~F.isnan("x")  # a sketch takes no NaN; null is left out by the aggregates
+    parts = rows.groupBy(*S.PARTITION_COLS, "column_name").agg(
+        F.count("x").alias("n"),
+        F.avg("x").alias("mean"),
+        (F.var_pop("x") * F.count("x")).alias("m2"),
+        F.min("x").alias("min_value"),
+        F.max("x").alias("max_value"),
+        F.hll_sketch_agg(F.xxhash64("x"), DISTINCT_BITS).alias("distinct"),
+        F.kll_sketch_agg_double(F.when(whole, F.col("x")), QUANTILE_K).alias("quantiles"),
+    )
+    write_partitioned(parts.withColumn(PART, F.lit(part)), path, partition_cols=[*S.PARTITION_COLS, PART], dynamic=True)
+
+
+def read_day_profiles(spark: SparkSession, path: str, first: tuple[int, int, int], last: tuple[int, int, int]) -> DataFrame:
+    """The profile of the days from ``first`` to ``last``, from their parts: the columns of
+    ``profile``, ``n_distinct`` (estimated) and ``q25`` … ``q99``. Rows without a day are in no range."""
+    parts = spark.read.parquet(path).filter(day_number().between(number_of(first), number_of(last)))
+    known = parts.filter("n > 0")
+    # Means are weighed by counts; squared deviations add up with those of the parts' means.
+    center = known.groupBy("column_name").agg(F.sum("n").alias("n_values"), (F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("whole"))
+    joined = known.join(center, "column_name")
+    merged = joined.groupBy("column_name").agg(
+        F.first("n_values").alias("n_values"),
+        F.first("whole").alias("mean"),
+        F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("whole")) ** 2).alias("m2"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+        F.hll_union_agg("distinct").alias("distinct"),
+        F.kll_merge_agg_double("quantiles").alias("quantiles"),
+    )
+    quantiles = [F.kll_sketch_get_quantile_double("quantiles", F.lit(q)).alias(f"q{round(100 * q)}") for q in QUANTILES]
+    return merged.select(
+        "column_name",
+        "n_values",
+        "mean",
+        F.when(F.col("n_values") > 1, F.sqrt(F.col("m2") / (F.col("n_values") - 1))).alias("stddev"),
+        "min_value",
+        "max_value",
+        F.hll_sketch_estimate("distinct").alias("n_distinct"),
+        *quantiles,
+    )
+
+
+def exact_errors(rows: DataFrame, estimates: DataFrame, distinct_error: float = 0.08, rank_error: float = 0.03) -> DataFrame:
+    """(column_name, distinct_error, median_rank_error, distinct_close, median_close): estimates against the rows themselves."""
+    columns = [c for c in PROFILE_COLUMNS if c in rows.columns]
+    long = rows.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])))
+    against = long.join(estimates.select("column_name", "n_distinct", "q50"), "column_name")
+    found = against.groupBy("column_name").agg(
+        F.countDistinct("x").alias("distinct"),
+        F.first("n_distinct").alias("estimate"),
+        (F.count_if(F.col("x") < F.col("q50")) / F.count("x")).alias("under"),
+        (F.count_if(F.col("x") <= F.col("q50")) / F.count("x")).alias("upto"),
+    )
+    off = F.abs(F.col("estimate") - F.col("distinct")) / F.greatest("distinct", F.lit(1))
+    rank = F.greatest(F.col("under") - 0.5, F.lit(0.5) - F.col("upto"), F.lit(0.0))
+    return found.select("column_name", off.alias("distinct_error"), rank.alias("median_rank_error"), (off <= distinct_error).alias("distinct_close"), (rank <= rank_error).alias("median_close"))

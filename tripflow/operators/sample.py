@@ -12,8 +12,9 @@ The spread sample cuts the positions into equal contiguous chunks and draws
 lowest keyed hash (MD5 of seed and position), which is a random draw that any
 engine can repeat. The rounding shortfall (fewer than ``chunks`` rows) takes
 the next-lowest of chunks in a seeded order. The hashes depend on positions
-alone, so each chunk's cut-off is found without touching the data, and picking
-rows is a row-local filter.
+alone, so each chunk's cut-off is found without touching the data (by counting
+hashes in narrowing ranges, never by ranking them), and picking rows is a row-local
+filter: a sample of half the table is as balanced as the scan.
 """
 
 from __future__ import annotations
@@ -149,33 +150,109 @@ def topup_chunks(sizes: list[int], per: int, shortfall: int, seed: int) -> list[
     return extra
 
 
+KEY_DIGITS = 15  # hex digits of a key that make its number
+KEY_END = 16**KEY_DIGITS
+BINS = 1024  # counts per chunk that come back from a pass
+FEW = 256  # keys per chunk that come back in the end
+
+
+def key_number(key: Column) -> Column:
+    """The first digits of a key, as a whole number in the same order."""
+    return F.conv(F.substring(key, 1, KEY_DIGITS), 16, 10).cast("bigint")
+
+
+class _Range:
+    """Where one wanted key is looked for: numbers from ``low`` to before ``high``, with ``below`` keys under them."""
+
+    def __init__(self, rank: int, size: int):
+        self.rank, self.below, self.inside = rank, 0, None
+        slack = 8 * rank**0.5 + 20
+        self.low = max(0, int((rank - slack) / size * KEY_END))
+        self.high = min(KEY_END, int((rank + slack) / size * KEY_END) + 1)
+
+    @property
+    def width(self) -> int:
+        """Numbers of a bin."""
+        return -(-(self.high - self.low) // BINS)
+
+    def narrow(self, under: int, bins: dict[int, int]) -> None:
+        """Take in a pass: ``under`` keys below ``low``, and counts by bin."""
+        if under >= self.rank:  # not where it was expected: below
+            self.low, self.high = 0, self.low
+        elif under + sum(bins.values()) < self.rank:  # or above
+            self.low, self.high = self.high, KEY_END
+        else:
+            run = under
+            for b in sorted(bins):
+                if run + bins[b] >= self.rank:
+                    break
+                run += bins[b]
+            width = self.width
+            self.below, self.low = run, self.low + b * width
+            self.high = min(self.high, self.low + width)
+            if bins[b] <= FEW or self.high - self.low == 1:
+                self.inside = bins[b]
+
+
 def cut_offs(spark: SparkSession, total: int, wanted: dict[int, list[int]], chunks: int, seed: int) -> dict[tuple[int, int], str]:
     """Key of the ``rank``-th drawn position (from 1) of each chunk, for the wanted ranks.
 
-    Keys below a generous share of their range are ranked in a window per
-    chunk, a little more rows than the sample has. Should a chunk have fewer
-    such keys than asked for, the share is doubled, up to all of them.
+    Nothing is ranked: keys are counted by ranges of their numbers, each pass inside the
+    range that the pass before it found to hold the wanted rank, until few keys are
+    left in it. Keys are hashes, so the first range is where the rank is
+    expected, give or take eight deviations; the counts tell if it is not there. A pass is one map
+    over the positions with a partial count per task, and returns at most
+    ``BINS`` counts for each rank; two or three passes find the cut-off of any sample.
     """
     bounds = chunk_bounds(total, chunks)
-    found: dict[tuple[int, int], str] = {}
-    slack = 1.0
-    while todo := {i: [r for r in ranks if (i, r) not in found] for i, ranks in wanted.items()}:
-        todo = {i: ranks for i, ranks in todo.items() if ranks}
-        if not todo:
-            break
-        share = max(min(1.0, slack * (max(r) + 8 * max(r) ** 0.5 + 20) / (bounds[i][1] - bounds[i][0])) for i, r in todo.items())
-        pos = spark.range(total).withColumn("chunk", chunk_of(F.col("id"), total, chunks)).withColumn("key", draw_key(F.col("id"), seed))
-        near = pos.filter(F.col("chunk").isin(list(todo)))
-        if share < 1:
-            near = near.filter(F.col("key") < f"{int(share * 16**8):08x}")
-        ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("chunk").orderBy("key", "id")))
-        asked = [F.col("chunk").eqNullSafe(i) & F.col("rank").isin(ranks) for i, ranks in todo.items()]
-        condition = asked[0]
-        for c in asked[1:]:
-            condition = condition | c
-        found |= {(r.chunk, r.rank): r.key for r in ranked.filter(condition).collect()}
-        slack *= 2
-    return found
+    ranges = {(i, r): _Range(r, bounds[i][1] - bounds[i][0]) for i, ranks in wanted.items() for r in ranks}
+    slots: list[dict[int, _Range]] = []  # a chunk's ranks go to different slots
+    for (i, _), x in sorted(ranges.items()):
+        k = next((k for k, s in enumerate(slots) if i not in s), len(slots))
+        slots[k:] = slots[k:] or [{}]
+        slots[k][i] = x
+
+    def keyed() -> DataFrame:
+        pos = spark.range(total).select("id", chunk_of(F.col("id"), total, chunks).alias("chunk"), draw_key(F.col("id"), seed).alias("key"))
+        return pos.withColumn("x", key_number(F.col("key")))
+
+    def of(slot: dict[int, _Range], value) -> Column:
+        return F.element_at(F.array(*[F.lit(value(slot[i]) if i in slot else 0).cast("bigint") for i in range(chunks)]), F.col("chunk") + 1)
+
+    def open_(slot: dict[int, _Range]) -> dict[int, _Range]:
+        return {i: x for i, x in slot.items() if x.inside is None}
+
+    while any(map(open_, slots)):
+        places = []
+        for k, slot in enumerate(map(open_, slots)):
+            if slot:
+                low = of(slot, lambda x: x.low)
+                bin_ = F.when(F.col("x") < low, F.lit(-1).cast("bigint")).otherwise(F.call_function("div", F.col("x") - low, of(slot, lambda x: x.width) + (~F.col("chunk").isin([*slot])).cast("int")))
+                asked = F.col("chunk").isin([*slot]) & (F.col("x") < of(slot, lambda x: x.high))
+                places.append(F.struct(F.lit(k).alias("slot"), F.when(asked, bin_).alias("bin")))
+        counts = keyed().select("chunk", F.inline(F.array(*places))).filter("bin IS NOT NULL").groupBy("chunk", "slot", "bin").agg(F.count(F.lit(1)).alias("n"))
+        found: dict[tuple[int, int], dict[int, int]] = {}
+        for r in counts.collect():
+            found.setdefault((r.chunk, r.slot), {})[r.bin] = r.n
+        for k, slot in enumerate(map(open_, slots)):
+            for i, x in slot.items():
+                bins = found.get((i, k), {})
+                x.narrow(bins.pop(-1, 0), bins)
+
+    out: dict[tuple[int, int], str] = {}
+    for slot in slots:
+        within = F.col("chunk").isin([*slot]) & (F.col("x") >= of(slot, lambda x: x.low)) & (F.col("x") < of(slot, lambda x: x.high))
+        few = keyed().filter(within)
+        crowded = {i: x for i, x in slot.items() if x.inside > FEW}  # keys that agree in all digits of their numbers
+        if crowded:
+            place = F.row_number().over(Window.partitionBy("chunk").orderBy("key", "id"))
+            ranked = few.filter(F.col("chunk").isin([*crowded])).withColumn("place", place)
+            out |= {(r.chunk, crowded[r.chunk].rank): r.key for r in ranked.filter(F.col("place") == of(crowded, lambda x: x.rank - x.below)).collect()}
+        keys: dict[int, list[str]] = {i: [] for i in slot if i not in crowded}
+        for r in few.filter(F.col("chunk").isin([*keys])).select("chunk", "key").collect() if keys else []:
+            keys[r.chunk].append(r.key)
+        out |= {(i, slot[i].rank): sorted(ks)[slot[i].rank - slot[i].below - 1] for i, ks in keys.items()}
+    return out
 
 
 def spread_sample(positioned: DataFrame, total: int, sample_size: int = 100_000, chunks: int = 10, seed: int = 42) -> DataFrame:
