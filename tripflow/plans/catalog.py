@@ -27,11 +27,12 @@ from tripflow.operators import wire as W
 from tripflow.plans import jobs as J
 from tripflow.session import scratch_path
 from tripflow.sinks.files import write_csv, write_partitioned, write_table
-from tripflow.sinks.warehouse import load_warehouse, write_warehouse
+from tripflow.sinks.warehouse import load_warehouse, refresh_warehouse_days, write_warehouse
 from tripflow.sources import files as SF
 from tripflow.sources.trips import read_trips, read_zones, table_path, trips_from_events
 from tripflow.sources.warehouse import read_warehouse
 from tripflow.streaming import ingest as I
+from tripflow.streaming import quarantine as Q
 from tripflow.streaming.incremental import silver_gold_incremental
 
 TRIP_COLS = [f.name for f in S.TRIP.fields]
@@ -43,6 +44,8 @@ SPREAD_ROWS = 1005
 SPREAD_CHUNKS = 10
 SPREAD_SEED = 42
 PREVIEW_ROWS = 5
+# Days of the stored profiles that are merged.
+PROFILE_RANGE = ((2024, 1, 5), (2024, 1, 20))
 TOP_HOURS = 5
 TOP_ZONES = 3
 # The ingest restart query stops the stream at this pickup time.
@@ -185,6 +188,20 @@ def q_silver_profile(spark, sf):
     return _r(P.profile(silver(spark, sf)))
 
 
+def q_profile_day_range(spark, sf):
+    # Profiles are stored per day, from silver that comes in two parts; the
+    # range is read from the parts alone. Estimates are held against exact values.
+    root, parts = _written_silver(spark, sf), scratch_path(spark, "profiles")
+    stored = SF.read_table(spark, root)
+    early = F.col("pickup_hour") < 12
+    P.write_day_profiles(stored.filter(early), parts, part="morning")
+    P.write_day_profiles(stored.filter(~early), parts, part="rest")
+    first, last = PROFILE_RANGE
+    got = P.read_day_profiles(spark, parts, first, last)
+    held = stored.filter(P.day_number().between(P.number_of(first), P.number_of(last)))
+    return _r(got.join(P.exact_errors(held, got), "column_name").select("column_name", "n_values", "mean", "stddev", "min_value", "max_value", "distinct_close", "median_close"))
+
+
 # --- limits and samples -----------------------------------------------------
 def q_preview(spark, sf):
     # Which rows an unordered limit returns is open; how many, and that each
@@ -219,6 +236,12 @@ def q_sample_spread_7(spark, sf):
     return _spread(spark, sf, 7)
 
 
+def q_sample_half(spark, sf):
+    pos = positioned_trips(spark, sf)
+    sample = SM.spread_sample(pos.df, pos.total, pos.total // 2, SPREAD_CHUNKS, seed=SPREAD_SEED)
+    return _r(sample.select(F.col(SM.POS).alias("position"), F.col(SM.CHUNK).alias("chunk"), *TRIP_COLS))
+
+
 # --- file sources and sinks ---------------------------------------------------
 def q_scan_bronze_json(spark, sf):
     path = scratch_path(spark, "bronze-json")
@@ -427,6 +450,51 @@ def q_ingest_restart(spark, sf):
     return _r(SF.read_bronze(spark, bronze))
 
 
+def _faulty_messages(spark, sf) -> DataFrame:
+    """Messages of all trips: some without payload, some garbled, some with text where a number belongs."""
+    e = F.col("event_id")
+    wire = W.to_wire(read_trips(spark, sf, keep=("event_id",)), columns=TRIP_COLS, keep=("event_id",))
+    text = F.col("value").cast("string")
+    mistyped = F.regexp_replace(text, '"RatecodeID":[^,]*', '"RatecodeID":"many"')
+    value = F.when(e % 17 == 0, F.lit(None)).when(e % 19 == 0, F.concat(F.lit("{"), text)).when(e % 23 == 0, mistyped).otherwise(text)
+    return wire.select("event_id", value.cast("binary").alias("value"))
+
+
+def q_ingest_quarantine(spark, sf):
+    # Half of the messages arrive, the query stops, and a restart takes the others.
+    src, bronze, bad, ckpt = (scratch_path(spark, n) for n in ("wire", "bronze", "quarantine", "ckpt"))
+    messages, half = _faulty_messages(spark, sf), F.col("event_id") % 2 == 0
+    for part in (half, ~half):
+        messages.filter(part).select("value").repartition(2).write.mode("append").parquet(src)
+        I.run_to_end(Q.ingest_quarantine(spark, "file", bronze, bad, ckpt, trigger="available_now", source_options={"path": src, "max_files_per_trigger": 1}))
+    good = SF.read_bronze(spark, bronze, fmt="parquet").agg(F.lit("good").alias("outcome"), F.count(F.lit(1)).alias("n_messages"), F.sum("total_amount").alias("revenue"))
+    held = Q.read_quarantine(spark, bad).groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n_messages"), F.lit(None).cast("double").alias("revenue"))
+    return _r(good.unionByName(held))
+
+
+def q_quarantine_payloads(spark, sf):
+    # What was kept aside, raw as it came.
+    src, bronze, bad, ckpt = (scratch_path(spark, n) for n in ("wire", "bronze", "quarantine", "ckpt"))
+    _faulty_messages(spark, sf).select("value").repartition(2).write.parquet(src)
+    I.run_to_end(Q.ingest_quarantine(spark, "file", bronze, bad, ckpt, trigger="available_now", source_options={"path": src}))
+    text = F.col("payload").cast("string")
+    stamp = F.regexp_extract(text, '"tpep_pickup_datetime":"([^"]*)"', 1)
+    return Q.read_quarantine(spark, bad).groupBy("reason", stamp.alias("pickup")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_ingest_redelivered(spark, sf):
+    # The first half of the month is delivered, then delivered again together
+    # with the second half: bronze holds every trip once.
+    src, bronze, ckpt = (scratch_path(spark, n) for n in ("wire", "bronze", "ckpt"))
+    options = {"path": src, "max_files_per_trigger": 1}
+    _payload_files(spark, sf, src, part=0, files=2)
+    I.run_to_end(Q.ingest_once(spark, "file", bronze, ckpt, trigger="available_now", source_options=options))
+    _payload_files(spark, sf, src, part=0, files=1)
+    _payload_files(spark, sf, src, part=1, files=1)
+    I.run_to_end(Q.ingest_once(spark, "file", bronze, ckpt, trigger="available_now", source_options=options))
+    return _r(SF.read_bronze(spark, bronze))
+
+
 def _ordered_bronze(spark, sf, files: int) -> str:
     """Bronze as files in pickup-time order, as a stream appends it."""
     bronze = scratch_path(spark, "bronze")
@@ -489,6 +557,28 @@ def q_warehouse_append(spark, sf):
     return _r(read_warehouse(spark, url, "gold_aggregates", props, days=SF.list_partitions(spark, _written_gold(spark, sf))).select(*S.GOLD.names))
 
 
+def q_warehouse_refresh_days(spark, sf):
+    # The warehouse holds gold without day 10. Then day 10 arrives late, day 11 is
+    # emptied and trips of day 12 lose their day: the listed days are replaced
+    # in gold and then in the warehouse, which must equal a full reload.
+    url, props = _derby_url(spark)
+    before, after, gold_root = (scratch_path(spark, n) for n in ("silver", "silver", "gold"))
+    write_partitioned(silver(spark, sf).filter(F.col("pickup_day") != 10), before)
+    load_warehouse(J.gold_job(spark, before, gold_root), url, "gold_aggregates", properties=props, num_partitions=4)
+    write_partitioned(_corrected(silver(spark, sf)), after)
+    old, new = SF.list_partitions(spark, before), SF.list_partitions(spark, after)
+    listed = old.union(new).filter(F.col("pickup_day").between(10, 12) | F.col("pickup_day").isNull())
+    J.refresh_gold_days(spark, after, gold_root, listed)
+    refresh_warehouse_days(spark, gold_root, url, "gold_aggregates", listed, props, num_partitions=4)
+    return _r(read_warehouse(spark, url, "gold_aggregates", props).select(*S.GOLD.names))
+
+
+def q_warehouse_balanced(spark, sf):
+    url, props = _derby_url(spark)
+    load_warehouse(SF.read_table(spark, _written_gold(spark, sf)), url, "gold_aggregates", properties=props, num_partitions=4)
+    return _r(read_warehouse(spark, url, "gold_aggregates", props, num_partitions=6, balanced=True).select(*S.GOLD.names))
+
+
 def q_load_summary(spark, sf):
     url, props = _derby_url(spark)
     g = SF.read_table(spark, _written_gold(spark, sf))

@@ -183,6 +183,21 @@ def _profile() -> str:
     return on_silver("\nUNION ALL ".join(parts))
 
 
+def _profile_range() -> str:
+    """The profile of the range's trips; the stored estimates are to be close to the exact values."""
+    from tripflow.plans import catalog as K
+
+    (y, m, a), (_, _, b) = K.PROFILE_RANGE
+    parts = []
+    for c in ["trip_distance", "fare_amount", "trip_duration_minutes", "tip_pct"]:
+        parts.append(
+            f"SELECT '{c}' AS column_name, count({c}) AS n_values, round(avg({c}), 6) AS mean, "
+            f"round(stddev_samp({c}), 6) AS stddev, round(min({c}), 6) AS min_value, round(max({c}), 6) AS max_value, "
+            f"true AS distinct_close, true AS median_close FROM silver WHERE pickup_year = {y} AND pickup_month = {m} AND pickup_day BETWEEN {a} AND {b}"
+        )
+    return on_silver("\nUNION ALL ".join(parts))
+
+
 def _rollup(keys: str) -> str:
     return f"""SELECT {keys}, CAST(sum(total_rides) AS BIGINT) AS rides, sum(total_fare) AS fare,
       sum(total_revenue) AS revenue, sum(total_tip) AS tips, sum(sum_trip_distance) AS distance
@@ -225,6 +240,10 @@ dirty AS (
   FROM trips_0)"""
 
 
+# What is wrong with a message of the catalog's faulty ones.
+FAULT = "CASE WHEN event_id % 17 = 0 THEN 'no payload' WHEN event_id % 19 = 0 THEN 'not a record' WHEN event_id % 23 = 0 THEN 'wrong type' ELSE 'good' END"
+
+
 def _on_dirty(body: str, *ctes: str) -> str:
     silver = SILVER.replace("FROM trips WHERE", "FROM dirty WHERE event_id % 29 <> 0 AND")
     return with_ctes(body, TRIPS, DIRTY, silver, *ctes)
@@ -335,6 +354,8 @@ def _oracle_sql() -> dict[str, str]:
             "SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'gold', count(*) FROM gold"
         ),
         "silver_profile": _profile(),
+        "profile_day_range": _profile_range(),
+        "sample_half": _sample_spread("n // 2", K.SPREAD_CHUNKS, K.SPREAD_SEED),
         "limit_ordered": _gold_r6(tail=f"ORDER BY {keys} LIMIT 10"),
         "sample_head": head,
         "sample_spread": _sample_spread(K.SPREAD_ROWS, K.SPREAD_CHUNKS, K.SPREAD_SEED),
@@ -348,6 +369,8 @@ def _oracle_sql() -> dict[str, str]:
         "csv_export_full": trip_all,
         "wire_from_csv": trip_all,
         "warehouse_append": gold_all,
+        "warehouse_balanced": gold_all,
+        "warehouse_refresh_days": _gold_corrected(),
         "scan_bronze_json": trip_all,
         "scan_silver_partitioned": silver_all,
         "scan_gold_one_day": _gold_r6(where=f"WHERE pickup_year = {y} AND pickup_month = {m} AND pickup_day = {d}"),
@@ -368,6 +391,13 @@ def _oracle_sql() -> dict[str, str]:
         "ingest_stream_parquet": trip_all,
         "ingest_foreach_batch": trip_all,
         "ingest_restart": trip_all,
+        "ingest_redelivered": trip_all,
+        "ingest_quarantine": on_trips(
+            f"SELECT {FAULT} AS outcome, count(*) AS n_messages, round(CASE WHEN {FAULT} = 'good' THEN sum(total_amount) END, 6) AS revenue FROM trips GROUP BY 1"
+        ),
+        "quarantine_payloads": on_trips(
+            f"SELECT {FAULT} AS reason, CASE WHEN event_id % 17 = 0 THEN NULL ELSE coalesce(tpep_pickup_datetime, '') END AS pickup, count(*) AS n FROM trips WHERE {FAULT} <> 'good' GROUP BY 1, 2"
+        ),
         "warehouse_roundtrip": gold_all,
         "warehouse_truncate_reload": gold_all,
         "load_summary": on_gold("SELECT pickup_year, pickup_month, pickup_day, count(*) AS n_rows FROM gold GROUP BY 1, 2, 3"),
