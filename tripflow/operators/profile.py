@@ -105,7 +105,7 @@ def write_day_profiles(silver: DataFrame, path: str, part: str, columns=PROFILE_
         (F.var_pop("x") * F.count("x")).alias("m2"),
         F.min("x").alias("min_value"),
         F.max("x").alias("max_value"),
-        F.hll_sketch_agg(F.xxhash64("x"), DISTINCT_BITS).alias("distinct"),
+        F.hll_sketch_agg(F.when(F.col("x").isNotNull(), F.xxhash64("x")), DISTINCT_BITS).alias("distinct"),
         F.kll_sketch_agg_double(F.when(whole, F.col("x")), QUANTILE_K).alias("quantiles"),
     )
     write_partitioned(parts.withColumn(PART, F.lit(part)), path, partition_cols=[*S.PARTITION_COLS, PART], dynamic=True)
