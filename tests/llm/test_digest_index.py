@@ -3,7 +3,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tripflow.llm import digest_index as D
+from tripflow.llm.digest_index import DigestIndex, dedup, drop_duplicates
 from tripflow.session import scratch_path
 
 
@@ -85,3 +88,26 @@ def test_empty(spark, index):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert D.dedup(df, index, "e").collect() == [] and D.drop_duplicates(df, index, "e").collect() == []
     assert index.rows().count() == 0
+
+
+def test_a_digest_that_two_batches_appended_has_one_owner(spark):
+    """Batches side by side: both append, and every later reader sees the first by name."""
+    docs = spark.createDataFrame([(1, "a b"), (2, "ab"), (3, "c")], "doc_id long, text string")
+    index = DigestIndex(spark, scratch_path(spark, "index"), buckets=2)
+    dedup(docs, index, "b2").collect()
+    twice = index.rows().withColumn("batch", F.lit("b1")).withColumn("doc_id", F.col("doc_id") + 100)
+    path = scratch_path(spark, "again")
+    twice.write.parquet(path)
+    index.append(spark.read.parquet(path))
+    assert index.rows().count() == 4 and index.owners().count() == 2
+    for batch, want in (("b3", [(1, 101, False), (2, 101, False), (3, 103, False)]), ("b2", [(1, 101, False), (2, 101, False), (3, 103, False)])):
+        got = dedup(docs, index, batch)
+        assert sorted((r.doc_id, r.keep_id, r.kept) for r in got.collect()) == want
+    assert index.rows().count() == 4
+
+
+def test_columns_of_any_name(spark):
+    rows = [(1, "a b", 1, 2, 3), (2, "ab", 4, 5, 6), (3, "c", 7, 8, 9), (3, "c", 7, 8, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, _Digest int, `x``y` int")
+    out = drop_duplicates(docs, DigestIndex(spark, scratch_path(spark, "index")), "one")
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == [rows[0], rows[2]]

@@ -40,15 +40,24 @@ def test_vectors_bind_and_bundle_as_written():
     assert np.allclose(alone, vectors)
 
 
-def test_long_texts_go_in_pieces(monkeypatch):
+def test_long_texts_have_the_vector_of_all_their_grams(monkeypatch):
     p = L.Profiles()
-    text = "the quick brown fox. " * 500
-    whole = p.texts([text])[0][0]
-    monkeypatch.setattr(L, "_SLICE", 200)
-    v, has = L._in_pieces(p, ["a b", text, "", text])
-    assert has.tolist() == [True, True, False, True]
-    cos = v[1] @ whole / np.linalg.norm(v[1]) / np.linalg.norm(whole)
-    assert cos > 0.999 and np.allclose(v[1], v[3])
+    texts = ["the quick brown fox. " * 500, "unbroken" * 900, "日本語テスト" * 700, " . " * 800 + "x" + " " * 900, "." * 999, "ab " * 66 + "!" * 300 + "c", "a b"]
+    whole, has = p.texts(texts)
+    for size in (1, 2, 7, 200, 201, 1000):
+        monkeypatch.setattr(L, "_SLICE", size)
+        v, h = L._in_pieces(p, texts if size > 6 else [t[:150] for t in texts])
+        want = (whole, has) if size > 6 else p.texts([t[:150] for t in texts])
+        assert h.tolist() == want[1].tolist() and (v == want[0]).all(), size
+
+
+def test_a_text_over_a_slice_without_a_gap():
+    p = L.Profiles()
+    rng = np.random.default_rng(0)
+    text = "".join(map(chr, rng.integers(97, 123, 1_200_000)))
+    assert len(text) > L._SLICE
+    v, has = L._in_pieces(p, ["a b", text])
+    assert has.all() and (v[1] == p.texts([text])[0][0]).all()
 
 
 def test_odd_rows(spark):

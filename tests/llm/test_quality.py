@@ -28,7 +28,31 @@ def test_terms_of_long_texts_do_not_depend_on_slices(monkeypatch):
     whole = K.term_matrix(texts)
     monkeypatch.setattr(K, "_SLICE", 10)
     assert np.allclose(K.term_matrix(texts), whole)
-    assert np.allclose(whole[3, K.TERMS :], np.sqrt([49 / 50, 49 / 50, 49 / 50, 98 / 150]))
+    assert np.allclose(whole[3, K.TERMS + K.WORDS :], np.sqrt([49 / 50, 49 / 50, 49 / 50, 98 / 150]))
+
+
+def test_texts_of_one_shape_differ_by_their_words():
+    a, b = K.term_matrix(["The red cat ran off, and it was fun.", "Our old dog sat out, but he has ate."])
+    assert np.allclose(a[: K.TERMS], b[: K.TERMS]) and not np.allclose(a[K.TERMS : K.TERMS + K.WORDS], b[K.TERMS : K.TERMS + K.WORDS])
+    # One shape throughout: only the words tell.
+    good = [f"the {w} can see the {x}" for w in ("cat", "dog", "cow", "hen") for x in ("sun", "sea", "sky")]
+    bad = [f"xqz {w} jvk xzq jqk {x}" for w in ("zzq", "qqj", "vvk", "kkx") for x in ("jjx", "xkq", "zvj")]
+    v = K.Votes(K.term_matrix(good + bad), [1] * 12 + [0] * 12, dims=8, neighbours=5)
+    got = v.score(["the fox can see the bay", "xqz qkj jvk xzq jqk zqx"])
+    assert got[0] > 0.9 and got[1] < 0.1
+
+
+def test_equally_near_neighbours_vote_in_order():
+    cosine = np.array([[0.5, 0.9, 0.5, 0.5], [0.1, 0.1, 0.1, 0.1], [0.2, 0.3, 0.4, 0.5]])
+    assert K.nearest(cosine, 2).tolist() == [[0, 1], [0, 1], [2, 3]]
+    assert K.nearest(cosine, 4).tolist() == [[0, 1, 2, 3]] * 3
+
+
+def test_labels_without_documents_take_no_room(spark):
+    docs = spark.createDataFrame([(7919 * i, t) for i, t in enumerate((GOOD + BAD) * 5)], "doc_id long, text string")
+    labels = spark.range(200_000).selectExpr("id * 7919 % 1000003 as doc_id", "1 as quality")
+    assert len(K.learn(docs, labels, max_training=300).labels) == 100
+    assert len(K.learn(docs, labels, max_training=30).labels) == 30
 
 
 def test_odd_tables(spark):

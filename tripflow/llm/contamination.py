@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, free_name, require, sliced, utf8_of, with_fields, worker_memo
+from .common import BoundedCache, free_name, map_arrow, quoted, require, sliced, utf8_of, with_fields, worker_memo
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -177,7 +177,7 @@ class WuManber:
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
     """The items in blocks of at most ``block_bytes`` of text, one partition at the driver at a time."""
     held, size = [], 0
-    rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("string").alias("t"))
+    rows = benchmark.select(quoted(item_id).cast("string").alias("i"), quoted(text).cast("string").alias("t"))
     for r in rows.toLocalIterator():
         words = words_of((r.t or "").encode("utf-8"))
         n = sum(map(len, words))
@@ -230,7 +230,7 @@ def contamination(
                 out.append({"n_words": len(t), "n_hit": sum(s["words"] for s in spans), "items": sorted(set(items[i])), "spans": spans})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, found])
 
-    return docs.mapInArrow(searched, schema)
+    return map_arrow(docs, searched, schema)
 
 
 def is_contaminated(found: str = "_contamination"):

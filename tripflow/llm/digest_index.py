@@ -11,7 +11,9 @@ ever kept (digest, doc_id, n_chars, batch). A batch of new documents is
    index.
 
 A batch that is run again after a failure finds its own rows in the index
-(they carry its batch name) and comes to the same result.
+(they carry its batch name) and comes to the same result. Batches that run side
+by side may both append a digest; its owner is then the batch whose name is first, for
+every later reader, so no document comes back twice.
 
 Two texts are equal when identical after deleting every character of
 ``[\\x20\\x09-\\x0D]``. Of a group new to the index, the row with the most code
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from tripflow.session import scratch_path
 from tripflow.sinks.files import delete_folder, folder_exists, replace_folder
 
-from .common import free_name, require
+from .common import free_name, quoted, require
 
 # Fixed value: the characters that do not count.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -74,6 +76,11 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
 
+    def owners(self) -> DataFrame:
+        """(digest, batch, doc_id): one row per digest, of the first batch by name, should several have appended it (no shuffle)."""
+        first = self.rows().groupBy("digest").agg(F.min(F.struct("batch", "doc_id")).alias("first"))
+        return first.select("digest", "first.batch", "first.doc_id")
+
     def append(self, rows: DataFrame) -> None:
         """Add (digest, doc_id, n_chars, batch) rows; one file per bucket."""
         rows.select("digest", "doc_id", "n_chars", "batch").repartition(self.buckets, "digest").write.insertInto(self.table)
@@ -107,9 +114,9 @@ def dedup(docs: DataFrame, index: DigestIndex, batch: str, doc_id: str = "doc_id
     path = scratch_path(spark, "digests")
     (
         docs.select(
-            F.col(doc_id).cast("long").alias("doc_id"),
-            F.length(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("n_chars"),
-            F.unhex(digest_of(F.col(text))).alias("digest"),
+            quoted(doc_id).cast("long").alias("doc_id"),
+            F.length(F.coalesce(quoted(text).cast("string"), F.lit(""))).alias("n_chars"),
+            F.unhex(digest_of(quoted(text))).alias("digest"),
         )
         .withColumn("row", F.monotonically_increasing_id())  # stored with the digests, so stable
         .write.parquet(path)
@@ -119,7 +126,7 @@ def dedup(docs: DataFrame, index: DigestIndex, batch: str, doc_id: str = "doc_id
     groups = rows.groupBy("digest").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
     new = groups.join(index.rows().select("digest").hint("merge"), "digest", "left_anti")
     index.append(new.select("digest", F.col("best.doc_id").alias("doc_id"), (-F.col("best.less")).alias("n_chars"), F.lit(batch).alias("batch")))
-    held = index.rows().select("digest", F.col("doc_id").alias("keep_id"), (F.col("batch") == batch).alias("own"))
+    held = index.owners().select("digest", F.col("doc_id").alias("keep_id"), (F.col("batch") == batch).alias("own"))
     verdicts = scratch_path(spark, "verdicts")
     groups.join(held.hint("merge"), "digest").select("digest", "keep_id", "group_size", F.when(F.col("own"), F.col("best.row")).alias("keep_row")).write.parquet(verdicts)
     judged = spark.read.schema("digest binary, keep_id long, group_size long, keep_row long").parquet(verdicts)
@@ -147,11 +154,11 @@ def drop_duplicates(docs: DataFrame, index: DigestIndex, batch: str, doc_id: str
     odd_rows = spark.read.schema(alike.schema).parquet(odd)
     odd_rows.filter("kept_one").write.parquet(again)
     repeated = spark.read.schema(alike.schema).parquet(again)  # mostly few rows or none: Spark sees its size and need not shuffle the texts for it
-    keyed = docs.withColumns({key[0]: F.col(doc_id).cast("long"), key[1]: digest_of(F.col(text)), key[2]: F.length(F.coalesce(F.col(text).cast("string"), F.lit("")))})
+    keyed = docs.withColumns({key[0]: quoted(doc_id).cast("long"), key[1]: digest_of(quoted(text)), key[2]: F.length(F.coalesce(quoted(text).cast("string"), F.lit("")))})
 
     def same(other: DataFrame) -> Column:
         return keyed[key[0]].eqNullSafe(other[key[0]]) & (keyed[key[1]] == other[key[1]]) & (keyed[key[2]] == other[key[2]])
 
-    once = keyed.join(odd_rows, same(odd_rows), "left_anti").select(*docs.columns)
-    one = keyed.join(repeated, same(repeated), "left_semi").groupBy(*key).agg(F.first(F.struct(*docs.columns)).alias("one")).select("one.*")
+    once = keyed.join(odd_rows, same(odd_rows), "left_anti").select(*map(quoted, docs.columns))
+    one = keyed.join(repeated, same(repeated), "left_semi").groupBy(*key).agg(F.first(F.struct(*map(quoted, docs.columns))).alias("one")).select("one.*")
     return once.unionByName(one)

@@ -8,7 +8,9 @@ prototype bundles the normalised vectors of its training texts. A text belongs
 to the language whose prototype has the largest cosine with it.
 
 Letters are lower-cased; every run of other characters is one space, and a
-text has a space before and after it.
+text has a space before and after it. Texts of any length have the vector of
+all their n-grams: long ones are folded piece by piece, and each piece starts with the last
+letters of the one before it, so that every n-gram is counted once.
 
 Training uses rows with a language that are not held out: of their different
 (doc_id, language, text) the ``max_training`` with the smallest hashes, each
@@ -18,7 +20,8 @@ than ``MAX_LANGUAGES``. Prediction is map-only.
 
 Defined results: null text and text without letters are ``und`` with score 0;
 if nothing can be learned, every text is ``und``; equal cosines go to the
-language first in order; an empty table gives no rows.
+language first in order; an empty table gives no rows; a result column whose
+name the table has, in any case, is an error that names it.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, require, sliced, texts_of, with_fields, worker_memo
+from .common import BoundedCache, map_arrow, quoted, require, sliced, texts_of, with_fields, worker_memo
 
 DIMS = 1024
 GRAM = 3
@@ -73,21 +76,48 @@ class Profiles:
             v = self.letters[point] = np.random.default_rng([self.seed, point]).integers(0, 2, self.dims, np.int8) * np.int8(2) - np.int8(1)
         return v
 
+    def _folded(self, text: str, before: int) -> np.ndarray:
+        """Letters (0: a blank, one for each run) of the characters that follow letter ``before``."""
+        code = self.fold[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        keep = code > 0
+        if len(keep):
+            keep[0] |= before > 0
+            keep[1:] |= code[:-1] > 0  # the first of each run of blanks
+        return code[keep]
+
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(vectors as rows, whether a text has a letter)."""
         joined = "".join([f" {t} " for t in texts])
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        code = self.fold[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
         owner = np.repeat(np.arange(len(texts)), [len(t) + 2 for t in texts])
-        code = self.fold[points]
         keep = code > 0
         keep[:1] = True
         keep[1:] |= (code[:-1] > 0) | (owner[1:] != owner[:-1])  # the first of each run of blanks
         code, owner = code[keep], owner[keep]
-        vectors = np.zeros((len(texts), self.dims), np.float32)
         has = np.zeros(len(texts), bool)
         has[owner[code > 0]] = True
-        if not has.any():
-            return vectors, has
+        return self.bundle(code, owner, len(texts)), has
+
+    def long_text(self, text: str, piece: int) -> tuple[np.ndarray, bool]:
+        """As ``texts`` for one text, ``piece`` characters at a time."""
+        vector, has = np.zeros(self.dims, np.float64), False
+        carried, last = np.zeros(0, np.uint32), 1
+        for s in range(0, len(text) + 2, piece):
+            # The characters of the text with a blank before and after it.
+            part = (" " if s == 0 else "") + text[max(s - 1, 0) : s + piece - 1] + (" " if s <= len(text) + 1 < s + piece else "")
+            new = self._folded(part, last)
+            code = np.concatenate([carried, new])
+            last = int(code[-1]) if len(code) else last
+            has |= bool((new > 0).any())
+            vector += self.bundle(code, np.zeros(len(code), np.int64), 1)[0]
+            carried = code[max(0, len(code) - self.gram + 1) :]
+        return vector.astype(np.float32), has
+
+    def bundle(self, code: np.ndarray, owner: np.ndarray, n_texts: int) -> np.ndarray:
+        """Sums of the vectors of the n-grams with a letter that lie in one text each."""
+        vectors = np.zeros((n_texts, self.dims), np.float32)
+        if not (code > 0).any():
+            return vectors
         alphabet, small = np.unique(code, return_inverse=True)
         a = len(alphabet)
         n = self.gram
@@ -99,7 +129,7 @@ class Profiles:
         lettered = np.zeros(len(gram), bool)
         for i in range(n):
             lettered |= code[i : len(gram) + i] > 0
-        use = inside & lettered & has[last]
+        use = inside & lettered
         gram, last = gram[use], last[use]
         if a**n <= 1 << 22:
             seen = np.bincount(gram, minlength=1) > 0
@@ -119,39 +149,26 @@ class Profiles:
                 bound *= basis[i][rest % a]
                 rest //= a
             pick = order[lo:hi]
-            counts = np.bincount(last[pick] * len(at) + which[pick] - k * step, minlength=len(texts) * len(at)).reshape(len(texts), len(at))
+            counts = np.bincount(last[pick] * len(at) + which[pick] - k * step, minlength=n_texts * len(at)).reshape(n_texts, len(at))
             vectors += counts.astype(np.float32) @ bound.astype(np.float32)
-        return vectors, has
+        return vectors
 
 
 def _in_pieces(profiles: Profiles, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """As ``Profiles.texts``; a long text is cut into overlapping pieces, so memory is bounded."""
-    cut, owner = [], []
-    for i, t in enumerate(texts):
-        if len(t) <= _SLICE:
-            cut.append(t)
-            owner.append(i)
-            continue
-        s = 0
-        while s < len(t):  # cut after a character that is no letter, where there is one
-            e = min(len(t), s + _SLICE)
-            if e < len(t):
-                back = next((j for j in range(e, max(s, e - 1000), -1) if not t[j - 1].isalpha()), e)
-                e = back
-            cut.append(t[s:e])
-            owner.append(i)
-            s = e
+    """As ``Profiles.texts``, over ``_SLICE`` characters or so at a time."""
     vectors = np.zeros((len(texts), profiles.dims), np.float32)
     has = np.zeros(len(texts), bool)
     s = 0
-    while s < len(cut):
+    while s < len(texts):
+        if len(texts[s]) > _SLICE:
+            vectors[s], has[s] = profiles.long_text(texts[s], _SLICE)
+            s += 1
+            continue
         e, size = s, 0
-        while e < len(cut) and (e == s or size + len(cut[e]) <= _SLICE):
-            size += len(cut[e])
+        while e < len(texts) and (e == s or size + len(texts[e]) <= _SLICE):
+            size += len(texts[e])
             e += 1
-        v, h = profiles.texts(cut[s:e])
-        np.add.at(vectors, owner[s:e], v)
-        np.logical_or.at(has, owner[s:e], h)
+        vectors[s:e], has[s:e] = profiles.texts(texts[s:e])
         s = e
     return vectors, has
 
@@ -159,7 +176,8 @@ def _in_pieces(profiles: Profiles, texts: list[str]) -> tuple[np.ndarray, np.nda
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_training: int = MAX_TRAINING, dims: int = DIMS) -> dict[str, np.ndarray]:
     """Prototypes by language from the rows that have one."""
     require(rows, text, lang, doc_id)
-    labelled = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"), F.xxhash64(F.col(doc_id).cast("string"), F.col(lang).cast("string"), F.col(text).cast("string")).alias("h")).filter(F.col("lang").isNotNull() & F.col("t").isNotNull())
+    own = [quoted(c).cast("string") for c in (lang, text, doc_id)]
+    labelled = rows.select(own[0].alias("lang"), own[1].alias("t"), F.xxhash64(own[2], own[0], own[1]).alias("h")).filter(F.col("lang").isNotNull() & F.col("t").isNotNull())
     about = labelled.agg(F.approx_count_distinct("h")).first()[0]
     if 2 * about > max_training:
         # Twice the share of the hash range that holds max_training rows, then the smallest of those.
@@ -217,4 +235,4 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
             more = {lang: pa.array(found, pa.string()), score: pa.array(scores)} | ({lettered: pa.array(has)} if lettered else {})
             yield pa.RecordBatch.from_arrays([*batch.columns, *more.values()], names=[*batch.schema.names, *more])
 
-    return docs.mapInArrow(predicted, with_fields(docs, f"{lang} string, {score} double" + (f", {lettered} boolean" if lettered else "")))
+    return map_arrow(docs, predicted, with_fields(docs, f"{lang} string, {score} double" + (f", {lettered} boolean" if lettered else "")))

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, require, sliced, texts_of, with_fields, worker_memo
+from .common import BoundedCache, map_arrow, quoted, require, sliced, texts_of, with_fields, worker_memo
 
 MARK = "▁"
 MAX_MODEL_BYTES = 64 << 20
@@ -311,7 +311,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", ids: str
                 columns.append(pa.array([segmenter.decode(r) == t.replace(MARK, " ") for r, t in zip(rows, texts)], pa.bool_()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *more])
 
-    return docs.mapInArrow(encoded, with_fields(docs, f"{ids} array<int>" + (f", {check} boolean" if check else "")))
+    return map_arrow(docs, encoded, with_fields(docs, f"{ids} array<int>" + (f", {check} boolean" if check else "")))
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -332,13 +332,13 @@ def decode_pieces(rows: DataFrame, model_path: str, ids: str = "piece_ids", text
                 texts = [segmenter.decode([] if x is None else x) for x in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, text])
 
-    return rows.mapInArrow(decoded, with_fields(rows, f"{text} string"))
+    return map_arrow(rows, decoded, with_fields(rows, f"{text} string"))
 
 
 def round_trip(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Encoded and decoded again in one pass: doc_id, n_bytes, n_pieces, ids_crc32, decoded_sha256, same."""
     require(docs, doc_id, text)
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("t"))
+    narrow = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).cast("string").alias("t"))
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
     kind = "doc_id " + narrow.schema["doc_id"].dataType.simpleString() + ", n_bytes bigint, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string, same boolean"
 

@@ -2,7 +2,8 @@
 
 Terms of a text: trigrams of its characters, folded to classes (upper-case and
 other letters, digits, blanks, line ends, each ASCII punctuation character,
-anything else) and hashed to ``TERMS`` columns; and four repetition terms: words equal to the word before
+anything else) and hashed to ``TERMS`` columns; trigrams of its lower-cased characters as they are,
+hashed to ``WORDS`` columns, so that texts of one shape and unlike words differ; and four repetition terms: words equal to the word before
 them, words seen before within a stretch of 64 words, lines seen before, and
 the share of text in such lines. Weights are square roots of frequencies times
 the term's inverse document frequency. The latent space is the leading
@@ -16,9 +17,11 @@ with their similarity as weight. Scoring is map-only.
 
 Defined results: null text counts as empty; a text without terms, or without a
 neighbour of positive similarity, scores the share of label 1 in the sample;
-labels of unknown ids or null labels are not learned from; a doc_id with
-several labels or rows trains with each; without any labels every score is
-0.5; an empty table gives no rows.
+labels of ids that no document has, and null labels, are not learned from and do not count
+towards ``max_training``; a doc_id with
+several labels or rows trains with each; of equally near neighbours those with
+the smaller id hash (then id, label, terms) vote; without any labels every score is
+0.5; an empty table gives no rows; a column ``score`` in the table, in any case, is an error.
 """
 
 from __future__ import annotations
@@ -31,9 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, sliced, texts_of, with_fields, worker_memo
+from .common import map_arrow, quoted, require, sliced, texts_of, with_fields, worker_memo
 
 TERMS = 1024
+WORDS = 1024
 REPEATS = 4
 DIMS = 48
 NEIGHBOURS = 15
@@ -63,6 +67,15 @@ def _classes() -> np.ndarray:
     return out
 
 
+def _lower() -> np.ndarray:
+    """Code point -> its lower case, where that is one code point."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    for p in range(0x110000):
+        if len(low := chr(p).lower()) == 1:
+            out[p] = ord(low)
+    return out
+
+
 def _repeats(text: str) -> tuple[float, float, float, float]:
     words = text.split()
     n = len(words)
@@ -82,9 +95,10 @@ def _repeats(text: str) -> tuple[float, float, float, float]:
 
 def term_matrix(texts: list[str]) -> np.ndarray:
     """Square roots of term frequencies, one row per text. Memory is bounded by slices of the texts."""
-    fold = worker_memo("quality", "character_classes", _classes)
-    out = np.zeros((len(texts), TERMS + REPEATS), np.float32)
-    counts = np.zeros((len(texts), TERMS), np.int64)
+    folds = [worker_memo("quality", "character_classes", _classes), worker_memo("quality", "lower_case", _lower)]
+    sizes, ends = (TERMS, WORDS), (TERMS, TERMS + WORDS)
+    out = np.zeros((len(texts), TERMS + WORDS + REPEATS), np.float32)
+    counts = [np.zeros((len(texts), n), np.int64) for n in sizes]
     pieces = [(i, t[s : s + _SLICE + 2]) for i, t in enumerate(texts) for s in range(0, max(1, len(t) - 2), _SLICE)]
     k = 0
     while k < len(pieces):
@@ -93,20 +107,33 @@ def term_matrix(texts: list[str]) -> np.ndarray:
             group.append(pieces[k])
             size += len(pieces[k][1])
             k += 1
-        code = fold[np.frombuffer("".join(t for _, t in group).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        if len(code) < 3:
+        points = np.frombuffer("".join(t for _, t in group).encode("utf-32-le", "surrogatepass"), np.uint32)
+        if len(points) < 3:
             continue
         piece = np.repeat(np.arange(len(group)), [len(t) for _, t in group])
         inside = piece[2:] == piece[:-2]
-        gram = (code[:-2] * 131 + code[1:-1]) * 131 + code[2:]
-        term = (gram.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(54)).astype(np.int64)[inside]
-        found = np.bincount(piece[2:][inside] * TERMS + term, minlength=len(group) * TERMS).reshape(len(group), TERMS)
-        np.add.at(counts, [i for i, _ in group], found)
-    out[:, :TERMS] = np.sqrt(counts / np.maximum(1, counts.sum(axis=1, keepdims=True)))
-    out[:, TERMS:] = np.sqrt(np.array([_repeats(t) for t in texts], np.float32).reshape(-1, REPEATS))
+        at = piece[2:][inside]
+        for fold, n, base, total in zip(folds, sizes, (131, 1 << 21), counts):
+            code = fold[points].astype(np.uint64)
+            gram = (code[:-2] * np.uint64(base) + code[1:-1]) * np.uint64(base) + code[2:]
+            term = (gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - n.bit_length() + 1)).astype(np.int64)[inside]
+            found = np.bincount(at * n + term, minlength=len(group) * n).reshape(len(group), n)
+            np.add.at(total, [i for i, _ in group], found)
+    for n, end, total in zip(sizes, ends, counts):
+        out[:, end - n : end] = np.sqrt(total / np.maximum(1, total.sum(axis=1, keepdims=True)))
+    out[:, ends[-1] :] = np.sqrt(np.array([_repeats(t) for t in texts], np.float32).reshape(-1, REPEATS))
     return out
 
 
+def nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` largest of each row, ascending; of equal ones the first."""
+    last = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+    more = cosine > last
+    same = cosine == last
+    room = k - more.sum(axis=1, keepdims=True)
+    return np.nonzero(more | (same & (np.cumsum(same, axis=1) <= room)))[1].reshape(len(cosine), k)
+
+
 class Votes:
     """The latent space and the labelled vectors in it."""
 
@@ -134,7 +161,7 @@ class Votes:
         k = min(self.neighbours, len(self.known))
         for s in range(0, len(texts), _BLOCK):
             cosine = self.latent(term_matrix(texts[s : s + _BLOCK])) @ self.known.T
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+            near = nearest(cosine, k)
             weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64)
             total = weight.sum(axis=1)
             vote = (weight * self.labels[near]).sum(axis=1)
@@ -147,10 +174,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
     require(docs, doc_id, text)
     require(labels, doc_id, label)
     order = F.xxhash64("id")
-    chosen = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y")).filter("id is not null and y is not null")
-    chosen = chosen.orderBy(order, "id", "y").limit(max_training)  # ids and labels only: a bounded top-k
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
-    picked = rows.join(F.broadcast(chosen), "id")
+    chosen = labels.select(quoted(doc_id).cast("long").alias("id"), quoted(label).cast("int").alias("y")).filter("id is not null and y is not null")
+    rows = docs.select(quoted(doc_id).cast("long").alias("id"), F.coalesce(quoted(text).cast("string"), F.lit("")).alias("t"))
+    # Ids alone are joined first: only labels of documents that are there count.
+    chosen = chosen.join(rows.select("id").distinct(), "id", "left_semi").orderBy(order, "id", "y").limit(max_training)
 
     def termed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "t", 4 << 20):
@@ -160,7 +187,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
     # Texts become terms on the executors; one row of terms per label comes back.
     termed_rows = rows.join(F.broadcast(chosen), "id").select("id", "y", "t").mapInArrow(termed, "id long, y int, x binary")
     found = termed_rows.orderBy(order, "id", "y", "x").limit(max_training).collect()
-    x = np.frombuffer(b"".join(bytes(r.x) for r in found), "<f4").reshape(-1, TERMS + REPEATS)
+    x = np.frombuffer(b"".join(bytes(r.x) for r in found), "<f4").reshape(-1, TERMS + WORDS + REPEATS)
     return Votes(x, [r.y for r in found], dims, neighbours)
 
 
@@ -173,4 +200,4 @@ def score(docs: DataFrame, votes: Votes, text: str = "text") -> DataFrame:
         for batch in sliced(batches, text, 4 << 20):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(texts_of(batch, text)))], names=[*batch.schema.names, "score"])
 
-    return docs.mapInArrow(scored, with_fields(docs, "score double"))
+    return map_arrow(docs, scored, with_fields(docs, "score double"))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
 
-from .common import free_name, grouped, require, sliced, utf8_of
+from .common import free_name, grouped, quoted, require, sliced, utf8_of
 from .components import components
 
 SEED = 42
@@ -69,7 +69,7 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
     """(doc_id, text_hash, fp): fp as a signed long of the same 64 bits. Map-only."""
     require(docs, doc_id, text)
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"), F.col(text).cast("string").alias("t"))
+    narrow = docs.select(quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(quoted(text).cast("string")).alias("text_hash"), quoted(text).cast("string").alias("t"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "t"):
@@ -261,5 +261,5 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     gone_path = scratch_path(spark, "gone")
     rows.join(first, F.col(key[0]).eqNullSafe(F.col("first_id")) & (F.col(key[1]) == F.col("first_text")), "left_anti").write.parquet(gone_path)
     gone = spark.read.schema(f"`{key[0]}` long, `{key[1]}` long").parquet(gone_path)
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col(key[0])) & (F.xxhash64(F.col(text).cast("string")) .eqNullSafe(F.col(key[1])))
+    same = quoted(doc_id).cast("long").eqNullSafe(F.col(key[0])) & F.xxhash64(quoted(text).cast("string")).eqNullSafe(F.col(key[1]))
     return docs.join(gone, same, "left_anti")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tripflow.session import scratch_path
 
-from .common import require, with_fields
+from .common import quoted, require, with_fields
 
 LIST = "host string, path string, verdict string"
 BITS_PER_KEY = 16
@@ -114,7 +114,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", default: s
     lengths = F.array(*[F.lit(n) for n in stats.lengths]).cast("array<int>")
 
     # One number per stored row; the pages' columns travel in one struct.
-    rowed = pages.select(F.struct(*pages.columns).alias("page"), host_of(F.col(url).cast("string")).alias("host"), path_of(F.col(url).cast("string")).alias("path"))
+    rowed = pages.select(F.struct(*map(quoted, pages.columns)).alias("page"), host_of(quoted(url).cast("string")).alias("host"), path_of(quoted(url).cast("string")).alias("path"))
     depths = F.array(*[F.lit(n) for n in stats.depths]).cast("array<int>")
     suffixes = F.transform(F.filter(depths, lambda n: n <= F.size(F.split("host", r"\."))), lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n))
     prefixes = F.transform(F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
