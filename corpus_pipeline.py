@@ -16,7 +16,9 @@ take effect. All but the last return the columns of ``documents``.
    a check (``round_trip``).
 
 Odd input: null ids, null or empty texts, repeated rows, extra columns and
-empty tables have the results stated by each operator; none of them fails.
+empty tables have the results stated by each operator; none of them fails. Columns of
+the table keep their names and values, whatever they are called (names that differ in
+case only count as equal, dots are allowed); a column of ours whose name is taken gets an underscore.
 """
 
 from __future__ import annotations
@@ -55,8 +57,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    fresh = docs.drop("piece_ids", "round_trip")  # columns of these names are replaced
-    return encode_pieces(fresh, public_tokenizers.path(PIECES), check="round_trip", word_memo=WORD_MEMO)
+    ids, check = free_name(docs, "piece_ids"), free_name(docs, "round_trip")
+    return encode_pieces(docs, public_tokenizers.path(PIECES), ids=ids, check=check, word_memo=WORD_MEMO)
 
 
 STAGES = [
