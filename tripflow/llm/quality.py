@@ -38,6 +38,7 @@ from .common import map_arrow, quoted, require, sliced, texts_of, with_fields, w
 
 TERMS = 1024
 WORDS = 1024
+WORD_WEIGHT = 0.5  # of the word trigrams against the others
 REPEATS = 4
 DIMS = 48
 NEIGHBOURS = 15
@@ -119,8 +120,8 @@ def term_matrix(texts: list[str]) -> np.ndarray:
             term = (gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - n.bit_length() + 1)).astype(np.int64)[inside]
             found = np.bincount(at * n + term, minlength=len(group) * n).reshape(len(group), n)
             np.add.at(total, [i for i, _ in group], found)
-    for n, end, total in zip(sizes, ends, counts):
-        out[:, end - n : end] = np.sqrt(total / np.maximum(1, total.sum(axis=1, keepdims=True)))
+    for n, end, total, weight in zip(sizes, ends, counts, (1, WORD_WEIGHT)):
+        out[:, end - n : end] = weight * np.sqrt(total / np.maximum(1, total.sum(axis=1, keepdims=True)))
     out[:, ends[-1] :] = np.sqrt(np.array([_repeats(t) for t in texts], np.float32).reshape(-1, REPEATS))
     return out
 
