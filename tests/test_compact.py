@@ -1,0 +1,89 @@
+"""Packing of small batches: every reader sees every row once at each step, and crashes are harmless."""
+
+import os
+
+import pytest
+
+from conftest import SF_SMALL
+from tripflow import schema as S
+from tripflow.sources.trips import read_trips
+from tripflow.streaming import compact as C
+from tripflow.streaming import tiers as T
+from tripflow.streaming.ingest import batch_writer
+
+
+def _table(spark, root, n=9):
+    t = read_trips(spark, SF_SMALL)
+    write = batch_writer(root)
+    for k, part in enumerate(t.randomSplit([1.0] * n, seed=3)):
+        write(part, k)
+    return _rows(t)
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select(*S.TRIP.names).collect()), key=repr)
+
+
+def test_packed_table_has_the_same_rows_in_few_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    want = _table(spark, root)
+    assert C.compact_batches(spark, root) == 1 and len(C.live_folders(spark, root)) == 1
+    assert _rows(C.read_batches(spark, root)) == want
+    assert C.compact_batches(spark, root) == 0  # nothing left to pack
+    assert C.vacuum_batches(spark, root) == 9 and _rows(C.read_batches(spark, root)) == want
+    assert sum(f.endswith(".parquet") for _, _, fs in os.walk(root) for f in fs) <= 2
+    # The stream goes on; later packings take the new batches and the last part.
+    batch_writer(root)(read_trips(spark, SF_SMALL).limit(7), 9)
+    assert len(_rows(C.read_batches(spark, root))) == len(want) + 7
+    assert C.compact_batches(spark, root) == 1 and C.vacuum_batches(spark, root) == 2
+    assert len(_rows(C.read_batches(spark, root))) == len(want) + 7
+
+
+def test_several_parts_of_about_the_target(spark, tmp_path):
+    root = str(tmp_path / "t")
+    want = _table(spark, root)
+    one = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{root}/batch_id=0") for f in fs)
+    assert C.compact_batches(spark, root, target_bytes=int(2.5 * one)) >= 2
+    assert _rows(C.read_batches(spark, root)) == want and len(C.live_folders(spark, root)) <= 4
+
+
+@pytest.mark.parametrize("step", ["write", "rename 1", "rename 2", "vacuum"])
+def test_a_crash_at_any_step(spark, tmp_path, monkeypatch, step):
+    root = str(tmp_path / "t")
+    want = _table(spark, root)
+    one = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{root}/batch_id=0") for f in fs)
+    target, real, calls = int(2.5 * one), C.replace_folder, []
+
+    def dies(*a):
+        calls.append(a)
+        if step == "write" or len(calls) == int(step[-1]) + 1:
+            raise OSError("lost")
+        return real(*a)
+
+    with monkeypatch.context() as m:
+        if step == "vacuum":
+            C.compact_batches(spark, root, target)
+            kept = C.delete_folder
+            m.setattr(C, "delete_folder", lambda s, p: calls.append(p) or (kept(s, p) if len(calls) < 3 else 1 / 0))
+            with pytest.raises(ZeroDivisionError):
+                C.vacuum_batches(spark, root)
+        else:
+            m.setattr(C, "replace_folder", dies)
+            with pytest.raises(OSError):
+                C.compact_batches(spark, root, target)
+    assert _rows(C.read_batches(spark, root)) == want
+    C.compact_batches(spark, root, target)
+    assert _rows(C.read_batches(spark, root)) == want
+    C.vacuum_batches(spark, root)
+    assert _rows(C.read_batches(spark, root)) == want and not [n for n in os.listdir(root) if n.startswith("_compacting")]
+
+
+def test_pack():
+    parts = [T.new_part(k) for k in range(8)]
+    sizes = list(zip(parts, [3, 3, 3, 12, 1, 9, 2, 1]))
+    assert C.pack(sizes, 9) == [parts[:3], parts[6:]]
+    assert C.pack(sizes, 100) == [parts] and C.pack([], 5) == [] and C.pack(sizes[:1], 9) == []
+
+
+def test_empty_table(spark, tmp_path):
+    assert C.read_batches(spark, str(tmp_path / "none")).collect() == [] and C.compact_batches(spark, str(tmp_path / "none")) == 0

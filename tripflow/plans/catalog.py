@@ -33,7 +33,9 @@ from tripflow.sources.trips import read_trips, read_zones, table_path, trips_fro
 from tripflow.sources.warehouse import read_warehouse
 from tripflow.streaming import ingest as I
 from tripflow.streaming import quarantine as Q
+from tripflow.streaming.compact import compact_batches, read_batches, vacuum_batches
 from tripflow.streaming.incremental import silver_gold_incremental
+from tripflow.streaming.report import checkpoint_report
 
 TRIP_COLS = [f.name for f in S.TRIP.fields]
 # Fixed day read by the single-partition scan.
@@ -450,6 +452,29 @@ def q_ingest_restart(spark, sf):
     return _r(SF.read_bronze(spark, bronze))
 
 
+def q_bronze_compacted(spark, sf):
+    # Six batches are packed into one folder; two more arrive; the small ones of before are gone.
+    src, bronze, ckpt = (scratch_path(spark, n) for n in ("wire", "bronze", "ckpt"))
+    for part, files in ((0, 6), (1, 2)):
+        _payload_files(spark, sf, src, part=part, files=files)
+        raw, payload = I.read_wire_stream(spark, "file", path=src, max_files_per_trigger=1)
+        I.run_to_end(I.append_batches(W.from_wire(raw, payload), bronze, ckpt, trigger="available_now"))
+        if part == 0:
+            compact_batches(spark, bronze)
+            vacuum_batches(spark, bronze)
+    return _r(read_batches(spark, bronze))
+
+
+def q_checkpoint_report(spark, sf):
+    # What two runs over one checkpoint have left in its logs: a batch a file.
+    src, bronze, ckpt = (scratch_path(spark, n) for n in ("wire", "bronze", "ckpt"))
+    for part in (0, 1):
+        _payload_files(spark, sf, src, part=part, files=2)
+        _stream_to_bronze(spark, src, bronze, ckpt, "json")
+    later = F.coalesce(F.col("gap_s") > 0, F.lit(True))
+    return checkpoint_report(spark, ckpt).select("batch_id", "kind", "committed", "position", "advance", later.alias("in_order"))
+
+
 def _faulty_messages(spark, sf) -> DataFrame:
     """Messages of all trips: some without payload, some garbled, some with text where a number belongs."""
     e = F.col("event_id")

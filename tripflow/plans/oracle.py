@@ -392,6 +392,9 @@ def _oracle_sql() -> dict[str, str]:
         "ingest_foreach_batch": trip_all,
         "ingest_restart": trip_all,
         "ingest_redelivered": trip_all,
+        "bronze_compacted": trip_all,
+        # Four payload files, one a batch, whatever they hold.
+        "checkpoint_report": "SELECT i AS batch_id, 'files' AS kind, true AS committed, i + 1 AS position, CAST(1 AS BIGINT) AS advance, true AS in_order FROM range(4) r(i)",
         "ingest_quarantine": on_trips(
             f"SELECT {FAULT} AS outcome, count(*) AS n_messages, round(CASE WHEN {FAULT} = 'good' THEN sum(total_amount) END, 6) AS revenue FROM trips GROUP BY 1"
         ),

@@ -48,8 +48,12 @@ def parse(name: str) -> Part | None:
 
 def live(parts: Iterable[Part]) -> list[Part]:
     """Parts that no other covers, oldest batches first."""
-    parts = set(parts)
-    return sorted((p for p in parts if not any(q.covers(p) for q in parts)), key=lambda p: (p.first, p.last))
+    out: list[Part] = []
+    # Parts nest or are apart, so only the last live one can cover the next.
+    for p in sorted(set(parts), key=lambda p: (p.first, -p.last, -p.tier)):
+        if not out or not out[-1].covers(p):
+            out.append(p)
+    return out
 
 
 def due(parts: Iterable[Part], fan: int) -> tuple[Part, list[Part]] | None:
