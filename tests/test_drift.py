@@ -1,0 +1,66 @@
+"""Bronze of mixed schemas: read to the contract, report from the schemas, footers opened once."""
+
+import datetime
+import math
+
+from pyspark.sql import functions as F
+
+from tripflow import schema as S
+from tripflow.sources import drift as D
+
+
+def _batch(spark, root, n, rows, ddl):
+    spark.createDataFrame(rows, ddl).write.parquet(f"{root}/batch_id={n}")
+
+
+def _mixed(spark, root):
+    _batch(spark, root, 0, [("1", 2.0, 1.5), (None, None, float("nan"))], "VendorID string, passenger_count double, trip_distance double")
+    _batch(spark, root, 1, [(2, 3, "0.25"), (7, None, "NaN"), (8, 1, "far"), (9, 1, None)], "VendorID bigint, passenger_count int, trip_distance string")
+    _batch(spark, root, 2, [(datetime.datetime(2024, 1, 2, 3, 4, 5), [1], "x")], "tpep_pickup_datetime timestamp, passenger_count array<int>, note string")
+    _batch(spark, root, 3, [("4", 4.0, 4.5)], "VendorID string, passenger_count double, trip_distance double")
+
+
+def test_mixed_files_are_read_to_the_contract(spark, tmp_path):
+    root = str(tmp_path / "t")
+    _mixed(spark, root)
+    df = D.read_drifted(spark, root)
+    assert df.schema.simpleString() == S.TRIP.simpleString()
+    got = {r.VendorID: r for r in df.filter("VendorID is not null").collect()}
+    assert sorted(got) == ["1", "2", "4", "7", "8", "9"]
+    assert (got["2"].passenger_count, got["2"].trip_distance) == (3.0, 0.25) and math.isnan(got["7"].trip_distance)
+    assert got["8"].trip_distance is None and got["7"].passenger_count is None and got["4"].trip_distance == 4.5
+    (stamp,) = df.filter(F.col(S.PICKUP_TS).isNotNull()).collect()
+    assert stamp[S.PICKUP_TS] == "2024-01-02 03:04:05" and stamp.passenger_count is None
+    assert df.count() == 8
+    assert [tuple(r) for r in D.unparsed(spark, root).collect()] == [("trip_distance", 1)]
+
+
+def test_report(spark, tmp_path):
+    root = str(tmp_path / "t")
+    _mixed(spark, root)
+    rows = {(r.column_name, r.found_type): (r.expected_type, r.action, r.n_folders, r.ok) for r in D.drift_report(spark, root).collect()}
+    assert rows["VendorID", "string"] == ("string", "as is", 2, True)
+    assert rows["VendorID", "bigint"] == ("string", "print", 1, True)
+    assert rows["VendorID", None] == ("string", "missing", 1, True)
+    assert rows["passenger_count", "int"] == ("double", "widen", 1, True)
+    assert rows["passenger_count", "array<int>"] == ("double", "unreadable", 1, False)
+    assert rows["trip_distance", "string"] == ("double", "parse", 1, True)
+    assert rows["note", "string"] == (None, "extra", 1, False)
+    assert rows["airport_fee", None] == ("double", "missing", 4, True)
+
+
+def test_only_new_folders_are_opened(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    _mixed(spark, root)
+    assert [len(f) for f in D.schema_groups(spark, root).values()] == [2, 1, 1]
+    _batch(spark, root, 4, [("5",)], "VendorID string")
+    opened = []
+    real = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *p, **k: opened.extend(x for x in p if "batch_id" in x) or real(self, *p, **k))
+    groups = D.schema_groups(spark, root)
+    assert opened == [f"{root}/batch_id=4"] and sum(map(len, groups.values())) == 5
+
+
+def test_empty_table(spark, tmp_path):
+    root = str(tmp_path / "none")
+    assert D.read_drifted(spark, root).collect() == [] and D.drift_report(spark, root).collect() == [] and D.unparsed(spark, root).collect() == []

@@ -29,6 +29,7 @@ from tripflow.session import scratch_path
 from tripflow.sinks.files import write_csv, write_partitioned, write_table
 from tripflow.sinks.warehouse import load_warehouse, refresh_warehouse_days, write_warehouse
 from tripflow.sources import files as SF
+from tripflow.sources.drift import drift_report, read_drifted
 from tripflow.sources.trips import read_trips, read_zones, table_path, trips_from_events
 from tripflow.sources.warehouse import read_warehouse
 from tripflow.streaming import ingest as I
@@ -354,6 +355,26 @@ def q_gold_dirty(spark, sf):
     return _r(J.gold_job(spark, silver_root, scratch_path(spark, "gold")).select(*S.GOLD.names))
 
 
+def _drifted_bronze(spark, sf) -> str:
+    """Batches of three producers: by the contract; whole numbers and no airport fee; distances as text, and a note."""
+    root, e = scratch_path(spark, "bronze-drift"), F.col("event_id")
+    t = read_trips(spark, sf, keep=("event_id",))
+    whole = {c: F.col(c).cast(k) for c, k in (("passenger_count", "int"), ("payment_type", "bigint"), ("VendorID", "int"))}
+    text = F.when(e % 31 == 0, F.lit("n/a")).otherwise(F.col("trip_distance").cast("string"))
+    batches = [t, t.withColumns(whole).drop("airport_fee"), t.withColumns({"trip_distance": text, "note": F.lit("x")})]
+    for n, rows in enumerate(batches):
+        rows.filter(e % 3 == n).drop("event_id").write.parquet(f"{root}/batch_id={n}")
+    return root
+
+
+def q_bronze_drift(spark, sf):
+    return _r(read_drifted(spark, _drifted_bronze(spark, sf)))
+
+
+def q_drift_report(spark, sf):
+    return drift_report(spark, _drifted_bronze(spark, sf)).filter("action <> 'as is'")
+
+
 def q_schema_check(spark, sf):
     parts = [("silver", _written_silver(spark, sf), S.SILVER), ("gold", _written_gold(spark, sf), S.GOLD)]
     checks = [S.check_contract(SF.read_table(spark, root), contract).withColumn("table_name", F.lit(name)) for name, root, contract in parts]

@@ -240,6 +240,14 @@ dirty AS (
   FROM trips_0)"""
 
 
+# Trips as the catalog's drifting producers write them, read to the contract.
+DRIFTED = """
+drifted AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 3 = 1 THEN NULL ELSE airport_fee END AS airport_fee,
+    CASE WHEN event_id % 3 = 2 AND event_id % 31 = 0 THEN NULL ELSE trip_distance END AS trip_distance)
+  FROM trips)"""
+
 # What is wrong with a message of the catalog's faulty ones.
 FAULT = "CASE WHEN event_id % 17 = 0 THEN 'no payload' WHEN event_id % 19 = 0 THEN 'not a record' WHEN event_id % 23 = 0 THEN 'wrong type' ELSE 'good' END"
 
@@ -366,6 +374,13 @@ def _oracle_sql() -> dict[str, str]:
         "silver_rejects": _on_dirty(f"SELECT {r6(S.TRIP.names, TRIP_DOUBLES)} FROM dirty WHERE event_id % 29 = 0 AND {CLEAN_WHERE}"),
         "gold_dirty": _on_dirty(f"SELECT {r6(GOLD_COLS, GOLD_DOUBLES)} FROM gold", GOLD),
         "schema_check": _schema_check(),
+        "bronze_drift": with_ctes(f"SELECT {r6(S.TRIP.names, TRIP_DOUBLES)} FROM drifted", TRIPS, DRIFTED),
+        # Of the three producers' schemas, what is not the contract's.
+        "drift_report": """SELECT * FROM (VALUES
+  ('VendorID', 'int', 'string', 'print', CAST(1 AS BIGINT), true), ('passenger_count', 'int', 'double', 'widen', 1, true),
+  ('payment_type', 'bigint', 'double', 'widen', 1, true), ('airport_fee', NULL, 'double', 'missing', 1, true),
+  ('trip_distance', 'string', 'double', 'parse', 1, true), ('note', 'string', NULL, 'extra', 1, false)
+) r(column_name, found_type, expected_type, action, n_folders, ok)""",
         "csv_export_full": trip_all,
         "wire_from_csv": trip_all,
         "warehouse_append": gold_all,
