@@ -146,8 +146,12 @@ class Votes:
         seen = (x > 0).sum(axis=0)
         self.idf = np.where(seen > 0, np.log((1 + len(x)) / (1 + seen)) + 1, 0).astype(np.float32)
         # Right singular vectors, by the eigenvectors of the terms' Gram matrix.
-        y = (x * self.idf).astype(np.float64)
-        _, vectors = np.linalg.eigh(y.T @ y)
+        gram = np.zeros((x.shape[1], x.shape[1]))
+        for s in range(0, len(x), _BLOCK):
+            y = (x[s : s + _BLOCK] * self.idf).astype(np.float64)
+            gram += y.T @ y
+        _, vectors = np.linalg.eigh(gram)
+        del gram
         self.basis = np.ascontiguousarray(vectors[:, ::-1][:, :dims]).astype(np.float32)
         self.known = self.latent(x)
 
@@ -188,8 +192,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
     # Texts become terms on the executors; one row of terms per label comes back.
     termed_rows = rows.join(F.broadcast(chosen), "id").select("id", "y", "t").mapInArrow(termed, "id long, y int, x binary")
     found = termed_rows.orderBy(order, "id", "y", "x").limit(max_training).collect()
-    x = np.frombuffer(b"".join(bytes(r.x) for r in found), "<f4").reshape(-1, TERMS + WORDS + REPEATS)
-    return Votes(x, [r.y for r in found], dims, neighbours)
+    x = np.empty((len(found), TERMS + WORDS + REPEATS), np.float32)
+    ys = []
+    for i, r in enumerate(found):
+        x[i], found[i] = np.frombuffer(r.x, "<f4"), None
+        ys.append(r.y)
+    return Votes(x, ys, dims, neighbours)
 
 
 def score(docs: DataFrame, votes: Votes, text: str = "text") -> DataFrame:
