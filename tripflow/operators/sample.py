@@ -239,19 +239,25 @@ def cut_offs(spark: SparkSession, total: int, wanted: dict[int, list[int]], chun
                 bins = found.get((i, k), {})
                 x.narrow(bins.pop(-1, 0), bins)
 
+    def within(slot: dict[int, _Range]) -> Column:
+        return F.col("chunk").isin([*slot]) & (F.col("x") >= of(slot, lambda x: x.low)) & (F.col("x") < of(slot, lambda x: x.high))
+
     out: dict[tuple[int, int], str] = {}
+    plain = [{i: x for i, x in slot.items() if x.inside <= FEW} for slot in slots]
+    places = [F.struct(F.lit(k).alias("slot"), within(slot).alias("inside")) for k, slot in enumerate(plain) if slot]
+    keys: dict[tuple[int, int], list[str]] = {(i, k): [] for k, slot in enumerate(plain) for i in slot}
+    if places:  # one more pass brings the few keys of all ranges
+        for r in keyed().select("chunk", "key", F.inline(F.array(*places))).filter("inside").collect():
+            keys[r.chunk, r.slot].append(r.key)
+    for (i, k), found in keys.items():
+        x = plain[k][i]
+        out[i, x.rank] = sorted(found)[x.rank - x.below - 1]
     for slot in slots:
-        within = F.col("chunk").isin([*slot]) & (F.col("x") >= of(slot, lambda x: x.low)) & (F.col("x") < of(slot, lambda x: x.high))
-        few = keyed().filter(within)
         crowded = {i: x for i, x in slot.items() if x.inside > FEW}  # keys that agree in all digits of their numbers
         if crowded:
             place = F.row_number().over(Window.partitionBy("chunk").orderBy("key", "id"))
-            ranked = few.filter(F.col("chunk").isin([*crowded])).withColumn("place", place)
+            ranked = keyed().filter(within(crowded)).withColumn("place", place)
             out |= {(r.chunk, crowded[r.chunk].rank): r.key for r in ranked.filter(F.col("place") == of(crowded, lambda x: x.rank - x.below)).collect()}
-        keys: dict[int, list[str]] = {i: [] for i in slot if i not in crowded}
-        for r in few.filter(F.col("chunk").isin([*keys])).select("chunk", "key").collect() if keys else []:
-            keys[r.chunk].append(r.key)
-        out |= {(i, slot[i].rank): sorted(ks)[slot[i].rank - slot[i].below - 1] for i, ks in keys.items()}
     return out
 
 
